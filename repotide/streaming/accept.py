@@ -1,0 +1,45 @@
+"""Exact first-seen-wins intake of a stream into a table.
+
+This is the form to use for wide rows and for any number of copies of a key: copies inside a batch
+are cut down before the shuffle, keys of earlier batches are looked up in the accepted table, and
+no state holds a payload. A batch costs one scan of the key column of the accepted table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from repotide.operators.dedup import first_seen
+from repotide.operators.filters import with_language
+from repotide.sinks.tables import read_batches, write_batch
+from repotide.streaming.queries import BatchFunction
+
+
+def new_rows(batch: DataFrame, batch_id: int, path: str, key: str, arrival: str) -> DataFrame:
+    """The earliest row of each key that no batch before ``batch_id`` has accepted.
+
+    The accepted table is cut down to the keys of this batch first; both joins leave it to
+    adaptive execution to broadcast a side once its size is known.
+    """
+    firsts = first_seen(with_language(batch), [key], arrival)
+    if batch_id == 0:
+        return firsts
+    key_type = batch.schema[key].dataType.simpleString()
+    accepted = read_batches(batch.sparkSession, path, f"{key} {key_type}")
+    earlier = accepted.where(F.col("batch_id") < batch_id).select(key)
+    known = earlier.join(firsts.select(key), key, "left_semi")
+    return firsts.join(known, key, "left_anti")
+
+
+def accept(path: str, key: str, arrival: str) -> BatchFunction:
+    """A batch function that appends the new rows of each batch to the accepted table."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write_batch(new_rows(batch, batch_id, path, key, arrival), path, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
