@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from repotide.fixed import HISTORY_LENGTH, TOP_WORDS
 from repotide.functions.text import pairs_text
+from repotide.functions.times import batch_start
 from repotide.operators.dedup import top_rows
 
 
@@ -40,9 +41,20 @@ def last_values(series: DataFrame, key: str, time: str, n: int = HISTORY_LENGTH)
     return top_rows(series, [key], [F.desc(time)], n)
 
 
-def latest_rows(table: DataFrame, batch: str) -> DataFrame:
-    """The rows of the latest batch."""
-    return table.where(F.col(batch) == table.agg(F.max(batch)).scalar())
+def latest_rows(rows: DataFrame, time: str, seconds: int) -> DataFrame:
+    """The rows of the latest batch of ``seconds``.
+
+    The bound is on the time column as stored, so a scan can skip whatever lies before it.
+    """
+    newest = rows.agg(F.max(time).alias("newest"))
+    return rows.where(F.col(time) >= newest.select(batch_start(F.col("newest"), seconds)).scalar())
+
+
+def last_batches(rows: DataFrame, time: str, seconds: int, n: int = HISTORY_LENGTH) -> DataFrame:
+    """The rows of the ``n`` latest batches of ``seconds`` that hold any row, bounded likewise."""
+    starts = rows.select(batch_start(F.col(time), seconds).alias("start")).distinct()
+    last = first_rows(starts, n, F.desc("start")).agg(F.min("start")).scalar()
+    return rows.where(F.col(time) >= last)
 
 
 def newest_by_key(updates: DataFrame, keys: Sequence[str], batch: str) -> DataFrame:

@@ -135,14 +135,16 @@ def recent_last10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pushes(spark, sf_dir).withColumn(
-        "batch_time", batch_end(F.col("pushed_at"), DAY_SECONDS)
-    )
-    return metrics.count_by(ranking.latest_rows(rows, "batch_time"), "batch_time", "language")
+    rows = ranking.latest_rows(pushes(spark, sf_dir), "pushed_at", DAY_SECONDS)
+    batch = batch_end(F.col("pushed_at"), DAY_SECONDS).alias("batch_time")
+    return metrics.count_by(rows, batch, "language")
 
 
 def dashboard_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.recents_panel(recents(spark, sf_dir), TRACKED_TYPES)
+    rows = ranking.last_batches(pushes(spark, sf_dir), "pushed_at", BATCH_SECONDS)
+    batches = rows.withColumn("batch_time", batch_end(F.col("pushed_at"), BATCH_SECONDS))
+    counts = metrics.recent_counts(batches, ["batch_time"], F.col("batch_time"))
+    return dashboard.recents_panel(counts, TRACKED_TYPES)
 
 
 def age_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,15 @@ class Decoded(NamedTuple):
     rejects: DataFrame
 
 
+def _parse(lines: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """The lines with their parsed form, parsed once.
+
+    A filter on the output of a generator cannot be moved below it. Without the generator Catalyst
+    would copy the parsing expression into the filter and parse every line again there.
+    """
+    return lines.select("value", F.explode(F.array(parsed)).alias(name))
+
+
 def _split(parsed: DataFrame, good: Column, rows: list[Column]) -> Decoded:
     return Decoded(
         parsed.where(good).select(*rows),
@@ -36,7 +45,7 @@ def decode_json(lines: DataFrame, schema: str = REPO_JSON) -> Decoded:
     """One object per line. Malformed lines and lines of the wrong shape are rejected."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     record = F.from_json("value", f"{schema}, {CORRUPT} STRING", options)
-    parsed = lines.select("value", record.alias("r"))
+    parsed = _parse(lines, record, "r")
     good = F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull()
     return Decoded(
         parsed.where(good).select("r.*").drop(CORRUPT),
@@ -56,7 +65,7 @@ def _repo_columns(name: Column, pushed: Column, stars: Column, text: Column, lan
 
 def decode_tsv(lines: DataFrame) -> Decoded:
     """Five tab-separated fields per line; any other number of fields is rejected."""
-    parsed = lines.select("value", F.split("value", "\t").alias("f"))
+    parsed = _parse(lines, F.split("value", "\t"), "f")
     field = [F.try_element_at("f", F.lit(i + 1)) for i in range(len(TEXT_FIELDS))]
     return _split(parsed, F.size("f") == len(TEXT_FIELDS), _repo_columns(*field))
 
@@ -75,11 +84,10 @@ def decode_capture(lines: DataFrame) -> Decoded:
     neither rows nor rejects.
     """
     lines = lines.where(~F.col("value").rlike(BANNER))
-    front = lines.select("value", F.split("value", ",", 4).alias("f"))
-    cut = front.select(
-        "value", "f", F.substring_index(F.try_element_at("f", F.lit(4)), ",", -1).alias("last")
-    )
     rest = F.try_element_at("f", F.lit(4))
+    cut = _parse(lines, F.split("value", ",", 4), "f").withColumn(
+        "last", F.substring_index(rest, ",", -1)
+    )
     text = F.substring(rest, F.lit(1), F.length(rest) - F.length("last") - 1)
     columns = _repo_columns(
         *(F.try_element_at("f", F.lit(i)) for i in (1, 2, 3)),
