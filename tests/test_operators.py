@@ -1,0 +1,204 @@
+import re
+from collections import Counter, defaultdict
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from conftest import ROWS, plan_of, rows_of
+from repotide.fixed import NON_LETTERS
+from repotide.operators import dedup, filters, metrics, ranking
+
+
+def first_by_id():
+    """Plain-Python first-seen-wins over rows with a language."""
+    seen = {}
+    for row in ROWS:
+        if row[7] is not None:
+            seen.setdefault(row[2], row)
+    return seen
+
+
+# Filters ---------------------------------------------------------------------------------------
+
+
+def test_filters(repos):
+    assert filters.with_language(repos).count() == 9
+    assert rows_of(repos.exceptAll(filters.with_description(repos)), "seq") == [(7,)]
+    assert rows_of(filters.tracked_only(repos, ["Java"]), "seq") == [(3,), (5,), (8,)]
+
+
+def test_table_changes(spark):
+    table = spark.createDataFrame([(1, 5), (2, -10_012)], "A INT, B INT")
+    assert rows_of(filters.digits_of_b(filters.raise_b(table))) == [(1, "1,0,0,0,5"), (2, "-,1,2")]
+    assert rows_of(table.where("a < 2")) == [(1, 5)]
+
+
+# Duplicates --------------------------------------------------------------------------------------
+
+
+def test_first_seen_wins_for_good(repos):
+    rows = filters.with_language(repos)
+    expected = sorted((r[0], r[2], r[5], r[7]) for r in first_by_id().values())
+    for chosen in (dedup.first_seen(rows, ["id"], "seq"), dedup.first_seen_wide(rows, ["id"], "seq")):
+        assert rows_of(chosen, "seq", "id", "stargazers_count", "language") == expected
+
+
+def test_a_batch_starts_afresh(repos):
+    chosen = dedup.first_per_batch(repos, "poll", ["id"], "seq")
+    assert rows_of(chosen, "seq") == [(s,) for s in (0, 1, 3, 4, 5, 6, 7, 8, 9)]
+
+
+def test_rejected_rows_complete_the_accepted_ones(repos):
+    rejected = dedup.rejected_rows(repos, ["id"], "seq")
+    assert rows_of(rejected, "seq", "reason") == [
+        (2, "duplicate"), (4, "no language"), (5, "duplicate"), (9, "duplicate"),
+    ]
+
+
+def test_content_key_separates_texts(spark):
+    texts = spark.createDataFrame([("a",), ("a",), ("b",)], "t STRING")
+    keys = [r[0] for r in texts.select(dedup.content_key(F.col("t"))).collect()]
+    assert keys[0] == keys[1] != keys[2] and len(keys[0]) == 32
+
+
+def test_latest_page_holds_the_newest_repositories(spark):
+    pushes = spark.createDataFrame(
+        [(0, i % 7, "C", datetime(2024, 3, 1, 10, i)) for i in range(20)], "poll INT, id INT, language STRING, pushed_at TIMESTAMP"
+    )
+    page = dedup.latest_page(pushes, "poll", size=3)
+    assert rows_of(page, "rank", "id") == [(1, 5), (2, 4), (3, 3)]
+
+
+def test_one_hot_key(spark):
+    """Half of all rows share a key: the shuffle gets one row of it per task."""
+    rows = spark.range(0, 20_000, 1, 8).select(
+        F.col("id").alias("seq"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("id")
+    )
+    chosen = dedup.first_seen(rows, ["id"], "seq")
+    assert chosen.count() == 10_001
+    assert "WindowGroupLimit" in plan_of(chosen) and "Partial" in plan_of(chosen)
+
+
+# Aggregations --------------------------------------------------------------------------------------
+
+
+def test_totals_and_stars(repos):
+    once = dedup.first_seen(filters.with_language(repos), ["id"], "seq")
+    count, stars = Counter(), Counter()
+    for row in first_by_id().values():
+        count[row[7]] += 1
+        stars[row[7]] += row[5]
+    totals = metrics.star_totals(once)
+    assert rows_of(totals) == sorted((name, count[name], stars[name]) for name in count)
+    average = sorted((name, stars[name] / count[name]) for name in count)
+    assert rows_of(metrics.average_stars(totals)) == average
+    joined = metrics.average_stars_joined(
+        metrics.repo_totals(once), once.groupBy("language").agg(F.sum("stargazers_count").alias("stars"))
+    )
+    assert rows_of(joined) == average
+
+
+def plain_counts(cut):
+    return Counter(
+        (row[7], word) for row in ROWS if row[6] is not None for word in cut(row[6])
+    )
+
+
+def cleaned(description):
+    return re.sub(NON_LETTERS, "", description)
+
+
+def test_word_counts(repos):
+    got = {(r.language, r.word): r.freq for r in metrics.word_counts(repos).collect()}
+    assert got == plain_counts(lambda d: cleaned(d).split())
+    assert got[("Python", "data")] == 3 and got[("Python", "database")] == 2
+    assert got[("Java", "A")] == got[("Java", "a")] == 1
+
+
+def test_folded_and_empty_words(repos):
+    folded = {(r.language, r.word): r.freq for r in metrics.word_counts(repos, fold_case=True).collect()}
+    assert folded == plain_counts(lambda d: cleaned(d).lower().split())
+    empty = {(r.language, r.word): r.freq for r in metrics.word_counts(repos, keep_empty=True).collect()}
+    assert empty == plain_counts(lambda d: cleaned(d).split(" "))
+
+
+def test_recent_counts_per_batch(repos):
+    now = F.lit(datetime(2024, 3, 1, 10, 0, 30))
+    polls = filters.with_language(repos)
+    counts = metrics.recent_counts(polls, ["poll"], now)
+    # 10:00:00 is 30 s old and 09:59:00 is 90 s old; 10:02:00 lies ahead of the clock.
+    assert rows_of(counts) == [
+        (0, "Java", 0), (0, "Python", 1), (1, "C", 2), (1, "Java", 1), (2, "C", 1), (2, "Java", 0),
+    ]
+
+
+def test_age_counts(repos):
+    now = F.lit(datetime(2024, 3, 1, 10, 0, 0))
+    assert rows_of(metrics.age_counts(repos, ["poll"], now)) == [
+        (0, "old", 3), (0, "recent", 2), (1, "recent", 3), (2, "old", 1), (2, "recent", 1),
+    ]
+
+
+def test_divisible_counts(spark):
+    numbers = spark.createDataFrame([(v,) for v in (0, 9, -18, 10**9, 5)], "value BIGINT")
+    assert rows_of(metrics.divisible_counts(numbers)) == [("No", 2), ("Yes", 3)]
+
+
+def test_digit_histogram(spark):
+    table = spark.createDataFrame([(1, "1,0,0"), (2, "-,1")], "A INT, B STRING")
+    assert rows_of(metrics.digit_histogram(table)) == [("-", 1), ("0", 2), ("1", 2)]
+
+
+def test_zero_fill(spark):
+    result = spark.createDataFrame([("C", 5), ("Perl", 7)], "language STRING, count BIGINT")
+    assert rows_of(metrics.zero_fill(result, "count", ["Python", "C"])) == [(0, "Python", 0), (1, "C", 5)]
+
+
+# Rankings ----------------------------------------------------------------------------------------------
+
+
+def test_top_words_against_plain_python(spark):
+    letters = "abcdefghijklmnop"
+    data = [(lang, w, (i * 7 + j) % 5) for j, lang in enumerate("XY") for i, w in enumerate(letters)]
+    data.append(("Z", "only", 1))
+    counts = spark.createDataFrame(data, "language STRING, word STRING, freq BIGINT")
+    by_language = defaultdict(list)
+    for language, word, freq in data:
+        by_language[language].append((-freq, word))
+    expected = sorted(
+        (language, word, -freq, rank)
+        for language, entries in by_language.items()
+        for rank, (freq, word) in enumerate(sorted(entries)[:10], 1)
+    )
+    assert rows_of(ranking.ranked_words(counts)) == expected
+    assert ranking.top_words(counts).columns == ["Language", "Word", "Freq"]
+    lists = {r.language: r.words for r in ranking.word_lists(ranking.ranked_words(counts)).collect()}
+    assert lists["Z"] == "(only,1)"
+    assert lists["X"].count("(") == 10
+
+
+def test_first_rows(spark):
+    assert rows_of(ranking.first_rows(spark.range(100, 0, -1), 3, "id")) == [(1,), (2,), (3,)]
+
+
+def test_last_values(spark):
+    series = spark.createDataFrame(
+        [(name, t, t * 2) for name in "ab" for t in range(15)] + [("c", 1, 1)], "k STRING, t INT, n INT"
+    )
+    last = ranking.last_values(series, "k", "t")
+    assert rows_of(last.where("k = 'a'"), "t", "rank") == sorted(((t, 15 - t) for t in range(5, 15)), key=repr)
+    assert last.where("k = 'c'").count() == 1
+
+
+def test_latest_batches(spark):
+    rows = spark.createDataFrame(
+        [(datetime(2024, 3, 1, 10, m), m) for m in (0, 1, 2, 10, 11, 30)], "t TIMESTAMP, m INT"
+    )
+    assert rows_of(ranking.latest_rows(rows, "t", 300), "m") == [(30,)]
+    assert rows_of(ranking.last_batches(rows, "t", 300, 2), "m") == [(10,), (11,), (30,)]
+    assert ranking.latest_rows(rows.where("m > 99"), "t", 300).count() == 0
+
+
+def test_newest_by_key(spark):
+    log = spark.createDataFrame([("a", 1, 0), ("a", 5, 2), ("b", 2, 1)], "k STRING, v INT, batch_id BIGINT")
+    assert rows_of(ranking.newest_by_key(log, ["k"], "batch_id")) == [("a", 5), ("b", 2)]

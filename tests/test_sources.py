@@ -1,0 +1,157 @@
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import lines, rows_of
+from repotide.schemas import REPO_JSON_WITH_ID
+from repotide.sources import decode, files
+
+
+def test_json_lines(spark):
+    good = {"full_name": "a/b", "pushed_at": "2024-03-01T10:00:00Z", "stargazers_count": 3,
+            "description": ["x", "y"], "language": "C"}
+    bad = ['{"full_name": "cut', "plain text", '{"full_name": "a/c", "stargazers_count": "many"}', ""]
+    decoded = decode.decode_json(lines(spark, json.dumps(good), *bad))
+    assert [r.asDict() for r in decoded.rows.collect()] == [good]
+    assert sorted(r.value for r in decoded.rejects.collect()) == sorted(bad)
+    assert decode.repo_rows(decoded.rows).first().pushed_at == datetime(2024, 3, 1, 10)
+
+
+def test_json_lines_with_id_and_null_description(spark):
+    row = decode.decode_json(
+        lines(spark, '{"id": 5, "description": null, "language": null}'), REPO_JSON_WITH_ID
+    ).rows.first()
+    assert (row.id, row.description, row.language) == (5, None, None)
+
+
+def test_json_round_trip(spark, repos):
+    narrow = repos.select("full_name", "stargazers_count", "language")
+    back = decode.decode_json(
+        decode.to_json_lines(narrow), "full_name STRING, stargazers_count BIGINT, language STRING"
+    ).rows
+    assert rows_of(back) == rows_of(narrow)
+
+
+def test_tsv_lines(spark):
+    good = "a/b\t2024-03-01T10:00:00Z\t12\tsome, text\tJava"
+    bad = ["a/b\t2024-03-01T10:00:00Z\t12", good + "\textra", ""]
+    decoded = decode.decode_tsv(lines(spark, good, *bad))
+    assert rows_of(decoded.rows) == [("a/b", datetime(2024, 3, 1, 10), 12, "some, text", "Java")]
+    assert sorted(r.value for r in decoded.rejects.collect()) == sorted(bad)
+
+
+def test_integer_lines(spark):
+    decoded = decode.decode_integers(lines(spark, "9", " 10 ", "x", "", "1_000"))
+    assert rows_of(decoded.rows) == [(10,), (9,)]
+    assert decoded.rejects.count() == 3
+
+
+def test_captured_lines(spark):
+    values = [
+        "-----Python-----",
+        "a/b,2024-03-01T10:00:00Z,12,one, two, three,C",
+        "a/c,2024-03-01T10:00:01Z,0,None,None",
+        "a/d,2024-03-01T10:00:02Z,1,,Java",
+        "too,short",
+    ]
+    decoded = decode.decode_capture(lines(spark, *values))
+    assert rows_of(decoded.rows, "full_name", "stargazers_count", "description", "language") == [
+        ("a/b", 12, "one, two, three", "C"),
+        ("a/c", 0, None, None),
+        ("a/d", 1, "", "Java"),
+    ]
+    assert [r.value for r in decoded.rejects.collect()] == ["too,short"]
+
+
+def test_a_line_is_parsed_once(spark):
+    plan = decode.decode_json(lines(spark, "{}")).rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_envelopes(spark):
+    item = {"id": 1, "full_name": "a/b", "pushed_at": "x", "stargazers_count": 2, "language": "C",
+            "more": {"nested": True}}
+    bodies = lines(
+        spark, json.dumps({"items": [item, {**item, "id": 2, "description": "d"}]}),
+        '{"items": null}', "{}", '{"items": []}',
+    )
+    assert rows_of(decode.unnest_envelopes(bodies), "id", "description") == [(1, None), (2, "d")]
+
+
+def test_wire_form_keeps_five_fields(repos):
+    wire = decode.repo_words(repos)
+    assert wire.columns == ["full_name", "pushed_at", "stargazers_count", "description", "language"]
+    assert wire.where("full_name = 'a/two'").first().description == ["data", "database"]
+
+
+def test_csv_with_header(spark, folder):
+    path = f"{folder}/t.csv"
+    with open(path, "w") as out:
+        out.write("A,B\n1,2\n3,4\n")
+    for schema in ("A INT, B INT", None):
+        table = files.read_csv(spark, path, schema)
+        assert rows_of(table) == [(1, 2), (3, 4)]
+        assert [f.dataType.simpleString() for f in table.schema.fields] == ["int", "int"]
+
+
+def test_integer_range_has_two_partitions(spark):
+    numbers = files.integer_range(spark, 1000)
+    assert numbers.rdd.getNumPartitions() == 2
+    assert numbers.agg(F.sum("id")).first()[0] == 499_500
+
+
+def test_random_table_is_repeatable_and_bounded(spark):
+    table = files.random_table(spark, rows=5000, seed=3)
+    low, high, n = table.agg(F.min(F.least("A", "B")), F.max(F.greatest("A", "B")), F.count("*")).first()
+    assert low >= 0 and high < 999 and n == 5000
+    assert rows_of(table) == rows_of(files.random_table(spark, rows=5000, seed=3))
+
+
+def test_random_stream_is_bounded(spark):
+    stream = files.random_integers(spark, rows_per_second=500)
+    query = stream.writeStream.format("memory").queryName("random_numbers").start()
+    try:
+        for _ in range(100):
+            query.processAllAvailable()
+            if spark.table("random_numbers").count() > 100:
+                break
+        low, high = spark.table("random_numbers").agg(F.min("value"), F.max("value")).first()
+        assert 1 <= low and high <= 10**9
+    finally:
+        query.stop()
+
+
+def test_union_keeps_every_copy(spark, repos):
+    feeds = [repos.where(F.col("language") == name) for name in ("Python", "Java", "C")]
+    reordered = feeds[1].select(*reversed(feeds[1].columns))
+    assert files.union_feeds([feeds[0], reordered, feeds[2]]).count() == 9
+
+
+@pytest.mark.parametrize("kind", ["file", "folder"])
+def test_stream_of_a_table_path(spark, folder, kind):
+    path = f"{folder}/numbers.parquet"
+    if kind == "folder":
+        spark.range(20).repartition(3).write.parquet(path)
+    else:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        pq.write_table(pa.table({"id": list(range(20))}), path)
+    stream = files.stream_table(spark, path, "id BIGINT")
+    query = (
+        stream.writeStream.format("memory").queryName(f"table_{kind}").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert spark.table(f"table_{kind}").count() == 20
+
+
+def test_stream_of_lines(spark, folder):
+    with open(f"{folder}/one.txt", "w") as out:
+        out.write("1\n2\nx\n")
+    decoded = decode.decode_integers(files.stream_lines(spark, folder))
+    query = decoded.rows.writeStream.format("memory").queryName("line_rows").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert rows_of(spark.table("line_rows")) == [(1,), (2,)]
+    assert decoded.rejects.isStreaming
