@@ -100,14 +100,22 @@ def language_table(spark: SparkSession, languages: Sequence[str] = TRACKED) -> D
     return spark.range(1).select(F.posexplode(names).alias("position", "language"))
 
 
-def zero_fill(result: DataFrame, value: str, languages: Sequence[str] = TRACKED) -> DataFrame:
-    """One row per tracked language, zero where a result has none.
+def tracked_lookup(
+    result: DataFrame, values: Sequence[str], languages: Sequence[str] = TRACKED
+) -> DataFrame:
+    """One row per tracked language with its values, null where a result has none.
 
-    ``result`` holds one row per language; once filtered it has at most ``len(languages)`` rows,
-    which bounds what is broadcast.
+    Grouping by language leaves at most ``len(languages)`` rows to broadcast, whatever comes in;
+    it adds no shuffle to a result that is grouped by language already.
     """
-    known = tracked_only(result, languages)
-    filled = language_table(result.sparkSession, languages).join(
-        F.broadcast(known), "language", "left"
+    known = tracked_only(result, languages).groupBy("language").agg(
+        *(F.max(value).alias(value) for value in values)
     )
+    table = language_table(result.sparkSession, languages)
+    return table.join(F.broadcast(known), "language", "left")
+
+
+def zero_fill(result: DataFrame, value: str, languages: Sequence[str] = TRACKED) -> DataFrame:
+    """One row per tracked language, zero where a result has none."""
+    filled = tracked_lookup(result, [value], languages)
     return filled.select("position", "language", F.coalesce(value, F.lit(0)).alias(value))

@@ -20,12 +20,19 @@ from repotide.sinks.tables import (
 )
 from repotide.streaming import state
 from repotide.streaming.accept import accept
-from repotide.streaming.app import start_repo_analytics
-from repotide.streaming.queries import finish, start, to_table
+from repotide.streaming.app import RepoAnalytics
+from repotide.streaming.queries import BatchFunction, finish, start, to_table
 
 
-def _replay(stream: DataFrame, on_batch, root: str, mode: str = "update") -> None:
-    finish(start(stream, on_batch, f"{root}/checkpoint", mode))
+def _state_partitions(spark: SparkSession) -> int | None:
+    """On one machine a state store per core is enough; a cluster has its own setting."""
+    context = spark.sparkContext
+    return context.defaultParallelism if context.master.startswith("local") else None
+
+
+def _replay(stream: DataFrame, on_batch: BatchFunction, root: str, mode: str = "update") -> None:
+    partitions = _state_partitions(stream.sparkSession)
+    finish(start(stream, on_batch, f"{root}/checkpoint", mode, state_partitions=partitions))
 
 
 def _running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +136,7 @@ def stream_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repos(spark, sf_dir, streaming=True).withColumn(
         "pushed_at", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("seq"))
     )
-    finish(start_repo_analytics(rows, f"{root}/out", f"{root}/checkpoint", every_seconds=None))
+    _replay(rows, RepoAnalytics(f"{root}/out"), root, "append")
 
     def panel(name: str, item, value: str) -> DataFrame:
         latest = latest_batch(spark, f"{root}/out/{name}", DASHBOARD[name])

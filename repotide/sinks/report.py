@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from repotide.fixed import TRACKED
 from repotide.functions.numbers import ratio_or_zero
-from repotide.operators.metrics import language_table
-from repotide.operators.filters import tracked_only
+from repotide.operators.metrics import tracked_lookup
 
 
 def run_report(
@@ -22,21 +21,15 @@ def run_report(
     and ``stars`` per language, ``lists`` the word lists. First the run window, then
     ``language:count:average``, then ``language:(word,n),...``, in the order of ``languages``.
     """
-    spark = totals.sparkSession
     first = window.select(F.lit(1).alias("line_no"), F.concat_ws(":", "started", "ended").alias("line"))
 
-    def lookup(result: DataFrame) -> DataFrame:
-        return language_table(spark, languages).join(
-            F.broadcast(tracked_only(result, languages)), "language", "left"
-        )
-
     count = F.coalesce("count", F.lit(0))
     average = ratio_or_zero(F.col("stars"), F.col("count"))
-    numbers = lookup(totals).select(
+    numbers = tracked_lookup(totals, ["count", "stars"], languages).select(
         (F.col("position") + 2).alias("line_no"),
         F.concat_ws(":", "language", count.cast("string"), average.cast("string")).alias("line"),
     )
-    words = lookup(lists).select(
+    words = tracked_lookup(lists, ["words"], languages).select(
         (F.col("position") + 2 + len(languages)).alias("line_no"),
         F.concat_ws(":", "language", F.coalesce("words", F.lit(""))).alias("line"),
     )

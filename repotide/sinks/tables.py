@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 COUNTS, RECENTS, STARS, TOP = "dash_counts", "dash_recents", "dash_stars", "dash_top10"
 
+# Most rows of a result that may be gathered in one place.
+SHORT_RESULT = 10_000
+
 DASHBOARD = {
     COUNTS: "lang STRING, count BIGINT",
     RECENTS: "batch_time TIMESTAMP, Language STRING, Recents BIGINT",
@@ -67,19 +70,22 @@ def describe(table: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "name STRING, type STRING, nullable BOOLEAN")
 
 
-def as_columns(table: DataFrame, *order: str) -> DataFrame:
+def as_columns(table: DataFrame, *order: str, limit: int = SHORT_RESULT) -> DataFrame:
     """One row holding each column as an array, all in the same order.
 
-    For short results only: a dashboard panel, a top list.
+    For short results such as a dashboard panel; a longer one fails rather than being cut, and
+    never gathers more than ``limit`` rows.
     """
     entry = F.struct(*order, *(name for name in table.columns if name not in order))
     rows = F.sort_array(F.collect_list(entry))
-    return table.agg(rows.alias("rows")).select(
-        *(F.col(f"rows.{name}").alias(name) for name in table.columns)
+    too_long = F.raise_error(F.lit(f"more than {limit} rows; write the result as a table instead"))
+    gathered = table.limit(limit + 1).agg(
+        F.when(F.count("*") <= limit, rows).otherwise(too_long).alias("rows")
     )
+    return gathered.select(*(F.col(f"rows.{name}").alias(name) for name in table.columns))
 
 
-def to_dict(table: DataFrame, limit: int = 10_000) -> dict[str, list]:
+def to_dict(table: DataFrame, limit: int = SHORT_RESULT) -> dict[str, list]:
     """A short result as ``{column: [values]}`` on the driver; a longer one is refused."""
     rows = table.limit(limit + 1).collect()
     if len(rows) > limit:

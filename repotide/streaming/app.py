@@ -7,7 +7,7 @@ repository once per batch, whether or not it was seen before).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from repotide.fixed import BATCH_SECONDS, RECENT_SECONDS, TOP_WORDS
+from repotide.fixed import BATCH_SECONDS, RECENT_SECONDS, TOP_WORDS, TRACKED
 from repotide.operators.metrics import average_stars, recent_counts, star_totals, word_counts
-from repotide.operators.ranking import top_words
+from repotide.operators.ranking import ranked_words, top_words, word_lists
 from repotide.sinks import tables
 from repotide.sinks.console import show_batch
+from repotide.sinks.report import run_report
 from repotide.sinks.tables import read_batch, write_batch
 from repotide.streaming.accept import new_rows
 from repotide.streaming.queries import start
@@ -142,6 +143,23 @@ def start_repo_analytics(
     )
 
 
+def run_report_of(
+    spark: SparkSession,
+    out: str,
+    started: int,
+    ended: int,
+    languages: Sequence[str] = TRACKED,
+) -> DataFrame:
+    """The report of a run from the tables it left; times are epoch seconds."""
+    window = spark.range(1).select(F.lit(started).alias("started"), F.lit(ended).alias("ended"))
+    totals = tables.latest_batch(spark, f"{out}/totals", TOTALS)
+    top = tables.latest_batch(spark, f"{out}/{tables.TOP}", tables.DASHBOARD[tables.TOP])
+    counts = top.select(
+        F.col("Language").alias("language"), F.col("Word").alias("word"), F.col("Freq").alias("freq")
+    )
+    return run_report(window, totals, word_lists(ranked_words(counts)), languages)
+
+
 def latest_dashboard(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """The newest snapshot of each dashboard table; recents come with their whole history."""
     result = {

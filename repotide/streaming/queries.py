@@ -38,8 +38,8 @@ def start(
 
     ``every_seconds`` sets the batch interval; without it the query works through what is there
     and ends. State lives in RocksDB, outside the heap, with changes logged to the checkpoint.
-    The number of state partitions is frozen in the checkpoint, so it defaults to the cores of
-    the whole application rather than to the session's shuffle setting.
+    The first start freezes the number of state partitions in the checkpoint:
+    ``state_partitions``, or else the session's shuffle partitions, must suit the whole cluster.
     """
     spark = stream.sparkSession
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
@@ -50,7 +50,8 @@ def start(
         spark,
         spark__sql__streaming__stateStore__providerClass=ROCKSDB,
         spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
-        spark__sql__shuffle__partitions=state_partitions or spark.sparkContext.defaultParallelism,
+        spark__sql__shuffle__partitions=state_partitions
+        or spark.conf.get("spark.sql.shuffle.partitions"),
     ):
         return writer.foreachBatch(adaptive(on_batch)).trigger(**trigger).start()
 

@@ -102,3 +102,9 @@ def test_printed_batches(spark, capsys):
     out = capsys.readouterr().out
     assert "totals | batch 2024-03-01 10:00:00 | epoch 1709287200" in out
     assert console.WAITING in out and "batch 7" in out and "only showing top 2 rows" in out
+
+
+def test_a_long_result_is_not_cut_into_columns(spark):
+    with pytest.raises(Exception, match="more than 5 rows"):
+        tables.as_columns(spark.range(6), "id", limit=5).collect()
+    assert tables.as_columns(spark.range(5), "id", limit=5).first().id == [0, 1, 2, 3, 4]

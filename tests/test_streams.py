@@ -13,7 +13,13 @@ from repotide.session import ROCKSDB, run_dir, settings, shared_dir
 from repotide.sinks import tables
 from repotide.streaming import state
 from repotide.streaming.accept import accept, new_rows
-from repotide.streaming.app import RepoAnalytics, latest_dashboard, start_repo_analytics
+from repotide.streaming.app import (
+    RepoAnalytics,
+    latest_dashboard,
+    run_report_of,
+    start_repo_analytics,
+)
+from repotide.streaming.labels import start_bucket_analytics, start_number_analytics
 from repotide.streaming.queries import finish, start, to_table
 
 REPOS = (
@@ -340,3 +346,44 @@ def test_adaptive_execution_is_on_inside_a_batch(spark, folder):
 
     finish(start(stream(spark, f"{folder}/in"), look, f"{folder}/c", "append"))
     assert seen == ["true", True]
+
+
+# Smaller programs --------------------------------------------------------------------------------------------
+
+
+def test_number_program(spark, folder, capsys):
+    rows = [(NOON + timedelta(seconds=i), i * 3) for i in range(60)]
+    arrive(spark, f"{folder}/in", rows, 3, "ts TIMESTAMP, value BIGINT")
+    queries = start_number_analytics(
+        stream(spark, f"{folder}/in", "ts TIMESTAMP, value BIGINT"), f"{folder}/out", f"{folder}/c", None
+    )
+    for query in queries:
+        finish(query)
+    running = tables.latest_batch(spark, f"{folder}/out/running", "isMultipleOf9 STRING, count BIGINT")
+    assert rows_of(running) == [("No", 40), ("Yes", 20)]
+    windows = tables.read_batches(spark, f"{folder}/out/windows", "start TIMESTAMP, isMultipleOf9 STRING, count BIGINT")
+    newest = ranking.newest_by_key(windows, ["start", "isMultipleOf9"], "batch_id")
+    assert rows_of(newest.groupBy("start").agg(F.sum("count")).select("sum(count)")) == [(20,)] * 3
+    assert "isMultipleOf9" in capsys.readouterr().out
+
+
+def test_bucket_program(spark, folder):
+    now = datetime.now(timezone.utc)
+    rows = [("python", now), ("JAVA", now - timedelta(days=1)), ("Go", now), (None, now - timedelta(days=1))]
+    arrive(spark, f"{folder}/in", rows, 2, "language STRING, pushed_at TIMESTAMP")
+    queries = start_bucket_analytics(
+        stream(spark, f"{folder}/in", "language STRING, pushed_at TIMESTAMP"), f"{folder}/out", f"{folder}/c", None
+    )
+    for query in queries:
+        finish(query)
+    buckets = tables.latest_batch(spark, f"{folder}/out/buckets", "lang STRING, count BIGINT")
+    assert rows_of(buckets) == [("C", 2), ("Java", 1), ("Python", 1)]
+    ages = tables.read_batches(spark, f"{folder}/out/ages", "label STRING, count BIGINT")
+    assert rows_of(ages.groupBy("label").agg(F.sum("count"))) == [("old", 2), ("recent", 2)]
+
+
+def test_report_of_a_run(spark, folder):
+    app = RepoAnalytics(folder, clock=clock)
+    app(batch_of(spark, [(0, 1, "C", NOON, 4, "b a a"), (1, 2, "C", NOON, 1, None)]), 0)
+    lines = run_report_of(spark, folder, 10, 20, ["C", "Go"]).orderBy("line_no")
+    assert [r.line for r in lines.collect()] == ["10:20", "C:2:2.5", "Go:0:0.0", "C:(a,2),(b,1)", "Go:"]
