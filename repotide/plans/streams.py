@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from repotide.functions.times import batch_end
 from repotide.operators import metrics, ranking
+from repotide.operators.dedup import newest_pushes
 from repotide.plans.batch import BATCH_SECONDS
 from repotide.plans.tables import numbers, pushes, repos
 from repotide.session import run_dir
@@ -78,20 +79,22 @@ def stream_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State holds the newest push per repository and batch, so a batch may be spread over any
-    number of micro-batches."""
+    """Each micro-batch writes the newest push per repository and batch it holds.
+
+    Reading takes the newest of those, so a batch may be spread over any number of micro-batches
+    and no state is kept.
+    """
     root = run_dir(spark, "recent")
     rows = pushes(spark, sf_dir, streaming=True).withColumn(
         "batch_time", batch_end(F.col("pushed_at"), BATCH_SECONDS)
     )
-    newest = rows.groupBy("batch_time", "language", "id").agg(F.max("pushed_at").alias("pushed_at"))
-    _replay(newest, to_table(f"{root}/out"), root)
+    newest = to_table(f"{root}/out", lambda batch: newest_pushes(batch, ["batch_time"]))
+    _replay(rows, newest, root, "append")
     written = read_batches(
         spark,
         f"{root}/out",
         "batch_time TIMESTAMP_NTZ, language STRING, id BIGINT, pushed_at TIMESTAMP_NTZ",
     )
-    # Counting takes the newest push of each repository, which also settles repeated updates.
     counts = metrics.recent_counts(written, ["batch_time"], F.col("batch_time"))
     return counts.select(
         "batch_time", F.col("language").alias("Language"), F.col("recents").alias("Recents")

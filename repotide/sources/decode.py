@@ -1,11 +1,13 @@
 """Line decoders. Each one splits its input into good rows and rejected lines.
 
 Everything here is a projection or a filter over built-in expressions, so the same function
-serves batch and streaming input and adds no shuffle.
+serves batch and streaming input and adds no shuffle. ``keep`` names further columns of the input
+that go along with the rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -25,32 +27,28 @@ class Decoded(NamedTuple):
     rejects: DataFrame
 
 
-def _parse(lines: DataFrame, parsed: Column, name: str) -> DataFrame:
-    """The lines with their parsed form, parsed once.
+def _parse(lines: DataFrame, parsed: Column, name: str, keep: Sequence[str]) -> DataFrame:
+    """The lines with their parsed form, parsed once, and the columns to ``keep``.
 
     A filter on the output of a generator cannot be moved below it. Without the generator Catalyst
     would copy the parsing expression into the filter and parse every line again there.
     """
-    return lines.select("value", F.explode(F.array(parsed)).alias(name))
+    return lines.select("value", *keep, F.explode(F.array(parsed)).alias(name))
 
 
-def _split(parsed: DataFrame, good: Column, rows: list[Column]) -> Decoded:
-    return Decoded(
-        parsed.where(good).select(*rows),
-        parsed.where(~F.coalesce(good, F.lit(False))).select("value"),
-    )
+def _split(parsed: DataFrame, good: Column, rows: Sequence[Column | str]) -> Decoded:
+    good = F.coalesce(good, F.lit(False))
+    return Decoded(parsed.where(good).select(*rows), parsed.where(~good).select("value"))
 
 
-def decode_json(lines: DataFrame, schema: str = REPO_JSON) -> Decoded:
+def decode_json(lines: DataFrame, schema: str = REPO_JSON, keep: Sequence[str] = ()) -> Decoded:
     """One object per line. Malformed lines and lines of the wrong shape are rejected."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     record = F.from_json("value", f"{schema}, {CORRUPT} STRING", options)
-    parsed = _parse(lines, record, "r")
+    parsed = _parse(lines, record, "r", keep)
     good = F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull()
-    return Decoded(
-        parsed.where(good).select("r.*").drop(CORRUPT),
-        parsed.where(~good).select("value"),
-    )
+    rows, rejects = _split(parsed, good, ["r.*", *keep])
+    return Decoded(rows.drop(CORRUPT), rejects)
 
 
 def repo_rows(decoded: DataFrame) -> DataFrame:
@@ -63,20 +61,20 @@ def _repo_columns(name: Column, pushed: Column, stars: Column, text: Column, lan
     return [value.alias(field) for value, field in zip(values, TEXT_FIELDS)]
 
 
-def decode_tsv(lines: DataFrame) -> Decoded:
+def decode_tsv(lines: DataFrame, keep: Sequence[str] = ()) -> Decoded:
     """Five tab-separated fields per line; any other number of fields is rejected."""
-    parsed = _parse(lines, F.split("value", "\t"), "f")
+    parsed = _parse(lines, F.split("value", "\t"), "f", keep)
     field = [F.try_element_at("f", F.lit(i + 1)) for i in range(len(TEXT_FIELDS))]
-    return _split(parsed, F.size("f") == len(TEXT_FIELDS), _repo_columns(*field))
+    return _split(parsed, F.size("f") == len(TEXT_FIELDS), [*_repo_columns(*field), *keep])
 
 
-def decode_integers(lines: DataFrame) -> Decoded:
+def decode_integers(lines: DataFrame, keep: Sequence[str] = ()) -> Decoded:
     """One whole number per line, column ``value``; other lines are rejected."""
-    parsed = lines.select("value", text_to_integer(F.col("value")).alias("n"))
-    return _split(parsed, F.col("n").isNotNull(), [F.col("n").alias("value")])
+    parsed = lines.select("value", *keep, text_to_integer(F.col("value")).alias("n"))
+    return _split(parsed, F.col("n").isNotNull(), [F.col("n").alias("value"), *keep])
 
 
-def decode_capture(lines: DataFrame) -> Decoded:
+def decode_capture(lines: DataFrame, keep: Sequence[str] = ()) -> Decoded:
     """Five unquoted comma-separated fields, where the fourth may hold commas itself.
 
     The first three fields are cut off the front and the last one off the back, so the line is
@@ -85,7 +83,7 @@ def decode_capture(lines: DataFrame) -> Decoded:
     """
     lines = lines.where(~F.col("value").rlike(BANNER))
     rest = F.try_element_at("f", F.lit(4))
-    cut = _parse(lines, F.split("value", ",", 4), "f").withColumn(
+    cut = _parse(lines, F.split("value", ",", 4), "f", keep).withColumn(
         "last", F.substring_index(rest, ",", -1)
     )
     text = F.substring(rest, F.lit(1), F.length(rest) - F.length("last") - 1)
@@ -94,13 +92,13 @@ def decode_capture(lines: DataFrame) -> Decoded:
         missing_to_null(text),
         missing_to_null(F.col("last")),
     )
-    return _split(cut, (F.size("f") == 4) & rest.contains(","), columns)
+    return _split(cut, (F.size("f") == 4) & rest.contains(","), [*columns, *keep])
 
 
-def unnest_envelopes(bodies: DataFrame) -> DataFrame:
+def unnest_envelopes(bodies: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per repository of each search response; missing or null ``items`` give none."""
     items = F.from_json("value", ENVELOPE)["items"]
-    return bodies.select(F.explode(items).alias("item")).select("item.*")
+    return bodies.select(F.explode(items).alias("item"), *keep).select("item.*", *keep)
 
 
 def repo_words(repos: DataFrame) -> DataFrame:
