@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repotide.fixed import RAISE_B, TRACKED
+from repotide.fixed import POLL_SECONDS, RAISE_B, TRACKED
 from repotide.functions.numbers import is_odd
 from repotide.functions.text import spread_characters
+from repotide.functions.times import batch_end
 
 
 def with_language(repos: DataFrame) -> DataFrame:
@@ -29,6 +30,11 @@ def odd_only(rows: DataFrame, column: str) -> DataFrame:
     return rows.where(is_odd(F.col(column)))
 
 
+def in_polls(rows: DataFrame, time: str, seconds: int = POLL_SECONDS) -> DataFrame:
+    """Rows with the poll round they arrive in, as the column ``poll``."""
+    return rows.withColumn("poll", batch_end(F.col(time), seconds))
+
+
 def raise_b(table: DataFrame, by: int = RAISE_B) -> DataFrame:
     return table.select("A", (F.col("B") + by).alias("B"))
 

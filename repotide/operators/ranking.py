@@ -18,10 +18,13 @@ def ranked_words(counts: DataFrame, n: int = TOP_WORDS) -> DataFrame:
     return top_rows(counts, ["language"], [F.desc("freq"), F.col("word")], n)
 
 
+def as_shown(ranked: DataFrame) -> DataFrame:
+    """Ranked words under the column names of the dashboard."""
+    return ranked.select(*(F.col(name).alias(name.title()) for name in ("language", "word", "freq")))
+
+
 def top_words(counts: DataFrame, n: int = TOP_WORDS) -> DataFrame:
-    return ranked_words(counts, n).select(
-        F.col("language").alias("Language"), F.col("word").alias("Word"), F.col("freq").alias("Freq")
-    )
+    return as_shown(ranked_words(counts, n))
 
 
 def word_lists(ranked: DataFrame) -> DataFrame:

@@ -69,7 +69,7 @@ def word_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def columns_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = as_columns(repo_totals(spark, sf_dir), "lang")
-    return columns.select(F.concat_ws(",", "lang").alias("lang"), F.concat_ws(",", "count").alias("count"))
+    return columns.select(*(F.concat_ws(",", name).alias(name) for name in columns.columns))
 
 
 # Totals, stars, duplicates ------------------------------------------------------------------
@@ -152,7 +152,7 @@ def age_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def poll_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    polls = pushes(spark, sf_dir).withColumn("poll", batch_end(F.col("pushed_at"), DAY_SECONDS))
+    polls = filters.in_polls(pushes(spark, sf_dir), "pushed_at", DAY_SECONDS)
     return dedup.latest_page(polls, "poll").select("poll", "language", "id", "pushed_at", "rank")
 
 
@@ -163,12 +163,12 @@ def batch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Numbers ----------------------------------------------------------------------------------------
+# Numbers --------------------------------------------------------------------------------------
 
 
 def nine_multiples(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = metrics.divisible_counts(numbers(spark, sf_dir))
-    name = register(counts, "results")
+    name = register(counts, "number_counts")
     return spark.sql(f"SELECT isMultipleOf9, count FROM {name} ORDER BY count")
 
 
@@ -177,7 +177,7 @@ def nine_tumbling_20s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.divisible_counts(rows, batch_start(F.col("ts"), 20).alias("window_start"))
 
 
-# Table tour ---------------------------------------------------------------------------------------
+# Table tour -----------------------------------------------------------------------------------
 
 
 def digits_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,18 +221,20 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("A").agg(F.count("*").alias("n"), F.sum("B").alias("sum_b"))
 
 
-# Report ---------------------------------------------------------------------------------------------
+# Report ---------------------------------------------------------------------------------------
 
 
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("pushed_at"))
-    window = pushes(spark, sf_dir).agg(F.min(seconds).alias("started"), F.max(seconds).alias("ended"))
-    totals = metrics.star_totals(distinct_repos(spark, sf_dir))
-    rows = filters.with_language(repos(spark, sf_dir))
-    counts = metrics.word_counts(dedup.first_seen_wide(rows, ["id"], "seq"))
-    lists = ranking.word_lists(
-        ranking.ranked_words(filters.tracked_only(counts, TRACKED))
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    seconds = F.timestamp_diff("SECOND", start, F.col("pushed_at"))
+    window = pushes(spark, sf_dir).agg(
+        F.min(seconds).alias("started"), F.max(seconds).alias("ended")
     )
+    # Totals and words pick their rows with the same winners, which Spark then computes once.
+    once = dedup.first_seen_wide(filters.with_language(repos(spark, sf_dir)), ["id"], "seq")
+    totals = metrics.star_totals(once)
+    counts = metrics.word_counts(once)
+    lists = ranking.word_lists(ranking.ranked_words(filters.tracked_only(counts, TRACKED)))
     return report_lines(window, totals, lists, TRACKED)
 
 

@@ -11,30 +11,20 @@ from repotide.operators.filters import with_language
 from repotide.plans.tables import table
 from repotide.sources import decode
 
-EVENT_SECONDS = 60
-
-
-def _instant(number):
-    """A made push time: one minute per row from 2024 on."""
-    return F.timestamp_seconds(F.lit(1_704_067_200) + number * EVENT_SECONDS)
-
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as repositories with a name and a push time."""
+    """Documents as repositories with a name and a push time, one minute apart from 2024 on."""
+    pushed_at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id") * 60)
     return table(spark, sf_dir, "documents").select(
         "doc_id",
         F.concat_ws("/", "source", "doc_id").alias("full_name"),
-        utc_text(_instant(F.col("doc_id"))).alias("pushed_at"),
+        utc_text(pushed_at).alias("pushed_at"),
         F.col("n_chars").alias("stargazers_count"),
         F.col("text").alias("description"),
         F.col("lang").alias("language"),
     )
 
 
-def _n_words(array: str):
-    return F.size(array).alias("n_words")
-
-
 def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(F.col("props").alias("value"))
     rows = decode.decode_json(events, "k BIGINT").rows
@@ -48,7 +38,7 @@ def repo_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "full_name",
         epoch_seconds(F.col("pushed_at")).alias("pushed_epoch"),
         "stargazers_count",
-        _n_words("description"),
+        F.size("description").alias("n_words"),
         "language",
     )
 

@@ -61,9 +61,7 @@ def stream_top10_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = metrics.word_counts(repos(spark, sf_dir, streaming=True))
     _replay(counts, state.keep_top_words(f"{root}/out"), root)
     top = latest_batch(spark, f"{root}/out", state.RANKED)
-    return top.select(
-        F.col("language").alias("Language"), F.col("word").alias("Word"), F.col("freq").alias("Freq")
-    )
+    return ranking.as_shown(top)
 
 
 def stream_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +72,8 @@ def stream_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
         root,
         "append",
     )
-    rows = read_batches(spark, f"{root}/out", "seq BIGINT, language STRING, stargazers_count BIGINT")
+    schema = "seq BIGINT, language STRING, stargazers_count BIGINT"
+    rows = read_batches(spark, f"{root}/out", schema)
     return rows.select(F.col("seq").alias("doc_id"), "language", "stargazers_count")
 
 

@@ -17,13 +17,18 @@ from repotide.session import get_session  # noqa: E402
 from repotide.sinks.report import write_report  # noqa: E402
 from repotide.sources import feeds  # noqa: E402
 from repotide.streaming.app import run_report_of, start_repo_analytics  # noqa: E402
-from repotide.streaming.labels import start_bucket_analytics, start_number_analytics  # noqa: E402
+from repotide.streaming.labels import (  # noqa: E402
+    start_bucket_analytics,
+    start_number_analytics,
+)
 
 FORMS = {"json": feeds.json_feed, "envelope": feeds.envelope_feed, "tsv": feeds.tsv_feed}
 
 
 def parser() -> argparse.ArgumentParser:
-    top = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
+    top = argparse.ArgumentParser(
+        description=__doc__, formatter_class=argparse.RawTextHelpFormatter
+    )
     programs = top.add_subparsers(dest="program", required=True)
     for name, seconds in (
         ("repos", BATCH_SECONDS),
@@ -37,7 +42,8 @@ def parser() -> argparse.ArgumentParser:
         program.add_argument("--every", type=int, default=seconds, help="batch interval in seconds")
         program.add_argument("--once", action="store_true", help="work off what is there and end")
         if name != "numbers":
-            program.add_argument("--form", choices=FORMS, default="json" if name == "repos" else "tsv")
+            usual = "json" if name == "repos" else "tsv"
+            program.add_argument("--form", choices=FORMS, default=usual)
         if name == "repos":
             program.add_argument("--languages", nargs="+", choices=LANGUAGES, default=TRACKED)
     report = programs.add_parser("report")

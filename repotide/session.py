@@ -14,6 +14,23 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 _local_folders: dict[str, str] = {}
 
 
+# Options any session may change while it runs.
+OPTIONS = {
+    # Every instant is UTC.
+    "spark.sql.session.timeZone": "UTC",
+    # Lets adaptive execution swap a sort-merge join for a hash join once it has seen that every
+    # build partition is this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set the options the queries rely on, on a session made elsewhere."""
+    for name, value in OPTIONS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def get_session(app: str = "repotide", master: str | None = None, **conf: object) -> SparkSession:
     """A session with adaptive execution, UTC and the UI switched off.
 
@@ -25,12 +42,9 @@ def get_session(app: str = "repotide", master: str | None = None, **conf: object
     settings = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Lets AQE swap a sort-merge join for a hash join once it has seen
-        # that every build partition is this small.
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+        **OPTIONS,
         **{name.replace("__", "."): str(value) for name, value in conf.items()},
     }
     for name, value in settings.items():
@@ -49,7 +63,9 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="run-"))
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="run-")
+    return _local_folders[context.applicationId]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame
 
 from repotide.fixed import PREVIEW_ROWS
 
-WAITING = "Waiting for data..."
+NOTHING = "(no rows in this batch)"
 
 
 def show_batch(label: str, batch_time: datetime, rows: DataFrame) -> None:
-    print(f"== {label} | batch {batch_time:%Y-%m-%d %H:%M:%S} | epoch {batch_time.timestamp():.0f} ==")
+    when = f"batch {batch_time:%Y-%m-%d %H:%M:%S} | epoch {batch_time.timestamp():.0f}"
+    print(f"== {label} | {when} ==")
     if rows.isEmpty():
-        print(WAITING)
+        print(NOTHING)
     else:
         rows.show(truncate=False)
 

@@ -21,7 +21,9 @@ def run_report(
     and ``stars`` per language, ``lists`` the word lists. First the run window, then
     ``language:count:average``, then ``language:(word,n),...``, in the order of ``languages``.
     """
-    first = window.select(F.lit(1).alias("line_no"), F.concat_ws(":", "started", "ended").alias("line"))
+    first = window.select(
+        F.lit(1).alias("line_no"), F.concat_ws(":", "started", "ended").alias("line")
+    )
 
     count = F.coalesce("count", F.lit(0))
     average = ratio_or_zero(F.col("stars"), F.col("count"))

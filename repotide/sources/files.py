@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotide.fixed import NUMBER_MAX, TABLE_BOUND, TABLE_ROWS
@@ -60,7 +60,10 @@ def random_table(
 
     The seed and the fixed partitions of the range make a recomputed task draw the same values.
     """
-    draw = lambda number: F.floor(F.rand(seed + number) * bound).cast("int")
+
+    def draw(number: int) -> Column:
+        return F.floor(F.rand(seed + number) * bound).cast("int")
+
     return spark.range(rows).select(draw(0).alias("A"), draw(1).alias("B"))
 
 

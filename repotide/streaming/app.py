@@ -154,9 +154,7 @@ def run_report_of(
     window = spark.range(1).select(F.lit(started).alias("started"), F.lit(ended).alias("ended"))
     totals = tables.latest_batch(spark, f"{out}/totals", TOTALS)
     top = tables.latest_batch(spark, f"{out}/{tables.TOP}", tables.DASHBOARD[tables.TOP])
-    counts = top.select(
-        F.col("Language").alias("language"), F.col("Word").alias("word"), F.col("Freq").alias("freq")
-    )
+    counts = top.select(*(F.col(name).alias(name.lower()) for name in top.columns))
     return run_report(window, totals, word_lists(ranked_words(counts)), languages)
 
 

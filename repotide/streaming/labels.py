@@ -34,7 +34,7 @@ def _both(*functions: BatchFunction) -> BatchFunction:
 
 
 def _by_count(batch: DataFrame) -> DataFrame:
-    name = register(batch, "results")
+    name = register(batch, "number_counts")
     return batch.sparkSession.sql(f"SELECT isMultipleOf9, count FROM {name} ORDER BY count")
 
 
@@ -51,7 +51,8 @@ def start_number_analytics(
     also printed.
     """
     label = divisible_label(F.col("value")).alias("isMultipleOf9")
-    windows = windowed_counts(numbers.select("ts", label), "ts", "isMultipleOf9", size=window_seconds)
+    labelled = numbers.select("ts", label)
+    windows = windowed_counts(labelled, "ts", "isMultipleOf9", size=window_seconds)
     return [
         start(
             running_divisible(numbers),

@@ -56,9 +56,13 @@ def start(
         return writer.foreachBatch(adaptive(on_batch)).trigger(**trigger).start()
 
 
-def to_table(path: str, change: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> BatchFunction:
+def to_table(path: str, change: Callable[[DataFrame], DataFrame] | None = None) -> BatchFunction:
     """A batch function that writes each batch, after ``change``, to a result table."""
-    return lambda batch, batch_id: write_batch(change(batch), path, batch_id)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(change(batch) if change else batch, path, batch_id)
+
+    return write
 
 
 def finish(query: StreamingQuery) -> None:

@@ -49,7 +49,9 @@ def running_divisible(numbers: DataFrame) -> DataFrame:
     return divisible_counts(numbers)
 
 
-def distinct_rows(stream: DataFrame, keys: Sequence[str], lateness: tuple[str, str] | None = None):
+def distinct_rows(
+    stream: DataFrame, keys: Sequence[str], lateness: tuple[str, str] | None = None
+) -> DataFrame:
     """One row per key for the life of the query, kept in state as keys only.
 
     Of several rows of a key in the same micro-batch any may win; ``first_seen_updates`` and
@@ -60,7 +62,9 @@ def distinct_rows(stream: DataFrame, keys: Sequence[str], lateness: tuple[str, s
     return stream.dropDuplicates(list(keys))
 
 
-def first_seen_updates(stream: DataFrame, key: str, arrival: str, payload: Sequence[str]) -> DataFrame:
+def first_seen_updates(
+    stream: DataFrame, key: str, arrival: str, payload: Sequence[str]
+) -> DataFrame:
     """Per key the payload of its earliest row, for update mode.
 
     Rows are stamped with the batch clock, which is one value per micro-batch and is logged, so
@@ -134,7 +138,9 @@ def fold(
         for frame in frames:
             yield frame.groupby("key", sort=False)["value"].agg(combine).reset_index()
 
-    def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def step(
+        group: tuple, frames: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
         old = state.get[0] if state.exists else None
         new = update([int(v) for frame in frames for v in frame["value"]], old)
         state.update((new,))

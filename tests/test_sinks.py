@@ -101,7 +101,7 @@ def test_printed_batches(spark, capsys):
     console.preview(2)(spark.range(5), 7)
     out = capsys.readouterr().out
     assert "totals | batch 2024-03-01 10:00:00 | epoch 1709287200" in out
-    assert console.WAITING in out and "batch 7" in out and "only showing top 2 rows" in out
+    assert console.NOTHING in out and "batch 7" in out and "only showing top 2 rows" in out
 
 
 def test_a_long_result_is_not_cut_into_columns(spark):

@@ -11,6 +11,7 @@ from conftest import plan_of, rows_of
 from repotide.operators import dedup, filters, metrics, ranking
 from repotide.session import ROCKSDB, run_dir, settings, shared_dir
 from repotide.sinks import tables
+from repotide.sinks.console import NOTHING
 from repotide.streaming import state
 from repotide.streaming.accept import accept, new_rows
 from repotide.streaming.app import (
@@ -300,7 +301,7 @@ def test_application_with_an_empty_batch(spark, folder, capsys):
     rows = made_rows(60)
     app = RepoAnalytics(folder, clock=clock, quiet=False)
     app(batch_of(spark, []), 0)
-    assert capsys.readouterr().out.count("Waiting for data...") == 4
+    assert capsys.readouterr().out.count(NOTHING) == 4
     app(batch_of(spark, rows), 1)
     app(batch_of(spark, []), 2)
     assert shown_dashboard(spark, folder) == expected_dashboard(spark, rows)
