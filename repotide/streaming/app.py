@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from repotide.fixed import BATCH_SECONDS, RECENT_SECONDS, TOP_WORDS, TRACKED
+from repotide.operators.filters import with_language
 from repotide.operators.metrics import average_stars, recent_counts, star_totals, word_counts
 from repotide.operators.ranking import ranked_words, top_words, word_lists
 from repotide.sinks import tables
@@ -27,6 +28,7 @@ from repotide.streaming.queries import start
 
 TOTALS = "language STRING, count BIGINT, stars BIGINT"
 WORDS = "language STRING, word STRING, freq BIGINT"
+BATCH_TIME = "batch_time"
 
 
 def utc_now(batch_id: int) -> datetime:
@@ -37,9 +39,10 @@ def utc_now(batch_id: int) -> datetime:
 class RepoAnalytics:
     """Batch function of the application, plus where its tables are.
 
-    Input columns: ``id``, ``seq`` (unique arrival), ``language``, ``pushed_at``,
-    ``stargazers_count`` and ``description``. Running results are tables, so an application that
-    is started again on the same checkpoint goes on from its last finished batch.
+    Input columns: ``id``, ``seq`` (arrival), ``language``, ``pushed_at``, ``stargazers_count`` and
+    ``description``. Recency is taken at the column ``batch_time`` where there is one, else at
+    ``clock``. Running results are tables, so an application that is started again on the same
+    checkpoint goes on from its last finished batch.
     """
 
     out: str
@@ -84,13 +87,13 @@ class RepoAnalytics:
         self.publish(tables.TOP, top_words(words, self.top), batch_id, batch_time)
 
     def recents(self, batch: DataFrame, batch_time: datetime) -> DataFrame:
-        now = F.lit(batch_time)
+        if BATCH_TIME not in batch.columns:
+            batch = batch.withColumn(BATCH_TIME, F.lit(batch_time))
         counts = recent_counts(
-            batch.where("language IS NOT NULL"), [], now, self.recent_seconds
+            with_language(batch), [BATCH_TIME], F.col(BATCH_TIME), self.recent_seconds
         )
         return counts.select(
-            now.alias("batch_time"), F.col("language").alias("Language"),
-            F.col("recents").alias("Recents"),
+            BATCH_TIME, F.col("language").alias("Language"), F.col("recents").alias("Recents")
         )
 
     def add_totals(self, fresh: DataFrame, batch_id: int) -> DataFrame:
@@ -137,7 +140,13 @@ def start_repo_analytics(
     every_seconds: int | None = BATCH_SECONDS,
     **options: object,
 ) -> StreamingQuery:
-    """Run the application on a stream of repositories; ``options`` go to ``RepoAnalytics``."""
+    """Run the application on a stream of repositories; ``options`` go to ``RepoAnalytics``.
+
+    Without a ``clock`` of its own a batch gets the time logged for it in the checkpoint, so that
+    a batch that runs again after a failure counts the same pushes as recent.
+    """
+    if "clock" not in options:
+        repos = repos.withColumn(BATCH_TIME, F.current_timestamp())
     return start(
         repos, RepoAnalytics(out, **options), checkpoint, mode="append", every_seconds=every_seconds
     )
