@@ -102,21 +102,19 @@ def add_new_rows(path: str) -> BatchFunction:
 def keep_top_words(path: str, n: int = TOP_WORDS) -> BatchFunction:
     """Keep the top words per language from running word counts in update mode.
 
-    Counts only grow, so a word of the new top list either changed in this batch or was on the
-    list before. Ranking the changed words with the old list gives the exact list without
-    ranking the whole vocabulary again.
+    Counts only grow, so a word of the new top list is either among the top of the words changed
+    in this batch or was on the list before. Merging these two short lists gives the exact list
+    without ranking or shuffling the whole vocabulary again. The old entry of a changed word can
+    stay in: the words that keep its new count off the list are ahead of its old count too.
     """
 
     def rank(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.select("language", "word", "freq")
+        top = ranked_words(batch.select("language", "word", "freq"), n)
         if batch_id > 0:
             before = read_batch(batch.sparkSession, path, batch_id - 1, RANKED)
-            counts = (
-                counts.unionByName(before.drop("rank"))
-                .groupBy("language", "word")
-                .agg(F.max("freq").alias("freq"))
-            )
-        write_batch(ranked_words(counts, n), path, batch_id)
+            merged = top.unionByName(before).groupBy("language", "word")
+            top = ranked_words(merged.agg(F.max("freq").alias("freq")), n)
+        write_batch(top, path, batch_id)
 
     return rank
 

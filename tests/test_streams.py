@@ -112,6 +112,21 @@ def test_top_words_from_changed_words_only(spark, folder):
         assert rows_of(top.select(*expected.columns)) == rows_of(expected)
 
 
+def test_top_words_with_many_changes_per_batch(spark, folder):
+    """Words rise, fall behind and tie over many batches; the list is checked after each."""
+    counts = Counter()
+    on_batch = state.keep_top_words(folder, n=3)
+    for batch_id in range(6):
+        new = [("C", f"w{(i * i + batch_id * 3) % 11}") for i in range(2 + batch_id * 3)]
+        counts.update(new)
+        changed = [(*key, counts[key]) for key in set(new)]
+        on_batch(spark.createDataFrame(changed, "language STRING, word STRING, freq BIGINT"), batch_id)
+        best = sorted(counts.items(), key=lambda item: (-item[1], item[0]))[:3]
+        expected = [(word, freq, rank) for rank, ((_, word), freq) in enumerate(best, 1)]
+        got = tables.read_batch(spark, folder, batch_id, state.RANKED)
+        assert rows_of(got, "word", "freq", "rank") == sorted(expected, key=repr)
+
+
 def test_running_counts_show_every_key_in_every_batch(spark, folder):
     rows = [(v,) for v in (9, 18, 27, 36, 1, 2, 3, 4)]
 
@@ -344,6 +359,34 @@ def test_folders_come_from_the_session(spark):
     assert run_dir(spark, "x").startswith(shared_dir(spark))
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda name, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
+def test_rows_are_combined_before_the_state(spark, folder):
+    """Both the first-seen state and the word state get partial results, not raw rows."""
+    arrive(spark, f"{folder}/in", made_rows(20), 1)
+    source = filters.with_language(stream(spark, f"{folder}/in"))
+    for i, rows in enumerate(
+        (state.first_seen_updates(source, "id", "seq", ["language"]), metrics.word_counts(source))
+    ):
+        query = start(rows, to_table(f"{folder}/out{i}"), f"{folder}/c{i}")
+        finish(query)
+        plan = query._jsq.explainInternal(False)
+        before_exchange = plan[plan.rindex("Exchange hashpartitioning"):]
+        assert "partial_" in before_exchange
+
+
 def test_settings_are_put_back(spark):
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name)
