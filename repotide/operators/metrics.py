@@ -30,6 +30,13 @@ def star_totals(repos: DataFrame) -> DataFrame:
     )
 
 
+def add_totals(totals: DataFrame, more: DataFrame) -> DataFrame:
+    """Two results of ``star_totals`` over different repositories as one."""
+    return totals.unionByName(more).groupBy("language").agg(
+        F.sum("count").alias("count"), F.sum("stars").alias("stars")
+    )
+
+
 def average_stars(totals: DataFrame) -> DataFrame:
     """Star sum over number of repositories, from the output of ``star_totals``."""
     return totals.select(
@@ -61,6 +68,11 @@ def word_counts(repos: DataFrame, fold_case: bool = False, keep_empty: bool = Fa
     )
 
 
+def add_word_counts(counts: DataFrame, more: DataFrame) -> DataFrame:
+    """Two results of ``word_counts`` over different repositories as one."""
+    return counts.unionByName(more).groupBy("language", "word").agg(F.sum("freq").alias("freq"))
+
+
 def recent_counts(
     pushes: DataFrame, batch: Sequence[str], now: Column, seconds: int = RECENT_SECONDS
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repotide.functions.text import missing_to_null
 from repotide.functions.times import parse_utc
 from repotide.schemas import REPO_JSON
 from repotide.sources import decode
@@ -53,9 +54,9 @@ def envelope_feed(spark: SparkSession, path: str, files_per_batch: int = 1000) -
 
 
 def tsv_feed(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Repositories as five tab-separated fields."""
+    """Repositories as five tab-separated fields with the raw description."""
     rows = decode.decode_tsv(_arriving(spark, path, files_per_batch), keep=["arrived"]).rows
-    return _feed(rows, "full_name", F.col("description"))
+    return _feed(rows, "full_name", missing_to_null(F.col("description")))
 
 
 def number_feed(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:

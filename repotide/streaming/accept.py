@@ -19,10 +19,11 @@ from repotide.streaming.queries import BatchFunction
 def new_rows(batch: DataFrame, batch_id: int, path: str, key: str, arrival: str) -> DataFrame:
     """The earliest row of each key that no batch before ``batch_id`` has accepted.
 
-    The accepted table is cut down to the keys of this batch first; both joins leave it to
+    A row without a key or a language is never accepted. The accepted table is cut down to the keys of this batch first; both joins leave it to
     adaptive execution to broadcast a side once its size is known.
     """
-    firsts = first_seen(with_language(batch), [key], arrival)
+    rows = with_language(batch).where(F.col(key).isNotNull())
+    firsts = first_seen(rows, [key], arrival)
     if batch_id == 0:
         return firsts
     key_type = batch.schema[key].dataType.simpleString()

@@ -17,7 +17,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from repotide.fixed import BATCH_SECONDS, RECENT_SECONDS, TOP_WORDS, TRACKED
 from repotide.operators.filters import with_language
-from repotide.operators.metrics import average_stars, recent_counts, star_totals, word_counts
+from repotide.operators.metrics import (
+    add_totals,
+    add_word_counts,
+    average_stars,
+    recent_counts,
+    star_totals,
+    word_counts,
+)
 from repotide.operators.ranking import ranked_words, top_words, word_lists
 from repotide.sinks import tables
 from repotide.sinks.console import show_batch
@@ -25,8 +32,8 @@ from repotide.sinks.report import run_report
 from repotide.sinks.tables import read_batch, write_batch
 from repotide.streaming.accept import new_rows
 from repotide.streaming.queries import start
+from repotide.streaming.state import RUNNING_TOTALS
 
-TOTALS = "language STRING, count BIGINT, stars BIGINT"
 WORDS = "language STRING, word STRING, freq BIGINT"
 BATCH_TIME = "batch_time"
 
@@ -67,9 +74,8 @@ class RepoAnalytics:
         batch_time = self.clock(batch_id)
         batch.persist()
         try:
-            self.publish(
-                tables.RECENTS, self.recents(batch, batch_time), batch_id, batch_time
-            )
+            recents = self.recents(batch, batch_time)
+            self.publish(tables.RECENTS, recents, batch_id, batch_time)
             accepted = self.path("accepted")
             fresh = new_rows(batch, batch_id, accepted, "id", "seq").select(
                 "id", "language", "stargazers_count", "description"
@@ -79,11 +85,11 @@ class RepoAnalytics:
             fresh = read_batch(batch.sparkSession, accepted, batch_id, _ddl(fresh))
         finally:
             batch.unpersist()
-        totals = self.add_totals(fresh, batch_id)
+        totals = self.running_totals(fresh, batch_id)
         counts = totals.select(F.col("language").alias("lang"), "count")
         self.publish(tables.COUNTS, counts, batch_id, batch_time)
         self.publish(tables.STARS, average_stars(totals), batch_id, batch_time)
-        words = self.add_words(fresh, batch_id)
+        words = self.running_words(fresh, batch_id)
         self.publish(tables.TOP, top_words(words, self.top), batch_id, batch_time)
 
     def recents(self, batch: DataFrame, batch_time: datetime) -> DataFrame:
@@ -96,20 +102,16 @@ class RepoAnalytics:
             BATCH_TIME, F.col("language").alias("Language"), F.col("recents").alias("Recents")
         )
 
-    def add_totals(self, fresh: DataFrame, batch_id: int) -> DataFrame:
+    def running_totals(self, fresh: DataFrame, batch_id: int) -> DataFrame:
         """Running repositories and stars: last snapshot plus this batch, a row per language."""
         spark, path = fresh.sparkSession, self.path("totals")
         totals = star_totals(fresh)
         if batch_id > 0:
-            totals = (
-                totals.unionByName(read_batch(spark, path, batch_id - 1, TOTALS))
-                .groupBy("language")
-                .agg(F.sum("count").alias("count"), F.sum("stars").alias("stars"))
-            )
+            totals = add_totals(totals, read_batch(spark, path, batch_id - 1, RUNNING_TOTALS))
         write_batch(totals, path, batch_id)
-        return read_batch(spark, path, batch_id, TOTALS)
+        return read_batch(spark, path, batch_id, RUNNING_TOTALS)
 
-    def add_words(self, fresh: DataFrame, batch_id: int) -> DataFrame:
+    def running_words(self, fresh: DataFrame, batch_id: int) -> DataFrame:
         """Running word counts in two tables used in turn.
 
         A batch reads the table of the batch before and overwrites the other one, so a repeated
@@ -119,11 +121,7 @@ class RepoAnalytics:
         words = word_counts(fresh)
         if batch_id > 0:
             before = spark.read.schema(WORDS).parquet(f"{path}/turn={(batch_id - 1) % 2}")
-            words = (
-                words.unionByName(before)
-                .groupBy("language", "word")
-                .agg(F.sum("freq").alias("freq"))
-            )
+            words = add_word_counts(words, before)
         target = f"{path}/turn={batch_id % 2}"
         words.write.mode("overwrite").parquet(target)
         return spark.read.schema(WORDS).parquet(target)
@@ -161,7 +159,7 @@ def run_report_of(
 ) -> DataFrame:
     """The report of a run from the tables it left; times are epoch seconds."""
     window = spark.range(1).select(F.lit(started).alias("started"), F.lit(ended).alias("ended"))
-    totals = tables.latest_batch(spark, f"{out}/totals", TOTALS)
+    totals = tables.latest_batch(spark, f"{out}/totals", RUNNING_TOTALS)
     top = tables.latest_batch(spark, f"{out}/{tables.TOP}", tables.DASHBOARD[tables.TOP])
     counts = top.select(*(F.col(name).alias(name.lower()) for name in top.columns))
     return run_report(window, totals, word_lists(ranked_words(counts)), languages)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from repotide.fixed import NUMBER_WINDOW_SECONDS, TOP_WORDS
-from repotide.operators.metrics import count_by, divisible_counts, star_totals
+from repotide.operators.metrics import add_totals, count_by, divisible_counts, star_totals
 from repotide.operators.ranking import ranked_words
 from repotide.sinks.tables import read_batch, write_batch
 from repotide.streaming.queries import BatchFunction
@@ -89,11 +89,7 @@ def add_new_rows(path: str) -> BatchFunction:
         totals = star_totals(batch.where("is_new").select("row.*"))
         if batch_id > 0:
             before = read_batch(batch.sparkSession, path, batch_id - 1, RUNNING_TOTALS)
-            totals = (
-                totals.unionByName(before)
-                .groupBy("language")
-                .agg(F.sum("count").alias("count"), F.sum("stars").alias("stars"))
-            )
+            totals = add_totals(totals, before)
         write_batch(totals, path, batch_id)
 
     return add

@@ -235,6 +235,13 @@ def test_accepted_rows_equal_the_batch_result(spark, folder):
     )
 
 
+def test_rows_without_a_key_or_language_are_not_accepted(spark, folder):
+    rows = [(0, None, "C", NOON, 1, "x"), (1, 1, None, NOON, 1, "x"), (2, 1, "C", NOON, 1, "x")]
+    for batch_id in (0, 1):
+        accept(folder, "id", "seq")(batch_of(spark, rows), batch_id)
+    assert rows_of(tables.read_batches(spark, folder, REPOS), "seq", "batch_id") == [(2, 0)]
+
+
 def test_a_repeated_batch_is_accepted_once(spark, folder):
     rows = made_rows(120)
     on_batch = accept(folder, "id", "seq")
