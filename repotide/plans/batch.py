@@ -27,13 +27,13 @@ BATCH_SECONDS = 300
 DAY_SECONDS = 86_400
 
 
-def batched(spark: SparkSession, sf_dir: str, seconds: int = BATCH_SECONDS) -> DataFrame:
+def batched(rows: DataFrame, seconds: int = BATCH_SECONDS) -> DataFrame:
     """Pushes with the end of the batch they fall into."""
-    return pushes(spark, sf_dir).withColumn("batch_time", batch_end(F.col("pushed_at"), seconds))
+    return rows.withColumn("batch_time", batch_end(F.col("pushed_at"), seconds))
 
 
-def recents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.recent_counts(batched(spark, sf_dir), ["batch_time"], F.col("batch_time"))
+def recents(rows: DataFrame) -> DataFrame:
+    return metrics.recent_counts(batched(rows), ["batch_time"], F.col("batch_time"))
 
 
 def distinct_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,13 +122,14 @@ def union_of_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recents(spark, sf_dir).select(
+    return recents(pushes(spark, sf_dir)).select(
         "batch_time", F.col("language").alias("Language"), F.col("recents").alias("Recents")
     )
 
 
 def recent_last10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = ranking.last_values(recents(spark, sf_dir), "language", "batch_time")
+    rows = ranking.last_batches(pushes(spark, sf_dir), "pushed_at", BATCH_SECONDS, "language")
+    last = ranking.last_values(recents(rows), "language", "batch_time")
     return last.select(
         "batch_time", F.col("language").alias("Language"), F.col("recents").alias("Recents"), "rank"
     )
@@ -142,13 +143,12 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dashboard_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ranking.last_batches(pushes(spark, sf_dir), "pushed_at", BATCH_SECONDS)
-    batches = rows.withColumn("batch_time", batch_end(F.col("pushed_at"), BATCH_SECONDS))
-    counts = metrics.recent_counts(batches, ["batch_time"], F.col("batch_time"))
-    return dashboard.recents_panel(counts, TRACKED_TYPES)
+    return dashboard.recents_panel(recents(rows), TRACKED_TYPES)
 
 
 def age_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.age_counts(batched(spark, sf_dir), ["batch_time"], F.col("batch_time"))
+    rows = batched(pushes(spark, sf_dir))
+    return metrics.age_counts(rows, ["batch_time"], F.col("batch_time"))
 
 
 def poll_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +157,7 @@ def poll_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = batched(spark, sf_dir, DAY_SECONDS)
+    rows = batched(pushes(spark, sf_dir), DAY_SECONDS)
     return dedup.first_per_batch(rows, "batch_time", ["id"], "seq").select(
         "batch_time", "id", "seq", "language"
     )

@@ -10,7 +10,7 @@ from repotide.operators import metrics, ranking
 from repotide.operators.dedup import newest_pushes
 from repotide.plans.batch import BATCH_SECONDS
 from repotide.plans.tables import numbers, pushes, repos
-from repotide.session import run_dir
+from repotide.session import in_one_process, run_dir
 from repotide.sinks.tables import (
     DASHBOARD,
     COUNTS,
@@ -26,9 +26,8 @@ from repotide.streaming.queries import BatchFunction, finish, start, to_table
 
 
 def _state_partitions(spark: SparkSession) -> int | None:
-    """On one machine a state store per core is enough; a cluster has its own setting."""
-    context = spark.sparkContext
-    return context.defaultParallelism if context.master.startswith("local") else None
+    """In one process a state store per core is enough; a cluster has its own setting."""
+    return spark.sparkContext.defaultParallelism if in_one_process(spark) else None
 
 
 def _replay(stream: DataFrame, on_batch: BatchFunction, root: str, mode: str = "update") -> None:

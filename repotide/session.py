@@ -13,7 +13,6 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 _local_folders: dict[str, str] = {}
 
-
 # Options any session may change while it runs.
 OPTIONS = {
     # Every instant is UTC.
@@ -23,11 +22,24 @@ OPTIONS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
+# Shuffle partitions per core to start from on a cluster; adaptive execution merges small ones.
+PARTITIONS_PER_CORE = 3
+PARTITIONS = "spark.sql.shuffle.partitions"
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def in_one_process(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Set the options the queries rely on, on a session made elsewhere."""
     for name, value in OPTIONS.items():
         spark.conf.set(name, value)
+    if not in_one_process(spark) and spark.conf.get(FIRST_PARTITIONS, None) is None:
+        wanted = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+        spark.conf.set(FIRST_PARTITIONS, max(wanted, int(spark.conf.get(PARTITIONS))))
     return spark
 
 
@@ -49,7 +61,7 @@ def get_session(app: str = "repotide", master: str | None = None, **conf: object
     }
     for name, value in settings.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -60,12 +72,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not in_one_process(spark):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="run-")
-    return _local_folders[context.applicationId]
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="run-")
+    return _local_folders[application]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

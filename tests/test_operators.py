@@ -195,7 +195,10 @@ def test_latest_batches(spark):
         [(datetime(2024, 3, 1, 10, m), m) for m in (0, 1, 2, 10, 11, 30)], "t TIMESTAMP, m INT"
     )
     assert rows_of(ranking.latest_rows(rows, "t", 300), "m") == [(30,)]
-    assert rows_of(ranking.last_batches(rows, "t", 300, 2), "m") == [(10,), (11,), (30,)]
+    assert rows_of(ranking.last_batches(rows, "t", 300, n=2), "m") == [(10,), (11,), (30,)]
+    keyed = rows.withColumn("k", F.when(F.col("m") < 2, "a").otherwise("b"))
+    assert ranking.last_batches(keyed, "t", 300, "k", 1).count() == 6
+    assert rows_of(ranking.last_batches(keyed.where("k = 'b'"), "t", 300, "k", 1), "m") == [(30,)]
     assert ranking.latest_rows(rows.where("m > 99"), "t", 300).count() == 0
 
 
