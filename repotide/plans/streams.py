@@ -67,7 +67,7 @@ def stream_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "accepted")
     _replay(
         repos(spark, sf_dir, streaming=True).drop("description"),
-        accept(f"{root}/out", "id", "seq"),
+        accept(f"{root}/out", "id", "seq", unique=True),
         root,
         "append",
     )
@@ -137,7 +137,7 @@ def stream_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repos(spark, sf_dir, streaming=True).withColumn(
         "pushed_at", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("seq"))
     )
-    _replay(rows, RepoAnalytics(f"{root}/out"), root, "append")
+    _replay(rows, RepoAnalytics(f"{root}/out", unique_arrival=True), root, "append")
 
     def panel(name: str, item, value: str) -> DataFrame:
         latest = latest_batch(spark, f"{root}/out/{name}", DASHBOARD[name])

@@ -16,30 +16,36 @@ from repotide.sinks.tables import read_batches, write_batch
 from repotide.streaming.queries import BatchFunction
 
 
-def new_rows(batch: DataFrame, batch_id: int, path: str, key: str, arrival: str) -> DataFrame:
+def new_rows(
+    batch: DataFrame, batch_id: int, path: str, key: str, arrival: str, unique: bool = False
+) -> DataFrame:
     """The earliest row of each key that no batch before ``batch_id`` has accepted.
 
     A row without a key or a language is never accepted. The accepted table is cut down to the keys of this batch first; both joins leave it to
     adaptive execution to broadcast a side once its size is known.
+
+    ``unique`` promises that no two rows share key and arrival. The winners are then found on
+    these two columns alone and picked from the batch by both, so long texts are never sorted and
+    copies of one key spread over all tasks.
     """
     rows = with_language(batch).where(F.col(key).isNotNull())
-    firsts = first_seen(rows, [key], arrival)
-    if batch_id == 0:
-        return firsts
-    key_type = batch.schema[key].dataType.simpleString()
-    accepted = read_batches(batch.sparkSession, path, f"{key} {key_type}")
-    earlier = accepted.where(F.col("batch_id") < batch_id).select(key)
-    known = earlier.join(firsts.select(key), key, "left_semi")
-    return firsts.join(known, key, "left_anti")
+    winners = first_seen(rows.select(key, arrival) if unique else rows, [key], arrival)
+    if batch_id > 0:
+        key_type = batch.schema[key].dataType.simpleString()
+        accepted = read_batches(batch.sparkSession, path, f"{key} {key_type}")
+        earlier = accepted.where(F.col("batch_id") < batch_id).select(key)
+        known = earlier.join(winners.select(key), key, "left_semi")
+        winners = winners.join(known, key, "left_anti")
+    return rows.join(winners, [key, arrival], "left_semi") if unique else winners
 
 
-def accept(path: str, key: str, arrival: str) -> BatchFunction:
+def accept(path: str, key: str, arrival: str, unique: bool = False) -> BatchFunction:
     """A batch function that appends the new rows of each batch to the accepted table."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_batch(new_rows(batch, batch_id, path, key, arrival), path, batch_id)
+            write_batch(new_rows(batch, batch_id, path, key, arrival, unique), path, batch_id)
         finally:
             batch.unpersist()
 

@@ -47,8 +47,8 @@ class RepoAnalytics:
     """Batch function of the application, plus where its tables are.
 
     Input columns: ``id``, ``seq`` (arrival), ``language``, ``pushed_at``, ``stargazers_count`` and
-    ``description``. Recency is taken at the column ``batch_time`` where there is one, else at
-    ``clock``. Running results are tables, so an application that is started again on the same
+    ``description``; say so with ``unique_arrival`` if no two rows share id and arrival. Recency is
+    taken at the column ``batch_time`` where there is one, else at ``clock``. Running results are tables, so an application that is started again on the same
     checkpoint goes on from its last finished batch.
     """
 
@@ -56,6 +56,7 @@ class RepoAnalytics:
     clock: Callable[[int], datetime] = utc_now
     recent_seconds: int = RECENT_SECONDS
     top: int = TOP_WORDS
+    unique_arrival: bool = False
     quiet: bool = True
 
     def path(self, name: str) -> str:
@@ -77,7 +78,7 @@ class RepoAnalytics:
             recents = self.recents(batch, batch_time)
             self.publish(tables.RECENTS, recents, batch_id, batch_time)
             accepted = self.path("accepted")
-            fresh = new_rows(batch, batch_id, accepted, "id", "seq").select(
+            fresh = new_rows(batch, batch_id, accepted, "id", "seq", self.unique_arrival).select(
                 "id", "language", "stargazers_count", "description"
             )
             write_batch(fresh, accepted, batch_id)

@@ -220,13 +220,13 @@ def test_fold_with_own_functions(spark, folder, how):
 # Exact intake ------------------------------------------------------------------------------------------
 
 
-def test_accepted_rows_equal_the_batch_result(spark, folder):
+@pytest.mark.parametrize("unique", [False, True])
+def test_accepted_rows_equal_the_batch_result(spark, folder, unique):
     rows = made_rows()
 
     def run():
-        return start(
-            stream(spark, f"{folder}/in"), accept(f"{folder}/out", "id", "seq"), f"{folder}/c", "append"
-        )
+        on_batch = accept(f"{folder}/out", "id", "seq", unique)
+        return start(stream(spark, f"{folder}/in"), on_batch, f"{folder}/c", "append")
 
     in_two_runs(spark, folder, rows, run)
     out = tables.read_batches(spark, f"{folder}/out", "seq BIGINT, stargazers_count BIGINT, language STRING")
@@ -235,6 +235,12 @@ def test_accepted_rows_equal_the_batch_result(spark, folder):
     )
 
 
+def test_equal_rows_are_accepted_once(spark, folder):
+    rows = [(0, 1, "C", NOON, 1, "x")] * 3
+    accept(folder, "id", "seq")(batch_of(spark, rows), 0)
+    assert tables.read_batches(spark, folder, REPOS).count() == 1
+
+
 def test_rows_without_a_key_or_language_are_not_accepted(spark, folder):
     rows = [(0, None, "C", NOON, 1, "x"), (1, 1, None, NOON, 1, "x"), (2, 1, "C", NOON, 1, "x")]
     for batch_id in (0, 1):
@@ -310,9 +316,10 @@ def test_application_over_a_restart(spark, folder):
     assert rows_of(recents, "batch_id", "Language", "Recents") == sorted(expected, key=repr)
 
 
-def test_application_repeats_a_batch_without_change(spark, folder, capsys):
+@pytest.mark.parametrize("unique", [False, True])
+def test_application_repeats_a_batch_without_change(spark, folder, capsys, unique):
     rows = made_rows(180)
-    app = RepoAnalytics(folder, clock=clock, quiet=False)
+    app = RepoAnalytics(folder, clock=clock, quiet=False, unique_arrival=unique)
     for batch_id, part in ((0, rows[:60]), (1, rows[60:120]), (1, rows[60:120]), (2, rows[120:]), (2, rows[120:])):
         app(batch_of(spark, part), batch_id)
     assert shown_dashboard(spark, folder) == expected_dashboard(spark, rows)
