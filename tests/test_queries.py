@@ -8,10 +8,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 from conftest import plan_of
+from repotide.plans import catalog
 
 SF_DIR = entry_points.SMALL
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = {name: query for name, query in entry_points.queries().items() if name in catalog.QUERIES}
+ORACLE = catalog.ORACLE
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 
