@@ -27,7 +27,7 @@ VIRTUAL = 32
 RANKS = 1024
 SLACK = 0.01
 # Largest unit as a part of a shard's mean load.
-PIECE = 0.002
+PIECE = 0.01
 # Rows that are numbered in one task.
 SLOT_ROWS = 100_000
 
