@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
-from repotide.llm import mixing, sharding
+from repotide.llm import (
+    decontaminate,
+    embeddings,
+    language,
+    licences,
+    minhash,
+    mixing,
+    sharding,
+    suffixes,
+    toxicity,
+)
 
 QUERIES = {
+    "op1_rp_forest_links": embeddings.op1_rp_forest_links,
+    "op3_word_backoff_langid": language.op3_word_backoff_langid,
+    "op4_simhash_decontamination": decontaminate.op4_simhash_decontamination,
     "op5_pareto_mix": mixing.op5_pareto_mix,
+    "op6_probminhash_dedup": minhash.op6_probminhash_dedup,
+    "op7_clause_toxicity": toxicity.op7_clause_toxicity,
+    "op8_licence_dice": licences.op8_licence_dice,
+    "op9_suffix_merge_dedup": suffixes.op9_suffix_merge_dedup,
     "op10_ring_shards": sharding.op10_ring_shards,
 }
 
 ORACLE = {
+    "op1_rp_forest_links": embeddings.SQL,
     "op5_pareto_mix": mixing.SQL,
+    "op6_probminhash_dedup": minhash.SQL,
+    "op8_licence_dice": licences.SQL,
 }
