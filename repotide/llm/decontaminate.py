@@ -29,12 +29,16 @@ RADIUS = BLOCKS * (VARIANT_BITS + 1) - 1
 
 
 def with_runs(rows: DataFrame, *kept: str) -> DataFrame:
-    """``runs``: hashes of the runs of five words of ``text``, in order; none for shorter texts."""
+    """``runs``: hashes of the runs of five words of ``text``, in order; null for shorter texts.
+
+    Explode them by an outer generator and filter afterwards: a filter on their number would be
+    pushed into the lambda's input, which would then be computed again for every run.
+    """
     hashed = rows.select(*kept, word_hashes(F.col("text")).alias("h"))
-    hashed = hashed.where(F.size("h") >= SHINGLE_WORDS)
     places = F.sequence(F.lit(0), F.size("h") - SHINGLE_WORDS)
     run = lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(SHINGLE_WORDS)])
-    return hashed.select(*kept, F.transform(places, run).alias("runs"))
+    runs = F.when(F.size("h") >= SHINGLE_WORDS, F.transform(places, run))
+    return hashed.select(*kept, runs.alias("runs"))
 
 
 def simhash(rows: DataFrame, *key: str) -> DataFrame:
@@ -83,7 +87,7 @@ def item_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     wanted = hinted(stored(wanted, "wanted"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text")
     runs = with_runs(rows, "doc_id", "text_id")
-    placed = runs.select("doc_id", "text_id", F.posexplode("runs").alias("start", "run"))
+    placed = runs.select("doc_id", "text_id", F.posexplode_outer("runs").alias("start", "run"))
     hits = placed.join(wanted, "run").groupBy("doc_id", "text_id")
     hits = stored(hits.agg(F.collect_set(F.struct("start", "size")).alias("hits")), "hits")
     found = hinted(hits.select(F.col("doc_id").alias("of"), F.col("text_id").alias("text_of"), "hits"), 100_000)
@@ -99,7 +103,7 @@ def item_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
             ),
         )
     )
-    windows = own.select("doc_id", "text_id", "runs", F.explode(starts).alias("w"))
+    windows = own.select("doc_id", "text_id", "runs", F.explode_outer(starts).alias("w"))
     return windows.select(
         "doc_id", "text_id", "w.start", "w.size", F.slice("runs", F.col("w.start") + 1, F.col("w.size")).alias("runs")
     )
@@ -110,11 +114,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
     doc_id, item_id, ``similarity`` of the best window, where it starts and how long it is in words,
     and the number of such windows. Null, empty and short texts (under five words) match nothing, on
-    either side. Items with one number are one item of several texts. Repeated rows are one document. Other columns are
-    ignored; empty tables give no rows.
+    either side. Items with one number are one item of several texts, rows with one document number
+    one document. Other columns are ignored; empty tables give no rows.
     """
     items = with_runs(benchmark.select("item_id", F.xxhash64("text").alias("item_text"), "text"), "item_id", "item_text")
-    items = stored(items.dropDuplicates(["item_id", "item_text"]), "items")
+    items = stored(items.dropDuplicates(["item_id", "item_text"]), "items").where("runs is not null")
     windows = stored(item_windows(docs, items), "windows")
     key = ["doc_id", "text_id", "start", "size"]
     marked = stored(simhash(windows, *key), "fingerprints")

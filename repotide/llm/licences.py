@@ -68,17 +68,18 @@ def licence_lines(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
     """
     spark = docs.sparkSession
     listed = template_bigrams(spark, templates)
-    sizes = [len(r["w"]) - 1 for r in spark.createDataFrame([(t[1],) for t in templates], "text STRING").select(words(F.col("text")).alias("w")).collect()]
-    sizes = [n for n in sizes if n > 0] or [0]
+    sizes = [r["size"] for r in listed.select("size").distinct().collect()] or [0]
     most = (2 - threshold) / threshold
     # The row number tells repeated rows apart; it is used within one shuffle only.
-    lines = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    row = F.monotonically_increasing_id().alias("row")
+    lines = docs.select("doc_id", row, F.posexplode_outer(F.split("text", "\n")).alias("line", "text"))
     lines = lines.select("doc_id", "row", "line", words(F.col("text")).alias("w"))
     n = F.size("w") - 1
-    lines = lines.where((n >= min(sizes) / most) & (n <= max(sizes) * most) & (n > 0))
+    fits = (n >= min(sizes) / most) & (n <= max(sizes) * most) & (n > 0)
     places = F.sequence(F.lit(0), n - 1)
-    bigrams = F.transform(places, lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1)))
-    pairs = lines.select("doc_id", "row", "line", n.alias("n"), F.explode(bigrams).alias("bigram"))
+    bigrams = F.when(fits, F.transform(places, lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1))))
+    # Outer: a filter on the number of bigrams would make the words be computed again for each.
+    pairs = lines.select("doc_id", "row", "line", n.alias("n"), F.explode_outer(bigrams).alias("bigram"))
     fits = (F.col("n") >= F.col("size") / most) & (F.col("n") <= F.col("size") * most)
     met = pairs.join(F.broadcast(listed), "bigram").where(fits)
     own = ["doc_id", "row", "line", "n", "template", "licence", "size"]
