@@ -1,20 +1,69 @@
-"""The corpus pipeline: documents through language ID, near-dedup, decontamination, mixing, sharding."""
+"""The corpus pipeline: documents through language ID, near-dedup, decontamination, mixing, sharding.
+
+Each stage is written and read again before the next. All but the last return the columns of
+``documents``, whatever else their input holds. Stages learn and decide from their own input alone.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from repotide.llm import decontaminate, language, minhash, mixing, sharding
+from repotide.llm.common import held_out, picked, read, stored
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# A language less likely than this is no decision.
+LEAST_SCORE = 0.5
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; without a letter, or undecided, they go."""
+    docs = docs.select(COLUMNS)
+    model = language.learn(docs.where(~held_out(F.col("doc_id"))))
+    told = language.identify(docs, model)
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return told.where(known).select(COLUMNS)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one of the lowest number."""
+    docs = docs.select(COLUMNS)
+    found = minhash.near_duplicates(docs)
+    chosen = found.select("doc_id", "text_id", F.col("kept").cast("int").alias("copies"))
+    return picked(docs, chosen, F.max)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.clean(docs.select(COLUMNS), read(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources by their weights, documents repeated up to three times."""
+    return mixing.mixed_documents(docs.select(COLUMNS))
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document of the mix goes."""
+    return sharding.documents_to_shards(docs)
 
-from repotide.llm.common import read, stored
 
-STAGES: list = []
+STAGES = [
+    ("language", language_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("sharding", sharding_stage),
+]
 
-# Several stages can't be said in SQL; tests hold the run against a plain version instead.
+# Learning and signatures can't be said in SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents after all stages, each written and read again."""
+    """The shards of the documents that all stages keep."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        docs = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

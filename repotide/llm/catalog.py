@@ -9,6 +9,7 @@ from repotide.llm import (
     licences,
     minhash,
     mixing,
+    paragraphs,
     sharding,
     suffixes,
     toxicity,
@@ -16,6 +17,7 @@ from repotide.llm import (
 
 QUERIES = {
     "op1_rp_forest_links": embeddings.op1_rp_forest_links,
+    "op2_paragraph_minhash_dedup": paragraphs.op2_paragraph_minhash_dedup,
     "op3_word_backoff_langid": language.op3_word_backoff_langid,
     "op4_simhash_decontamination": decontaminate.op4_simhash_decontamination,
     "op5_pareto_mix": mixing.op5_pareto_mix,

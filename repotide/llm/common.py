@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,28 @@ def hinted(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(rows) if few else rows
 
 
+def text_key(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["text"])
+
+
+def picked(docs: DataFrame, chosen: DataFrame, total: Callable[[str], Column] = F.sum) -> DataFrame:
+    """The rows of ``docs`` as often as ``chosen`` (doc_id, text_id, copies) says.
+
+    ``chosen`` has a row for each row of ``docs``; those left out are not picked. Rows equal in number
+    and text are one document, whose copies are the ``total`` of theirs.
+    """
+    chosen = chosen.groupBy("doc_id", "text_id").agg(F.count("*").alias("__rows"), total("copies").alias("__copies"))
+    chosen = chosen.where(F.col("__copies") > 0).withColumnsRenamed({"doc_id": "__id", "text_id": "__text"})
+    chosen = stored(chosen, "picked")
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (text_key(docs) == F.col("__text"))
+    rows = docs.join(hinted(chosen), same)
+    if not chosen.where(F.col("__rows") > 1).isEmpty():
+        again = rows.where(F.col("__rows") > 1).dropDuplicates(["__id", "__text"])
+        rows = rows.where(F.col("__rows") == 1).unionByName(again)
+    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    return rows.drop("__id", "__text", "__rows", "__copies", "__copy")
+
+
 def words(text: Column) -> Column:
     """Lower-case words; none for null."""
     found = F.array_remove(F.split(F.lower(text), SEPARATORS), "")

@@ -82,17 +82,17 @@ def numbered(runs: Column | str) -> Column:
 
 
 def item_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, text_id, start, size, runs): the windows of the documents that need comparing."""
+    """(text_id, start, size, runs): the windows that need comparing, once for equal texts."""
     wanted = items.select(F.explode("runs").alias("run"), F.size("runs").alias("size")).distinct()
     wanted = hinted(stored(wanted, "wanted"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text")
     runs = with_runs(rows, "doc_id", "text_id")
     placed = runs.select("doc_id", "text_id", F.posexplode_outer("runs").alias("start", "run"))
-    hits = placed.join(wanted, "run").groupBy("doc_id", "text_id")
-    hits = stored(hits.agg(F.collect_set(F.struct("start", "size")).alias("hits")), "hits")
-    found = hinted(hits.select(F.col("doc_id").alias("of"), F.col("text_id").alias("text_of"), "hits"), 100_000)
-    own = rows.join(found, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_id") == F.col("text_of")))
-    own = with_runs(own, "doc_id", "text_id", "hits")
+    hits = placed.join(wanted, "run").groupBy("text_id")
+    hits = hits.agg(F.collect_set(F.struct("start", "size")).alias("hits"), F.min("doc_id").alias("rep"))
+    found = hinted(stored(hits.withColumnRenamed("text_id", "of"), "hits"), 100_000)
+    own = rows.join(found, (F.col("text_id") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    own = with_runs(own, "text_id", "hits")
     last = F.size("runs")
     starts = F.array_distinct(
         F.transform(
@@ -103,24 +103,19 @@ def item_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
             ),
         )
     )
-    windows = own.select("doc_id", "text_id", "runs", F.explode_outer(starts).alias("w"))
-    return windows.select(
-        "doc_id", "text_id", "w.start", "w.size", F.slice("runs", F.col("w.start") + 1, F.col("w.size")).alias("runs")
-    )
-
+    windows = own.select("text_id", "runs", F.explode_outer(starts).alias("w"))
+    windows = windows.select("text_id", "w.start", "w.size", F.slice("runs", F.col("w.start") + 1, F.col("w.size")).alias("runs"))
+    return windows.dropDuplicates(["text_id", "start", "size"])
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document and item that a window of it is like.
 
-    doc_id, item_id, ``similarity`` of the best window, where it starts and how long it is in words,
-    and the number of such windows. Null, empty and short texts (under five words) match nothing, on
-    either side. Items with one number are one item of several texts, rows with one document number
-    one document. Other columns are ignored; empty tables give no rows.
-    """
-    items = with_runs(benchmark.select("item_id", F.xxhash64("text").alias("item_text"), "text"), "item_id", "item_text")
-    items = stored(items.dropDuplicates(["item_id", "item_text"]), "items").where("runs is not null")
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per distinct text and item that a window of it is like: text_id, item_id and what
+    ``contaminated`` has."""
+    items = benchmark.select("item_id", F.xxhash64("text").alias("item_text"), "text")
+    items = with_runs(items, "item_id", "item_text").dropDuplicates(["item_id", "item_text"])
+    items = stored(items, "items").where("runs is not null")
     windows = stored(item_windows(docs, items), "windows")
-    key = ["doc_id", "text_id", "start", "size"]
+    key = ["text_id", "start", "size"]
     marked = stored(simhash(windows, *key), "fingerprints")
     masks = F.filter(
         F.sequence(F.lit(0), F.lit((1 << BLOCK_BITS) - 1)), lambda x: F.bit_count(x) <= VARIANT_BITS
@@ -147,19 +142,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     found = candidates.withColumn("similarity", alike).where(F.col("similarity") >= similarity)
     words = (F.col("size") + SHINGLE_WORDS - 1).alias("n_words")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), words)).alias("best")
-    return (
-        found.groupBy("doc_id", "item_id")
-        .agg(best, F.count_distinct("text_id", "start", "size").alias("n_windows"))
-        .select(
-            "doc_id",
-            "item_id",
-            "best.similarity",
-            (-F.col("best.back")).alias("start_word"),
-            "best.n_words",
-            "n_windows",
-        )
+    n_windows = F.count_distinct("start", "size").alias("n_windows")
+    return found.groupBy("text_id", "item_id").agg(best, n_windows).select(
+        "text_id",
+        "item_id",
+        "best.similarity",
+        (-F.col("best.back")).alias("start_word"),
+        "best.n_words",
+        "n_windows",
     )
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per document and item that a window of it is like.
+
+    doc_id, item_id, ``similarity`` of the best window, the word where it starts, how long it is in
+    words, and the number of such windows. Null, empty and short texts (under five words) match
+    nothing, on either side. Rows equal in number and text are one document; a null number is a
+    number like any other. Items of one number are one item of several texts. Other columns are
+    ignored; empty tables give no rows.
+    """
+    found = stored(contaminated_texts(docs, benchmark, similarity), "contaminated")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_id"))
+    return rows.join(hinted(found), "text_id").distinct().drop("text_id")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The documents without those that are like an item anywhere."""
+    found = stored(contaminated_texts(docs, benchmark, similarity).select("text_id").distinct(), "contaminated")
+    found = found.withColumnRenamed("text_id", "of")
+    return docs.join(hinted(found), F.xxhash64(docs["text"]) == F.col("of"), "left_anti")
+
+
 def op4_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

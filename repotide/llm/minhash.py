@@ -36,6 +36,7 @@ from repotide.llm.common import (
     read,
     shingles,
     stored,
+    text_key,
     word_hashes,
 )
 from repotide.llm.components import components
@@ -51,7 +52,7 @@ BLOCK = 1024
 # Words handled at once within a task.
 CHUNK_WORDS = 1_000_000
 
-ROW = "doc_id BIGINT, class BINARY, n_shingles INT, signature BINARY, bands ARRAY<BIGINT>"
+ROW = "doc_id BIGINT, text_id BIGINT, class BINARY, n_shingles INT, signature BINARY, bands ARRAY<BIGINT>"
 
 
 def weighted(values: np.ndarray, offsets: np.ndarray):
@@ -126,13 +127,13 @@ def _sign(bands: int, band_rows: int):
                 keys = keys.view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(start, stop - start),
+                        *(batch.column(c).slice(start, stop - start) for c in ("doc_id", "text_id")),
                         pa.array(_classes(part, own), pa.binary()),
                         pa.array(np.diff(ends).astype(np.int32)),
                         pa.array([row.tobytes() for row in signed], pa.binary()),
                         pa.array(list(keys), pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "class", "n_shingles", "signature", "bands"],
+                    ["doc_id", "text_id", "class", "n_shingles", "signature", "bands"],
                 )
 
     return run
@@ -277,26 +278,31 @@ def near_duplicates(
     ``class_id`` is the smallest number among documents with the same words, ``cluster_id`` the
     smallest among those linked to it, over any number of links, at ``similarity`` or above;
     ``kept`` marks the document of that number. Texts without words (null, empty, only signs) are
-    like nothing and are kept, as are rows without a number, whose identifiers are null. Repeated
-    rows with one number get the same values. Other columns are ignored; no rows give no rows.
+    like nothing and are kept, as are rows without a number, whose identifiers are null. Rows equal
+    in number and text are one document and get the same values; of other rows with one number
+    the text of the lowest hash, ``text_id``, comes first. Other columns are ignored; no rows give
+    no rows.
     """
-    rows = docs.select("doc_id", word_hashes(F.col("text")).alias("hashes"))
+    rows = docs.select("doc_id", text_key(docs).alias("text_id"), word_hashes(F.col("text")).alias("hashes"))
     signed = stored(rows.mapInArrow(_sign(bands, band_rows), ROW), "signed")
     found = components(links(rows, signed, similarity, bands, band_rows, block))
-    classes = signed.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    own = F.struct("doc_id", "text_id")
+    known = signed.where("n_shingles > 0 and doc_id is not null")
+    classes = known.groupBy("class").agg(F.min(own).alias("class_first"))
     placed = classes.join(found.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.withColumn("component", F.coalesce("component", "class"))
-    lowest = placed.groupBy("component").agg(F.min("class_id").alias("cluster_id"))
-    placed = stored(placed.join(lowest, "component").select("class", "class_id", "cluster_id"), "placed")
-    out = signed.select("doc_id", "class", "n_shingles").join(hinted(placed), "class", "left")
+    lowest = placed.groupBy("component").agg(F.min("class_first").alias("first"))
+    placed = stored(placed.join(lowest, "component").select("class", "class_first", "first"), "placed")
+    out = signed.select("doc_id", "text_id", "class", "n_shingles").join(hinted(placed), "class", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    own = [F.when(alone, F.col("doc_id")).otherwise(F.col(c)).alias(c) for c in ("class_id", "cluster_id")]
-    kept = F.coalesce(alone | (F.col("doc_id") == F.col("cluster_id")), F.lit(False))
-    return out.select("doc_id", *own, "n_shingles", kept.alias("kept"))
+    ids = {"class_id": "class_first.doc_id", "cluster_id": "first.doc_id"}
+    ids = [F.when(alone, F.col("doc_id")).otherwise(F.col(c)).alias(name) for name, c in ids.items()]
+    kept = F.coalesce(alone | (own == F.col("first")), F.lit(False))
+    return out.select("doc_id", *ids, "n_shingles", kept.alias("kept"), "text_id")
 
 
 def op6_probminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"))
+    return near_duplicates(read(spark, sf_dir, "documents")).drop("text_id")
 
 
 # All pairs that share a shingle, by plain grouping; slow beyond small tables.

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from repotide.llm.common import read, stored
+from repotide.llm.common import picked, read, stored, text_key
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -145,7 +145,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     to be sampled, by the root of their length, so that a mix of given words holds more of them.
     Repeated rows are separate documents; other columns are ignored.
     """
-    rows = docs.select("doc_id", "source", size_in_words(F.col("text")).alias("size"))
+    rows = docs.select(
+        "doc_id", "source", size_in_words(F.col("text")).alias("size"), text_key(docs).alias("text_id")
+    )
     rows = stored(rows, "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stored(source_targets(sizes, weights, most), "targets")
@@ -163,11 +165,17 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
         (F.col("copies") * F.col("size")).cast("bigint").alias("taken"),
         "source",
         "copies",
+        "text_id",
     )
 
 
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+    """The documents of the mix, each as often as the mix takes it."""
+    return picked(docs, mix(docs, weights, most).select("doc_id", "text_id", "copies"))
+
+
 def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read(spark, sf_dir, "documents")).drop("source", "copies")
+    return mix(read(spark, sf_dir, "documents")).drop("source", "copies", "text_id")
 
 
 SQL = """

@@ -1,0 +1,134 @@
+"""Suffix dedup against looking at every string, and the merge against sorting."""
+
+import hashlib
+import random
+
+import pytest
+
+from repotide.llm import suffixes
+
+DOCS = "doc_id BIGINT, text STRING, tid STRING, at INT"
+
+
+def brute(texts, length):
+    """Removed byte ranges per text."""
+    seen = {}
+    for d, t in enumerate(texts):
+        for i in range(len(t) - length + 1):
+            seen.setdefault(t[i : i + length], []).append((d, i))
+    covered = [[False] * len(t) for t in texts]
+    for places in seen.values():
+        if len(places) > 1:
+            for d, i in places:
+                covered[d][i : i + length] = [True] * length
+    out = []
+    for marks in covered:
+        spans, start = [], None
+        for i, m in enumerate([*marks, False]):
+            if m and start is None:
+                start = i
+            elif not m and start is not None:
+                spans.append([start, i])
+                start = None
+        out.append(spans)
+    return out
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    letters = "abcdé "
+    make = lambda n: "".join(rng.choices(letters, k=n))
+    passages = [make(n) for n in (30, 39, 40, 41, 60, 90, 200)]
+    texts = [make(rng.randrange(5, 150)) + rng.choice(passages) + make(rng.randrange(40)) + rng.choice(passages)[rng.randrange(9) :] for _ in range(60)]
+    texts += ["ab" * 70, "ab" * 40 + "c", "x" * 100, "", None, make(39), passages[4], passages[4], texts[0], texts[0], "short", "short"]
+    texts += [passages[-1][10:150], "".join(passages[2:5]), "\U0001f600" * 30]
+    return texts
+
+
+@pytest.mark.parametrize(
+    "seed, how", [(1, {}), (2, {"merge_size": 40, "run_size": 25}), (3, {"hot": 3, "merge_size": 60}), (4, {"hot": 0})]
+)
+def test_equals_every_string(spark, monkeypatch, seed, how):
+    texts = corpus(seed)
+    expected = brute([(t or "").encode() for t in texts], 40)
+    docs = spark.createDataFrame([(i, t, "x", i) for i, t in enumerate(texts)], DOCS).repartition(6)
+    found = {r["doc_id"]: r for r in suffixes.remove_repeats(docs, length=40, **how).collect()}
+    assert {i: found[i]["spans"] for i in range(len(texts))} == dict(enumerate(expected))
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        kept = bytearray(raw)
+        for start, end in reversed(expected[i]):
+            del kept[start:end]
+        row = found[i]
+        assert row["kept_sha256"] == hashlib.sha256(bytes(kept)).hexdigest()
+        assert (row["n_bytes"], row["n_removed"], row["n_spans"]) == (len(raw), len(raw) - len(kept), len(expected[i]))
+    assert sum(map(len, expected)) > 20
+
+
+def test_long_texts_in_steps(spark, monkeypatch):
+    rng = random.Random(9)
+    text = "".join(rng.choices("abcdefgh", k=5000))
+    texts = [text, "y" + text[1000:3000] + "z", text[200:230]]
+    expected = brute([t.encode() for t in texts], 40)
+    size = suffixes.Lengths(40)
+    import numpy as np
+
+    buffer = np.frombuffer("".join(texts).encode(), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    whole = suffixes.anchors(buffer, ends, size)
+    monkeypatch.setattr(suffixes, "STEP", 128)
+    assert (suffixes.anchors(buffer, ends, size) == whole).all()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    found = suffixes.remove_repeats(docs, length=40).orderBy("doc_id").collect()
+    assert [r["spans"] for r in found] == expected
+
+
+def test_repeated_rows_and_no_rows(spark):
+    rows = [(1, "q" * 50, "a", 1)] * 2 + [(None, "r" * 39 + "s" * 20, None, None), (4, "r" * 39, "b", 2)]
+    docs = spark.createDataFrame(rows, DOCS)
+    found = suffixes.remove_repeats(docs, length=40).collect()
+    assert sorted((r["doc_id"] or 0, r["n_removed"]) for r in found) == [(0, 0), (1, 50), (1, 50), (4, 0)]
+    assert suffixes.remove_repeats(docs.limit(0), length=40).collect() == []
+
+
+def test_merge_sorts_and_shares():
+    rng = random.Random(4)
+    for k in (1, 2, 3, 8, 13):
+        runs = []
+        for r in range(k):
+            own = sorted({("".join(rng.choices("ab", k=rng.randrange(1, 12)))).encode() for _ in range(rng.randrange(0, 30))})
+            runs.append([(s, b"", [(bytes(16), r)]) for s in own])
+        merged = list(suffixes.merge([suffixes.decode(suffixes.front_code(run)) for run in runs]))
+        assert [m[0] for m in merged] == sorted(s[0] for run in runs for s in run)
+        last = b""
+        for suffix, share, _, _ in merged:
+            assert share == suffixes.shared(last, suffix)
+            last = suffix
+
+
+def test_merge_skips_known_bytes(monkeypatch):
+    """Bytes that both heads share with the last output are not compared again."""
+    prefix = b"p" * 300
+    runs = [[(prefix + bytes([65 + i, 65 + r]), b"", []) for i in range(20)] for r in range(4)]
+    coded = [suffixes.decode(suffixes.front_code(run)) for run in runs]
+    known = []
+    plain = suffixes.shared
+    monkeypatch.setattr(suffixes, "shared", lambda a, b, k=0: known.append(k) or plain(a, b, k))
+    list(suffixes.merge(coded))
+    assert len([k for k in known if k < 300]) <= 4
+
+
+@pytest.mark.parametrize("n", [5, 60])
+def test_reach_equals_all_pairs(n):
+    rng = random.Random(n)
+    make = lambda k: bytes(rng.choices(b"xy", weights=[9, 1], k=k))
+    pairs = sorted({(make(rng.randrange(8, 21)), make(rng.randrange(0, 10))) for _ in range(n)})
+    share = [0] + [suffixes.shared(a[0], b[0]) for a, b in zip(pairs, pairs[1:])]
+    found = suffixes.reach([p[0] for p in pairs], share, [p[1] for p in pairs], 20)
+    for i, p in enumerate(pairs):
+        fits = [(suffixes.shared(p[1], q[1]), suffixes.shared(p[0], q[0])) for j, q in enumerate(pairs) if j != i]
+        fits = [(l, min(r, 20)) for l, r in fits if l + min(r, 20) >= 20]
+        if found[i] is None:
+            assert not fits
+        else:
+            assert found[i] == (max(l for l, _ in fits), max(r for _, r in fits))
