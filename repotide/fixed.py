@@ -41,6 +41,7 @@ DIVISOR = 9
 DIVISIBLE, NOT_DIVISIBLE = "Yes", "No"
 NUMBER_BATCH_SECONDS = 2
 NUMBER_WINDOW_SECONDS = 20
+NUMBER_LATENESS = "1 minute"
 NUMBER_MAX = 1_000_000_000
 
 # Age labels of the unsplit recency count.

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repotide.fixed import PAGE_SIZE
-from repotide.operators.filters import with_language
+from repotide.operators.filters import countable
 
-NO_LANGUAGE, DUPLICATE = "no language", "duplicate"
+NO_LANGUAGE, NO_KEY, DUPLICATE = "no language", "no key", "duplicate"
 
 
 def content_key(text: Column) -> Column:
@@ -57,14 +57,19 @@ def first_per_batch(rows: DataFrame, batch: str, keys: Sequence[str], arrival: s
     return first_seen(rows, [batch, *keys], arrival)
 
 
-def rejected_rows(repos: DataFrame, keys: Sequence[str], arrival: str) -> DataFrame:
+def missing_reason(key: str) -> Column:
+    """Why a row can't be accepted whatever came before; null if it can."""
+    return F.when(F.col("language").isNull(), NO_LANGUAGE).when(F.col(key).isNull(), NO_KEY)
+
+
+def rejected_rows(repos: DataFrame, key: str, arrival: str) -> DataFrame:
     """The rows deduplication drops, with the reason.
 
-    A row without a language never claims its key. The anti-join runs on the unique arrival, so a
+    A row without a language or a key is never accepted. The anti-join runs on the unique arrival, so a
     key with very many copies spreads over all tasks.
     """
-    winners = first_arrivals(with_language(repos), keys, arrival)
-    reason = F.when(F.col("language").isNull(), NO_LANGUAGE).otherwise(DUPLICATE)
+    winners = first_arrivals(countable(repos, key), [key], arrival)
+    reason = F.coalesce(missing_reason(key), F.lit(DUPLICATE))
     return repos.join(
         winners, F.col(arrival) == F.col("first_arrival"), "left_anti"
     ).withColumn("reason", reason)
@@ -72,7 +77,7 @@ def rejected_rows(repos: DataFrame, keys: Sequence[str], arrival: str) -> DataFr
 
 def newest_pushes(pushes: DataFrame, batch: Sequence[str]) -> DataFrame:
     """One row per repository and batch (or poll) with its newest push in there."""
-    return pushes.groupBy(*batch, "language", "id").agg(F.max("pushed_at").alias("pushed_at"))
+    return countable(pushes).groupBy(*batch, "language", "id").agg(F.max("pushed_at").alias("pushed_at"))
 
 
 def latest_page(pushes: DataFrame, poll: str, size: int = PAGE_SIZE) -> DataFrame:

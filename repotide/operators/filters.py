@@ -17,6 +17,11 @@ def with_language(repos: DataFrame) -> DataFrame:
     return repos.where(F.col("language").isNotNull())
 
 
+def countable(repos: DataFrame, key: str = "id") -> DataFrame:
+    """Rows that can stand for a repository: they have a language and a key."""
+    return with_language(repos).where(F.col(key).isNotNull())
+
+
 def with_description(repos: DataFrame) -> DataFrame:
     """Rows that can contribute words; the others still count for totals and stars."""
     return repos.where(F.col("description").isNotNull())

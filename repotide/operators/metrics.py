@@ -12,7 +12,7 @@ from repotide.functions.numbers import divisible_label, ratio_or_zero
 from repotide.functions.text import split_commas, tokens
 from repotide.functions.times import age_label, is_recent
 from repotide.operators.dedup import newest_pushes
-from repotide.operators.filters import tracked_only, with_description
+from repotide.operators.filters import tracked_only, with_description, with_language
 
 
 def count_by(rows: DataFrame, *keys: str | Column) -> DataFrame:
@@ -55,7 +55,7 @@ def average_stars_joined(counts: DataFrame, stars: DataFrame) -> DataFrame:
 
 def word_rows(repos: DataFrame, fold_case: bool = False, keep_empty: bool = False) -> DataFrame:
     """One row per language and word occurrence."""
-    rows = with_description(repos).select(
+    rows = with_description(with_language(repos)).select(
         "language", F.explode(tokens(F.col("description"), fold_case)).alias("word")
     )
     # Dropping empty words after the explode keeps the whole stage in generated code.
@@ -68,11 +68,6 @@ def word_counts(repos: DataFrame, fold_case: bool = False, keep_empty: bool = Fa
     )
 
 
-def add_word_counts(counts: DataFrame, more: DataFrame) -> DataFrame:
-    """Two results of ``word_counts`` over different repositories as one."""
-    return counts.unionByName(more).groupBy("language", "word").agg(F.sum("freq").alias("freq"))
-
-
 def recent_counts(
     pushes: DataFrame, batch: Sequence[str], now: Column, seconds: int = RECENT_SECONDS
 ) -> DataFrame:

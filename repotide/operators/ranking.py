@@ -54,17 +54,15 @@ def latest_rows(rows: DataFrame, time: str, seconds: int) -> DataFrame:
 
 
 def last_batches(
-    rows: DataFrame, time: str, seconds: int, key: str | None = None, n: int = HISTORY_LENGTH
+    rows: DataFrame, time: str, seconds: int, n: int = HISTORY_LENGTH
 ) -> DataFrame:
     """The rows since the ``n`` latest batches of ``seconds`` that hold any row.
 
-    With a ``key`` the range reaches back far enough for ``n`` batches of every key. The bound
-    comes from a narrow pass over the distinct batches and, as above, lets a scan skip the rest.
+    The bound comes from a narrow pass over the distinct batches and, as above, lets a scan skip
+    the rest.
     """
-    keys = [key] if key else []
-    starts = rows.select(*keys, batch_start(F.col(time), seconds).alias("start")).distinct()
-    newest = F.desc("start")
-    last = top_rows(starts, keys, [newest], n) if key else first_rows(starts, n, newest)
+    starts = rows.select(batch_start(F.col(time), seconds).alias("start")).distinct()
+    last = first_rows(starts, n, F.desc("start"))
     return rows.where(F.col(time) >= last.agg(F.min("start")).scalar())
 
 

@@ -39,7 +39,7 @@ def recents(rows: DataFrame) -> DataFrame:
 def distinct_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repositories once each, without their texts."""
     narrow = repos(spark, sf_dir).drop("description")
-    return dedup.first_seen(filters.with_language(narrow), ["id"], "seq")
+    return dedup.first_seen(filters.countable(narrow), ["id"], "seq")
 
 
 # Words ------------------------------------------------------------------------------------
@@ -58,7 +58,7 @@ def top10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top10_words_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = filters.with_language(repos(spark, sf_dir))
+    rows = filters.countable(repos(spark, sf_dir))
     return ranking.top_words(metrics.word_counts(dedup.first_seen_wide(rows, ["id"], "seq")))
 
 
@@ -68,7 +68,7 @@ def word_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def columns_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = as_columns(repo_totals(spark, sf_dir), "lang")
+    columns = as_columns(totals_zero_filled(spark, sf_dir), "lang")
     return columns.select(*(F.concat_ws(",", name).alias(name) for name in columns.columns))
 
 
@@ -106,7 +106,7 @@ def language_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     narrow = repos(spark, sf_dir).drop("description", "stargazers_count")
-    return dedup.rejected_rows(narrow, ["id"], "seq").select(
+    return dedup.rejected_rows(narrow, "id", "seq").select(
         F.col("seq").alias("doc_id"), "language", "reason"
     )
 
@@ -115,7 +115,9 @@ def union_of_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(
         "doc_id", F.col("lang").alias("language"), "n_chars"
     )
-    return union_feeds([documents.where(F.col("language") == name) for name in TRACKED])
+    tracked = [documents.where(F.col("language") == name) for name in TRACKED]
+    rest = ~F.col("language").isin(*TRACKED) | F.col("language").isNull()
+    return union_feeds([*tracked, documents.where(rest)])
 
 
 # Recency --------------------------------------------------------------------------------------
@@ -128,8 +130,7 @@ def recent_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_last10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ranking.last_batches(pushes(spark, sf_dir), "pushed_at", BATCH_SECONDS, "language")
-    last = ranking.last_values(recents(rows), "language", "batch_time")
+    last = ranking.last_values(recents(pushes(spark, sf_dir)), "language", "batch_time")
     return last.select(
         "batch_time", F.col("language").alias("Language"), F.col("recents").alias("Recents"), "rank"
     )
@@ -168,7 +169,7 @@ def batch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nine_multiples(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = metrics.divisible_counts(numbers(spark, sf_dir))
-    name = register(counts, "number_counts")
+    name = register(counts)
     return spark.sql(f"SELECT isMultipleOf9, count FROM {name} ORDER BY count")
 
 
@@ -205,13 +206,13 @@ def sql_filter_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_filter_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = register(table(spark, sf_dir, "part"), "part_everywhere", everywhere=True)
+    name = register(table(spark, sf_dir, "part"), everywhere=True)
     return spark.sql(f"SELECT * FROM {name} WHERE p_size < 4")
 
 
 def sql_count_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = register(table(spark, sf_dir, "part"), "part_everywhere", everywhere=True)
-    return spark.sql(f"SELECT COUNT (p_size) AS n FROM {name} WHERE p_size < 4")
+    name = register(table(spark, sf_dir, "part"), everywhere=True)
+    return spark.sql(f"SELECT COUNT(p_size) AS n FROM {name} WHERE p_size < 4")
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +232,7 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min(seconds).alias("started"), F.max(seconds).alias("ended")
     )
     # Totals and words pick their rows with the same winners, which Spark then computes once.
-    once = dedup.first_seen_wide(filters.with_language(repos(spark, sf_dir)), ["id"], "seq")
+    once = dedup.first_seen_wide(filters.countable(repos(spark, sf_dir)), ["id"], "seq")
     totals = metrics.star_totals(once)
     counts = metrics.word_counts(once)
     lists = ranking.word_lists(ranking.ranked_words(filters.tracked_only(counts, TRACKED)))

@@ -45,31 +45,43 @@ def repo_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tsv_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    lines = events.select(
-        F.concat_ws(
-            "\t", "event_id", utc_text(F.col("ts")), "user_id", "props", "event_type"
-        ).alias("value")
-    )
-    rows = decode.decode_tsv(lines).rows
-    return rows.select(
+    number = F.col("event_id")
+    time = F.when(number % 7 == 3, "soon").otherwise(utc_text(F.col("ts")))
+    stars = F.when(number % 11 == 2, "many").otherwise(F.col("user_id").cast("string"))
+    name = F.when(number % 23 == 1, "").otherwise(number.cast("string"))
+    # Some lines lose their last field, as concat_ws leaves out nulls.
+    kind = F.when(number % 29 != 4, F.col("event_type"))
+    lines = events.select(F.concat_ws("\t", name, time, stars, "props", kind).alias("value"))
+    decoded = decode.decode_tsv(lines)
+    rows = decoded.rows.select(
         F.col("full_name").cast("bigint").alias("event_id"),
         epoch_seconds(F.col("pushed_at")).alias("pushed_epoch"),
         F.col("stargazers_count").alias("user_id"),
         F.col("description").alias("props"),
         F.col("language").alias("event_type"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    field = [F.try_element_at(F.split("value", "\t"), F.lit(i)) for i in (1, 2, 3, 4, 5)]
+    return rows.unionByName(
+        decoded.rejects.select(
+            F.nullif(field[0], F.lit("")).cast("bigint").alias("event_id"),
+            F.lit(None).cast("bigint").alias("pushed_epoch"),
+            F.lit(None).cast("bigint").alias("user_id"),
+            field[3].alias("props"),
+            field[4].alias("event_type"),
+            "reason",
+        )
     )
 
 
 def int_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event gives one whole number with blanks around it and one line that is none."""
+    """Each event gives one whole number with blanks around it and one line that is none.
+
+    Both are counted in the same pass.
+    """
     events = table(spark, sf_dir, "events")
-    texts = F.array(F.format_string(" %d ", "event_id"), F.concat(F.lit("x"), "event_type"))
-    decoded = decode.decode_integers(events.select(F.explode(texts).alias("value")))
-    good = decoded.rows.agg(F.count("*").alias("n"), F.sum("value").alias("total"))
-    bad = decoded.rejects.agg(F.count("*").alias("n"), F.lit(0).cast("bigint").alias("total"))
-    return good.select(F.lit("rows").alias("part"), "*").unionByName(
-        bad.select(F.lit("rejects").alias("part"), "*")
-    )
+    texts = F.array(F.format_string("\t%d ", "event_id"), F.concat(F.lit("x"), "event_type"))
+    return decode.count_integers(events.select(F.explode(texts).alias("value")))
 
 
 def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +107,7 @@ def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = _documents(spark, sf_dir).select(
         F.to_json(F.struct(items.alias("items")), {"ignoreNullFields": "false"}).alias("value")
     )
-    rows = with_language(decode.unnest_envelopes(bodies))
+    rows = with_language(decode.unnest_envelopes(bodies).rows)
     found = words_or_empty(F.col("description"))
     return rows.select(
         "id", "full_name", "stargazers_count", F.size(found).alias("n_words"), "language"

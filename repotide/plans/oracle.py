@@ -4,11 +4,20 @@ from __future__ import annotations
 
 _LETTERS = "regexp_replace({text}, '[^a-zA-Z ]', '', 'g')"
 
-# The first copy of each text.
-_ONCE = """
+# Documents as repositories, some without a language, a text or a key.
+_REPOS = """
+repos AS (
+  SELECT doc_id, CASE WHEN doc_id % 19 <> 7 THEN text END AS id,
+         CASE WHEN doc_id % 13 <> 5 THEN lang END AS lang,
+         CASE WHEN doc_id % 17 <> 3 THEN text END AS text, n_chars
+  FROM documents
+)"""
+
+# The first copy of each.
+_ONCE = f"""{_REPOS},
 once AS (
-  SELECT * FROM documents
-  QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1
+  SELECT * FROM repos WHERE id IS NOT NULL AND lang IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY doc_id) = 1
 )"""
 
 
@@ -17,6 +26,7 @@ def _top_words(rows: str, text: str = "text", keep_empty: bool = False) -> str:
     return f"""
 tokens AS (
   SELECT lang, unnest(string_split({_LETTERS.format(text=text)}, ' ')) AS word FROM {rows}
+  WHERE lang IS NOT NULL AND text IS NOT NULL
 ),
 counted AS (
   SELECT lang, word, count(*) AS freq FROM tokens {keep} GROUP BY lang, word
@@ -54,17 +64,18 @@ _N_WORDS = f"len(list_filter(string_split({_LETTERS.format(text='text')}, ' '),
 _TRACKED = "(VALUES (0, 'en'), (1, 'de'), (2, 'fr'), (3, 'pt')) AS t(pos, lang)"
 
 ORACLE = {
-    "top10_words": f"WITH {_top_words('documents')} {_TOP}",
-    "top10_words_folded": f"WITH {_top_words('documents', 'lower(text)')} {_TOP}",
-    "top10_tokens": f"WITH {_top_words('documents', keep_empty=True)} {_TOP}",
+    "top10_words": f"WITH {_REPOS}, {_top_words('repos')} {_TOP}",
+    "top10_words_folded": f"WITH {_REPOS}, {_top_words('repos', 'lower(text)')} {_TOP}",
+    "top10_tokens": f"WITH {_REPOS}, {_top_words('repos', keep_empty=True)} {_TOP}",
     "top10_words_dedup": f"WITH {_ONCE}, {_top_words('once')} {_TOP}",
     "word_lists": f"""
-        WITH {_top_words('documents')}
+        WITH {_REPOS}, {_top_words('repos')}
         SELECT lang AS "Language", {_WORD_LIST} AS words FROM ranked GROUP BY lang""",
     "columns_export": f"""
-        WITH {_ONCE}, totals AS (SELECT lang, count(*) AS n FROM once GROUP BY lang)
-        SELECT string_agg(lang, ',' ORDER BY lang) AS lang,
-               string_agg(n::VARCHAR, ',' ORDER BY lang) AS count FROM totals""",
+        WITH {_ONCE}, c AS (SELECT lang, count(*) AS n FROM once GROUP BY lang)
+        SELECT string_agg(t.lang, ',' ORDER BY t.lang) AS lang,
+               string_agg(coalesce(n, 0)::VARCHAR, ',' ORDER BY t.lang) AS count
+        FROM {_TRACKED} LEFT JOIN c ON c.lang = t.lang""",
     "repo_totals": f"WITH {_ONCE} SELECT lang, count(*) AS count FROM once GROUP BY lang",
     "avg_stars": f"""
         WITH {_ONCE}
@@ -83,17 +94,22 @@ ORACLE = {
         c AS (SELECT lang, sum(n_chars)::DOUBLE / count(*) AS a FROM once GROUP BY lang)
         SELECT t.lang AS "Language", coalesce(a, 0.0) AS "Average_Stars"
         FROM {_TRACKED} LEFT JOIN c ON c.lang = t.lang""",
-    "language_bucket": """
+    "language_bucket": f"""
+        WITH {_REPOS}
         SELECT CASE lower(lang) WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' ELSE 'Other' END
-               AS bucket, count(*) AS count FROM documents GROUP BY 1""",
-    "rejected_rows": """
-        SELECT doc_id, lang AS language, 'duplicate' AS reason FROM documents
-        QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) > 1""",
+               AS bucket, count(*) AS count FROM repos GROUP BY 1""",
+    "rejected_rows": f"""
+        WITH {_ONCE}
+        SELECT doc_id, lang AS language, CASE WHEN lang IS NULL THEN 'no language'
+               WHEN id IS NULL THEN 'no key' ELSE 'duplicate' END AS reason
+        FROM repos WHERE doc_id NOT IN (SELECT doc_id FROM once)""",
     "union_feeds": """
         SELECT doc_id, lang AS language, n_chars FROM documents WHERE lang = 'en'
         UNION ALL SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'de'
         UNION ALL SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'fr'
-        UNION ALL SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'pt'""",
+        UNION ALL SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'pt'
+        UNION ALL SELECT doc_id, lang, n_chars FROM documents
+        WHERE lang IS NULL OR lang NOT IN ('en', 'de', 'fr', 'pt')""",
     "recent_per_batch": f"""
         WITH {_RECENT}
         SELECT batch_time, event_type AS "Language", n AS "Recents" FROM recent""",
@@ -184,9 +200,15 @@ ORACLE = {
                n_chars AS stargazers_count, {_N_WORDS}::INTEGER AS n_words, lang AS language
         FROM documents""",
     "tsv_decode": """
-        SELECT event_id, epoch(date_trunc('second', ts))::BIGINT AS pushed_epoch, user_id, props,
-               event_type
-        FROM events""",
+        WITH r AS (
+          SELECT *, CASE WHEN event_id % 29 = 4 THEN 'malformed' WHEN event_id % 23 = 1 THEN 'no key'
+            WHEN event_id % 7 = 3 OR event_id % 11 = 2 THEN 'unreadable field' END AS reason
+          FROM events)
+        SELECT CASE WHEN event_id % 23 <> 1 THEN event_id END AS event_id,
+               CASE WHEN reason IS NULL THEN epoch(date_trunc('second', ts))::BIGINT END AS pushed_epoch,
+               CASE WHEN reason IS NULL THEN user_id END AS user_id, props,
+               CASE WHEN event_id % 29 <> 4 THEN event_type END AS event_type, reason
+        FROM r""",
     "int_decode": """
         SELECT 'rows' AS part, count(*) AS n, sum(event_id)::BIGINT AS total FROM events
         UNION ALL SELECT 'rejects', count(*), 0 FROM events""",
@@ -202,24 +224,45 @@ ORACLE = {
                lang AS language
         FROM documents""",
     "state_fold": """
-        SELECT event_type, sum(user_id)::BIGINT AS total FROM events GROUP BY event_type""",
-    "stream_accepted": """
-        SELECT doc_id, lang AS language, n_chars AS stargazers_count FROM documents
-        QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",
+        SELECT event_type, list_reduce(list(user_id % 1000003 + 1), lambda a, b: a * b % 1000003)
+               AS fingerprint
+        FROM events WHERE event_type IS NOT NULL GROUP BY event_type""",
+    "stream_accepted": f"""
+        WITH {_ONCE}
+        SELECT doc_id, lang AS language, n_chars AS stargazers_count FROM once""",
     "stream_dashboard": f"""
         WITH {_ONCE}, {_top_words('once')},
         c AS (
           SELECT lang, count(*) AS n, sum(n_chars)::DOUBLE / count(*) AS a FROM once GROUP BY lang
-        )
-        SELECT 'dash_counts' AS panel, lang AS language, '' AS item, n::DOUBLE AS value FROM c
-        UNION ALL SELECT 'dash_stars', lang, '', a FROM c
-        UNION ALL SELECT 'dash_top10', lang, word, freq::DOUBLE FROM ranked""",
+        ),
+        newest AS (
+          SELECT doc_id // 100 AS batch, lang, id, max(doc_id) AS doc_id FROM repos
+          WHERE id IS NOT NULL AND lang IS NOT NULL GROUP BY ALL
+        ),
+        recent AS (
+          SELECT batch, lang, count(*) FILTER (doc_id % 100 >= 39) AS n FROM newest GROUP BY ALL
+        ),
+        kept AS (
+          SELECT * FROM recent
+          QUALIFY row_number() OVER (PARTITION BY lang ORDER BY batch DESC) <= 10
+        ),
+        last AS (SELECT DISTINCT batch FROM kept ORDER BY batch DESC LIMIT 10),
+        grid AS (SELECT batch, t.lang FROM last, {_TRACKED})
+        SELECT t.lang AS language, 'count' AS item, coalesce(n, 0)::VARCHAR AS value
+        FROM {_TRACKED} LEFT JOIN c ON c.lang = t.lang
+        UNION ALL SELECT t.lang, 'stars', format('{{:,.4f}}', coalesce(a, 0.0::DOUBLE))
+        FROM {_TRACKED} LEFT JOIN c ON c.lang = t.lang
+        UNION ALL SELECT grid.lang, strftime(to_timestamp(1704067200 + batch * 100 + 99)
+          AT TIME ZONE 'UTC', '%H:%M:%S'), coalesce(n, 0)::VARCHAR
+        FROM grid LEFT JOIN kept USING (batch, lang)
+        UNION ALL SELECT lang, '', {_WORD_LIST} FROM ranked GROUP BY lang""",
 }
 
 # A stream over the whole table ends at the result of the batch query.
 for _stream, _same in {
     "stream_repo_totals": "repo_totals",
     "stream_avg_stars": "avg_stars",
+    "stream_rejected": "rejected_rows",
     "stream_top10_words": "top10_words",
     "stream_recent": "recent_per_batch",
     "stream_nine_running": "nine_multiples",

@@ -9,30 +9,17 @@ from repotide.functions.times import batch_end
 from repotide.operators import metrics, ranking
 from repotide.operators.dedup import newest_pushes
 from repotide.plans.batch import BATCH_SECONDS
-from repotide.plans.tables import numbers, pushes, repos
-from repotide.session import in_one_process, run_dir
-from repotide.sinks.tables import (
-    DASHBOARD,
-    COUNTS,
-    STARS,
-    TOP,
-    latest_batch,
-    read_batches,
-)
+from repotide.plans.tables import TRACKED, numbers, pushes, repos
+from repotide.session import run_dir
+from repotide.sinks.tables import COUNTS, RECENTS, STARS, TOP, latest_batch, read_batches
 from repotide.streaming import state
-from repotide.streaming.accept import accept
-from repotide.streaming.app import RepoAnalytics
+from repotide.streaming.app import BATCH_TIME, latest_dashboard, start_repo_analytics
+from repotide.streaming.intake import accepted_rows, intake_table, start_intake
 from repotide.streaming.queries import BatchFunction, finish, start, to_table
 
 
-def _state_partitions(spark: SparkSession) -> int | None:
-    """In one process a state store per core is enough; a cluster has its own setting."""
-    return spark.sparkContext.defaultParallelism if in_one_process(spark) else None
-
-
 def _replay(stream: DataFrame, on_batch: BatchFunction, root: str, mode: str = "update") -> None:
-    partitions = _state_partitions(stream.sparkSession)
-    finish(start(stream, on_batch, f"{root}/checkpoint", mode, state_partitions=partitions))
+    finish(start(stream, on_batch, f"{root}/checkpoint", mode))
 
 
 def _running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,19 +50,23 @@ def stream_top10_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.as_shown(top)
 
 
+def _taken_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = run_dir(spark, "intake")
+    rows = repos(spark, sf_dir, streaming=True).drop("description")
+    finish(start_intake(rows, "id", "seq", f"{root}/out", f"{root}/checkpoint"))
+    return intake_table(spark, f"{root}/out", "seq BIGINT, language STRING, stargazers_count BIGINT")
+
+
 def stream_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = run_dir(spark, "accepted")
-    _replay(
-        repos(spark, sf_dir, streaming=True).drop("description"),
-        accept(f"{root}/out", "id", "seq", unique=True),
-        root,
-        "append",
-    )
-    schema = "seq BIGINT, language STRING, stargazers_count BIGINT"
-    rows = read_batches(spark, f"{root}/out", schema)
+    rows = accepted_rows(_taken_in(spark, sf_dir))
     return rows.select(F.col("seq").alias("doc_id"), "language", "stargazers_count")
 
 
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _taken_in(spark, sf_dir).where("not accepted")
+    return rows.select(F.col("seq").alias("doc_id"), "language", "reason")
+
+
 def stream_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each micro-batch writes the newest push per repository and batch it holds.
 
@@ -121,38 +112,53 @@ def stream_nine_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.newest_by_key(written, ["window_start", "isMultipleOf9"], "batch_id")
 
 
+MODULUS = 1_000_003
+
+
 def state_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fingerprint of a set of numbers, the same in any order: their product in modular arithmetic."""
     root = run_dir(spark, "fold")
     rows = pushes(spark, sf_dir, streaming=True)
-    totals = state.fold(rows, "language", "id", lambda new, old: sum(new) + (old or 0))
-    _replay(totals, to_table(f"{root}/out"), root)
+    products = state.fold(
+        rows, "language", "id", lambda v: v % MODULUS + 1, lambda a, b: a * b % MODULUS
+    )
+    _replay(products, to_table(f"{root}/out"), root)
     written = read_batches(spark, f"{root}/out", "key STRING, value BIGINT")
     newest = ranking.newest_by_key(written, ["key"], "batch_id")
-    return newest.select(F.col("key").alias("event_type"), F.col("value").alias("total"))
+    return newest.select(F.col("key").alias("event_type"), F.col("value").alias("fingerprint"))
 
 
 def stream_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole application on one replay; its three running panels in one long table."""
+    """The whole application on one replay; its four panels in one long table.
+
+    A batch of the replay is stamped with the end of the range of numbers it holds, as a stream
+    would be with its clock, and every document with a push time by its number.
+    """
     root = run_dir(spark, "app")
-    rows = repos(spark, sf_dir, streaming=True).withColumn(
-        "pushed_at", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("seq"))
+    seq = F.col("seq")
+    rows = repos(spark, sf_dir, streaming=True).withColumns(
+        {
+            "pushed_at": F.timestamp_seconds(F.lit(1_704_067_200) + seq),
+            BATCH_TIME: F.timestamp_seconds(F.lit(1_704_067_200) + F.floor(seq / 100) * 100 + 99),
+        }
     )
-    _replay(rows, RepoAnalytics(f"{root}/out", unique_arrival=True), root, "append")
-
-    def panel(name: str, item, value: str) -> DataFrame:
-        latest = latest_batch(spark, f"{root}/out/{name}", DASHBOARD[name])
-        return latest.select(
-            F.lit(name).alias("panel"),
-            F.col(latest.columns[0]).alias("language"),
-            item.alias("item"),
-            F.col(value).cast("double").alias("value"),
+    out = f"{root}/out"
+    for query in start_repo_analytics(rows, out, f"{root}/checkpoint", None):
+        finish(query)
+    panels = latest_dashboard(spark, out, TRACKED)
+
+    def panel(rows: DataFrame, language: str, item, value) -> DataFrame:
+        return rows.select(
+            F.col(language).alias("language"), item.alias("item"), value.cast("string").alias("value")
         )
 
-    none = F.lit("")
+    none, column = F.lit(""), F.col
+    number = F.format_number(column("Average_Stars"), 4)
     return (
-        panel(COUNTS, none, "count")
-        .unionByName(panel(STARS, none, "Average_Stars"))
-        .unionByName(panel(TOP, F.col("Word"), "Freq"))
+        panel(panels[COUNTS], "lang", F.lit("count"), column("count"))
+        .unionByName(panel(panels[STARS], "Language", F.lit("stars"), number))
+        .unionByName(panel(panels[RECENTS], "Language", column("label"), column("Recents")))
+        .unionByName(panel(panels[TOP], "language", none, column("words")))
     )
 
 
@@ -161,6 +167,7 @@ QUERIES = {
     "stream_avg_stars": stream_avg_stars,
     "stream_top10_words": stream_top10_words,
     "stream_accepted": stream_accepted,
+    "stream_rejected": stream_rejected,
     "stream_recent": stream_recent,
     "stream_nine_running": stream_nine_running,
     "stream_nine_tumbling": stream_nine_tumbling,

@@ -2,6 +2,7 @@
 
 ``documents`` are repositories: the language is the language, the text the description, its length
 the stars, the number the arrival, and the text itself identifies a repository, as copies occur.
+Some numbers stand for repositories without a language, a description or a key.
 ``events`` are pushes and numbers: the type is the language, the user the repository.
 """
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotide.operators.dedup import content_key
+from repotide.session import run_dir
 from repotide.sources.files import read_table, stream_table
 
 SCHEMAS = {
@@ -29,6 +31,10 @@ SCHEMAS = {
     ),
 }
 
+# Columns that order the tables that are replayed, and the micro-batches of a replay.
+ORDER = {"documents": "doc_id", "events": "event_id"}
+BATCHES = 4
+
 # Languages tracked in the queries; the last one does not occur and must come out as zero.
 TRACKED = ("en", "de", "fr", "pt")
 # The same for event types.
@@ -36,18 +42,41 @@ TRACKED_TYPES = ("click", "view", "error", "refund")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
-    read = stream_table if streaming else read_table
-    return read(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name])
+    path = f"{sf_dir}/{name}.parquet"
+    rows = read_table(spark, path, SCHEMAS[name])
+    return replayed(rows, name, ORDER[name]) if streaming else rows
+
+
+def replayed(rows: DataFrame, name: str, order: str, batches: int = BATCHES) -> DataFrame:
+    """A table as a stream of several micro-batches, in the order of a column.
+
+    Ranges of the column are written one after the other, and files are read in the order of their
+    writing.
+    """
+    spark = rows.sparkSession
+    path = run_dir(spark, f"replay-{name}")
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    edges = [] if low is None else [low + (high + 1 - low) * i // batches for i in range(batches + 1)]
+    files = 1
+    for a, b in zip(edges, edges[1:]):
+        part = rows.where((F.col(order) >= a) & (F.col(order) < b))
+        part.write.mode("append").parquet(path)
+        files = max(files, -(-len(spark.read.schema(rows.schema).parquet(path).inputFiles()) // batches))
+    if low is None:
+        rows.write.parquet(path)
+    return stream_table(spark, path, SCHEMAS[name], files)
 
 
 def repos(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    """Documents as repositories, some without a language, a description or a key."""
     documents = table(spark, sf_dir, "documents", streaming)
+    number = F.col("doc_id")
     return documents.select(
-        F.col("doc_id").alias("seq"),
-        content_key(F.col("text")).alias("id"),
-        F.col("lang").alias("language"),
+        number.alias("seq"),
+        F.when(number % 19 != 7, content_key(F.col("text"))).alias("id"),
+        F.when(number % 13 != 5, F.col("lang")).alias("language"),
         F.col("n_chars").alias("stargazers_count"),
-        F.col("text").alias("description"),
+        F.when(number % 17 != 3, F.col("text")).alias("description"),
     )
 
 

@@ -11,12 +11,14 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from repotide.fixed import BATCH_SECONDS, LANGUAGES, NUMBER_BATCH_SECONDS, TRACKED  # noqa: E402
-from repotide.operators.filters import tracked_only  # noqa: E402
 from repotide.session import get_session  # noqa: E402
 from repotide.sinks.report import write_report  # noqa: E402
 from repotide.sources import feeds  # noqa: E402
 from repotide.streaming.app import run_report_of, start_repo_analytics  # noqa: E402
+from repotide.streaming.queries import start, to_table  # noqa: E402
 from repotide.streaming.labels import (  # noqa: E402
     start_bucket_analytics,
     start_number_analytics,
@@ -64,13 +66,18 @@ def main(arguments: list[str] | None = None) -> None:
         return
     every = None if args.once else args.every
     places = (args.out, args.checkpoint, every)
+    read = feeds.number_feed if args.program == "numbers" else FORMS[args.form]
+    feed = read(spark, args.input)
+    bad_lines = to_table(f"{args.out}/bad_lines")
+    queries = [start(feed.rejects, bad_lines, f"{args.checkpoint}/bad_lines", "append", every)]
     if args.program == "numbers":
-        queries = start_number_analytics(feeds.number_feed(spark, args.input), *places)
+        queries += start_number_analytics(feed.rows, *places)
     elif args.program == "buckets":
-        queries = start_bucket_analytics(FORMS[args.form](spark, args.input), *places)
+        queries += start_bucket_analytics(feed.rows, *places)
     else:
-        repos = tracked_only(FORMS[args.form](spark, args.input), args.languages)
-        queries = [start_repo_analytics(repos, *places, quiet=False)]
+        # Rows without a language stay in, so that they show up among the rejects.
+        wanted = F.col("language").isNull() | F.col("language").isin(*args.languages)
+        queries += start_repo_analytics(feed.rows.where(wanted), *places, quiet=False)
     for query in queries:
         query.awaitTermination()
 

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_local_folders: dict[str, str] = {}
+_own_folders: dict[str, str] = {}
 
 # Options any session may change while it runs.
 OPTIONS = {
@@ -22,25 +22,36 @@ OPTIONS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
-# Shuffle partitions per core to start from on a cluster; adaptive execution merges small ones.
-PARTITIONS_PER_CORE = 3
 PARTITIONS = "spark.sql.shuffle.partitions"
 FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Input bytes for each partition a batch shuffle starts from; adaptive execution merges small ones.
+PARTITION_BYTES = 256 << 20
 
 
-def in_one_process(spark: SparkSession) -> bool:
-    master = spark.sparkContext.master
-    return master == "local" or master.startswith("local[")
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a folder or file, from the listing alone."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getLength()
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Set the options the queries rely on, on a session made elsewhere."""
+def prepare(spark: SparkSession, path: str | None = None) -> SparkSession:
+    """A session with the options the queries rely on; those of ``spark`` stay as they are.
+
+    Streaming queries freeze ``spark.sql.shuffle.partitions`` in their checkpoint, on a cluster as
+    in one process. Batch shuffles start from that number too, or from one partition for every
+    PARTITION_BYTES of the input at ``path``, whichever is more.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
     for name, value in OPTIONS.items():
-        spark.conf.set(name, value)
-    if not in_one_process(spark) and spark.conf.get(FIRST_PARTITIONS, None) is None:
-        wanted = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
-        spark.conf.set(FIRST_PARTITIONS, max(wanted, int(spark.conf.get(PARTITIONS))))
-    return spark
+        own.conf.set(name, value)
+    if path:
+        first = max(int(own.conf.get(PARTITIONS)), -(-input_bytes(spark, path) // PARTITION_BYTES))
+        own.conf.set(FIRST_PARTITIONS, str(first))
+    return own
 
 
 def get_session(app: str = "repotide", master: str | None = None, **conf: object) -> SparkSession:
@@ -61,23 +72,24 @@ def get_session(app: str = "repotide", master: str | None = None, **conf: object
     }
     for name, value in settings.items():
         builder = builder.config(name, value)
-    return prepare(builder.getOrCreate())
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Without that setting only a session in one process, such as a test, gets a folder of its own;
+    on a cluster no machine-local folder would do.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not in_one_process(spark):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="run-")
-    return _local_folders[application]
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="run-")
+    return _own_folders[application]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

@@ -13,12 +13,14 @@ NOTHING = "(no rows in this batch)"
 
 
 def show_batch(label: str, batch_time: datetime, rows: DataFrame) -> None:
+    """Print all rows of a result that is a row per language, or few by its making otherwise."""
     when = f"batch {batch_time:%Y-%m-%d %H:%M:%S} | epoch {batch_time.timestamp():.0f}"
     print(f"== {label} | {when} ==")
-    if rows.isEmpty():
-        print(NOTHING)
+    n = rows.count()
+    if n:
+        rows.show(n, truncate=False)
     else:
-        rows.show(truncate=False)
+        print(NOTHING)
 
 
 def preview(rows_shown: int = PREVIEW_ROWS) -> Callable[[DataFrame, int], None]:

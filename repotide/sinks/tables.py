@@ -6,14 +6,13 @@ failure overwrites its own folder, so a repeated batch changes nothing.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COUNTS, RECENTS, STARS, TOP = "dash_counts", "dash_recents", "dash_stars", "dash_top10"
 
-# Most rows of a result that may be gathered in one place.
-SHORT_RESULT = 10_000
-
 DASHBOARD = {
     COUNTS: "lang STRING, count BIGINT",
     RECENTS: "batch_time TIMESTAMP, Language STRING, Recents BIGINT",
@@ -39,11 +38,30 @@ def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, batch_id BIGINT").parquet(path)
 
 
+def batch_numbers(spark: SparkSession, path: str) -> list[int]:
+    """The batches of a result table in order, from its folder names alone."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch_id="))
+
+
 def latest_batch(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The newest snapshot in a result table; older folders are pruned, not scanned."""
-    table = read_batches(spark, path, schema)
-    newest = table.agg(F.max("batch_id")).scalar()
-    return table.where(F.col("batch_id") == newest).drop("batch_id")
+    """The newest snapshot in a result table; no file of an older one is opened."""
+    found = batch_numbers(spark, path)
+    if not found:
+        return spark.createDataFrame([], schema)
+    return read_batch(spark, path, found[-1], schema)
+
+
+def forget_batches(spark: SparkSession, path: str, before: int) -> None:
+    """Remove the folders of batches ``before`` a number, for tables of snapshots."""
+    for number in batch_numbers(spark, path):
+        if number < before:
+            place = spark._jvm.org.apache.hadoop.fs.Path(batch_folder(path, number))
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def write_csv(table: DataFrame, path: str) -> None:
@@ -51,11 +69,12 @@ def write_csv(table: DataFrame, path: str) -> None:
     table.write.option("header", True).csv(path)
 
 
-def register(table: DataFrame, name: str, everywhere: bool = False) -> str:
-    """Register a view and return the name to use in SQL.
+def register(table: DataFrame, name: str | None = None, everywhere: bool = False) -> str:
+    """Register a view and return the name to use in SQL; a view without a name gets one of its own.
 
     A view registered everywhere lives in ``global_temp`` and is seen by all sessions.
     """
+    name = name or f"view_{uuid.uuid4().hex}"
     if everywhere:
         table.createOrReplaceGlobalTempView(name)
         return f"global_temp.{name}"
@@ -70,24 +89,17 @@ def describe(table: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "name STRING, type STRING, nullable BOOLEAN")
 
 
-def as_columns(table: DataFrame, *order: str, limit: int = SHORT_RESULT) -> DataFrame:
+def as_columns(table: DataFrame, *order: str) -> DataFrame:
     """One row holding each column as an array, all in the same order.
 
-    For short results such as a dashboard panel; a longer one fails rather than being cut, and
-    never gathers more than ``limit`` rows.
+    For results that are short by their making, such as a row per tracked language.
     """
     entry = F.struct(*order, *(name for name in table.columns if name not in order))
-    rows = F.sort_array(F.collect_list(entry))
-    too_long = F.raise_error(F.lit(f"more than {limit} rows; write the result as a table instead"))
-    gathered = table.limit(limit + 1).agg(
-        F.when(F.count("*") <= limit, rows).otherwise(too_long).alias("rows")
-    )
+    gathered = table.agg(F.sort_array(F.collect_list(entry)).alias("rows"))
     return gathered.select(*(F.col(f"rows.{name}").alias(name) for name in table.columns))
 
 
-def to_dict(table: DataFrame, limit: int = SHORT_RESULT) -> dict[str, list]:
-    """A short result as ``{column: [values]}`` on the driver; a longer one is refused."""
-    rows = table.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} rows; write the result as a table instead")
-    return {name: [row[name] for row in rows] for name in table.columns}
+def to_dict(columns: DataFrame) -> dict[str, list]:
+    """The output of ``as_columns`` on the driver."""
+    row = columns.first()
+    return {name: row[name] for name in columns.columns}

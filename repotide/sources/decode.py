@@ -22,7 +22,12 @@ CORRUPT = "_corrupt"
 BANNER = "^-+[^-]*-+$"
 
 
+MALFORMED, NO_KEY, UNREADABLE = "malformed", "no key", "unreadable field"
+
+
 class Decoded(NamedTuple):
+    """``rejects`` has the columns ``value`` and ``reason``."""
+
     rows: DataFrame
     rejects: DataFrame
 
@@ -36,18 +41,38 @@ def _parse(lines: DataFrame, parsed: Column, name: str, keep: Sequence[str]) ->
     return lines.select("value", *keep, F.explode(F.array(parsed)).alias(name))
 
 
-def _split(parsed: DataFrame, good: Column, rows: Sequence[Column | str]) -> Decoded:
-    good = F.coalesce(good, F.lit(False))
-    return Decoded(parsed.where(good).select(*rows), parsed.where(~good).select("value"))
+def _split(parsed: DataFrame, reason: Column, rows: Sequence[Column | str]) -> Decoded:
+    """Good rows have a null ``reason``."""
+    good = parsed.where(reason.isNull()).select(*rows)
+    return Decoded(good, parsed.where(reason.isNotNull()).select("value", reason.alias("reason")))
+
+
+def _unreadable(text: Column, value: Column) -> Column:
+    """A field that is there but does not parse."""
+    return (F.trim(text) != "") & value.isNull()
 
 
-def decode_json(lines: DataFrame, schema: str = REPO_JSON, keep: Sequence[str] = ()) -> Decoded:
-    """One object per line. Malformed lines and lines of the wrong shape are rejected."""
+def decode_json(
+    lines: DataFrame,
+    schema: str = REPO_JSON,
+    keep: Sequence[str] = (),
+    key: str | None = None,
+    time: str | None = None,
+) -> Decoded:
+    """One object per line. Malformed lines and lines of the wrong shape are rejected.
+
+    So are lines without the field ``key`` and those whose field ``time`` is there but no instant.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     record = F.from_json("value", f"{schema}, {CORRUPT} STRING", options)
     parsed = _parse(lines, record, "r", keep)
-    good = F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull()
-    rows, rejects = _split(parsed, good, ["r.*", *keep])
+    reason = F.when(F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull(), MALFORMED)
+    if key:
+        reason = reason.when(F.col(f"r.{key}").isNull(), NO_KEY)
+    if time:
+        at = F.col(f"r.{time}")
+        reason = reason.when(_unreadable(at, parse_utc(at)), UNREADABLE)
+    rows, rejects = _split(parsed, reason, ["r.*", *keep])
     return Decoded(rows.drop(CORRUPT), rejects)
 
 
@@ -61,17 +86,39 @@ def _repo_columns(name: Column, pushed: Column, stars: Column, text: Column, lan
     return [value.alias(field) for value, field in zip(values, TEXT_FIELDS)]
 
 
+def _text_reason(whole: Column, name: Column, pushed: Column, stars: Column) -> Column:
+    bad = _unreadable(pushed, parse_utc(pushed)) | _unreadable(stars, text_to_integer(stars))
+    return (
+        F.when(~F.coalesce(whole, F.lit(False)), MALFORMED)
+        .when(name.isNull() | (F.trim(name) == ""), NO_KEY)
+        .when(bad, UNREADABLE)
+    )
+
+
 def decode_tsv(lines: DataFrame, keep: Sequence[str] = ()) -> Decoded:
-    """Five tab-separated fields per line; any other number of fields is rejected."""
+    """Five tab-separated fields per line; any other number of fields is rejected.
+
+    So are lines without a name, and those whose stars or push time are there but do not parse.
+    """
     parsed = _parse(lines, F.split("value", "\t"), "f", keep)
     field = [F.try_element_at("f", F.lit(i + 1)) for i in range(len(TEXT_FIELDS))]
-    return _split(parsed, F.size("f") == len(TEXT_FIELDS), [*_repo_columns(*field), *keep])
+    reason = _text_reason(F.size("f") == len(TEXT_FIELDS), *field[:3])
+    return _split(parsed, reason, [*_repo_columns(*field), *keep])
 
 
 def decode_integers(lines: DataFrame, keep: Sequence[str] = ()) -> Decoded:
     """One whole number per line, column ``value``; other lines are rejected."""
-    parsed = lines.select("value", *keep, text_to_integer(F.col("value")).alias("n"))
-    return _split(parsed, F.col("n").isNotNull(), [F.col("n").alias("value"), *keep])
+    parsed = _parse(lines, text_to_integer(F.col("value")), "n", keep)
+    reason = F.when(F.col("n").isNull(), MALFORMED)
+    return _split(parsed, reason, [F.col("n").alias("value"), *keep])
+
+
+def count_integers(lines: DataFrame) -> DataFrame:
+    """Number and sum of the good lines and number of the rejected ones, from one pass."""
+    parsed = _parse(lines, text_to_integer(F.col("value")), "n", [])
+    good = F.col("n").isNotNull()
+    counted = parsed.groupBy(F.when(good, "rows").otherwise("rejects").alias("part"))
+    return counted.agg(F.count("*").alias("n"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
 
 
 def decode_capture(lines: DataFrame, keep: Sequence[str] = ()) -> Decoded:
@@ -87,18 +134,31 @@ def decode_capture(lines: DataFrame, keep: Sequence[str] = ()) -> Decoded:
         "last", F.substring_index(rest, ",", -1)
     )
     text = F.substring(rest, F.lit(1), F.length(rest) - F.length("last") - 1)
-    columns = _repo_columns(
-        *(F.try_element_at("f", F.lit(i)) for i in (1, 2, 3)),
-        missing_to_null(text),
-        missing_to_null(F.col("last")),
-    )
-    return _split(cut, (F.size("f") == 4) & rest.contains(","), [*columns, *keep])
+    field = [F.try_element_at("f", F.lit(i)) for i in (1, 2, 3)]
+    columns = _repo_columns(*field, missing_to_null(text), missing_to_null(F.col("last")))
+    reason = _text_reason((F.size("f") == 4) & rest.contains(","), *field)
+    return _split(cut, reason, [*columns, *keep])
 
 
-def unnest_envelopes(bodies: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per repository of each search response; missing or null ``items`` give none."""
-    items = F.from_json("value", ENVELOPE)["items"]
-    return bodies.select(F.explode(items).alias("item"), *keep).select("item.*", *keep)
+def unnest_envelopes(bodies: DataFrame, keep: Sequence[str] = ()) -> Decoded:
+    """One row per repository of each search response; missing or null ``items`` give none.
+
+    A broken body is rejected whole; an item without an id or with an unreadable push time is
+    rejected as JSON.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    body = F.from_json("value", f"{ENVELOPE}, {CORRUPT} STRING", options)
+    parsed = _parse(bodies, body, "r", keep)
+    broken = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
+    bad = parsed.where(broken).select("value", F.lit(MALFORMED).alias("reason"))
+    items = parsed.where(~broken).select(F.explode("r.items").alias("item"), *keep)
+    at = F.col("item.pushed_at")
+    reason = F.when(F.col("item").isNull() | F.col("item.id").isNull(), NO_KEY).when(
+        _unreadable(at, parse_utc(at)), UNREADABLE
+    )
+    items = items.withColumn("value", F.to_json("item"))
+    rows, rejects = _split(items, reason, ["item.*", *keep])
+    return Decoded(rows, bad.unionByName(rejects))
 
 
 def repo_words(repos: DataFrame) -> DataFrame:

@@ -1,13 +1,21 @@
-"""The repository stream application: four analyses of one stream, each batch read once.
+"""The repository stream application: four analyses of one stream, each row taken in once.
 
-Per batch it writes total repositories, average stars and top words over everything accepted since
-the start (each repository once), and the recently pushed repositories of the batch itself (each
-repository once per batch, whether or not it was seen before).
+Three queries, none of which costs more for a longer history:
+
+* **intake** writes every row to the table ``rows``, marked as accepted or with the reason why not
+  (``streaming.intake``); each batch is stamped with its logged time.
+* **panels** reads that table as a stream. Per batch it adds the accepted rows to the totals and
+  average stars of the batch before (a row per language), and counts the recently pushed
+  repositories of the intake's batches, whether or not they were seen before.
+* **words** counts the words of accepted rows in streaming state and keeps the top list.
+
+Snapshots older than a few batches are removed; the history of recent counts holds the last points
+of each language.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -15,121 +23,97 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from repotide.fixed import BATCH_SECONDS, RECENT_SECONDS, TOP_WORDS, TRACKED
-from repotide.operators.filters import with_language
+from repotide.fixed import BATCH_SECONDS, HISTORY_LENGTH, RECENT_SECONDS, TOP_WORDS, TRACKED
 from repotide.operators.metrics import (
     add_totals,
-    add_word_counts,
     average_stars,
     recent_counts,
     star_totals,
     word_counts,
 )
-from repotide.operators.ranking import ranked_words, top_words, word_lists
-from repotide.sinks import tables
+from repotide.operators.ranking import as_shown, last_values, word_lists
+from repotide.sinks import dashboard, tables
 from repotide.sinks.console import show_batch
 from repotide.sinks.report import run_report
-from repotide.sinks.tables import read_batch, write_batch
-from repotide.streaming.accept import new_rows
-from repotide.streaming.queries import start
-from repotide.streaming.state import RUNNING_TOTALS
+from repotide.sinks.tables import forget_batches, latest_batch, read_batch, write_batch
+from repotide.streaming.intake import accepted_rows, intake_table, start_intake
+from repotide.streaming.queries import finish, start
+from repotide.streaming.state import RANKED, RUNNING_TOTALS, SNAPSHOTS, keep_top_words
 
-WORDS = "language STRING, word STRING, freq BIGINT"
 BATCH_TIME = "batch_time"
-
-
-def utc_now(batch_id: int) -> datetime:
-    return datetime.now(timezone.utc)
+ROWS = (
+    "id {id}, seq {seq}, language STRING, pushed_at TIMESTAMP, stargazers_count BIGINT, "
+    f"description STRING, {BATCH_TIME} TIMESTAMP"
+)
+HISTORY = "batch_time TIMESTAMP, Language STRING, Recents BIGINT"
 
 
 @dataclass
-class RepoAnalytics:
-    """Batch function of the application, plus where its tables are.
-
-    Input columns: ``id``, ``seq`` (arrival), ``language``, ``pushed_at``, ``stargazers_count`` and
-    ``description``; say so with ``unique_arrival`` if no two rows share id and arrival. Recency is
-    taken at the column ``batch_time`` where there is one, else at ``clock``. Running results are tables, so an application that is started again on the same
-    checkpoint goes on from its last finished batch.
-    """
+class Panels:
+    """Batch function over marked rows: totals, stars, recent counts and their history."""
 
     out: str
-    clock: Callable[[int], datetime] = utc_now
     recent_seconds: int = RECENT_SECONDS
-    top: int = TOP_WORDS
-    unique_arrival: bool = False
     quiet: bool = True
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
 
-    def publish(self, name: str, rows: DataFrame, batch_id: int, batch_time: datetime) -> None:
-        """Write one named result of a batch, and print it from what was written."""
-        write_batch(rows, self.path(name), batch_id)
+    def publish(self, name: str, rows: DataFrame, batch_id: int, schema: str) -> DataFrame:
+        """Write one named result of a batch, and print all of what was written."""
+        spark, path = rows.sparkSession, self.path(name)
+        write_batch(rows, path, batch_id)
+        forget_batches(spark, path, batch_id - SNAPSHOTS)
+        written = read_batch(spark, path, batch_id, schema)
         if not self.quiet:
-            written = read_batch(
-                rows.sparkSession, self.path(name), batch_id, tables.DASHBOARD[name]
-            )
-            show_batch(name, batch_time, written)
+            show_batch(name, datetime.now(timezone.utc), written)
+        return written
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch_time = self.clock(batch_id)
+        spark = batch.sparkSession
         batch.persist()
         try:
-            recents = self.recents(batch, batch_time)
-            self.publish(tables.RECENTS, recents, batch_id, batch_time)
-            accepted = self.path("accepted")
-            fresh = new_rows(batch, batch_id, accepted, "id", "seq", self.unique_arrival).select(
-                "id", "language", "stargazers_count", "description"
+            counts = recent_counts(batch, [BATCH_TIME], F.col(BATCH_TIME), self.recent_seconds)
+            recents = counts.select(
+                BATCH_TIME, F.col("language").alias("Language"), F.col("recents").alias("Recents")
             )
-            write_batch(fresh, accepted, batch_id)
-            # From here on the batch is what was written, not the plan that made it.
-            fresh = read_batch(batch.sparkSession, accepted, batch_id, _ddl(fresh))
+            recents = self.publish(tables.RECENTS, recents, batch_id, tables.DASHBOARD[tables.RECENTS])
+            totals = star_totals(accepted_rows(batch))
+            if batch_id > 0:
+                before = read_batch(spark, self.path("totals"), batch_id - 1, RUNNING_TOTALS)
+                totals = add_totals(totals, before)
+            write_batch(totals, self.path("totals"), batch_id)
         finally:
             batch.unpersist()
-        totals = self.running_totals(fresh, batch_id)
-        counts = totals.select(F.col("language").alias("lang"), "count")
-        self.publish(tables.COUNTS, counts, batch_id, batch_time)
-        self.publish(tables.STARS, average_stars(totals), batch_id, batch_time)
-        words = self.running_words(fresh, batch_id)
-        self.publish(tables.TOP, top_words(words, self.top), batch_id, batch_time)
-
-    def recents(self, batch: DataFrame, batch_time: datetime) -> DataFrame:
-        if BATCH_TIME not in batch.columns:
-            batch = batch.withColumn(BATCH_TIME, F.lit(batch_time))
-        counts = recent_counts(
-            with_language(batch), [BATCH_TIME], F.col(BATCH_TIME), self.recent_seconds
-        )
-        return counts.select(
-            BATCH_TIME, F.col("language").alias("Language"), F.col("recents").alias("Recents")
-        )
-
-    def running_totals(self, fresh: DataFrame, batch_id: int) -> DataFrame:
-        """Running repositories and stars: last snapshot plus this batch, a row per language."""
-        spark, path = fresh.sparkSession, self.path("totals")
-        totals = star_totals(fresh)
-        if batch_id > 0:
-            totals = add_totals(totals, read_batch(spark, path, batch_id - 1, RUNNING_TOTALS))
-        write_batch(totals, path, batch_id)
-        return read_batch(spark, path, batch_id, RUNNING_TOTALS)
-
-    def running_words(self, fresh: DataFrame, batch_id: int) -> DataFrame:
-        """Running word counts in two tables used in turn.
-
-        A batch reads the table of the batch before and overwrites the other one, so a repeated
-        batch finds its input untouched and old counts take no space.
-        """
-        spark, path = fresh.sparkSession, self.path("words")
-        words = word_counts(fresh)
+        forget_batches(spark, self.path("totals"), batch_id - SNAPSHOTS)
+        totals = read_batch(spark, self.path("totals"), batch_id, RUNNING_TOTALS)
+        shown = totals.select(F.col("language").alias("lang"), "count")
+        self.publish(tables.COUNTS, shown, batch_id, tables.DASHBOARD[tables.COUNTS])
+        self.publish(tables.STARS, average_stars(totals), batch_id, tables.DASHBOARD[tables.STARS])
         if batch_id > 0:
-            before = spark.read.schema(WORDS).parquet(f"{path}/turn={(batch_id - 1) % 2}")
-            words = add_word_counts(words, before)
-        target = f"{path}/turn={batch_id % 2}"
-        words.write.mode("overwrite").parquet(target)
-        return spark.read.schema(WORDS).parquet(target)
+            recents = recents.unionByName(read_batch(spark, self.path("history"), batch_id - 1, HISTORY))
+        last = last_values(recents, "Language", BATCH_TIME, HISTORY_LENGTH).drop("rank")
+        write_batch(last, self.path("history"), batch_id)
+        forget_batches(spark, self.path("history"), batch_id - SNAPSHOTS)
+
+
+def top_panel(out: str, top: int = TOP_WORDS, quiet: bool = True):
+    """Batch function over running word counts: keeps and prints the top list, a row per language."""
+    path = f"{out}/{tables.TOP}"
+    keep = keep_top_words(path, top)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        keep(batch, batch_id)
+        if not quiet:
+            ranked = read_batch(batch.sparkSession, path, batch_id, RANKED)
+            show_batch(tables.TOP, datetime.now(timezone.utc), word_lists(ranked))
 
+    return run
 
-def _ddl(rows: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+def _make(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
 
 
 def start_repo_analytics(
@@ -137,18 +121,45 @@ def start_repo_analytics(
     out: str,
     checkpoint: str,
     every_seconds: int | None = BATCH_SECONDS,
-    **options: object,
-) -> StreamingQuery:
-    """Run the application on a stream of repositories; ``options`` go to ``RepoAnalytics``.
-
-    Without a ``clock`` of its own a batch gets the time logged for it in the checkpoint, so that
-    a batch that runs again after a failure counts the same pushes as recent.
+    recent_seconds: int = RECENT_SECONDS,
+    top: int = TOP_WORDS,
+    quiet: bool = True,
+    retention: str | None = None,
+) -> list[StreamingQuery]:
+    """Run the application on a stream of repositories.
+
+    Input columns: ``id``, ``seq`` (arrival, a number or text), ``language``, ``pushed_at``,
+    ``stargazers_count`` and ``description``. Recency is taken at ``batch_time`` where there is such
+    a column, else at the time logged for the batch of the intake. Without an interval everything
+    that is there is taken in first, then the other queries work it off and end.
     """
-    if "clock" not in options:
+    spark = repos.sparkSession
+    if BATCH_TIME not in repos.columns:
         repos = repos.withColumn(BATCH_TIME, F.current_timestamp())
-    return start(
-        repos, RepoAnalytics(out, **options), checkpoint, mode="append", every_seconds=every_seconds
-    )
+    kinds = {name: repos.schema[name].dataType.simpleString() for name in ("id", "seq")}
+    schema = ROWS.format(**kinds)
+    repos = repos.select(*(part.split()[0] for part in schema.split(", ")))
+    rows = f"{out}/rows"
+    _make(spark, rows)
+    taken = start_intake(repos, "id", "seq", rows, f"{checkpoint}/intake", every_seconds, retention)
+    if every_seconds is None:
+        finish(taken)
+
+    def read() -> DataFrame:
+        return intake_table(spark, rows, schema, streaming=True)
+
+    panels = Panels(out, recent_seconds, quiet)
+    words = word_counts(accepted_rows(read()))
+    return [
+        taken,
+        start(read().drop("description"), panels, f"{checkpoint}/panels", "append", every_seconds),
+        start(words, top_panel(out, top, quiet), f"{checkpoint}/words", "update", every_seconds),
+    ]
+
+
+def rejects(spark: SparkSession, out: str, schema: str) -> DataFrame:
+    """The rows a run did not accept, with the reason; ``schema`` names the columns wanted."""
+    return intake_table(spark, f"{out}/rows", schema).where("not accepted").drop("accepted")
 
 
 def run_report_of(
@@ -160,20 +171,31 @@ def run_report_of(
 ) -> DataFrame:
     """The report of a run from the tables it left; times are epoch seconds."""
     window = spark.range(1).select(F.lit(started).alias("started"), F.lit(ended).alias("ended"))
-    totals = tables.latest_batch(spark, f"{out}/totals", RUNNING_TOTALS)
-    top = tables.latest_batch(spark, f"{out}/{tables.TOP}", tables.DASHBOARD[tables.TOP])
-    counts = top.select(*(F.col(name).alias(name.lower()) for name in top.columns))
-    return run_report(window, totals, word_lists(ranked_words(counts)), languages)
-
-
-def latest_dashboard(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """The newest snapshot of each dashboard table; recents come with their whole history."""
-    result = {
-        name: tables.latest_batch(spark, f"{out}/{name}", schema)
-        for name, schema in tables.DASHBOARD.items()
-        if name != tables.RECENTS
-    }
-    result[tables.RECENTS] = tables.read_batches(
-        spark, f"{out}/{tables.RECENTS}", tables.DASHBOARD[tables.RECENTS]
+    totals = latest_batch(spark, f"{out}/totals", RUNNING_TOTALS)
+    top = latest_batch(spark, f"{out}/{tables.TOP}", RANKED)
+    return run_report(window, totals, word_lists(top), languages)
+
+
+def latest_dashboard(
+    spark: SparkSession, out: str, languages: Sequence[str] = TRACKED
+) -> dict[str, DataFrame]:
+    """The four panels: totals and average stars with zeros for tracked languages that have none,
+    the last points of recent counts, and the top words of each language as a list."""
+    counts = latest_batch(spark, f"{out}/{tables.COUNTS}", tables.DASHBOARD[tables.COUNTS])
+    stars = latest_batch(spark, f"{out}/{tables.STARS}", tables.DASHBOARD[tables.STARS])
+    history = latest_batch(spark, f"{out}/history", HISTORY)
+    top = latest_batch(spark, f"{out}/{tables.TOP}", RANKED)
+    series = history.select(
+        BATCH_TIME, F.col("Language").alias("language"), F.col("Recents").alias("recents")
     )
-    return result
+    return {
+        tables.COUNTS: dashboard.totals_panel(counts.withColumnRenamed("lang", "language"), languages),
+        tables.STARS: dashboard.stars_panel(stars, languages),
+        tables.RECENTS: dashboard.recents_panel(series, languages),
+        tables.TOP: word_lists(top),
+    }
+
+
+def top_words_table(spark: SparkSession, out: str) -> DataFrame:
+    """The newest top list, one row per word."""
+    return as_shown(latest_batch(spark, f"{out}/{tables.TOP}", RANKED))

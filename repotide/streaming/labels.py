@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from repotide.fixed import BATCH_SECONDS, NUMBER_BATCH_SECONDS, NUMBER_WINDOW_SECONDS
+from repotide.fixed import (
+    BATCH_SECONDS,
+    NUMBER_BATCH_SECONDS,
+    NUMBER_LATENESS,
+    NUMBER_WINDOW_SECONDS,
+)
 from repotide.functions.labels import language_bucket
 from repotide.functions.numbers import divisible_label
 from repotide.operators.metrics import age_counts
@@ -34,7 +39,7 @@ def _both(*functions: BatchFunction) -> BatchFunction:
 
 
 def _by_count(batch: DataFrame) -> DataFrame:
-    name = register(batch, "number_counts")
+    name = register(batch)
     return batch.sparkSession.sql(f"SELECT isMultipleOf9, count FROM {name} ORDER BY count")
 
 
@@ -44,15 +49,19 @@ def start_number_analytics(
     checkpoint: str,
     every_seconds: int | None = NUMBER_BATCH_SECONDS,
     window_seconds: int = NUMBER_WINDOW_SECONDS,
+    lateness: str = NUMBER_LATENESS,
 ) -> list[StreamingQuery]:
     """Running totals of divisible and other numbers, and the same per window.
 
     Input columns: ``value`` and ``ts``. Totals go to ``running``, windows to ``windows``; both are
-    also printed.
+    also printed. A window is written once, when it can get no more rows: numbers may come
+    ``lateness`` behind the newest, after which the window's state is dropped.
     """
     label = divisible_label(F.col("value")).alias("isMultipleOf9")
-    labelled = numbers.select("ts", label)
-    windows = windowed_counts(labelled, "ts", "isMultipleOf9", size=window_seconds)
+    labelled = numbers.select(F.col("ts").cast("timestamp").alias("ts"), label)
+    windows = windowed_counts(
+        labelled, "ts", "isMultipleOf9", size=window_seconds, lateness=lateness
+    )
     return [
         start(
             running_divisible(numbers),
@@ -68,7 +77,7 @@ def start_number_analytics(
             windows.select(F.col("window.start").alias("start"), "isMultipleOf9", "count"),
             _both(preview(), to_table(f"{out}/windows")),
             f"{checkpoint}/windows",
-            "update",
+            "append",
             every_seconds,
         ),
     ]

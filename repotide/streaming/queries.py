@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from repotide.session import ROCKSDB, settings
@@ -26,34 +26,52 @@ def adaptive(on_batch: BatchFunction) -> BatchFunction:
     return run
 
 
+def _configured(spark: SparkSession):
+    """State lives in RocksDB, outside the heap, with changes logged to the checkpoint."""
+    return settings(
+        spark,
+        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+        spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
+    )
+
+
+def _trigger(every_seconds: int | None) -> dict[str, object]:
+    return {"processingTime": f"{every_seconds} seconds"} if every_seconds else {"availableNow": True}
+
+
 def start(
     stream: DataFrame,
     on_batch: BatchFunction,
     checkpoint: str,
     mode: str = "update",
     every_seconds: int | None = None,
-    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query that hands each micro-batch to ``on_batch``.
 
     ``every_seconds`` sets the batch interval; without it the query works through what is there
-    and ends. State lives in RocksDB, outside the heap, with changes logged to the checkpoint.
-    The first start freezes the number of state partitions in the checkpoint:
-    ``state_partitions``, or else the session's shuffle partitions, must suit the whole cluster.
+    and ends. The first start freezes the session's shuffle partitions in the checkpoint as the
+    number of state partitions; they must suit the whole cluster.
     """
-    spark = stream.sparkSession
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    trigger = (
-        {"processingTime": f"{every_seconds} seconds"} if every_seconds else {"availableNow": True}
-    )
-    with settings(
-        spark,
-        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
-        spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
-        spark__sql__shuffle__partitions=state_partitions
-        or spark.conf.get("spark.sql.shuffle.partitions"),
-    ):
-        return writer.foreachBatch(adaptive(on_batch)).trigger(**trigger).start()
+    with _configured(stream.sparkSession):
+        return writer.foreachBatch(adaptive(on_batch)).trigger(**_trigger(every_seconds)).start()
+
+
+def start_table(
+    stream: DataFrame,
+    out: str,
+    checkpoint: str,
+    partitions: list[str],
+    every_seconds: int | None = None,
+    retention: str | None = None,
+) -> StreamingQuery:
+    """Start a query that writes a Parquet table, every row exactly once, which streams can read."""
+    writer = stream.writeStream.format("parquet").outputMode("append").partitionBy(*partitions)
+    writer = writer.option("checkpointLocation", checkpoint).option("path", out)
+    if retention:
+        writer = writer.option("retention", retention)
+    with _configured(stream.sparkSession):
+        return writer.trigger(**_trigger(every_seconds)).start()
 
 
 def to_table(path: str, change: Callable[[DataFrame], DataFrame] | None = None) -> BatchFunction:

@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from repotide.fixed import NUMBER_WINDOW_SECONDS, TOP_WORDS
+from repotide.operators.filters import countable
 from repotide.operators.metrics import add_totals, count_by, divisible_counts, star_totals
 from repotide.operators.ranking import ranked_words
-from repotide.sinks.tables import read_batch, write_batch
+from repotide.sinks.tables import forget_batches, read_batch, write_batch
 from repotide.streaming.queries import BatchFunction
 
+# Snapshots of a running result that are kept besides the newest.
+SNAPSHOTS = 10
+
 RUNNING_TOTALS = "language STRING, count BIGINT, stars BIGINT"
 RANKED = "language STRING, word STRING, freq BIGINT, rank INT"
 
@@ -55,7 +59,7 @@ def distinct_rows(
     """One row per key for the life of the query, kept in state as keys only.
 
     Of several rows of a key in the same micro-batch any may win; ``first_seen_updates`` and
-    ``streaming.accept`` pick the earliest. ``lateness`` (time column, delay) bounds the state.
+    ``streaming.intake`` pick the earliest. ``lateness`` (time column, delay) bounds the state.
     """
     if lateness:
         return stream.withWatermark(*lateness).dropDuplicatesWithinWatermark(list(keys))
@@ -69,9 +73,10 @@ def first_seen_updates(
 
     Rows are stamped with the batch clock, which is one value per micro-batch and is logged, so
     that a repeated batch has it again. A key is new in this batch when its first and last stamp
-    agree. State holds the payload: keep it to a few narrow columns.
+    agree. State holds the payload: keep it to a few narrow columns. Rows without a key or a
+    language are left out.
     """
-    stamped = stream.withColumn("stamp", F.current_timestamp())
+    stamped = countable(stream, key).withColumn("stamp", F.current_timestamp())
     return stamped.groupBy(key).agg(
         F.min_by(F.struct(*payload), F.struct("stamp", arrival)).alias("row"),
         (F.min("stamp") == F.max("stamp")).alias("is_new"),
@@ -91,6 +96,7 @@ def add_new_rows(path: str) -> BatchFunction:
             before = read_batch(batch.sparkSession, path, batch_id - 1, RUNNING_TOTALS)
             totals = add_totals(totals, before)
         write_batch(totals, path, batch_id)
+        forget_batches(batch.sparkSession, path, batch_id - SNAPSHOTS)
 
     return add
 
@@ -111,6 +117,7 @@ def keep_top_words(path: str, n: int = TOP_WORDS) -> BatchFunction:
             merged = top.unionByName(before).groupBy("language", "word")
             top = ranked_words(merged.agg(F.max("freq").alias("freq")), n)
         write_batch(top, path, batch_id)
+        forget_batches(batch.sparkSession, path, batch_id - SNAPSHOTS)
 
     return rank
 
@@ -119,26 +126,33 @@ def fold(
     stream: DataFrame,
     key: str,
     value: str,
-    update: Callable[[list[int], int | None], int],
-    combine: str | Callable[[pd.Series], int] = "sum",
+    lift: Callable[[int], int],
+    merge: Callable[[int, int], int],
 ) -> DataFrame:
-    """A user-defined running value per key: ``update(new values, old value or None)``.
+    """A user-defined running value per key: each value is lifted, then all are merged.
 
-    ``combine`` folds the values of a key inside each Arrow batch first, so what ``update`` gets
-    are a few partial values however many rows the key has. ``key`` is text, ``value`` an integer.
+    ``merge`` must give the same whatever the order and grouping, as a task merges the rows of a key
+    before the shuffle and sends one value for it; the key's state takes those in one by one.
+    ``key`` is text, ``value`` an integer; rows where one is null are left out.
     """
 
     def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        merged: dict[str, int] = {}
         for frame in frames:
-            yield frame.groupby("key", sort=False)["value"].agg(combine).reset_index()
+            for name, number in zip(frame["key"], frame["value"].tolist()):
+                lifted = lift(number)
+                merged[name] = merge(merged[name], lifted) if name in merged else lifted
+        yield pd.DataFrame({"key": list(merged), "value": list(merged.values())})
 
     def step(
         group: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        old = state.get[0] if state.exists else None
-        new = update([int(v) for frame in frames for v in frame["value"]], old)
-        state.update((new,))
-        yield pd.DataFrame({"key": [group[0]], "value": [new]})
+        total = state.get[0] if state.exists else None
+        for frame in frames:
+            for number in frame["value"].tolist():
+                total = number if total is None else merge(total, number)
+        state.update((total,))
+        yield pd.DataFrame({"key": [group[0]], "value": [total]})
 
     pairs = stream.select(
         F.col(key).cast("string").alias("key"), F.col(value).cast("bigint").alias("value")

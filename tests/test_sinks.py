@@ -1,7 +1,6 @@
 import os
 from datetime import datetime, timezone
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
@@ -47,9 +46,7 @@ def test_columns_keep_their_order(spark):
     table = spark.createDataFrame([("b", 2), ("a", None), ("c", 1)], "k STRING, v INT")
     row = tables.as_columns(table, "k").first()
     assert (row.k, row.v) == (["a", "b", "c"], [None, 2, 1])
-    assert tables.to_dict(table.orderBy("k")) == {"k": ["a", "b", "c"], "v": [None, 2, 1]}
-    with pytest.raises(ValueError):
-        tables.to_dict(table, limit=2)
+    assert tables.to_dict(tables.as_columns(table, "k")) == {"k": ["a", "b", "c"], "v": [None, 2, 1]}
 
 
 def test_run_report_format(spark, folder):
@@ -104,7 +101,12 @@ def test_printed_batches(spark, capsys):
     assert console.NOTHING in out and "batch 7" in out and "only showing top 2 rows" in out
 
 
-def test_a_long_result_is_not_cut_into_columns(spark):
-    with pytest.raises(Exception, match="more than 5 rows"):
-        tables.as_columns(spark.range(6), "id", limit=5).collect()
-    assert tables.as_columns(spark.range(5), "id", limit=5).first().id == [0, 1, 2, 3, 4]
+def test_old_snapshots_are_found_and_forgotten_by_name(spark, folder):
+    assert tables.batch_numbers(spark, f"{folder}/none") == []
+    assert tables.latest_batch(spark, f"{folder}/none", "id BIGINT").count() == 0
+    for batch_id in (9, 10, 11):
+        tables.write_batch(spark.range(batch_id), f"{folder}/t", batch_id)
+    assert tables.batch_numbers(spark, f"{folder}/t") == [9, 10, 11]
+    tables.forget_batches(spark, f"{folder}/t", 11)
+    assert tables.batch_numbers(spark, f"{folder}/t") == [11]
+    assert tables.latest_batch(spark, f"{folder}/t", "id BIGINT").count() == 11

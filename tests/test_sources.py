@@ -36,16 +36,21 @@ def test_json_round_trip(spark, repos):
 
 def test_tsv_lines(spark):
     good = "a/b\t2024-03-01T10:00:00Z\t12\tsome, text\tJava"
-    bad = ["a/b\t2024-03-01T10:00:00Z\t12", good + "\textra", ""]
+    bad = ["a/b\t2024-03-01T10:00:00Z\t12", good + "\textra", "", good.replace("12", "many"),
+           good.replace("2024", "soon"), good.replace("a/b", " ")]
     decoded = decode.decode_tsv(lines(spark, good, *bad))
+    reasons = sorted(r.reason for r in decoded.rejects.collect())
+    assert reasons == ["malformed"] * 3 + ["no key"] + ["unreadable field"] * 2
     assert rows_of(decoded.rows) == [("a/b", datetime(2024, 3, 1, 10), 12, "some, text", "Java")]
     assert sorted(r.value for r in decoded.rejects.collect()) == sorted(bad)
 
 
 def test_integer_lines(spark):
-    decoded = decode.decode_integers(lines(spark, "9", " 10 ", "x", "", "1_000"))
-    assert rows_of(decoded.rows) == [(10,), (9,)]
-    assert decoded.rejects.count() == 3
+    texts = lines(spark, "9", " 10 ", "\t12", "x", "", "1_000", None)
+    decoded = decode.decode_integers(texts)
+    assert rows_of(decoded.rows) == [(10,), (12,), (9,)]
+    assert decoded.rejects.count() == 4
+    assert rows_of(decode.count_integers(texts)) == [("rejects", 4, 0), ("rows", 3, 31)]
 
 
 def test_captured_lines(spark):
@@ -68,16 +73,29 @@ def test_captured_lines(spark):
 def test_a_line_is_parsed_once(spark):
     plan = decode.decode_json(lines(spark, "{}")).rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+    plan = decode.decode_integers(lines(spark, "1")).rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1
+
+
+def test_json_lines_without_a_key_or_with_an_unreadable_time(spark):
+    texts = ["{}", '{"full_name": "a", "pushed_at": "soon"}', '{"full_name": "a", "pushed_at": null}']
+    decoded = decode.decode_json(lines(spark, *texts), key="full_name", time="pushed_at")
+    assert rows_of(decoded.rejects) == sorted(zip(texts, ["no key", "unreadable field"]), key=repr)
+    assert decoded.rows.count() == 1
 
 
 def test_envelopes(spark):
-    item = {"id": 1, "full_name": "a/b", "pushed_at": "x", "stargazers_count": 2, "language": "C",
+    item = {"id": 1, "full_name": "a/b", "pushed_at": None, "stargazers_count": 2, "language": "C",
             "more": {"nested": True}}
     bodies = lines(
         spark, json.dumps({"items": [item, {**item, "id": 2, "description": "d"}]}),
-        '{"items": null}', "{}", '{"items": []}',
+        '{"items": null}', "{}", '{"items": []}', '{"items": [', "no json",
+        json.dumps({"items": [{"full_name": "x"}, {**item, "pushed_at": "soon"}]}),
     )
-    assert rows_of(decode.unnest_envelopes(bodies), "id", "description") == [(1, None), (2, "d")]
+    decoded = decode.unnest_envelopes(bodies)
+    assert rows_of(decoded.rows, "id", "description") == [(1, None), (2, "d")]
+    reasons = sorted(r.reason for r in decoded.rejects.collect())
+    assert reasons == ["malformed", "malformed", "no key", "unreadable field"]
 
 
 def test_wire_form_keeps_five_fields(repos):

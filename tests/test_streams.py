@@ -9,17 +9,20 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of, rows_of
 from repotide.operators import dedup, filters, metrics, ranking
-from repotide.session import ROCKSDB, run_dir, settings, shared_dir
-from repotide.sinks import tables
+from repotide.session import ROCKSDB, prepare, run_dir, settings, shared_dir
+from repotide.sinks import console, dashboard, tables
 from repotide.sinks.console import NOTHING
 from repotide.streaming import state
-from repotide.streaming.accept import accept, new_rows
 from repotide.streaming.app import (
-    RepoAnalytics,
+    HISTORY,
+    Panels,
     latest_dashboard,
+    rejects,
     run_report_of,
     start_repo_analytics,
+    top_panel,
 )
+from repotide.streaming.intake import accepted_rows, intake_table, start_intake
 from repotide.streaming.labels import start_bucket_analytics, start_number_analytics
 from repotide.streaming.queries import finish, start, to_table
 
@@ -69,7 +72,7 @@ def batch_of(spark, rows, schema=REPOS):
 
 
 def accepted(spark, rows):
-    return dedup.first_seen(filters.with_language(batch_of(spark, rows)), ["id"], "seq")
+    return dedup.first_seen(filters.countable(batch_of(spark, rows)), ["id"], "seq")
 
 
 def in_two_runs(spark, folder, rows, run, schema=REPOS):
@@ -86,8 +89,7 @@ def test_running_totals_survive_a_restart(spark, folder):
 
     def run():
         once = state.first_seen_updates(
-            filters.with_language(stream(spark, f"{folder}/in")),
-            "id", "seq", ["language", "stargazers_count"],
+            stream(spark, f"{folder}/in"), "id", "seq", ["language", "stargazers_count"]
         )
         return start(once, state.add_new_rows(f"{folder}/out"), f"{folder}/checkpoint")
 
@@ -98,6 +100,18 @@ def test_running_totals_survive_a_restart(spark, folder):
     assert written.select("batch_id").distinct().count() == 4
 
 
+def test_null_languages_and_keys_count_alike_in_batch_and_stream(spark, folder):
+    rows = [(0, 7, None, NOON, 9, "x"), (1, 7, "C", NOON, 4, "x"), (2, None, "C", NOON, 5, "x"), (3, 8, "C", NOON, 4, None)]
+    arrive(spark, f"{folder}/in", rows, 2)
+    source = stream(spark, f"{folder}/in")
+    once = state.first_seen_updates(source, "id", "seq", ["language", "stargazers_count"])
+    finish(start(once, state.add_new_rows(f"{folder}/out"), f"{folder}/c"))
+    last = tables.latest_batch(spark, f"{folder}/out", state.RUNNING_TOTALS)
+    assert rows_of(last) == [("C", 2, 8)]
+    words = metrics.word_counts(batch_of(spark, rows))
+    assert rows_of(words) == [("C", "x", 2)]
+
+
 def test_top_words_from_changed_words_only(spark, folder):
     rows = made_rows()
 
@@ -198,76 +212,66 @@ def test_distinct_rows_with_bounded_state(spark, folder):
     assert tables.read_batches(spark, f"{folder}/out", "id BIGINT").count() == 5
 
 
-@pytest.mark.parametrize("how", ["sum", "max"])
-def test_fold_with_own_functions(spark, folder, how):
-    rows = [(f"k{i % 3}", i) for i in range(300)] + [(None, 5), ("k0", None)]
+FOLDS = {
+    "count": (lambda v: 1, lambda a, b: a + b, F.count),
+    "max": (lambda v: v, max, F.max),
+    "xor": (lambda v: v * 2 + 1, lambda a, b: a ^ b, lambda c: F.bit_xor(F.col(c) * 2 + 1)),
+}
+
+
+@pytest.mark.parametrize("how", sorted(FOLDS))
+@pytest.mark.parametrize("partitions, arrow_rows", [(1, 10_000), (8, 7)])
+def test_fold_with_own_functions(spark, folder, how, partitions, arrow_rows):
+    rows = [(f"k{i % 3}", i) for i in range(1000)] + [(None, 5), ("k0", None)]
     schema = "k STRING, v BIGINT"
-    update = {
-        "sum": lambda new, old: sum(new) + (old or 0),
-        "max": lambda new, old: max([*new, old if old is not None else new[0]]),
-    }[how]
+    lift, merge, same = FOLDS[how]
 
     def run():
-        totals = state.fold(stream(spark, f"{folder}/in", schema), "k", "v", update, how)
+        source = stream(spark, f"{folder}/in", schema).repartition(partitions)
+        totals = state.fold(source, "k", "v", lift, merge)
         return start(totals, to_table(f"{folder}/out"), f"{folder}/c")
 
-    in_two_runs(spark, folder, rows, run, schema)
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=arrow_rows):
+        in_two_runs(spark, folder, rows, run, schema)
     written = tables.read_batches(spark, f"{folder}/out", "key STRING, value BIGINT")
-    expected = batch_of(spark, rows, schema).dropna().groupBy("k").agg(getattr(F, how)("v"))
+    expected = batch_of(spark, rows, schema).dropna().groupBy("k").agg(same("v"))
     assert rows_of(ranking.newest_by_key(written, ["key"], "batch_id")) == rows_of(expected)
 
 
 # Exact intake ------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("unique", [False, True])
-def test_accepted_rows_equal_the_batch_result(spark, folder, unique):
-    rows = made_rows()
+def take_in(spark, folder, retention=None):
+    return start_intake(stream(spark, f"{folder}/in"), "id", "seq", f"{folder}/out", f"{folder}/c", retention=retention)
 
-    def run():
-        on_batch = accept(f"{folder}/out", "id", "seq", unique)
-        return start(stream(spark, f"{folder}/in"), on_batch, f"{folder}/c", "append")
 
-    in_two_runs(spark, folder, rows, run)
-    out = tables.read_batches(spark, f"{folder}/out", "seq BIGINT, stargazers_count BIGINT, language STRING")
-    assert rows_of(out.drop("batch_id")) == rows_of(
-        accepted(spark, rows), "seq", "stargazers_count", "language"
-    )
+@pytest.mark.parametrize("arrow_rows", [10_000, 9])
+def test_intake_equals_the_batch_result(spark, folder, arrow_rows):
+    rows = made_rows() + [(900, None, "C", NOON, 1, "x"), (901, None, None, None, None, None)]
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=arrow_rows):
+        in_two_runs(spark, folder, rows, lambda: take_in(spark, folder))
+    table = intake_table(spark, f"{folder}/out", REPOS)
+    whole = ["seq", "id", "language", "pushed_at", "stargazers_count", "description"]
+    assert rows_of(accepted_rows(table), *whole) == rows_of(accepted(spark, rows), *whole)
+    rejected = dedup.rejected_rows(batch_of(spark, rows), "id", "seq")
+    assert rows_of(table.where("not accepted"), *whole, "reason") == rows_of(rejected, *whole, "reason")
+    assert {r.reason for r in rejected.collect()} == {"no language", "no key", "duplicate"}
 
 
 def test_equal_rows_are_accepted_once(spark, folder):
-    rows = [(0, 1, "C", NOON, 1, "x")] * 3
-    accept(folder, "id", "seq")(batch_of(spark, rows), 0)
-    assert tables.read_batches(spark, folder, REPOS).count() == 1
-
+    arrive(spark, f"{folder}/in", [(0, 1, "C", NOON, 1, "x")] * 3, 1)
+    finish(take_in(spark, folder, retention="7d"))
+    assert accepted_rows(intake_table(spark, f"{folder}/out", REPOS)).count() == 1
 
-def test_equal_rows_are_accepted_once(spark, folder):
-    rows = [(0, 1, "C", NOON, 1, "x")] * 3
-    accept(folder, "id", "seq")(batch_of(spark, rows), 0)
-    assert tables.read_batches(spark, folder, REPOS).count() == 1
 
-
-def test_rows_without_a_key_or_language_are_not_accepted(spark, folder):
-    rows = [(0, None, "C", NOON, 1, "x"), (1, 1, None, NOON, 1, "x"), (2, 1, "C", NOON, 1, "x")]
-    for batch_id in (0, 1):
-        accept(folder, "id", "seq")(batch_of(spark, rows), batch_id)
-    assert rows_of(tables.read_batches(spark, folder, REPOS), "seq", "batch_id") == [(2, 0)]
-
-
-def test_a_repeated_batch_is_accepted_once(spark, folder):
-    rows = made_rows(120)
-    on_batch = accept(folder, "id", "seq")
-    for batch_id, part in ((0, rows[:60]), (1, rows[60:]), (1, rows[60:])):
-        on_batch(batch_of(spark, part), batch_id)
-    out = tables.read_batches(spark, folder, REPOS)
-    assert rows_of(out, "seq") == rows_of(accepted(spark, rows), "seq")
-
-
-def test_copies_are_cut_before_the_shuffle(spark, folder):
-    rows = made_rows(60)
-    accept(folder, "id", "seq")(batch_of(spark, rows), 0)
-    plan = plan_of(new_rows(batch_of(spark, rows), 1, folder, "id", "seq"))
-    assert "WindowGroupLimit" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+def test_large_numbers_and_nulls_come_back_exactly(spark, folder):
+    big = 2**62 + 1
+    rows = [(big, big, "C", NOON, None, None), (big + 1, big + 2, "C", None, big, "x")]
+    arrive(spark, f"{folder}/in", rows, 1)
+    finish(take_in(spark, folder))
+    table = accepted_rows(intake_table(spark, f"{folder}/out", REPOS))
+    assert rows_of(table, "seq", "id", "stargazers_count", "description") == [
+        (big, big, None, None), (big + 1, big + 2, big, "x")]
 
 
 # Application ----------------------------------------------------------------------------------------------
@@ -275,10 +279,11 @@ def test_copies_are_cut_before_the_shuffle(spark, folder):
 
 def expected_dashboard(spark, rows):
     once = accepted(spark, rows)
+    totals = metrics.star_totals(once)
     return (
-        rows_of(metrics.repo_totals(once)),
-        rows_of(metrics.average_stars(metrics.star_totals(once))),
-        rows_of(ranking.top_words(metrics.word_counts(once))),
+        rows_of(dashboard.totals_panel(totals)),
+        rows_of(dashboard.stars_panel(metrics.average_stars(totals))),
+        rows_of(ranking.word_lists(ranking.ranked_words(metrics.word_counts(once)))),
     )
 
 
@@ -287,10 +292,6 @@ def shown_dashboard(spark, out):
     return tuple(rows_of(shown[name]) for name in (tables.COUNTS, tables.STARS, tables.TOP))
 
 
-def clock(batch_id):
-    return NOON + timedelta(seconds=60 * (batch_id - 1))
-
-
 def plain_recents(rows, now):
     """Newest push per repository and language of one batch, in plain Python."""
     newest = {}
@@ -303,54 +304,91 @@ def plain_recents(rows, now):
     return found
 
 
-def test_application_over_a_restart(spark, folder):
-    rows = made_rows()
+def clock(batch_id):
+    return NOON + timedelta(seconds=60 * (batch_id - 1))
 
-    def run():
-        return start_repo_analytics(
-            stream(spark, f"{folder}/in"), f"{folder}/out", f"{folder}/c", None, clock=clock
-        )
 
-    in_two_runs(spark, folder, rows, run)
+def stamped(spark, folder):
+    """Rows of made_rows() with the time of their file, sixty rows to a file."""
+    number = F.floor(F.col("seq") / 60).cast("int")
+    return stream(spark, f"{folder}/in").withColumn(
+        "batch_time", F.timestamp_seconds(F.lit(int(clock(0).timestamp())) + number * 60)
+    )
+
+
+class Done:
+    """All queries of a run as one."""
+
+    def __init__(self, queries):
+        self.queries = queries
+
+    def awaitTermination(self):
+        for query in self.queries:
+            finish(query)
+
+
+def analyse(source, folder, **options):
+    return Done(start_repo_analytics(source, f"{folder}/out", f"{folder}/c", None, **options))
+
+
+def test_application_over_a_restart(spark, folder, capsys):
+    rows = made_rows()
+    in_two_runs(spark, folder, rows, lambda: analyse(stamped(spark, folder), folder, quiet=False))
     assert shown_dashboard(spark, f"{folder}/out") == expected_dashboard(spark, rows)
-    recents = latest_dashboard(spark, f"{folder}/out")[tables.RECENTS]
+    history = tables.latest_batch(spark, f"{folder}/out/history", HISTORY)
     expected = [
-        (batch_id, language, n)
-        for batch_id in range(4)
-        for language, n in plain_recents(rows[batch_id * 60:(batch_id + 1) * 60], clock(batch_id)).items()
+        (clock(i).replace(tzinfo=None), language, n)
+        for i in range(4)
+        for language, n in plain_recents(rows[i * 60:(i + 1) * 60], clock(i)).items()
     ]
-    assert rows_of(recents, "batch_id", "Language", "Recents") == sorted(expected, key=repr)
+    assert rows_of(history, "batch_time", "Language", "Recents") == sorted(expected, key=repr)
+    panel = latest_dashboard(spark, f"{folder}/out")[tables.RECENTS]
+    assert panel.count() == 12
+    rejected = rejects(spark, f"{folder}/out", REPOS)
+    assert rows_of(rejected, "seq", "reason") == rows_of(
+        dedup.rejected_rows(batch_of(spark, rows), "id", "seq"), "seq", "reason"
+    )
+    printed = capsys.readouterr().out
+    assert "dash_top10 | batch" in printed and "dash_recents" in printed
 
 
-@pytest.mark.parametrize("unique", [False, True])
-def test_application_repeats_a_batch_without_change(spark, folder, capsys, unique):
-    rows = made_rows(180)
-    app = RepoAnalytics(folder, clock=clock, quiet=False, unique_arrival=unique)
+def test_panels_repeat_a_batch_without_change(spark, folder):
+    rows = [(*r, clock(r[0] // 60), None if r[2] else "no language", r[2] is not None) for r in made_rows(180)]
+    schema = f"{REPOS}, batch_time TIMESTAMP, reason STRING, accepted BOOLEAN"
+    panels = Panels(folder)
     for batch_id, part in ((0, rows[:60]), (1, rows[60:120]), (1, rows[60:120]), (2, rows[120:]), (2, rows[120:])):
-        app(batch_of(spark, part), batch_id)
-    assert shown_dashboard(spark, folder) == expected_dashboard(spark, rows)
-    assert "dash_top10 | batch 2024-03-01 12:01:00" in capsys.readouterr().out
+        panels(batch_of(spark, part, schema), batch_id)
+    totals = tables.latest_batch(spark, f"{folder}/totals", state.RUNNING_TOTALS)
+    expected = metrics.star_totals(filters.with_language(batch_of(spark, rows, schema)))
+    assert rows_of(totals) == rows_of(expected)
+
 
+def test_panels_of_an_empty_batch(spark, folder, capsys):
+    schema = f"{REPOS}, batch_time TIMESTAMP, reason STRING, accepted BOOLEAN"
+    Panels(folder, quiet=False)(batch_of(spark, [], schema), 0)
+    assert capsys.readouterr().out.count(NOTHING) == 3
 
-def test_application_with_an_empty_batch(spark, folder, capsys):
-    rows = made_rows(60)
-    app = RepoAnalytics(folder, clock=clock, quiet=False)
-    app(batch_of(spark, []), 0)
-    assert capsys.readouterr().out.count(NOTHING) == 4
-    app(batch_of(spark, rows), 1)
-    app(batch_of(spark, []), 2)
-    assert shown_dashboard(spark, folder) == expected_dashboard(spark, rows)
+
+def test_every_ranked_word_is_printed(spark, folder, capsys):
+    counts = [(l, f"{l}word{i:02d}", 100 - i) for l in ("Python", "Java", "C") for i in range(12)]
+    top_panel(folder, quiet=False)(spark.createDataFrame(counts, "language STRING, word STRING, freq BIGINT"), 0)
+    console.show_batch("long", NOON, spark.range(35).select((F.col("id") + 1000).alias("n")))
+    out = capsys.readouterr().out
+    assert all(f"{l}word{i:02d}" in out for l in ("Python", "Java", "C") for i in range(10))
+    assert all(str(1000 + i) in out for i in range(35)) and "only showing" not in out
 
 
 def test_interval_trigger(spark, folder):
     arrive(spark, f"{folder}/in", made_rows(20), 1)
-    query = start_repo_analytics(
+    queries = start_repo_analytics(
         stream(spark, f"{folder}/in"), f"{folder}/out", f"{folder}/c", every_seconds=1
     )
     try:
-        query.processAllAvailable()
+        for query in queries:
+            query.processAllAvailable()
     finally:
-        query.stop()
+        for query in queries:
+            query.stop()
     assert shown_dashboard(spark, f"{folder}/out") == expected_dashboard(spark, made_rows(20))
 
 
@@ -362,13 +400,26 @@ def test_recency_at_the_logged_batch_time(spark, folder):
         (2, 3, "Go", now - timedelta(hours=1), 1, "x"),
     ]
     arrive(spark, f"{folder}/in", rows, 1)
-    finish(start_repo_analytics(stream(spark, f"{folder}/in"), f"{folder}/out", f"{folder}/c", None))
-    recents = latest_dashboard(spark, f"{folder}/out")[tables.RECENTS]
+    finish(analyse(stream(spark, f"{folder}/in"), folder))
+    recents = tables.latest_batch(spark, f"{folder}/out/history", HISTORY)
     assert rows_of(recents, "Language", "Recents") == [("C", 1), ("Go", 0)]
     times = [r.batch_time for r in recents.select("batch_time").distinct().collect()]
     assert len(times) == 1 and times[0].timestamp() > now.timestamp() - 1
 
 
+def test_a_batch_costs_the_same_however_long_the_history(spark, folder):
+    """Rows read and state rows looked at by the later of many equal batches stay level."""
+    rows = [(i, i, "C", NOON, i, f"wa{i % 7} wb{i % 5}") for i in range(20 * 60)]
+    arrive(spark, f"{folder}/in", rows, 20)
+    done = analyse(stream(spark, f"{folder}/in"), folder)
+    finish(done)
+    for query in done.queries:
+        read = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+        assert len(read) >= 1 and max(read) <= 1.2 * min(read)
+    kept = [tables.batch_numbers(spark, f"{folder}/out/{name}") for name in ("totals", "history", tables.COUNTS)]
+    assert all(len(numbers) <= state.SNAPSHOTS + 1 for numbers in kept)
+
+
 # Set-up ------------------------------------------------------------------------------------------------------
 
 
@@ -379,6 +430,16 @@ def test_folders_come_from_the_session(spark):
     assert run_dir(spark, "x").startswith(shared_dir(spark))
 
 
+def test_options_of_the_caller_stay_as_they_are(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    with settings(spark, spark__sql__session__timeZone="Asia/Tokyo", spark__sql__shuffle__partitions=3):
+        own = prepare(spark, "/root/testdata/sf0.001" if os.path.isdir("/root/testdata") else None)
+        assert own.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert own.conf.get("spark.sql.shuffle.partitions") == "3"
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    assert spark.conf.get("spark.sql.session.timeZone") == zone
+
+
 def test_a_cluster_must_name_its_shared_folder():
     class Context:
         master = "spark://somewhere:7077"
@@ -431,18 +492,21 @@ def test_adaptive_execution_is_on_inside_a_batch(spark, folder):
 
 
 def test_number_program(spark, folder, capsys):
-    rows = [(NOON + timedelta(seconds=i), i * 3) for i in range(60)]
-    arrive(spark, f"{folder}/in", rows, 3, "ts TIMESTAMP, value BIGINT")
+    rows = [(NOON + timedelta(seconds=i), i * 3) for i in range(300)]
+    arrive(spark, f"{folder}/in", rows, 5, "ts TIMESTAMP, value BIGINT")
     queries = start_number_analytics(
         stream(spark, f"{folder}/in", "ts TIMESTAMP, value BIGINT"), f"{folder}/out", f"{folder}/c", None
     )
     for query in queries:
         finish(query)
     running = tables.latest_batch(spark, f"{folder}/out/running", "isMultipleOf9 STRING, count BIGINT")
-    assert rows_of(running) == [("No", 40), ("Yes", 20)]
+    assert rows_of(running) == [("No", 200), ("Yes", 100)]
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in queries[1].recentProgress]
+    assert max(held) <= 16
     windows = tables.read_batches(spark, f"{folder}/out/windows", "start TIMESTAMP, isMultipleOf9 STRING, count BIGINT")
-    newest = ranking.newest_by_key(windows, ["start", "isMultipleOf9"], "batch_id")
-    assert rows_of(newest.groupBy("start").agg(F.sum("count")).select("sum(count)")) == [(20,)] * 3
+    # A window is written once, when it can get no more rows.
+    per_window = windows.groupBy("start").agg(F.sum("count").alias("n"))
+    assert rows_of(per_window.select("n")) == [(20,)] * per_window.count()
     assert "isMultipleOf9" in capsys.readouterr().out
 
 
@@ -462,7 +526,7 @@ def test_bucket_program(spark, folder):
 
 
 def test_report_of_a_run(spark, folder):
-    app = RepoAnalytics(folder, clock=clock)
-    app(batch_of(spark, [(0, 1, "C", NOON, 4, "b a a"), (1, 2, "C", NOON, 1, None)]), 0)
-    lines = run_report_of(spark, folder, 10, 20, ["C", "Go"]).orderBy("line_no")
+    arrive(spark, f"{folder}/in", [(0, 1, "C", NOON, 4, "b a a"), (1, 2, "C", NOON, 1, None)], 1)
+    finish(analyse(stream(spark, f"{folder}/in"), folder))
+    lines = run_report_of(spark, f"{folder}/out", 10, 20, ["C", "Go"]).orderBy("line_no")
     assert [r.line for r in lines.collect()] == ["10:20", "C:2:2.5", "Go:0:0.0", "C:(a,2),(b,1)", "Go:"]
