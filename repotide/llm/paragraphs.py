@@ -72,6 +72,8 @@ def _class(values: np.ndarray) -> bytes:
 def _sign(bands: int, band_rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # Short lines go here, as a filter in the plan would cut all lines into words twice.
+            batch = batch.filter(batch.column("hashes").is_valid())
             for start in range(0, len(batch), STEP // 50):
                 part = batch.slice(start, STEP // 50)
                 values, offsets = ragged(part.column("hashes"))
@@ -144,11 +146,13 @@ def _compare(similarity: float):
 
 
 def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_id, line, hashes): the lines that are compared, with their word hashes."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.posexplode_outer(F.split("text", "\n")).alias("line", "own"))
-    split = F.array_remove(F.split(F.lower("own"), SEPARATORS), "")
-    hashed = lines.select("doc_id", "text_id", "line", F.transform(split, lambda w: F.xxhash64(w)).alias("hashes"))
-    return hashed.where(F.size("hashes") >= max(1, min_words))
+    """(doc_id, text_id, line, hashes): all lines, with the word hashes of those long enough."""
+    line = F.posexplode_outer(F.split("text", "\n")).alias("line", "own")
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_id"), line)
+    split = F.array_remove(F.split(F.lower("own"), SEPARATORS), "").alias("w")
+    lines = lines.select("doc_id", "text_id", "line", split)
+    hashes = F.when(F.size("w") >= max(1, min_words), F.transform("w", lambda w: F.xxhash64(w)))
+    return lines.select("doc_id", "text_id", "line", hashes.alias("hashes"))
 
 
 def repeated_paragraphs(

@@ -421,7 +421,8 @@ def covered_spans(texts: DataFrame, length: int, hot: int, merge_size: int, run_
     long = texts.where(F.octet_length("text") >= length)
     found = stored(long.mapInArrow(_find(size), "tid BINARY, at INT, core BIGINT"), "anchors")
     often = found.groupBy("core").agg(F.count("*").alias("n")).where("n > 1")
-    left = stored(found.join(often, "core"), "candidates")
+    # Stored, so that both sides of the join are dealt out for it and a hot core can be split.
+    left = stored(found.join(hinted(stored(often, "cores")), "core"), "candidates")
 
     def with_text(chosen: DataFrame) -> DataFrame:
         by_text = stored(
