@@ -1,0 +1,112 @@
+"""The pipeline against a plain version of its stages."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+import corpus_pipeline
+from test_llm_mix_shard import water_fill
+from test_llm_neardup import edited, groups, probability, runs, tokens
+from test_llm_text import brute_leaks, sentence
+
+DOCUMENTS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, score DOUBLE, size INT"
+
+
+def corpus():
+    rng = random.Random(8)
+    items = [(k, sentence(rng, "xx", 30)) for k in range(5)]
+    rows = []
+    for i in range(260):
+        lang = rng.choices(["xx", "yy", "zz"], weights=[4, 2, 1])[0]
+        text = sentence(rng, lang, rng.randrange(12, 120))
+        if i % 9 == 0:
+            text += " " + rng.choice(items)[1]
+        rows.append((i, text, lang, rng.choice(["s0", "s0", "s1", "s2", None])))
+    for i in range(260, 330):
+        base = rows[rng.randrange(40)]
+        rows.append((i, edited(rng, base[1], rng.choice([0, 0, 1])), base[2], "s0"))
+    rows += [(400, None, "xx", "s1"), (401, "", "yy", "s1"), (402, "123 !!", "xx", "s1"), (403, "kekiku mobabo", None, None)]
+    rows += [(500, sentence(rng, "yy", 40), "yy", "s2")] * 2
+    rows += [(404, "baku " * 20_000, "xx", "s2")]
+    return rows, items
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    rows, items = corpus()
+    folder = str(tmp_path_factory.mktemp("tables"))
+    full = [(i, t, l, s, len(t or ""), 0.0, 1) for i, t, l, s in rows]
+    spark.createDataFrame(full, DOCUMENTS).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id BIGINT, text STRING").write.parquet(f"{folder}/benchmark.parquet")
+    return folder, rows, items
+
+
+def plain(rows, items):
+    """What is left after the stages that filter."""
+    rows = [r for r in rows if any(c.isalpha() for c in r[1] or "")]
+    rows = list(dict.fromkeys(rows))
+    rows.sort()
+    shingled = [runs(tokens(t)) for _, t, _, _ in rows]
+    sets = [set(s) for s in shingled]
+    pairs = [
+        (i, j)
+        for i in range(len(rows))
+        for j in range(i)
+        if sets[i] & sets[j] and probability(shingled[i], shingled[j]) >= 0.8
+    ]
+    kept = [r for k, (r, root) in enumerate(zip(rows, groups(len(rows), pairs))) if k == root]
+    dirty = {d for d, _ in brute_leaks([(r[0], r[1]) for r in kept if len(r[1]) < 50_000], items)}
+    return [r for r in kept if r[0] not in dirty], len(rows) - len(kept), len(dirty)
+
+
+def test_pipeline_equals_plain_stages(spark, tables):
+    folder, rows, items = tables
+    left, copies, dirty = plain(rows, items)
+    assert copies > 50 and dirty > 15
+    out = corpus_pipeline.run(spark, folder).collect()
+    sizes = {r[0]: len(r[1].split()) for r in left}
+    sources = {r[0]: r[3] for r in left}
+    by_source, taken = defaultdict(int), defaultdict(int)
+    for i, n in sizes.items():
+        by_source[sources[i]] += n
+    times = Counter(r["doc_id"] for r in out)
+    assert set(times) <= set(sizes) and max(times.values()) <= 3
+    for i, n in times.items():
+        taken[sources[i]] += n * sizes[i]
+    names = sorted(s for s in by_source if s) + [None]
+    targets = water_fill(by_source, {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}, sum(by_source.values()))
+    largest = {s: max(n for i, n in sizes.items() if sources[i] == s) for s in names}
+    for s in names:
+        assert abs(taken[s] - targets[s]) <= largest[s] / 2 + 1
+    slots = defaultdict(list)
+    for r in out:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_filtering_stages_keep_the_columns_and_clean_documents(spark, tables):
+    folder, rows, items = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    left, _, _ = plain(rows, items)
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == corpus_pipeline.COLUMNS, name
+    assert sorted(r["doc_id"] for r in docs.select("doc_id").collect()) == [r[0] for r in left]
+
+
+def test_stages_take_empty_tables(spark, tables):
+    folder, _, _ = tables
+    empty = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, folder).collect() == [], name
+
+
+def test_stages_take_null_and_repeated_rows(spark, tables):
+    folder, _, _ = tables
+    rows = [(None, None, None, None, None)] * 2 + [(1, "baku bobra baba", "xx", None, 3)] * 2
+    rows += [(None, "kele kiku", "yy", "a", 1), (2, None, "yy", "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
+    counts = {name: len(stage(spark, docs, folder).collect()) for name, stage in corpus_pipeline.STAGES}
+    assert counts["language"] == 3 and counts["near_dedup"] == 4
+    assert counts["decontamination"] == 6 and counts["sharding"] == 6
