@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.llm.common import grouped, in_blocks, read, stored
+from repotide.llm.common import grouped, hinted, in_blocks, read, stored
 from repotide.llm.components import components
 
 SIMILARITY = 0.98
@@ -242,7 +242,8 @@ def linked_vectors(
     known = classes.select("class", "rep", "copies").join(counts, "class", "left").join(joined, "class", "left")
     known = known.withColumn("component", F.coalesce("component", "class"))
     lowest = known.groupBy("component").agg(F.min("rep").alias("lowest"))
-    known = stored(known.join(lowest, "component"), "known")
+    # Stored on its own, so that a hot component can be split.
+    known = stored(known.join(hinted(stored(lowest, "lowest")), "component"), "known")
     out = rows.select("vec_id", "class").join(known, "class", "left")
     n_links = F.coalesce(F.col("copies") - 1 + F.coalesce("n", F.lit(0)), F.lit(0))
     component = F.when(F.col("class").isNull(), F.col("vec_id")).otherwise(F.col("lowest"))

@@ -292,6 +292,8 @@ def near_duplicates(
     placed = classes.join(found.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.withColumn("component", F.coalesce("component", "class"))
     lowest = placed.groupBy("component").agg(F.min("class_first").alias("first"))
+    # Stored on its own, so that a hot component can be split.
+    lowest = hinted(stored(lowest, "lowest"))
     placed = stored(placed.join(lowest, "component").select("class", "class_first", "first"), "placed")
     out = signed.select("doc_id", "text_id", "class", "n_shingles").join(hinted(placed), "class", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()

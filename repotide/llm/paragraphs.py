@@ -200,7 +200,7 @@ def repeated_paragraphs(
     own = stored(own.drop("class"), "repeated_paragraphs")
     first = own.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "line")).alias("first"))
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "line")
-    marked = own.join(first, "component").withColumn("removed", place != F.col("first"))
+    marked = own.join(hinted(stored(first, "first")), "component").withColumn("removed", place != F.col("first"))
     return marked.drop("first")
 
 

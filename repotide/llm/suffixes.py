@@ -23,7 +23,6 @@ go to one task: each string of LENGTH bytes around its anchors is counted by its
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 from collections.abc import Iterator
 
