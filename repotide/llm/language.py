@@ -14,11 +14,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -46,11 +46,9 @@ class Model:
         known = self.terms.get("w" + word)
         if known is not None:
             return [known]
-        marked = f"^{word}$"
         for n in range(LONGEST, 0, -1):
-            found = [
-                self.terms.get("g" + marked[i : i + n]) for i in range(max(1, len(marked) - n + 1))
-            ]
+            text = f"^{word}$" if n > 1 else word
+            found = [self.terms.get("g" + text[i : i + n]) for i in range(max(1, len(text) - n + 1))]
             found = [row for row in found if row is not None]
             if found:
                 return found
@@ -82,6 +80,10 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).drop("place")
 
 
+def _grams(text: Column, n: int) -> Callable[[Column], Column]:
+    return lambda i: F.substring(text, i, F.lit(n))
+
+
 def learn(labelled: DataFrame, texts: int = TEXTS, words: int = WORDS, grams: int = GRAMS) -> Model:
     """A model of rows (doc_id, text, lang). Rows with a null text or language teach nothing."""
     rows = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang")
@@ -97,11 +99,12 @@ def learn(labelled: DataFrame, texts: int = TEXTS, words: int = WORDS, grams: in
     sample = rows.where(chance < F.element_at(share, F.col("lang")))
     found = F.explode(F.array_remove(F.split(F.lower("text"), SEPARATORS), "")).alias("term")
     counted = sample.select("lang", found).groupBy("lang", "term").agg(F.count("*").alias("n")).cache()
-    marked = F.concat(F.lit("^"), "term", F.lit("$"))
     parts = []
     for n in range(1, LONGEST + 1):
-        starts = F.sequence(F.lit(1), F.greatest(F.length(marked) - n + 1, F.lit(1)))
-        part = F.explode(F.transform(starts, lambda i, n=n: F.substring(marked, i, F.lit(n)))).alias("term")
+        # The ends of a word are marked, but for single letters.
+        text = F.concat(F.lit("^"), "term", F.lit("$")) if n > 1 else F.col("term")
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+        part = F.explode(F.transform(starts, _grams(text, n))).alias("term")
         parts.append(
             counted.select("lang", "n", part).groupBy("lang", "term").agg(F.sum("n").alias("n"))
             .withColumn("kind", F.lit(f"g{n}"))

@@ -16,6 +16,9 @@ of shards alone. Only it reaches the driver.
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,8 +26,8 @@ from pyspark.sql import functions as F
 from repotide.llm.common import read, stored
 
 SHARDS = 8
-VIRTUAL = 32
-RANKS = 1024
+# Points of a shard on the ring, cells of the ring, and buckets of ranks.
+VIRTUAL, RING, RANKS = 64, 1 << 14, 512
 SLACK = 0.01
 # Largest unit as a part of a shard's mean load.
 PIECE = 0.01
@@ -32,25 +35,31 @@ PIECE = 0.01
 SLOT_ROWS = 100_000
 
 
-def ring(shards: int, virtual: int = VIRTUAL) -> np.ndarray:
-    """For each arc of the ring the shards in clockwise order of their first point.
+def ring(shards: int, virtual: int = VIRTUAL) -> tuple[np.ndarray, np.ndarray]:
+    """The arc that each cell of the ring is on, and the order of shards clockwise from each arc.
 
-    The order of points is the order of hashes of (shard, copy), which do not depend on the number
-    of shards; arcs are taken as equally long.
+    A point's cell is a hash of (shard, copy), or the next free one, whatever other shards there
+    are after it, so one more shard moves no point of another. An arc ends at its point.
     """
-    points = np.arange(shards * virtual, dtype=np.uint64)
-    shard, copy = points // np.uint64(virtual), points % np.uint64(virtual)
-    with np.errstate(over="ignore"):
-        place = (shard * np.uint64(1_000_003) + copy + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        place = (place ^ (place >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        place ^= place >> np.uint64(29)
-    owners = shard[np.argsort(place, kind="stable")].astype(np.int64)
+    if shards * virtual > RING // 2:
+        raise ValueError("too many points for the ring")
+    owner = np.full(RING, -1)
+    for number in range(shards):
+        for copy in range(virtual):
+            key = f"{number}/{copy}".encode()
+            cell = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little") % RING
+            while owner[cell] >= 0:
+                cell = (cell + 1) % RING
+            owner[cell] = number
+    cells = np.flatnonzero(owner >= 0)
+    owners = owner[cells]
+    arcs = np.searchsorted(cells, np.arange(RING)) % len(cells)
     orders = []
     for arc in range(len(owners)):
         clockwise = np.concatenate([owners[arc:], owners[:arc]])
         _, first = np.unique(clockwise, return_index=True)
         orders.append(clockwise[np.sort(first)])
-    return np.array(orders)
+    return arcs, np.array(orders)
 
 
 def bounded_loads(load: np.ndarray, orders: np.ndarray, capacity: float) -> np.ndarray:
@@ -102,18 +111,21 @@ def shard(rows: DataFrame, shards: int = SHARDS, slack: float = SLACK, piece: fl
     split = F.when(
         F.col("group_size").isNotNull(), F.pmod(F.xxhash64(F.lit("piece"), "doc_id"), pieces)
     ).otherwise(F.lit(0).cast("bigint"))
+    arcs, orders = ring(shards)
+    # One literal, folded to an array of RING numbers once.
+    cells_arcs = F.from_json(F.lit(json.dumps(arcs.tolist())), "array<int>")
     placed = (
         rows.join(F.broadcast(large), F.col("key") == F.col("large_key"), "left")
         .withColumn("point", F.xxhash64(F.lit("point"), "key", split))
         .withColumn("rank", F.pmod(F.xxhash64(F.lit("rank"), "point"), F.lit(RANKS)).cast("int"))
-        .withColumn("arc", F.pmod("point", F.lit(shards * VIRTUAL)).cast("int"))
+        .withColumn("arc", F.element_at(cells_arcs, F.pmod("point", F.lit(RING)).cast("int") + 1))
         .drop("large_key", "group_size")
     )
     placed = stored(placed, "placed")
     cells = placed.groupBy("arc", "rank").agg(F.sum("size").alias("size")).toPandas()
     load = np.zeros((shards * VIRTUAL, RANKS))
     load[cells["arc"], cells["rank"]] = cells["size"]
-    place = bounded_loads(load, ring(shards), (1 + slack) * mean)
+    place = bounded_loads(load, orders, (1 + slack) * mean)
     cells["shard"] = place[cells["arc"], cells["rank"]].astype("int32")
     # One row for each occupied cell: at most shards * VIRTUAL * RANKS rows of three integers.
     table = spark.createDataFrame(cells[["arc", "rank", "shard"]], "arc INT, rank INT, shard INT")

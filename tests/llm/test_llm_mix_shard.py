@@ -151,7 +151,8 @@ def test_bounded_loads_pass_keys_on_clockwise():
 
 
 def test_ring_orders_hold_every_shard():
-    orders = sharding.ring(8)
+    arcs, orders = sharding.ring(8)
+    assert arcs.min() == 0 and arcs.max() == len(orders) - 1 and len(arcs) == sharding.RING
     assert orders.shape == (8 * sharding.VIRTUAL, 8)
     assert all(sorted(o) == list(range(8)) for o in orders.tolist())
     assert statistics.mean(Counter(orders[:, 0].tolist()).values()) == sharding.VIRTUAL
