@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ from repotide.llm.common import held_out, read
 
 TEXTS, WORDS, GRAMS = 4_000, 20_000, 6_000
 LONGEST = 4
+# Unseen words whose terms a task remembers.
+REMEMBERED = 1 << 17
 # Share of a count that every term is given in every language.
 SMOOTHING = 0.5
 UNKNOWN = "und"
@@ -54,7 +57,8 @@ class Model:
                 return found
         return []
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None, rows_of: Callable[[str], list[int]]) -> tuple[str, float]:
+        """Language and score; ``rows_of`` is ``rows``, or that with a memory."""
         counts = Counter(WORD.findall(text.lower())) if text else {}
         if not self.languages or not any(c.isalpha() for word in counts for c in word):
             return UNKNOWN, 0.0
@@ -66,7 +70,7 @@ class Model:
             if known is not None:
                 rows.append(known)
                 weights.append(count)
-            elif found := self.rows(word):
+            elif found := rows_of(word):
                 rows += found
                 weights += [count / len(found)] * len(found)
         sums = self.prior + np.asarray(weights) @ self.logs[rows] if rows else self.prior
@@ -141,8 +145,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     kept = [f.name for f in rest.schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = model.value
+        rows_of = lru_cache(REMEMBERED)(known.rows)
         for batch in batches:
-            found = [model.value.predict(text) for text in batch.column("text").to_pylist()]
+            found = [known.predict(text, rows_of) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in kept),

@@ -6,9 +6,10 @@ whose output is the weight of the longest match), target, negation, reported spe
 weights. An insult counts more beside a target, and less after a negation or in reported speech.
 Intent, harm and a target in this order are a threat. Words alone score nothing outside such a match.
 
-Learning uses at most ``TEXTS`` labelled texts, chosen by a hash of their number. One half gives the
-insult patterns, with the log odds of a toxic text as weights; the other half fits a logistic curve
-from what the clauses of a text score to its probability. All texts are scored whole.
+Learning uses at most ``TEXTS`` labelled texts, chosen by a hash of their number. They give
+the insult patterns, with the log odds of a toxic text as weights. A logistic curve leads from what
+the clauses of a text score to its probability; it is fitted on each half of the texts scored by the
+patterns of the other half, so that it sees no text its patterns come from. All texts are scored whole.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from repotide.llm.common import held_out, read, stored
 
 TEXTS = 16_000
 # Shortest and longest word beginning that can be a pattern, and how many toxic texts must hold it.
-SHORTEST, LONGEST, TIMES = 3, 10, 6
+SHORTEST, LONGEST, TIMES = 3, 10, 4
 LEAST_WEIGHT = 1.5
 
 CLAUSES = re.compile(r"[.!?;:|\n]+")
@@ -190,9 +191,13 @@ def learn(docs: DataFrame, labels: DataFrame, texts: int = TEXTS) -> tuple[Gramm
     rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("of")).where("text is not null")
     half = F.pmod(F.xxhash64(F.lit("half"), "of"), F.lit(2)).alias("half")
     rows = stored(rows.select("text", "toxic", half), "labelled")
-    grammar = Grammar(insult_weights(rows.where("half = 0")))
-    fitted = _featured(rows.where("half = 1").select("text", "toxic"), grammar).select("toxic", "features")
-    fitted = fitted.toPandas()
+    halves = [rows.where(F.col("half") == i) for i in (0, 1)]
+    scored = [
+        _featured(own.select("text", "toxic"), Grammar(insult_weights(other))).select("toxic", "features")
+        for own, other in (halves, halves[::-1])
+    ]
+    fitted = scored[0].unionByName(scored[1]).toPandas()
+    grammar = Grammar(insult_weights(rows))
     if fitted["toxic"].nunique() < 2:
         return grammar, np.zeros(6)
     curve = logistic(np.array(fitted["features"].tolist()), fitted["toxic"].to_numpy(float))
