@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repotide.fixed import MISSING_TEXT
 from repotide.functions.text import letters_only, words_or_empty
 from repotide.functions.times import epoch_seconds, utc_text
 from repotide.operators.filters import with_language
@@ -116,9 +117,10 @@ def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capture_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as captured text lines, with commas in the description and without line ends;
-    every line is followed by a banner."""
+    every line is followed by a banner. Some have the text for a missing description."""
     documents = _documents(spark, sf_dir)
     text = F.concat_ws(",", letters_only(F.col("description")), F.lit("end"))
+    text = F.when(F.col("doc_id") % 5 == 1, MISSING_TEXT).otherwise(text)
     line = F.concat_ws(",", "full_name", "pushed_at", "stargazers_count", text, "language")
     lines = documents.select(F.explode(F.array(line, F.lit("-----Poll-----"))).alias("value"))
     return decode.decode_capture(lines).rows.select(
