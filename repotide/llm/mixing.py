@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from repotide.llm.common import picked, read, stored, text_key
+from repotide.llm.common import hinted, picked, read, stored, text_key
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -71,11 +71,12 @@ def _cut(rows: DataFrame, steps: int) -> DataFrame:
     ``cell`` counts cells of width CELLS ** -steps; each step looks into the cell found before.
     """
     state = rows.groupBy("source").agg(F.first("rest").alias("rest"))
-    state = state.withColumns({"cell": F.lit(0).cast("bigint"), "before": F.lit(0).cast("bigint")})
+    zero = F.lit(0).cast("bigint")
+    state = stored(state.withColumns({"cell": zero, "before": zero}), "cut")
     for step in range(1, steps + 1):
         fine = F.floor(F.col("place") * float(CELLS**step))
         inside = rows.select("source", "size", fine.alias("fine")).join(
-            F.broadcast(state.withColumnRenamed("source", "of")),
+            hinted(state.withColumnRenamed("source", "of")),
             F.col("source").eqNullSafe(F.col("of")) & (F.floor(F.col("fine") / CELLS) == F.col("cell")),
         )
         sums = inside.groupBy("source", "fine").agg(
@@ -110,9 +111,8 @@ def order_sample(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     chance = F.least(F.greatest(chance, F.lit(1e-9)), F.lit(1 - 1e-9))
     u = unit_interval("id", "size")
     odds = (u / (1 - u)) / (F.col("chance") / (1 - F.col("chance")))
-    # Sources are few: a row each, as in the table of weights.
     rows = (
-        rows.join(F.broadcast(masses), F.col("source").eqNullSafe(F.col("of")))
+        rows.join(hinted(stored(masses, "masses")), F.col("source").eqNullSafe(F.col("of")))
         .withColumn("ratio", ratio)
         .withColumn("whole", whole)
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
@@ -124,7 +124,7 @@ def order_sample(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     rows = stored(rows, "ranked")
     cut = _cut(rows, steps).select(F.col("source").alias("of"), "cell", "before")
     cell = F.floor(F.col("place") * float(CELLS**steps))
-    rows = rows.join(F.broadcast(cut), F.col("source").eqNullSafe(F.col("of"))).withColumn("own", cell)
+    rows = rows.join(hinted(cut), F.col("source").eqNullSafe(F.col("of"))).withColumn("own", cell)
     order = Window.partitionBy("source").orderBy("place", "id", "size")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     edge = rows.where("own = cell")
@@ -152,9 +152,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stored(source_targets(sizes, weights, most), "targets")
     weight = 1 / F.sqrt(F.greatest("size", F.lit(1)).cast("double"))
-    # One row per source, which are few beside the documents.
     joined = rows.join(
-        F.broadcast(targets.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of"))
+        hinted(targets.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of"))
     ).drop("of")
     taken = order_sample(joined.withColumnRenamed("doc_id", "id").withColumn("weight", weight))
     return taken.select(
