@@ -61,7 +61,8 @@ def simhash(rows: DataFrame, *key: str) -> DataFrame:
 
 
 def block(fingerprint: Column | str, i: int) -> Column:
-    return F.shiftrightunsigned(fingerprint, BLOCK_BITS * i).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
+    moved = F.shiftrightunsigned(fingerprint, BLOCK_BITS * i)
+    return moved.bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
 
 
 def blocks(fingerprint: Column | str) -> Column:
@@ -104,7 +105,8 @@ def item_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
         )
     )
     windows = own.select("text_id", "runs", F.explode_outer(starts).alias("w"))
-    windows = windows.select("text_id", "w.start", "w.size", F.slice("runs", F.col("w.start") + 1, F.col("w.size")).alias("runs"))
+    own = F.slice("runs", F.col("w.start") + 1, F.col("w.size")).alias("runs")
+    windows = windows.select("text_id", "w.start", "w.size", own)
     return windows.dropDuplicates(["text_id", "start", "size"])
 
 
@@ -127,7 +129,8 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, similarity: float
     value = F.col("b.value").bitwiseXOR(F.col("mask"))
     indexed = indexed.select("item_id", "item_text", "item_print", "b.i", value.alias("value"))
     probes = marked.select("fingerprint").distinct()
-    probes = probes.select("fingerprint", blocks("fingerprint").alias("b")).select("fingerprint", "b.i", "b.value")
+    probes = probes.select("fingerprint", blocks("fingerprint").alias("b"))
+    probes = probes.select("fingerprint", "b.i", "b.value")
     near = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS
     pairs = probes.join(indexed, ["i", "value"]).where(near)
     pairs = stored(pairs.select("fingerprint", "item_id", "item_text").distinct(), "pairs")

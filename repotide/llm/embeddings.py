@@ -40,7 +40,8 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Unit vectors in double precision. Equal vectors of one label and length are one class."""
     for batch in batches:
         ids, labels, keys, units = [], [], [], []
-        for vec_id, label, vector in zip(*(batch.column(c).to_pylist() for c in ("vec_id", "label", "embedding"))):
+        columns = (batch.column(c).to_pylist() for c in ("vec_id", "label", "embedding"))
+        for vec_id, label, vector in zip(*columns):
             unit = None
             if label is not None and vector and None not in vector:
                 raw = np.array(vector, np.float64)
@@ -57,7 +58,12 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 else hashlib.blake2b(raw.tobytes() + labels[-1].encode(), digest_size=16).digest()
             )
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(labels, pa.string()), pa.array(keys, pa.binary()), pa.array(units, pa.binary())],
+            [
+                pa.array(ids, pa.int64()),
+                pa.array(labels, pa.string()),
+                pa.array(keys, pa.binary()),
+                pa.array(units, pa.binary()),
+            ],
             ["vec_id", "label", "class", "unit"],
         )
 
@@ -239,7 +245,8 @@ def linked_vectors(
     found = stored(tasks.mapInArrow(_compare(similarity), "a BINARY, b BINARY, n BIGINT"), "links")
     counts = found.groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "class")
     joined = components(found.select("a", "b")).withColumnRenamed("node", "class")
-    known = classes.select("class", "rep", "copies").join(counts, "class", "left").join(joined, "class", "left")
+    known = classes.select("class", "rep", "copies").join(counts, "class", "left")
+    known = known.join(joined, "class", "left")
     known = known.withColumn("component", F.coalesce("component", "class"))
     lowest = known.groupBy("component").agg(F.min("rep").alias("lowest"))
     # Stored on its own, so that a hot component can be split.

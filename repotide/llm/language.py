@@ -122,7 +122,8 @@ def learn(labelled: DataFrame, texts: int = TEXTS, words: int = WORDS, grams: in
     terms = {name: i for i, name in enumerate(dict.fromkeys(names))}
     counts = np.zeros((len(terms), len(languages)))
     at = {lang: i for i, lang in enumerate(languages)}
-    np.add.at(counts, ([terms[n] for n in names], table["lang"].map(at).to_numpy(int)), table["n"].to_numpy(float))
+    place = ([terms[n] for n in names], table["lang"].map(at).to_numpy(int))
+    np.add.at(counts, place, table["n"].to_numpy(float))
     kinds = np.empty(len(terms), object)
     kinds[[terms[n] for n in names]] = table["kind"].to_numpy()
     logs = np.zeros_like(counts)

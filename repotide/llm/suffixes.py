@@ -184,7 +184,10 @@ def decode(block: bytes) -> Iterator[tuple[bytes, int, bytes, list]]:
             last,
             share,
             raw[before : before + n_before],
-            [(own[i : i + 16], int.from_bytes(own[i + 16 : i + 24], "little")) for i in range(0, n_member, 24)],
+            [
+                (own[i : i + 16], int.from_bytes(own[i + 16 : i + 24], "little"))
+                for i in range(0, n_member, 24)
+            ],
         )
         rest, before, member = rest + n_rest, before + n_before, member + n_member
 
@@ -373,7 +376,11 @@ def _count_strings(size: Lengths):
                 )
                 digests = [hashlib.blake2b(raw[s : s + size.length], digest_size=16).digest() for s in starts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([tid] * len(starts), pa.binary()), pa.array(starts, pa.int64()), pa.array(digests, pa.binary())],
+                    [
+                        pa.array([tid] * len(starts), pa.binary()),
+                        pa.array(starts, pa.int64()),
+                        pa.array(digests, pa.binary()),
+                    ],
                     ["tid", "start", "string"],
                 )
 
@@ -472,7 +479,8 @@ def remove_repeats(
     spans = covered_spans(once, length, hot, merge_size, run_size)
     spans = spans.groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     spans = stored(spans, "spans")
-    whole = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.octet_length("text").cast("bigint").alias("end")))
+    size = F.octet_length("text").cast("bigint")
+    whole = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), size.alias("end")))
     joined = marked.join(spans, "tid", "left").select(
         "doc_id", "text", F.when(F.col("n").isNotNull(), whole).otherwise(F.col("found")).alias("spans")
     )

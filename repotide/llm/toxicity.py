@@ -35,9 +35,18 @@ LEAST_WEIGHT = 1.5
 CLAUSES = re.compile(r"[.!?;:|\n]+")
 WORDS = re.compile(r"[^\W_]+")
 
-TARGETS = frozenset("you your yours u ur they them their he him his she her people du dich ihr sie tu toi vous ellos usted".split())
-NEGATIONS = frozenset("not no never none isn aren wasn don doesn cannot without nicht kein keine nie ne pas jamais nunca sin".split())
-REPORTS = frozenset("said says say told tells wrote writes called calls quoted quotes reported claimed sagte schrieb dit dijo".split())
+TARGETS = frozenset(
+    "you your yours u ur they them their he him his she her people "
+    "du dich ihr sie tu toi vous ellos usted".split()
+)
+NEGATIONS = frozenset(
+    "not no never none isn aren wasn don doesn cannot without "
+    "nicht kein keine nie ne pas jamais nunca sin".split()
+)
+REPORTS = frozenset(
+    "said says say told tells wrote writes called calls quoted quotes reported claimed "
+    "sagte schrieb dit dijo".split()
+)
 INTENTS = frozenset("will ll gonna shall going want must".split())
 HARMS = frozenset("kill hurt beat destroy punch stab shoot burn attack smash".split())
 
@@ -233,7 +242,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, texts: int = TEXTS) -> DataFram
     logit = sum((features[i] * float(w) for i, w in enumerate(curve[:-1])), F.lit(float(curve[-1])))
     score = 1 / (1 + F.exp(-F.greatest(F.least(logit, F.lit(30.0)), F.lit(-30.0))))
     scored = _featured(rows, grammar).withColumn("score", score)
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", "held_out", "score", predicted)
 
 
 def op7_clause_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
