@@ -69,7 +69,8 @@ def test_rankings_are_cut_before_the_shuffle(spark, name):
 @pytest.mark.parametrize(
     "name, columns",
     [
-        ("top10_words", {"text", "lang"}),
+        # The number tells which rows lose their language or text.
+        ("top10_words", {"text", "lang", "doc_id"}),
         ("recent_per_batch", {"ts", "user_id", "event_type"}),
         ("digit_histogram", {"o_orderkey"}),
         ("odd_numbers_first10", {"o_orderkey"}),
