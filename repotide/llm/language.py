@@ -28,7 +28,9 @@ from repotide.llm.common import held_out, read
 TEXTS, WORDS, GRAMS = 4_000, 20_000, 6_000
 LONGEST = 4
 # Unseen words whose terms a task remembers.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 15
+# Texts that a task holds as Python strings at once.
+PART = 256
 # Share of a count that every term is given in every language.
 SMOOTHING = 0.5
 UNKNOWN = "und"
@@ -148,7 +150,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
         rows_of = lru_cache(REMEMBERED)(known.rows)
-        for batch in batches:
+        parts = (batch.slice(i, PART) for batch in batches for i in range(0, len(batch), PART))
+        for batch in parts:
             found = [known.predict(text, rows_of) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [

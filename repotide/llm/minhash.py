@@ -50,7 +50,7 @@ DEVIATIONS = 4
 # Members of a bucket in one block; a task compares two blocks.
 BLOCK = 1024
 # Words handled at once within a task.
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 1 << 18
 
 ROW = "doc_id BIGINT, text_id BIGINT, class BINARY, n_shingles INT, signature BINARY, bands ARRAY<BIGINT>"
 
