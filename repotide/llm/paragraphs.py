@@ -36,7 +36,7 @@ from repotide.llm.components import components
 
 SIMILARITY = 0.8
 MIN_WORDS = 16
-BAND_ROWS = 4
+BAND_ROWS = 3
 # Chance that a pair at the threshold is compared.
 RECALL = 0.9995
 BLOCK = 1024

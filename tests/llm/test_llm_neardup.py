@@ -163,5 +163,6 @@ def test_paragraphs_equal_all_pairs(spark, block):
 
 
 def test_bands_are_tuned():
-    assert 1 - (1 - 0.8**4) ** paragraphs.bands_for(0.8) >= paragraphs.RECALL
-    assert 1 - (1 - 0.8**4) ** (paragraphs.bands_for(0.8) - 1) < paragraphs.RECALL
+    hit = 0.8**paragraphs.BAND_ROWS
+    assert 1 - (1 - hit) ** paragraphs.bands_for(0.8) >= paragraphs.RECALL
+    assert 1 - (1 - hit) ** (paragraphs.bands_for(0.8) - 1) < paragraphs.RECALL
