@@ -450,7 +450,7 @@ def covered_spans(texts: DataFrame, length: int, hot: int, merge_size: int, run_
         )
         strings = stored(strings, "strings")
         twice = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
-        ends = strings.join(twice, "string", "left_semi")
+        ends = strings.join(hinted(stored(twice, "twice")), "string", "left_semi")
         spans = spans.union(ends.select("tid", "start", (F.col("start") + length).alias("end")))
     return spans
 
