@@ -1,15 +1,22 @@
-"""Licence scan: lines of text against licence templates by the Dice coefficient of word bigrams.
+"""Licence scan: texts against licence templates by the Dice coefficient of word bigrams.
 
-A line is lower-cased words only. A template of b bigrams can reach a Dice coefficient t only with
-lines of t / (2 - t) * b to (2 - t) / t * b bigrams; other templates are pruned for a line, and lines
-that no template can match are not taken apart. Lines meet templates at common bigrams, in one
-broadcast join: the templates are a fixed list. Bigrams count as often as they occur. A line
-counts for the template it is most like. Only DataFrame functions are used.
+Lines and passages are compared, as lower-cased words only. Bigrams count as often as they occur.
+
+* A line counts as a whole, for the template it is most like.
+* A passage is a window of as many words as a template, wherever lines end, so a paragraph that is
+  wrapped or stands inside a longer line is found. Windows start at bigrams of the template: moving
+  a window on to its first one never lowers the coefficient. A window that would pass the end of the
+  text ends there. Of windows that overlap the one most like its template counts.
+* A line does not count where a passage that goes on beyond it is more like its template; else passages
+  do not count in a line of the same licence or one that is as like.
+
+Texts meet templates at common bigrams, in one broadcast join: the templates are a fixed list. Only
+windows with enough common bigrams in them are compared. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from repotide.llm.common import read, words
@@ -60,44 +67,137 @@ def template_bigrams(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     ).agg(F.count("*").alias("times"))
 
 
-def licence_lines(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, line, licence, dice): lines like a template, each with the one it is most like.
+def common_bigrams(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """(doc_id, row, n_all, template, licence, size, hits): per text and template the bigrams of the text
+    that the template has, by place. ``row`` tells repeated rows apart, ``n_all`` is the bigrams of the text.
 
-    Of equally good templates the first in the list counts. Null texts and lines of fewer than two
-    words match nothing. Lines are numbered from 0.
+    A hit has ``pos`` in the text, ``line``, ``at`` in the line, ``n`` (bigrams of the line), ``inner`` (it does
+    not cross a line end), ``bigram`` and ``times`` in the template.
     """
-    spark = docs.sparkSession
-    listed = template_bigrams(spark, templates)
-    sizes = [r["size"] for r in listed.select("size").distinct().collect()] or [0]
-    most = (2 - threshold) / threshold
-    # The row number tells repeated rows apart; it is used within one shuffle only.
+    listed = template_bigrams(docs.sparkSession, templates)
     row = F.monotonically_increasing_id().alias("row")
-    lines = docs.select("doc_id", row, F.posexplode_outer(F.split("text", "\n")).alias("line", "text"))
-    lines = lines.select("doc_id", "row", "line", words(F.col("text")).alias("w"))
-    n = F.size("w") - 1
-    fits = (n >= min(sizes) / most) & (n <= max(sizes) * most) & (n > 0)
-    places = F.sequence(F.lit(0), n - 1)
-    bigrams = F.when(fits, F.transform(places, lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1))))
+    split = F.transform(F.split("text", "\n"), lambda own: words(own))
+    lines = docs.select("doc_id", row, split.alias("lines"))
+    word = lambda own, line: F.transform(
+        own, lambda w, at: F.struct(line.alias("line"), at.alias("at"), (F.size(own) - 1).alias("n"), w.alias("word"))
+    )
+    texts = lines.select("doc_id", "row", F.flatten(F.transform("lines", word)).alias("w"))
+    n_all = F.size("w") - 1
+    bigram = lambda i: F.struct(
+        *[F.get("w", i)[c].alias(c) for c in ("line", "at", "n")],
+        F.xxhash64(F.get("w", i)["word"], F.get("w", i + 1)["word"]).alias("bigram"),
+    )
+    bigrams = F.when(n_all > 0, F.transform(F.sequence(F.lit(0), n_all - 1), bigram))
     # Outer: a filter on the number of bigrams would make the words be computed again for each.
-    pairs = lines.select("doc_id", "row", "line", n.alias("n"), F.explode_outer(bigrams).alias("bigram"))
-    fits = (F.col("n") >= F.col("size") / most) & (F.col("n") <= F.col("size") * most)
-    met = pairs.join(F.broadcast(listed), "bigram").where(fits)
-    own = ["doc_id", "row", "line", "n", "template", "licence", "size"]
-    met = met.groupBy(*own, "bigram", "times").agg(F.count("*").alias("own_times"))
-    shared = met.groupBy(*own).agg(F.sum(F.least("times", "own_times")).alias("both"))
-    shared = shared.withColumn("dice", 2 * F.col("both") / (F.col("n") + F.col("size")))
+    pairs = texts.select("doc_id", "row", n_all.alias("n_all"), F.posexplode_outer(bigrams).alias("pos", "b"))
+    pairs = pairs.select("doc_id", "row", "n_all", "pos", "b.*")
+    inner = (F.col("at") < F.col("n")).alias("inner")
+    hit = F.struct("pos", "line", "at", "n", inner, "bigram", "times")
+    met = pairs.join(F.broadcast(listed), "bigram").groupBy("doc_id", "row", "n_all", "template", "licence", "size")
+    return met.agg(F.sort_array(F.collect_list(hit)).alias("hits"))
+
+
+def _dice(hits: Column, n: Column, size: Column) -> Column:
+    """Of a unit of n bigrams that has these in common with a template."""
+    own = lambda h: F.size(F.filter(hits, lambda x: x["bigram"] == h["bigram"]))
+    # Each occurrence carries its share of what its bigram counts.
+    share = lambda h: F.least(h["times"], own(h)) / own(h)
+    both = F.round(F.aggregate(hits, F.lit(0.0), lambda total, h: total + share(h)))
+    return 2 * both / (n + size)
+
+
+def _lines(hits: DataFrame, threshold: float) -> DataFrame:
+    """``hits`` with ``found``: the lines that are like the template, as spans of words from start to end."""
+    size, most = F.col("size"), (2 - threshold) / threshold
+
+    def line(h: Column, i: Column) -> Column:
+        own = F.filter(F.slice("hits", i + 1, h["n"]), lambda x: (x["line"] == h["line"]) & x["inner"])
+        first = (i == 0) | (F.get("hits", i - 1)["line"] != h["line"])
+        fits = (h["n"] >= size / most) & (h["n"] <= size * most)
+        start = h["pos"] - h["at"]
+        dice = F.when(h["inner"] & first & fits, _dice(own, h["n"], size))
+        return F.struct(dice.alias("dice"), start.alias("start"), (start + h["n"] + 1).alias("end"), h["line"].alias("line"))
+
+    found = F.filter(F.transform("hits", line), lambda x: x["dice"] >= threshold)
+    return hits.withColumn("found", found)
+
+
+def _windows(hits: DataFrame, threshold: float) -> DataFrame:
+    """``hits`` with ``found``: the windows that are like the template, as spans of words from start to end."""
+    size = F.col("size")
+
+    def window(h: Column, i: Column) -> Column:
+        n = F.least(size, F.col("n_all") - h["pos"]).cast("int")
+        own = F.filter(F.slice("hits", i + 1, n), lambda x: x["pos"] < h["pos"] + n)
+        least = F.ceil(threshold * (n + size) / 2 - 0.001).cast("int")
+        enough = F.get("hits", i + least - 1)["pos"] < h["pos"] + n
+        dice = F.when(enough, _dice(own, n, size))
+        return F.struct(dice.alias("dice"), h["pos"].alias("start"), (h["pos"] + n + 1).alias("end"), h["line"].alias("line"))
+
+    found = F.filter(F.transform("hits", window), lambda x: x["dice"] >= threshold)
+    return hits.withColumn("found", found)
+
+
+def _spans(rows: DataFrame, found: str) -> DataFrame:
+    return rows.select("doc_id", "row", "template", "licence", F.explode(found).alias("f")).select(
+        "doc_id", "row", "template", "licence", "f.*"
+    )
+
+
+def _best_lines(lines: DataFrame) -> DataFrame:
     order = Window.partitionBy("row", "line").orderBy(F.desc("dice"), "template")
-    best = shared.where(F.col("dice") >= threshold).withColumn("place", F.row_number().over(order))
-    return best.where("place = 1").select("doc_id", "row", "line", "licence", "dice")
+    return lines.withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
+
+
+def licence_lines(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, row, line, licence, dice): lines like a template, each with the one it is most like.
+
+    Of equally good templates the first in the list counts. Null texts and lines of fewer than two
+    words match nothing. Lines are numbered from 0.
+    """
+    lines = _spans(_lines(common_bigrams(docs, templates), threshold), "found")
+    return _best_lines(lines).select("doc_id", "row", "line", "licence", "dice")
+
+
+def licence_places(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, row, line, licence, dice): ``licence_lines``, and passages with the line they start in."""
+    hits = common_bigrams(docs, templates)
+    both = _windows(_lines(hits, threshold).withColumnRenamed("found", "lines"), threshold)
+    kind = lambda whole: lambda x: x.withField("whole", F.lit(whole))
+    found = F.concat(F.transform("lines", kind(True)), F.transform("found", kind(False)))
+    spans = _spans(both.select("doc_id", "row", "template", "licence", found.alias("found")), "found")
+    # Per text the lines in order and the windows from the best on, each line by its best template first.
+    span = lambda *first: F.struct(*first, "template", "start", "end", "line", "licence", "dice")
+    worse = (-F.col("dice")).alias("worse")
+    texts = spans.groupBy("doc_id", "row").agg(
+        F.sort_array(F.collect_list(F.when(F.col("whole"), span(F.col("line").alias("own"), worse)))).alias("lines"),
+        F.sort_array(F.collect_list(F.when(~F.col("whole"), span(worse)))).alias("windows"),
+    )
+    meet = lambda x, y: (x["start"] < y["end"]) & (y["start"] < x["end"])
+    again = lambda i: (i > 0) & (F.get("lines", i - 1)["line"] == F.get("lines", i)["line"])
+    apart = F.aggregate(
+        "windows",
+        F.filter("windows", lambda x: F.lit(False)),
+        lambda kept, x: F.when(F.exists(kept, lambda k: meet(k, x)), kept).otherwise(F.concat(kept, F.array(x))),
+    )
+    texts = texts.select("doc_id", "row", F.filter("lines", lambda _, i: ~again(i)).alias("lines"), apart.alias("windows"))
+    passes = lambda own, x: meet(own, x) & ((x["start"] < own["start"]) | (x["end"] > own["end"]))
+    lost = lambda own: F.exists("windows", lambda x: passes(own, x) & (x["dice"] > own["dice"]))
+    texts = texts.select("doc_id", "row", F.filter("lines", lambda own: ~lost(own)).alias("lines"), "windows")
+    covers = lambda own, x: meet(own, x) & ((own["licence"] == x["licence"]) | (own["dice"] >= x["dice"]))
+    free = F.filter("windows", lambda x: ~F.exists("lines", lambda own: covers(own, x)))
+    place = lambda x: F.struct(x["line"].alias("line"), x["licence"].alias("licence"), x["dice"].alias("dice"))
+    places = F.concat(F.transform("lines", place), F.transform(free, place))
+    return texts.select("doc_id", "row", F.explode(places).alias("p")).select("doc_id", "row", "p.*")
 
 
 def licences(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document number and licence found in it: n_lines, first_line, best dice.
 
-    Rows with one number, repeated or not, are one document. Documents without a match have no row.
-    Other columns are ignored.
+    Lines count that are like a template or in which a passage starts. Rows with one number, repeated
+    or not, are one document. Documents without a match have no row. Other columns are ignored.
     """
-    found = licence_lines(docs, templates, threshold)
+    found = licence_places(docs, templates, threshold)
     return found.groupBy("doc_id", "licence").agg(
         F.count_distinct("row", "line").alias("n_lines"),
         F.min("line").alias("first_line"),

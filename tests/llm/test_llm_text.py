@@ -1,6 +1,7 @@
 """Language, toxicity, licences and decontamination."""
 
 import random
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,6 +139,26 @@ def test_dice_equals_counting(spark):
     assert 30 < len(expected) < 300
 
 
+@pytest.mark.parametrize("prefix", ["", "# ", " * "])
+def test_licence_passages(spark, prefix):
+    texts = [t for _, t in licences.TEMPLATES]
+    long = {i for i, t in enumerate(texts) if len(t) > 100}
+    wrapped = lambda t: ["Notes", *textwrap.wrap(t, 60), "and so on"]
+    rows = [(i, "\n".join(prefix + line for line in wrapped(t)), None, 0.0, None) for i, t in enumerate(texts)]
+    rows += [(100 + i, f"{prefix}It was written in a year. {t} Other words come after it here.", None, 0.0, None) for i, t in enumerate(texts)]
+    rows.append((200, f"{texts[0]} {texts[5]} {texts[0]}", None, 0.0, None))
+    rows.append((201, "one two three\nfour " + texts[3][:-60], None, 0.0, None))
+    found = {}
+    for r in licences.licences(spark.createDataFrame(rows, DOCS)).collect():
+        found.setdefault(r["doc_id"], {})[r["licence"]] = (r["n_lines"], r["first_line"], r["dice"])
+    for i, (licence, _) in enumerate(licences.TEMPLATES):
+        assert list(found[i]) == list(found[100 + i]) == [licence]
+        assert found[i][licence][:2] == (1, 1) and found[100 + i][licence][:2] == (1, 0)
+    assert len(long) > 8 and {found[100 + i][texts_licence][2] for i, (texts_licence, _) in enumerate(licences.TEMPLATES) if i not in long} == {1.0}
+    assert found[200] == {"MIT": (1, 0, 1.0), "Apache-2.0": (1, 0, 1.0)}
+    assert found[201]["MIT"][:2] == (1, 1)
+
+
 ITEMS = "item_id BIGINT, text STRING, runs STRING"
 
 
