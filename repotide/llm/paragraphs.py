@@ -1,6 +1,6 @@
 """Substring dedup of paragraphs by MinHash banding.
 
-A paragraph is a line of at least ``MIN_WORDS`` words; shorter ones are stock phrases. Paragraphs of the
+A paragraph is a line with a run of five words; shorter lines have none and stay. Paragraphs of the
 same words are one class. Each class has a MinHash signature over its runs of five words. The bands
 are tuned for recall (``bands_for``); classes that collide in a band are compared exactly, by Jaccard
 similarity, in blocks within tasks. Links join classes to components, of which the first paragraph
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from repotide.llm.common import (
     SEPARATORS,
+    SHINGLE_WORDS,
     Forest,
     grouped,
     hinted,
@@ -35,7 +36,7 @@ from repotide.llm.common import (
 from repotide.llm.components import components
 
 SIMILARITY = 0.8
-MIN_WORDS = 16
+MIN_WORDS = SHINGLE_WORDS
 BAND_ROWS = 3
 # Chance that a pair at the threshold is compared.
 RECALL = 0.9995
@@ -170,7 +171,9 @@ def repeated_paragraphs(
     bands = bands_for(similarity, band_rows, recall)
     rows = paragraphs(docs, min_words)
     signed = stored(rows.mapInArrow(_sign(bands, band_rows), SIGNED), "paragraphs")
-    classes = signed.groupBy("class").agg(F.count("*").alias("n"), F.first("bands").alias("bands"))
+    # One paragraph of each class, found by its place; taken here, as a join of all of a hot class would be one task.
+    at = F.min(F.struct("doc_id", "text_id", "line")).alias("at")
+    classes = signed.groupBy("class").agg(F.count("*").alias("n"), F.first("bands").alias("bands"), at)
     classes = stored(classes, "paragraph_classes")
     keyed = classes.select("class", F.posexplode("bands").alias("band", "key"))
     buckets = (
@@ -183,12 +186,11 @@ def repeated_paragraphs(
     )
     members = stored(keyed.join(buckets, ["band", "key"]), "colliding")
     needed = members.select("class").distinct()
-    # One paragraph of each class that collides, found by its place.
-    places = signed.join(needed, "class").groupBy("class").agg(F.min(F.struct("doc_id", "text_id", "line")).alias("at"))
+    places = classes.join(needed, "class")
     places = stored(places.select(F.col("at.doc_id").alias("d"), F.col("at.text_id").alias("t"), F.col("at.line").alias("l")), "places")
     at = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_id") == F.col("t")) & (F.col("line") == F.col("l"))
     sets = rows.join(hinted(places), at, "left_semi").select("hashes").mapInArrow(_weigh, "class BINARY, elements BINARY")
-    sets = sets.groupBy("class").agg(F.first("elements").alias("elements")).join(classes.drop("n"), "class")
+    sets = sets.groupBy("class").agg(F.first("elements").alias("elements")).join(classes.drop("n", "at"), "class")
     dealt = in_blocks(members, ["band", "key"], "class", block)
     dealt = dealt.select("class", "band", "side", "low", "high", "task")
     tasks = dealt.join(stored(sets, "paragraph_sets"), "class").repartition("task").sortWithinPartitions("task")

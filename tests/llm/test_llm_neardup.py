@@ -162,6 +162,28 @@ def test_paragraphs_equal_all_pairs(spark, block):
     assert paragraphs.remove_repeated(docs.limit(0)).collect() == []
 
 
+def test_short_paragraphs_equal_all_pairs(spark):
+    rng = random.Random(12)
+    shared = [text(rng, n) for n in (5, 6, 9, 13, 15, 15)]
+    rows = []
+    for i in range(40):
+        lines = [text(rng, rng.choice([2, 5, 8, 15, 25])) for _ in range(rng.choice([0, 1, 3]))]
+        lines += [edited(rng, rng.choice(shared), rng.choice([0, 0, 0, 1])) for _ in range(rng.choice([1, 2]))]
+        rows.append((i, "\n".join([*lines, "Read more of it here.", "The end."])))
+    units = [(d, n, runs(tokens(line))) for d, t in rows for n, line in enumerate(t.split("\n")) if len(tokens(line)) >= 5]
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(units)), 2) if jaccard(units[i][2], units[j][2]) >= 0.8]
+    removed = {d: [] for d, _ in rows}
+    for k, root in enumerate(groups(len(units), pairs)):
+        if root != k:
+            removed[units[k][0]].append(units[k][1])
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], DOCS).repartition(3)
+    found = {r["doc_id"]: r for r in paragraphs.remove_repeated(docs).collect()}
+    assert {d: r["removed"] for d, r in found.items()} == removed
+    repeated = {k for pair in pairs for k in pair}
+    assert {d: r["n_repeated"] for d, r in found.items()} == {d: sum(units[k][0] == d for k in repeated) for d, _ in rows}
+    assert len(repeated) > 80
+
+
 def test_bands_are_tuned():
     hit = 0.8**paragraphs.BAND_ROWS
     assert 1 - (1 - hit) ** paragraphs.bands_for(0.8) >= paragraphs.RECALL
