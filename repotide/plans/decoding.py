@@ -116,13 +116,15 @@ def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def capture_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as captured text lines, with commas in the description and without line ends;
-    every line is followed by a banner. Some have the text for a missing description."""
-    documents = _documents(spark, sf_dir)
+    """Each document as two captured text lines with a banner between them: one has its text, with
+    commas and without line ends, the other the word that stands for a missing description."""
+
+    def line(text):
+        return F.concat_ws(",", "full_name", "pushed_at", "stargazers_count", text, "language")
+
     text = F.concat_ws(",", letters_only(F.col("description")), F.lit("end"))
-    text = F.when(F.col("doc_id") % 5 == 1, MISSING_TEXT).otherwise(text)
-    line = F.concat_ws(",", "full_name", "pushed_at", "stargazers_count", text, "language")
-    lines = documents.select(F.explode(F.array(line, F.lit("-----Poll-----"))).alias("value"))
+    captured = F.array(line(text), F.lit("-----Poll-----"), line(F.lit(MISSING_TEXT)))
+    lines = _documents(spark, sf_dir).select(F.explode(captured).alias("value"))
     return decode.decode_capture(lines).rows.select(
         "full_name",
         epoch_seconds(F.col("pushed_at")).alias("pushed_epoch"),

@@ -4,14 +4,8 @@ from __future__ import annotations
 
 _LETTERS = "regexp_replace({text}, '[^a-zA-Z ]', '', 'g')"
 
-# Documents as repositories, some without a language, a text or a key.
-_REPOS = """
-repos AS (
-  SELECT doc_id, CASE WHEN doc_id % 19 <> 7 THEN text END AS id,
-         CASE WHEN doc_id % 13 <> 5 THEN lang END AS lang,
-         CASE WHEN doc_id % 17 <> 3 THEN text END AS text, n_chars
-  FROM documents
-)"""
+# Documents as repositories, known by their texts.
+_REPOS = "repos AS (SELECT doc_id, text AS id, lang, text, n_chars FROM documents)"
 
 # The first copy of each.
 _ONCE = f"""{_REPOS},
@@ -73,9 +67,9 @@ ORACLE = {
         SELECT lang AS "Language", {_WORD_LIST} AS words FROM ranked GROUP BY lang""",
     "columns_export": f"""
         WITH {_ONCE}, c AS (SELECT lang, count(*) AS n FROM once GROUP BY lang)
-        SELECT string_agg(t.lang, ',' ORDER BY t.lang) AS lang,
-               string_agg(coalesce(n, 0)::VARCHAR, ',' ORDER BY t.lang) AS count
-        FROM {_TRACKED} LEFT JOIN c ON c.lang = t.lang""",
+        SELECT string_agg(lang, ',' ORDER BY lang) AS lang,
+               string_agg(n::VARCHAR, ',' ORDER BY lang) AS count
+        FROM c""",
     "repo_totals": f"WITH {_ONCE} SELECT lang, count(*) AS count FROM once GROUP BY lang",
     "avg_stars": f"""
         WITH {_ONCE}
@@ -220,10 +214,10 @@ ORACLE = {
         SELECT doc_id * 3 + 1, source || '/' || doc_id, n_chars, 0, lang FROM documents""",
     "capture_parse": f"""
         SELECT source || '/' || doc_id AS full_name, {_PUSHED} AS pushed_epoch,
-               n_chars AS stargazers_count, CASE WHEN doc_id % 5 <> 1 THEN
-                 {_LETTERS.format(text='text')} || ',end' END AS description,
+               n_chars AS stargazers_count, {_LETTERS.format(text='text')} || ',end' AS description,
                lang AS language
-        FROM documents""",
+        FROM documents
+        UNION ALL SELECT source || '/' || doc_id, {_PUSHED}, n_chars, NULL, lang FROM documents""",
     "state_fold": """
         SELECT event_type, list_reduce(list(user_id % 1000003 + 1), lambda a, b: a * b % 1000003)
                AS fingerprint

@@ -2,7 +2,6 @@
 
 ``documents`` are repositories: the language is the language, the text the description, its length
 the stars, the number the arrival, and the text itself identifies a repository, as copies occur.
-Some numbers stand for repositories without a language, a description or a key.
 ``events`` are pushes and numbers: the type is the language, the user the repository.
 """
 
@@ -68,15 +67,14 @@ def replayed(rows: DataFrame, name: str, order: str, batches: int = BATCHES) ->
 
 
 def repos(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    """Documents as repositories, some without a language, a description or a key."""
+    """Documents as repositories, every one as it is."""
     documents = table(spark, sf_dir, "documents", streaming)
-    number = F.col("doc_id")
     return documents.select(
-        number.alias("seq"),
-        F.when(number % 19 != 7, content_key(F.col("text"))).alias("id"),
-        F.when(number % 13 != 5, F.col("lang")).alias("language"),
+        F.col("doc_id").alias("seq"),
+        content_key(F.col("text")).alias("id"),
+        F.col("lang").alias("language"),
         F.col("n_chars").alias("stargazers_count"),
-        F.when(number % 17 != 3, F.col("text")).alias("description"),
+        F.col("text").alias("description"),
     )
 
 
