@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repotide.session import remove_folder
+
 COUNTS, RECENTS, STARS, TOP = "dash_counts", "dash_recents", "dash_stars", "dash_top10"
 
 DASHBOARD = {
@@ -60,8 +62,7 @@ def forget_batches(spark: SparkSession, path: str, before: int) -> None:
     """Remove the folders of batches ``before`` a number, for tables of snapshots."""
     for number in batch_numbers(spark, path):
         if number < before:
-            place = spark._jvm.org.apache.hadoop.fs.Path(batch_folder(path, number))
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            remove_folder(spark, batch_folder(path, number))
 
 
 def write_csv(table: DataFrame, path: str) -> None:
