@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from repotide.llm import (
+    audit,
+    centroids,
     decontaminate,
     embeddings,
     language,
@@ -10,6 +12,7 @@ from repotide.llm import (
     minhash,
     mixing,
     paragraphs,
+    pivots,
     sharding,
     suffixes,
     toxicity,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_licence_dice": licences.op8_licence_dice,
     "op9_suffix_merge_dedup": suffixes.op9_suffix_merge_dedup,
     "op10_ring_shards": sharding.op10_ring_shards,
+    "op11_ns_bounds_centroids": centroids.op11_ns_bounds_centroids,
+    "op12_filter_audit": audit.op12_filter_audit,
+    "op13_pivot_topk": pivots.op13_pivot_topk,
 }
 
 ORACLE = {
@@ -33,4 +39,7 @@ ORACLE = {
     "op5_pareto_mix": mixing.SQL,
     "op6_probminhash_dedup": minhash.SQL,
     "op8_licence_dice": licences.SQL,
+    "op11_ns_bounds_centroids": centroids.SQL,
+    "op12_filter_audit": audit.SQL,
+    "op13_pivot_topk": pivots.SQL,
 }
