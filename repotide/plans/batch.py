@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from repotide.functions.labels import language_bucket
 from repotide.functions.times import batch_end, batch_start
 from repotide.operators import dedup, filters, metrics, ranking
+from repotide.operators.windows import sliding_counts
 from repotide.plans.tables import (
     TRACKED,
     TRACKED_TYPES,
@@ -20,7 +21,7 @@ from repotide.plans.tables import (
 from repotide.session import run_dir
 from repotide.sinks import dashboard
 from repotide.sinks.report import run_report as report_lines
-from repotide.sinks.tables import as_columns, register, write_csv
+from repotide.sinks.tables import as_columns, view, write_csv
 from repotide.sources.files import read_csv, union_feeds
 
 BATCH_SECONDS = 300
@@ -168,9 +169,8 @@ def batch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nine_multiples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = metrics.divisible_counts(numbers(spark, sf_dir))
-    name = register(counts)
-    return spark.sql(f"SELECT isMultipleOf9, count FROM {name} ORDER BY count")
+    with view(metrics.divisible_counts(numbers(spark, sf_dir))) as name:
+        return spark.sql(f"SELECT isMultipleOf9, count FROM {name} ORDER BY count")
 
 
 def nine_tumbling_20s(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,6 +178,14 @@ def nine_tumbling_20s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.divisible_counts(rows, batch_start(F.col("ts"), 20).alias("window_start"))
 
 
+def sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divisible and other numbers in windows of five minutes, one every five seconds."""
+    rows = numbers(spark, sf_dir).select(
+        "ts", metrics.divisible_label(F.col("value")).alias("isMultipleOf9")
+    )
+    return sliding_counts(rows, "ts", ["isMultipleOf9"], 300, 5)
+
+
 # Table tour -----------------------------------------------------------------------------------
 
 
@@ -206,13 +214,13 @@ def sql_filter_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_filter_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = register(table(spark, sf_dir, "part"), everywhere=True)
-    return spark.sql(f"SELECT * FROM {name} WHERE p_size < 4")
+    with view(table(spark, sf_dir, "part"), everywhere=True) as name:
+        return spark.sql(f"SELECT * FROM {name} WHERE p_size < 4")
 
 
 def sql_count_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = register(table(spark, sf_dir, "part"), everywhere=True)
-    return spark.sql(f"SELECT COUNT(p_size) AS n FROM {name} WHERE p_size < 4")
+    with view(table(spark, sf_dir, "part"), everywhere=True) as name:
+        return spark.sql(f"SELECT COUNT(p_size) AS n FROM {name} WHERE p_size < 4")
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,6 +271,7 @@ QUERIES = {
     "batch_dedup": batch_dedup,
     "nine_multiples": nine_multiples,
     "nine_tumbling_20s": nine_tumbling_20s,
+    "sliding_counts": sliding_windows,
     "digits_text": digits_text,
     "digit_histogram": digit_histogram,
     "odd_numbers_first10": odd_numbers_first10,

@@ -155,6 +155,27 @@ ORACLE = {
         SELECT time_bucket(INTERVAL 20 SECOND, ts) AS window_start, {_LABEL} AS "isMultipleOf9",
                count(*) AS count
         FROM events GROUP BY ALL""",
+    "sliding_counts": f"""
+        WITH n AS (
+          SELECT unnest(generate_series(0, 59)) * INTERVAL 5 SECOND AS back,
+                 time_bucket(INTERVAL 5 SECOND, ts) AS pane, {_LABEL} AS label FROM events)
+        SELECT pane - back AS window_start, label AS "isMultipleOf9", count(*) AS count FROM n GROUP BY ALL""",
+    "stream_sliding_counts": f"""
+        WITH n AS (
+          SELECT time_bucket(INTERVAL 600 SECOND, ts) + INTERVAL 600 SECOND AS pane_end, {_LABEL} AS label
+          FROM events),
+        w AS (
+          SELECT pane_end + unnest(generate_series(0, 5)) * INTERVAL 600 SECOND AS window_end, label FROM n)
+        SELECT window_end, label AS "isMultipleOf9", count(*) AS count FROM w
+        WHERE window_end < (SELECT max(pane_end) FROM n) GROUP BY ALL""",
+    "stream_every_boundary": """
+        WITH n AS (
+          SELECT time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR AS pane_end, event_type FROM events),
+        b AS (
+          SELECT unnest(generate_series(min(pane_end), max(pane_end) - INTERVAL 6 HOUR, INTERVAL 6 HOUR))
+            AS boundary FROM n)
+        SELECT boundary, event_type AS language, count(*) AS count FROM b JOIN n ON pane_end <= boundary
+        GROUP BY ALL""",
     "digits_text": """
         SELECT o_orderkey AS "A",
                array_to_string(string_split((o_custkey + 10000)::VARCHAR, ''), ',') AS "B"

@@ -14,6 +14,7 @@ from repotide.session import run_dir
 from repotide.sinks.tables import COUNTS, RECENTS, STARS, TOP, latest_batch, read_batches
 from repotide.streaming import state
 from repotide.streaming.app import BATCH_TIME, latest_dashboard, start_repo_analytics
+from repotide.streaming.boundaries import at_boundaries
 from repotide.streaming.intake import accepted_rows, intake_table, start_intake
 from repotide.streaming.queries import BatchFunction, finish, start, to_table
 
@@ -112,6 +113,28 @@ def stream_nine_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.newest_by_key(written, ["window_start", "isMultipleOf9"], "batch_id")
 
 
+def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divisible and other numbers in the hour before every tenth minute that the stream has passed."""
+    root = run_dir(spark, "sliding")
+    rows = numbers(spark, sf_dir, streaming=True).select(
+        "ts", metrics.divisible_label(F.col("value")).alias("isMultipleOf9")
+    )
+    _replay(at_boundaries(rows, "ts", ["isMultipleOf9"], 600, 3600), to_table(f"{root}/out"), root)
+    schema = "isMultipleOf9 STRING, boundary TIMESTAMP, count BIGINT"
+    return read_batches(spark, f"{root}/out", schema).select(
+        F.col("boundary").cast("timestamp_ntz").alias("window_end"), "isMultipleOf9", "count"
+    )
+
+
+def stream_every_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pushes so far by language at every sixth hour that the stream has passed, new ones or not."""
+    root = run_dir(spark, "boundaries")
+    counts = at_boundaries(pushes(spark, sf_dir, streaming=True), "pushed_at", ["language"], 21_600)
+    _replay(counts, to_table(f"{root}/out"), root)
+    written = read_batches(spark, f"{root}/out", "language STRING, boundary TIMESTAMP, count BIGINT")
+    return written.select(F.col("boundary").cast("timestamp_ntz").alias("boundary"), "language", "count")
+
+
 MODULUS = 1_000_003
 
 
@@ -171,6 +194,8 @@ QUERIES = {
     "stream_recent": stream_recent,
     "stream_nine_running": stream_nine_running,
     "stream_nine_tumbling": stream_nine_tumbling,
+    "stream_sliding_counts": stream_sliding_counts,
+    "stream_every_boundary": stream_every_boundary,
     "state_fold": state_fold,
     "stream_dashboard": stream_dashboard,
 }

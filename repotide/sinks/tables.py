@@ -7,6 +7,8 @@ failure overwrites its own folder, so a repeated batch changes nothing.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +85,18 @@ def register(table: DataFrame, name: str | None = None, everywhere: bool = False
     return name
 
 
+@contextmanager
+def view(table: DataFrame, name: str | None = None, everywhere: bool = False) -> Iterator[str]:
+    """A view for the length of a block. What a query made of it stays valid afterwards."""
+    full = register(table, name, everywhere)
+    catalog = table.sparkSession.catalog
+    try:
+        yield full
+    finally:
+        drop = catalog.dropGlobalTempView if everywhere else catalog.dropTempView
+        drop(full.split(".")[-1])
+
+
 def describe(table: DataFrame) -> DataFrame:
     """Name, type and nullability of each column."""
     rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in table.schema.fields]

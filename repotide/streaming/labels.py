@@ -16,9 +16,14 @@ from repotide.functions.labels import language_bucket
 from repotide.functions.numbers import divisible_label
 from repotide.operators.metrics import age_counts
 from repotide.sinks.console import preview
-from repotide.sinks.tables import register
+from repotide.sinks.tables import view
 from repotide.streaming.queries import BatchFunction, start, to_table
-from repotide.streaming.state import running_counts, running_divisible, windowed_counts
+from repotide.streaming.boundaries import CLOCK, at_boundaries
+from repotide.streaming.state import SNAPSHOTS, running_counts, running_divisible, windowed_counts
+
+
+# Batches of a log that stay, unless told otherwise.
+LOGGED = 1000
 
 
 def with_arrival(rows: DataFrame) -> DataFrame:
@@ -39,8 +44,8 @@ def _both(*functions: BatchFunction) -> BatchFunction:
 
 
 def _by_count(batch: DataFrame) -> DataFrame:
-    name = register(batch)
-    return batch.sparkSession.sql(f"SELECT isMultipleOf9, count FROM {name} ORDER BY count")
+    with view(batch) as name:
+        return batch.sparkSession.sql(f"SELECT isMultipleOf9, count FROM {name} ORDER BY count")
 
 
 def start_number_analytics(
@@ -50,24 +55,35 @@ def start_number_analytics(
     every_seconds: int | None = NUMBER_BATCH_SECONDS,
     window_seconds: int = NUMBER_WINDOW_SECONDS,
     lateness: str = NUMBER_LATENESS,
+    keep: int = LOGGED,
+    steady: bool = False,
 ) -> list[StreamingQuery]:
     """Running totals of divisible and other numbers, and the same per window.
 
     Input columns: ``value`` and ``ts``. Totals go to ``running``, windows to ``windows``; both are
     also printed. A window is written once, when it can get no more rows: numbers may come
-    ``lateness`` behind the newest, after which the window's state is dropped.
+    ``lateness`` behind the newest, after which the window's state is dropped. The last few
+    snapshots of the totals stay, and the windows of the last ``keep`` batches. ``steady`` adds the table
+    ``steady``: the totals at every interval by the clock, also where no number came.
     """
     label = divisible_label(F.col("value")).alias("isMultipleOf9")
     labelled = numbers.select(F.col("ts").cast("timestamp").alias("ts"), label)
     windows = windowed_counts(
         labelled, "ts", "isMultipleOf9", size=window_seconds, lateness=lateness
     )
-    return [
+    more = []
+    if steady:
+        totals = at_boundaries(
+            labelled, "ts", ["isMultipleOf9"], every_seconds or NUMBER_BATCH_SECONDS, mode=CLOCK
+        )
+        write = to_table(f"{out}/steady", keep=keep)
+        more = [start(totals, write, f"{checkpoint}/steady", "update", every_seconds)]
+    return more + [
         start(
             running_divisible(numbers),
             _both(
                 lambda batch, batch_id: preview()(_by_count(batch), batch_id),
-                to_table(f"{out}/running", _by_count),
+                to_table(f"{out}/running", _by_count, SNAPSHOTS),
             ),
             f"{checkpoint}/running",
             "complete",
@@ -75,7 +91,7 @@ def start_number_analytics(
         ),
         start(
             windows.select(F.col("window.start").alias("start"), "isMultipleOf9", "count"),
-            _both(preview(), to_table(f"{out}/windows")),
+            _both(preview(), to_table(f"{out}/windows", keep=keep)),
             f"{checkpoint}/windows",
             "append",
             every_seconds,
@@ -88,10 +104,12 @@ def start_bucket_analytics(
     out: str,
     checkpoint: str,
     every_seconds: int | None = BATCH_SECONDS,
+    keep: int = LOGGED,
 ) -> list[StreamingQuery]:
     """Running repositories per language bucket, and old and recent ones per batch.
 
-    Input columns: ``language`` and ``pushed_at``. Totals go to ``buckets``, ages to ``ages``.
+    Input columns: ``language`` and ``pushed_at``. Totals go to ``buckets``, of which the last few
+    snapshots stay, ages to ``ages``, of which the last ``keep`` batches do.
     """
     bucket = language_bucket(F.col("language")).alias("lang")
 
@@ -101,7 +119,7 @@ def start_bucket_analytics(
     return [
         start(
             running_counts(repos, bucket),
-            _both(preview(), to_table(f"{out}/buckets")),
+            _both(preview(), to_table(f"{out}/buckets", keep=SNAPSHOTS)),
             f"{checkpoint}/buckets",
             "complete",
             every_seconds,
@@ -110,7 +128,7 @@ def start_bucket_analytics(
             with_arrival(repos),
             _both(
                 lambda batch, batch_id: preview()(ages(batch), batch_id),
-                to_table(f"{out}/ages", ages),
+                to_table(f"{out}/ages", ages, keep),
             ),
             f"{checkpoint}/ages",
             "append",

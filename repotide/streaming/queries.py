@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from repotide.session import ROCKSDB, settings
-from repotide.sinks.tables import write_batch
+from repotide.sinks.tables import forget_batches, write_batch
 
 BatchFunction = Callable[[DataFrame, int], None]
 
@@ -74,11 +74,18 @@ def start_table(
         return writer.trigger(**_trigger(every_seconds)).start()
 
 
-def to_table(path: str, change: Callable[[DataFrame], DataFrame] | None = None) -> BatchFunction:
-    """A batch function that writes each batch, after ``change``, to a result table."""
+def to_table(
+    path: str, change: Callable[[DataFrame], DataFrame] | None = None, keep: int | None = None
+) -> BatchFunction:
+    """A batch function that writes each batch, after ``change``, to a result table.
+
+    With ``keep`` the table holds the last so many batches and the newest, else all.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(change(batch) if change else batch, path, batch_id)
+        if keep is not None:
+            forget_batches(batch.sparkSession, path, batch_id - keep)
 
     return write
 
