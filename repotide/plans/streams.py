@@ -54,8 +54,10 @@ def stream_top10_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _taken_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "intake")
     rows = repos(spark, sf_dir, streaming=True).drop("description")
-    finish(start_intake(rows, "id", "seq", f"{root}/out", f"{root}/checkpoint"))
-    return intake_table(spark, f"{root}/out", "seq BIGINT, language STRING, stargazers_count BIGINT")
+    for query in start_intake(rows, "id", "seq", f"{root}/out", f"{root}/checkpoint"):
+        finish(query)
+    schema = "seq BIGINT, id BINARY, language STRING, stargazers_count BIGINT"
+    return intake_table(spark, f"{root}/out", schema, "id")
 
 
 def stream_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:

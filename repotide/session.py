@@ -97,6 +97,11 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of written rows that nothing reads any more; a missing one is no error."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

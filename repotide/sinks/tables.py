@@ -33,6 +33,23 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
 
+def publish_once(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch for streaming readers: it appears by one rename, and stays as it is if it is there.
+
+    A batch that runs again thus adds no file that a reader would take for a new one.
+    """
+    spark = rows.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(batch_folder(path, batch_id))
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target):
+        return
+    # Readers pass over names that start so.
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    rows.write.parquet(staged)
+    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(staged), target):
+        raise OSError(f"batch {batch_id} could not be published below {path}")
+
+
 def read_batch(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(batch_folder(path, batch_id))
 

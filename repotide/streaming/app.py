@@ -1,13 +1,13 @@
 """The repository stream application: four analyses of one stream, each row taken in once.
 
-Three queries, none of which costs more for a longer history:
+Four queries, none of which costs more for a longer history or runs Python:
 
-* **intake** writes every row to the table ``rows``, marked as accepted or with the reason why not
-  (``streaming.intake``); each batch is stamped with its logged time.
-* **panels** reads that table as a stream. Per batch it adds the accepted rows to the totals and
-  average stars of the batch before (a row per language), and counts the recently pushed
-  repositories of the intake's batches, whether or not they were seen before.
-* **words** counts the words of accepted rows in streaming state and keeps the top list.
+* **arrivals** writes every row to a table, and **seen** finds the accepted ones (``streaming.intake``);
+  each batch is stamped with its logged time. With the new repositories of a batch, ``seen`` adds to the
+  totals and average stars of the batch before (a row per language), and counts their words.
+* **recents** reads the arrivals as a stream and counts the recently pushed repositories of their
+  batches, whether or not they were seen before.
+* **words** adds up those word counts in streaming state and keeps the top list.
 
 Snapshots older than a few batches are removed; the history of recent counts holds the last points
 of each language.
@@ -35,8 +35,9 @@ from repotide.operators.ranking import as_shown, last_values, word_lists
 from repotide.sinks import dashboard, tables
 from repotide.sinks.console import show_batch
 from repotide.sinks.report import run_report
-from repotide.sinks.tables import forget_batches, latest_batch, read_batch, write_batch
-from repotide.streaming.intake import accepted_rows, intake_table, start_intake
+from repotide.session import make_folder
+from repotide.sinks.tables import forget_batches, latest_batch, publish_once, read_batch, write_batch
+from repotide.streaming.intake import PLACE, TAKEN, arrivals, intake_table, rows_at, start_intake
 from repotide.streaming.queries import finish, start
 from repotide.streaming.state import RANKED, RUNNING_TOTALS, SNAPSHOTS, keep_top_words
 
@@ -48,12 +49,14 @@ ROWS = (
 HISTORY = "batch_time TIMESTAMP, Language STRING, Recents BIGINT"
 
 
+NEW_WORDS = "language STRING, word STRING, freq BIGINT"
+
+
 @dataclass
-class Panels:
-    """Batch function over marked rows: totals, stars, recent counts and their history."""
+class Results:
+    """Named result tables of a run."""
 
     out: str
-    recent_seconds: int = RECENT_SECONDS
     quiet: bool = True
 
     def path(self, name: str) -> str:
@@ -69,27 +72,40 @@ class Panels:
             show_batch(name, datetime.now(timezone.utc), written)
         return written
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
-        try:
-            counts = recent_counts(batch, [BATCH_TIME], F.col(BATCH_TIME), self.recent_seconds)
-            recents = counts.select(
-                BATCH_TIME, F.col("language").alias("Language"), F.col("recents").alias("Recents")
-            )
-            recents = self.publish(tables.RECENTS, recents, batch_id, tables.DASHBOARD[tables.RECENTS])
-            totals = star_totals(accepted_rows(batch))
-            if batch_id > 0:
-                before = read_batch(spark, self.path("totals"), batch_id - 1, RUNNING_TOTALS)
-                totals = add_totals(totals, before)
-            write_batch(totals, self.path("totals"), batch_id)
-        finally:
-            batch.unpersist()
+
+@dataclass
+class NewRepos(Results):
+    """Batch function over new repositories: totals and stars so far, and the words of the batch."""
+
+    def __call__(self, new: DataFrame, batch_id: int) -> None:
+        spark = new.sparkSession
+        totals = star_totals(new)
+        if batch_id > 0:
+            before = read_batch(spark, self.path("totals"), batch_id - 1, RUNNING_TOTALS)
+            totals = add_totals(totals, before)
+        write_batch(totals, self.path("totals"), batch_id)
         forget_batches(spark, self.path("totals"), batch_id - SNAPSHOTS)
         totals = read_batch(spark, self.path("totals"), batch_id, RUNNING_TOTALS)
         shown = totals.select(F.col("language").alias("lang"), "count")
         self.publish(tables.COUNTS, shown, batch_id, tables.DASHBOARD[tables.COUNTS])
         self.publish(tables.STARS, average_stars(totals), batch_id, tables.DASHBOARD[tables.STARS])
+        texts = rows_at(spark, self.out, "language STRING, description STRING", new.select(TAKEN, PLACE))
+        publish_once(word_counts(texts), self.path("new_words"), batch_id)
+
+
+@dataclass
+class Recents(Results):
+    """Batch function over arrivals: recent counts and their history."""
+
+    recent_seconds: int = RECENT_SECONDS
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        counts = recent_counts(batch, [BATCH_TIME], F.col(BATCH_TIME), self.recent_seconds)
+        recents = counts.select(
+            BATCH_TIME, F.col("language").alias("Language"), F.col("recents").alias("Recents")
+        )
+        recents = self.publish(tables.RECENTS, recents, batch_id, tables.DASHBOARD[tables.RECENTS])
         if batch_id > 0:
             recents = recents.unionByName(read_batch(spark, self.path("history"), batch_id - 1, HISTORY))
         last = last_values(recents, "Language", BATCH_TIME, HISTORY_LENGTH).drop("rank")
@@ -111,11 +127,6 @@ def top_panel(out: str, top: int = TOP_WORDS, quiet: bool = True):
     return run
 
 
-def _make(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
-
-
 def start_repo_analytics(
     repos: DataFrame,
     out: str,
@@ -131,7 +142,8 @@ def start_repo_analytics(
     Input columns: ``id``, ``seq`` (arrival, a number or text), ``language``, ``pushed_at``,
     ``stargazers_count`` and ``description``. Recency is taken at ``batch_time`` where there is such
     a column, else at the time logged for the batch of the intake. Without an interval everything
-    that is there is taken in first, then the other queries work it off and end.
+    that is there is taken in first, then the other queries work it off and end. Rows that are not
+    accepted are in ``rejects``.
     """
     spark = repos.sparkSession
     if BATCH_TIME not in repos.columns:
@@ -139,27 +151,40 @@ def start_repo_analytics(
     kinds = {name: repos.schema[name].dataType.simpleString() for name in ("id", "seq")}
     schema = ROWS.format(**kinds)
     repos = repos.select(*(part.split()[0] for part in schema.split(", ")))
-    rows = f"{out}/rows"
-    _make(spark, rows)
-    taken = start_intake(repos, "id", "seq", rows, f"{checkpoint}/intake", every_seconds, retention)
+    words = f"{out}/new_words"
+    make_folder(spark, words)
+    intake = start_intake(
+        repos,
+        "id",
+        "seq",
+        out,
+        f"{checkpoint}/intake",
+        every_seconds,
+        retention,
+        ["language", "stargazers_count"],
+        NewRepos(out, quiet),
+    )
     if every_seconds is None:
-        finish(taken)
-
-    def read() -> DataFrame:
-        return intake_table(spark, rows, schema, streaming=True)
-
-    panels = Panels(out, recent_seconds, quiet)
-    words = word_counts(accepted_rows(read()))
+        for query in intake:
+            finish(query)
+    pushed = f"id {kinds['id']}, language STRING, pushed_at TIMESTAMP, {BATCH_TIME} TIMESTAMP"
+    pushes = arrivals(spark, out, pushed, streaming=True)
+    counts = spark.readStream.schema(f"{NEW_WORDS}, batch_id BIGINT").parquet(words)
+    counts = counts.groupBy("language", "word").agg(F.sum("freq").alias("freq"))
+    recents = Recents(out, quiet, recent_seconds)
     return [
-        taken,
-        start(read().drop("description"), panels, f"{checkpoint}/panels", "append", every_seconds),
-        start(words, top_panel(out, top, quiet), f"{checkpoint}/words", "update", every_seconds),
+        *intake,
+        start(pushes, recents, f"{checkpoint}/recents", "append", every_seconds),
+        start(counts, top_panel(out, top, quiet), f"{checkpoint}/words", "update", every_seconds),
     ]
 
 
 def rejects(spark: SparkSession, out: str, schema: str) -> DataFrame:
-    """The rows a run did not accept, with the reason; ``schema`` names the columns wanted."""
-    return intake_table(spark, f"{out}/rows", schema).where("not accepted").drop("accepted")
+    """The rows a run did not accept, with the reason.
+
+    ``schema`` names the columns wanted, among them ``id`` and ``language``.
+    """
+    return intake_table(spark, out, schema, "id").where("not accepted").drop("accepted")
 
 
 def run_report_of(

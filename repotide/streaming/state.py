@@ -67,19 +67,21 @@ def distinct_rows(
 
 
 def first_seen_updates(
-    stream: DataFrame, key: str, arrival: str, payload: Sequence[str]
+    stream: DataFrame, key: str, arrival: str | Sequence[str], payload: Sequence[str], *more: Column
 ) -> DataFrame:
-    """Per key the payload of its earliest row, for update mode.
+    """Per key the payload of its earliest row by ``arrival``, for update mode.
 
     Rows are stamped with the batch clock, which is one value per micro-batch and is logged, so
     that a repeated batch has it again. A key is new in this batch when its first and last stamp
-    agree. State holds the payload: keep it to a few narrow columns. Rows without a key or a
-    language are left out.
+    agree. State holds the payload: keep it to a few narrow columns. ``more`` are further aggregates
+    over all rows of the key. Rows without a key or a language are left out.
     """
+    order = [arrival] if isinstance(arrival, str) else arrival
     stamped = countable(stream, key).withColumn("stamp", F.current_timestamp())
     return stamped.groupBy(key).agg(
-        F.min_by(F.struct(*payload), F.struct("stamp", arrival)).alias("row"),
+        F.min_by(F.struct(*payload), F.struct("stamp", *order)).alias("row"),
         (F.min("stamp") == F.max("stamp")).alias("is_new"),
+        *more,
     )
 
 

@@ -15,16 +15,17 @@ from repotide.sinks.console import NOTHING
 from repotide.streaming import state
 from repotide.streaming.app import (
     HISTORY,
-    Panels,
+    NewRepos,
+    Recents,
     latest_dashboard,
     rejects,
     run_report_of,
     start_repo_analytics,
     top_panel,
 )
-from repotide.streaming.intake import accepted_rows, intake_table, start_intake
+from repotide.streaming.intake import PENDING, accepted_rows, arrivals, intake_table, start_intake
 from repotide.streaming.labels import start_bucket_analytics, start_number_analytics
-from repotide.streaming.queries import finish, start, to_table
+from repotide.streaming.queries import finish, start, start_table, to_table
 
 REPOS = (
     "seq BIGINT, id BIGINT, language STRING, pushed_at TIMESTAMP, stargazers_count BIGINT, "
@@ -241,16 +242,29 @@ def test_fold_with_own_functions(spark, folder, how, partitions, arrow_rows):
 # Exact intake ------------------------------------------------------------------------------------------
 
 
-def take_in(spark, folder, retention=None):
-    return start_intake(stream(spark, f"{folder}/in"), "id", "seq", f"{folder}/out", f"{folder}/c", retention=retention)
+class Done:
+    """All queries of a run as one."""
+
+    def __init__(self, queries):
+        self.queries = queries
+
+    def awaitTermination(self):
+        for query in self.queries:
+            finish(query)
+
+
+def take_in(spark, folder, **more):
+    return Done(start_intake(stream(spark, f"{folder}/in"), "id", "seq", f"{folder}/out", f"{folder}/c", **more))
 
 
-@pytest.mark.parametrize("arrow_rows", [10_000, 9])
-def test_intake_equals_the_batch_result(spark, folder, arrow_rows):
+def taken_in(spark, folder):
+    return intake_table(spark, f"{folder}/out", REPOS, "id")
+
+
+def test_intake_equals_the_batch_result(spark, folder):
     rows = made_rows() + [(900, None, "C", NOON, 1, "x"), (901, None, None, None, None, None)]
-    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=arrow_rows):
-        in_two_runs(spark, folder, rows, lambda: take_in(spark, folder))
-    table = intake_table(spark, f"{folder}/out", REPOS)
+    in_two_runs(spark, folder, rows, lambda: take_in(spark, folder))
+    table = taken_in(spark, folder)
     whole = ["seq", "id", "language", "pushed_at", "stargazers_count", "description"]
     assert rows_of(accepted_rows(table), *whole) == rows_of(accepted(spark, rows), *whole)
     rejected = dedup.rejected_rows(batch_of(spark, rows), "id", "seq")
@@ -261,7 +275,53 @@ def test_intake_equals_the_batch_result(spark, folder, arrow_rows):
 def test_equal_rows_are_accepted_once(spark, folder):
     arrive(spark, f"{folder}/in", [(0, 1, "C", NOON, 1, "x")] * 3, 1)
     finish(take_in(spark, folder, retention="7d"))
-    assert accepted_rows(intake_table(spark, f"{folder}/out", REPOS)).count() == 1
+    assert rows_of(taken_in(spark, folder), "accepted", "reason") == [(False, "duplicate")] * 2 + [(True, None)]
+
+
+def test_rows_not_read_yet_are_pending(spark, folder):
+    rows = made_rows(60)
+    arrive(spark, f"{folder}/in", rows[:30], 1)
+    finish(take_in(spark, folder))
+    # The second half is taken in, but the query for new keys has not run on it.
+    arrive(spark, f"{folder}/in", rows[30:], 1, first=1)
+    stamped = stream(spark, f"{folder}/in").withColumn("taken", F.unix_millis(F.current_timestamp()))
+    finish(start_table(stamped, f"{folder}/out/arrivals", f"{folder}/c/arrivals", ["taken"]))
+    found = taken_in(spark, folder)
+    assert found.count() == 60
+    late = rows_of(found.where("seq >= 30"), "seq", "reason")
+    assert late == sorted(((r[0], PENDING if r[2] else "no language") for r in rows[30:]), key=repr)
+    finish(take_in(spark, folder))
+    assert rows_of(accepted_rows(taken_in(spark, folder)), "seq") == rows_of(accepted(spark, rows), "seq")
+
+
+def test_the_intake_holds_no_text_and_runs_no_python(spark, folder):
+    arrive(spark, f"{folder}/in", made_rows(20), 1)
+    done = take_in(spark, folder)
+    for query in done.queries:
+        finish(query)
+        plan = query._jsq.explainInternal(False)
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    seen = done.queries[1]._jsq.explainInternal(False)
+    assert "description" not in seen and "stargazers_count" not in seen and "StateStoreSave" in seen
+
+
+def test_a_repeated_batch_of_new_rows_changes_nothing(spark, folder):
+    rows, calls = made_rows(), []
+    new_repos = NewRepos(f"{folder}/out")
+
+    def twice(new, batch_id):
+        calls.append(batch_id)
+        new_repos(new, batch_id)
+        new_repos(new, batch_id)
+
+    in_two_runs(spark, folder, rows, lambda: take_in(spark, folder, payload=["language", "stargazers_count"], on_new=twice))
+    assert len(calls) > 1
+    once = accepted(spark, rows)
+    totals = tables.latest_batch(spark, f"{folder}/out/totals", state.RUNNING_TOTALS)
+    assert rows_of(totals) == rows_of(metrics.star_totals(once))
+    words = tables.read_batches(spark, f"{folder}/out/new_words", "language STRING, word STRING, freq BIGINT")
+    assert rows_of(words.groupBy("language", "word").agg(F.sum("freq"))) == rows_of(metrics.word_counts(once))
+    assert [n for n in os.listdir(f"{folder}/out/new_words") if n.startswith("_staged")] == []
 
 
 def test_large_numbers_and_nulls_come_back_exactly(spark, folder):
@@ -269,7 +329,7 @@ def test_large_numbers_and_nulls_come_back_exactly(spark, folder):
     rows = [(big, big, "C", NOON, None, None), (big + 1, big + 2, "C", None, big, "x")]
     arrive(spark, f"{folder}/in", rows, 1)
     finish(take_in(spark, folder))
-    table = accepted_rows(intake_table(spark, f"{folder}/out", REPOS))
+    table = accepted_rows(taken_in(spark, folder))
     assert rows_of(table, "seq", "id", "stargazers_count", "description") == [
         (big, big, None, None), (big + 1, big + 2, big, "x")]
 
@@ -316,17 +376,6 @@ def stamped(spark, folder):
     )
 
 
-class Done:
-    """All queries of a run as one."""
-
-    def __init__(self, queries):
-        self.queries = queries
-
-    def awaitTermination(self):
-        for query in self.queries:
-            finish(query)
-
-
 def analyse(source, folder, **options):
     return Done(start_repo_analytics(source, f"{folder}/out", f"{folder}/c", None, **options))
 
@@ -352,21 +401,25 @@ def test_application_over_a_restart(spark, folder, capsys):
     assert "dash_top10 | batch" in printed and "dash_recents" in printed
 
 
-def test_panels_repeat_a_batch_without_change(spark, folder):
-    rows = [(*r, clock(r[0] // 60), None if r[2] else "no language", r[2] is not None) for r in made_rows(180)]
-    schema = f"{REPOS}, batch_time TIMESTAMP, reason STRING, accepted BOOLEAN"
-    panels = Panels(folder)
+def test_recents_repeat_a_batch_without_change(spark, folder):
+    rows = [(*r, clock(r[0] // 60)) for r in made_rows(180)]
+    recents = Recents(folder)
     for batch_id, part in ((0, rows[:60]), (1, rows[60:120]), (1, rows[60:120]), (2, rows[120:]), (2, rows[120:])):
-        panels(batch_of(spark, part, schema), batch_id)
-    totals = tables.latest_batch(spark, f"{folder}/totals", state.RUNNING_TOTALS)
-    expected = metrics.star_totals(filters.with_language(batch_of(spark, rows, schema)))
-    assert rows_of(totals) == rows_of(expected)
+        recents(batch_of(spark, part, f"{REPOS}, batch_time TIMESTAMP"), batch_id)
+    history = tables.latest_batch(spark, f"{folder}/history", HISTORY)
+    assert rows_of(history, "batch_time", "Language", "Recents") == sorted(
+        ((clock(i).replace(tzinfo=None), language, n)
+         for i in range(3) for language, n in plain_recents([r[:6] for r in rows[i * 60:(i + 1) * 60]], clock(i)).items()),
+        key=repr,
+    )
 
 
-def test_panels_of_an_empty_batch(spark, folder, capsys):
-    schema = f"{REPOS}, batch_time TIMESTAMP, reason STRING, accepted BOOLEAN"
-    Panels(folder, quiet=False)(batch_of(spark, [], schema), 0)
+def test_results_of_an_empty_batch(spark, folder, capsys):
+    arrive(spark, f"{folder}/in", [(0, None, "C", NOON, 1, "x")], 1)
+    finish(take_in(spark, folder, payload=["language", "stargazers_count"], on_new=NewRepos(f"{folder}/out", quiet=False)))
+    Recents(folder, quiet=False)(batch_of(spark, [], f"{REPOS}, batch_time TIMESTAMP"), 0)
     assert capsys.readouterr().out.count(NOTHING) == 3
+    assert arrivals(spark, f"{folder}/out", REPOS).count() == 1
 
 
 def test_every_ranked_word_is_printed(spark, folder, capsys):
