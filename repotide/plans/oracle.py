@@ -155,6 +155,18 @@ ORACLE = {
         SELECT time_bucket(INTERVAL 20 SECOND, ts) AS window_start, {_LABEL} AS "isMultipleOf9",
                count(*) AS count
         FROM events GROUP BY ALL""",
+    "stream_avg_stars_join": """
+        WITH w AS (
+          SELECT doc_id // 100 AS w, lang, sum(n_chars)::DOUBLE / count(*) AS a FROM documents
+          WHERE lang IS NOT NULL GROUP BY ALL)
+        SELECT TIMESTAMP '2024-01-01' + w * INTERVAL 100 SECOND AS window_start, lang AS "Language",
+               a AS "Average_Stars"
+        FROM w WHERE (w + 1) * 100 <= (SELECT max(doc_id) FROM documents) - 10""",
+    "stream_union_feeds": """
+        WITH last AS (SELECT lang, max(doc_id) AS doc_id FROM documents GROUP BY lang)
+        SELECT TIMESTAMP '2024-01-01' + doc_id // 100 * INTERVAL 100 SECOND AS window_start,
+               lang AS language, count(*) AS count
+        FROM documents WHERE (doc_id // 100 + 1) * 100 <= (SELECT min(doc_id) FROM last) GROUP BY ALL""",
     "sliding_counts": f"""
         WITH n AS (
           SELECT unnest(generate_series(0, 59)) * INTERVAL 5 SECOND AS back,
@@ -283,5 +295,6 @@ for _stream, _same in {
     "stream_recent": "recent_per_batch",
     "stream_nine_running": "nine_multiples",
     "stream_nine_tumbling": "nine_tumbling_20s",
+    "stream_poll_rounds": "poll_dedup",
 }.items():
     ORACLE[_stream] = ORACLE[_same]

@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotide.functions.times import batch_end
-from repotide.operators import metrics, ranking
-from repotide.operators.dedup import newest_pushes
-from repotide.plans.batch import BATCH_SECONDS
-from repotide.plans.tables import TRACKED, numbers, pushes, repos
+from repotide.operators import filters, metrics, ranking
+from repotide.operators.dedup import latest_page, newest_pushes
+from repotide.plans.batch import BATCH_SECONDS, DAY_SECONDS
+from repotide.plans.tables import (
+    BATCHES,
+    TRACKED,
+    edges_of,
+    numbers,
+    pushes,
+    replayed,
+    repos,
+    table,
+)
 from repotide.session import run_dir
-from repotide.sinks.tables import COUNTS, RECENTS, STARS, TOP, latest_batch, read_batches
+from repotide.sinks.tables import (
+    COUNTS,
+    RECENTS,
+    STARS,
+    TOP,
+    latest_batch,
+    publish_once,
+    read_batches,
+)
+from repotide.sources.files import union_streams
+from repotide.sources.polls import stream_polls
 from repotide.streaming import state
 from repotide.streaming.app import BATCH_TIME, latest_dashboard, start_repo_analytics
 from repotide.streaming.boundaries import at_boundaries
@@ -115,6 +136,64 @@ def stream_nine_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.newest_by_key(written, ["window_start", "isMultipleOf9"], "batch_id")
 
 
+START = 1_704_067_200
+
+
+def stream_avg_stars_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Average stars by language of every hundred seconds of pushes, a second apart, that have passed."""
+    root = run_dir(spark, "joined")
+    rows = repos(spark, sf_dir, streaming=True).select(
+        "language", "stargazers_count", F.timestamp_seconds(START + F.col("seq")).alias("pushed_at")
+    )
+    averages = state.joined_averages(rows, "pushed_at", 100, "10 seconds")
+    _replay(averages, to_table(f"{root}/out"), root, "append")
+    written = read_batches(
+        spark, f"{root}/out", "window_start TIMESTAMP, Language STRING, Average_Stars DOUBLE"
+    )
+    start_time = F.col("window_start").cast("timestamp_ntz").alias("window_start")
+    return written.select(start_time, "Language", "Average_Stars")
+
+
+def stream_union_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per language and hundred seconds from a feed for each language, one of which is slow.
+
+    The feeds' watermarks advance on their own, and windows close when the slowest feed has passed.
+    """
+    root = run_dir(spark, "feeds")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    # As many feeds as there are languages.
+    names = sorted(row["lang"] or "" for row in documents.select("lang").distinct().collect())
+    feeds = []
+    for i, name in enumerate(names):
+        own = documents.where(F.coalesce("lang", F.lit("")) == name)
+        feed = replayed(own, f"feed-{i}", "doc_id", 2 * BATCHES if i == 0 else BATCHES, "doc_id BIGINT, lang STRING")
+        feeds.append(feed.withColumn("ts", F.timestamp_seconds(START + F.col("doc_id"))))
+    rows = union_streams(feeds, "ts", ["0 seconds"] * len(feeds))
+    counts = metrics.count_by(rows, F.window("ts", "100 seconds"), "lang")
+    counts = counts.select(F.col("window.start").alias("window_start"), "lang", "count")
+    _replay(counts, to_table(f"{root}/out"), root, "append")
+    written = read_batches(spark, f"{root}/out", "window_start TIMESTAMP, lang STRING, count BIGINT")
+    start_time = F.col("window_start").cast("timestamp_ntz").alias("window_start")
+    return written.select(start_time, F.col("lang").alias("language"), "count")
+
+
+def stream_poll_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day's pushes as a poll round; rounds come in while the query is stopped, and it goes on."""
+    root = run_dir(spark, "polls")
+    rows = filters.in_polls(pushes(spark, sf_dir), "pushed_at", DAY_SECONDS)
+    columns = ["seq", "id", "language", "pushed_at", "poll"]
+    day = F.datediff(F.col("poll").cast("date"), F.lit("1970-01-01").cast("date"))
+    rows = rows.select(*columns, day.alias("day"))
+    schema = "seq BIGINT, id BIGINT, language STRING, pushed_at TIMESTAMP_NTZ, poll TIMESTAMP_NTZ"
+    pages = to_table(f"{root}/out", lambda batch: latest_page(batch, "poll"))
+    for low, high in pairwise(edges_of(rows, "day", 3)):
+        for number in range(low, high):
+            publish_once(rows.where(F.col("day") == number).select(*columns), f"{root}/in", number)
+        _replay(stream_polls(spark, f"{root}/in", schema), pages, root, "append")
+    page = "poll TIMESTAMP_NTZ, language STRING, id BIGINT, pushed_at TIMESTAMP_NTZ, rank INT"
+    return read_batches(spark, f"{root}/out", page).drop("batch_id")
+
+
 def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divisible and other numbers in the hour before every tenth minute that the stream has passed."""
     root = run_dir(spark, "sliding")
@@ -196,6 +275,9 @@ QUERIES = {
     "stream_recent": stream_recent,
     "stream_nine_running": stream_nine_running,
     "stream_nine_tumbling": stream_nine_tumbling,
+    "stream_avg_stars_join": stream_avg_stars_join,
+    "stream_union_feeds": stream_union_feeds,
+    "stream_poll_rounds": stream_poll_rounds,
     "stream_sliding_counts": stream_sliding_counts,
     "stream_every_boundary": stream_every_boundary,
     "state_fold": state_fold,

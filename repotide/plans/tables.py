@@ -46,7 +46,15 @@ def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
     return replayed(rows, name, ORDER[name]) if streaming else rows
 
 
-def replayed(rows: DataFrame, name: str, order: str, batches: int = BATCHES) -> DataFrame:
+def edges_of(rows: DataFrame, order: str, parts: int) -> list[int]:
+    """Borders of equal ranges of a column of whole numbers; none without rows."""
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    return [] if low is None else [low + (high + 1 - low) * i // parts for i in range(parts + 1)]
+
+
+def replayed(
+    rows: DataFrame, name: str, order: str, batches: int = BATCHES, schema: str | None = None
+) -> DataFrame:
     """A table as a stream of several micro-batches, in the order of a column.
 
     Ranges of the column are written one after the other, and files are read in the order of their
@@ -54,16 +62,15 @@ def replayed(rows: DataFrame, name: str, order: str, batches: int = BATCHES) ->
     """
     spark = rows.sparkSession
     path = run_dir(spark, f"replay-{name}")
-    low, high = rows.agg(F.min(order), F.max(order)).first()
-    edges = [] if low is None else [low + (high + 1 - low) * i // batches for i in range(batches + 1)]
+    edges = edges_of(rows, order, batches)
     files = 1
     for a, b in zip(edges, edges[1:]):
         part = rows.where((F.col(order) >= a) & (F.col(order) < b))
         part.write.mode("append").parquet(path)
         files = max(files, -(-len(spark.read.schema(rows.schema).parquet(path).inputFiles()) // batches))
-    if low is None:
+    if not edges:
         rows.write.parquet(path)
-    return stream_table(spark, path, SCHEMAS[name], files)
+    return stream_table(spark, path, schema or SCHEMAS[name], files)
 
 
 def repos(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:

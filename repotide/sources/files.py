@@ -78,6 +78,16 @@ def random_integers(
     return rate.select("timestamp", (F.pmod(F.xxhash64("value"), F.lit(bound)) + 1).alias("value"))
 
 
+def union_streams(feeds: Sequence[DataFrame], time: str, lateness: Sequence[str]) -> DataFrame:
+    """One stream of several feeds, each with a watermark of its own.
+
+    What reads it sees the watermark of the feed that is farthest behind, or ahead, as
+    ``streaming.queries.start`` is told by ``watermark``. With the former no row is too late because
+    another feed is faster, and nothing closes while a feed has never brought a row.
+    """
+    return union_feeds([feed.withWatermark(time, delay) for feed, delay in zip(feeds, lateness, strict=True)])
+
+
 def union_feeds(feeds: Sequence[DataFrame]) -> DataFrame:
     """All rows of all feeds, matched by column name; works on streams too."""
     return reduce(DataFrame.unionByName, feeds)

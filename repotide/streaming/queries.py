@@ -26,10 +26,11 @@ def adaptive(on_batch: BatchFunction) -> BatchFunction:
     return run
 
 
-def _configured(spark: SparkSession):
+def _configured(spark: SparkSession, watermark: str = "min"):
     """State lives in RocksDB, outside the heap, with changes logged to the checkpoint."""
     return settings(
         spark,
+        spark__sql__streaming__multipleWatermarkPolicy=watermark,
         spark__sql__streaming__stateStore__providerClass=ROCKSDB,
         spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
     )
@@ -45,15 +46,17 @@ def start(
     checkpoint: str,
     mode: str = "update",
     every_seconds: int | None = None,
+    watermark: str = "min",
 ) -> StreamingQuery:
     """Start a query that hands each micro-batch to ``on_batch``.
 
     ``every_seconds`` sets the batch interval; without it the query works through what is there
     and ends. The first start freezes the session's shuffle partitions in the checkpoint as the
-    number of state partitions; they must suit the whole cluster.
+    number of state partitions; they must suit the whole cluster. ``watermark`` says which of several
+    feeds sets the watermark: the one farthest behind (``min``) or ahead (``max``); it is frozen too.
     """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    with _configured(stream.sparkSession):
+    with _configured(stream.sparkSession, watermark):
         return writer.foreachBatch(adaptive(on_batch)).trigger(**_trigger(every_seconds)).start()
 
 

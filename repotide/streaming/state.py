@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from repotide.fixed import NUMBER_WINDOW_SECONDS, TOP_WORDS
+from repotide.functions.numbers import ratio_or_zero
 from repotide.operators.filters import countable
 from repotide.operators.metrics import add_totals, count_by, divisible_counts, star_totals
 from repotide.operators.ranking import ranked_words
@@ -49,6 +50,25 @@ def windowed_counts(
     return count_by(rows, window, *keys)
 
 
+def joined_averages(stream: DataFrame, time: str, size: int, lateness: str) -> DataFrame:
+    """(window_start, Language, Average_Stars): two running aggregates of one stream, joined.
+
+    Counts and star sums are aggregated per window and language on their own, each behind its
+    watermark, and joined when their window closes; in append mode. Both sides drop the same late rows,
+    and the join holds a window only until the watermark has passed it. A window has a row per language
+    on either side, so the join is as small as its result.
+    """
+    rows = countable(stream, time).withWatermark(time, lateness)
+    window = F.window(time, f"{size} seconds")
+    counts = count_by(rows, window, "language")
+    stars = rows.groupBy(window, "language").agg(F.sum("stargazers_count").alias("stars"))
+    return counts.join(stars, ["window", "language"]).select(
+        F.col("window.start").alias("window_start"),
+        F.col("language").alias("Language"),
+        ratio_or_zero(F.col("stars"), F.col("count")).alias("Average_Stars"),
+    )
+
+
 def running_divisible(numbers: DataFrame) -> DataFrame:
     return divisible_counts(numbers)
 
