@@ -167,6 +167,10 @@ ORACLE = {
         SELECT TIMESTAMP '2024-01-01' + doc_id // 100 * INTERVAL 100 SECOND AS window_start,
                lang AS language, count(*) AS count
         FROM documents WHERE (doc_id // 100 + 1) * 100 <= (SELECT min(doc_id) FROM last) GROUP BY ALL""",
+    "stream_first_numbers": """
+        SELECT event_id AS seq, user_id AS id, event_type AS language FROM events
+        WHERE user_id IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1""",
     "sliding_counts": f"""
         WITH n AS (
           SELECT unnest(generate_series(0, 59)) * INTERVAL 5 SECOND AS back,
@@ -296,5 +300,6 @@ for _stream, _same in {
     "stream_nine_running": "nine_multiples",
     "stream_nine_tumbling": "nine_tumbling_20s",
     "stream_poll_rounds": "poll_dedup",
+    "stream_state": "nine_multiples",
 }.items():
     ORACLE[_stream] = ORACLE[_same]

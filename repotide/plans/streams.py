@@ -31,13 +31,13 @@ from repotide.sinks.tables import (
     publish_once,
     read_batches,
 )
-from repotide.sources.files import union_streams
+from repotide.sources.files import stream_table, union_streams
 from repotide.sources.polls import stream_polls
 from repotide.streaming import state
 from repotide.streaming.app import BATCH_TIME, latest_dashboard, start_repo_analytics
 from repotide.streaming.boundaries import at_boundaries
 from repotide.streaming.intake import accepted_rows, intake_table, start_intake
-from repotide.streaming.queries import BatchFunction, finish, start, to_table
+from repotide.streaming.queries import BatchFunction, finish, read_state, start, to_table
 
 
 def _replay(stream: DataFrame, on_batch: BatchFunction, root: str, mode: str = "update") -> None:
@@ -216,6 +216,28 @@ def stream_every_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.select(F.col("boundary").cast("timestamp_ntz").alias("boundary"), "language", "count")
 
 
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is in the state of a running count that was stopped half way and started again."""
+    root = run_dir(spark, "state")
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("value"))
+    for low, high in pairwise(edges_of(rows, "event_id", 2)):
+        part = rows.where((F.col("event_id") >= low) & (F.col("event_id") < high))
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = stream_table(spark, f"{root}/in", "event_id BIGINT, value BIGINT")
+        labelled = stream.select(metrics.divisible_label(F.col("value")).alias("isMultipleOf9"))
+        _replay(state.running_counts(labelled, "isMultipleOf9"), to_table(f"{root}/out"), root)
+    return read_state(spark, f"{root}/checkpoint").select("key.isMultipleOf9", "value.count")
+
+
+def stream_first_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first push of each repository number, with the numbers seen kept as bitmaps."""
+    root = run_dir(spark, "numbers")
+    rows = pushes(spark, sf_dir, streaming=True).select("seq", "id", "language")
+    _replay(rows, state.keep_first_of_numbers(f"{root}/out", "id", "seq"), root, "append")
+    schema = "seq BIGINT, id BIGINT, language STRING"
+    return read_batches(spark, f"{root}/out/rows", schema).drop("batch_id")
+
+
 MODULUS = 1_000_003
 
 
@@ -278,6 +300,8 @@ QUERIES = {
     "stream_avg_stars_join": stream_avg_stars_join,
     "stream_union_feeds": stream_union_feeds,
     "stream_poll_rounds": stream_poll_rounds,
+    "stream_state": stream_state,
+    "stream_first_numbers": stream_first_numbers,
     "stream_sliding_counts": stream_sliding_counts,
     "stream_every_boundary": stream_every_boundary,
     "state_fold": state_fold,

@@ -93,6 +93,15 @@ def to_table(
     return write
 
 
+def read_state(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """(key, value, partition_id): what a stateful operator of a stopped query holds.
+
+    As of the last batch it finished; a batch that failed has left nothing in it.
+    """
+    with _configured(spark):
+        return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+
+
 def finish(query: StreamingQuery) -> None:
     """Wait for a query that ends by itself; its failure is raised here."""
     query.awaitTermination()

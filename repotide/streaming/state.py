@@ -15,6 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from repotide.fixed import NUMBER_WINDOW_SECONDS, TOP_WORDS
 from repotide.functions.numbers import ratio_or_zero
+from repotide.operators import seen
 from repotide.operators.filters import countable
 from repotide.operators.metrics import add_totals, count_by, divisible_counts, star_totals
 from repotide.operators.ranking import ranked_words
@@ -123,6 +124,27 @@ def add_new_rows(path: str) -> BatchFunction:
     return add
 
 
+def keep_first_of_numbers(path: str, number: str, arrival: str) -> BatchFunction:
+    """Write the first row of each number ever seen, with the numbers seen kept as bitmaps.
+
+    ``path`` gets the tables ``rows``, all batches, and ``seen``, the last snapshots. A batch reads the
+    snapshot of the batch before it, so one that is repeated writes the same.
+    """
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = (
+            read_batch(spark, f"{path}/seen", batch_id - 1, seen.BITMAPS)
+            if batch_id > 0
+            else spark.createDataFrame([], seen.BITMAPS)
+        )
+        write_batch(seen.first_of_new(batch, number, arrival, before), f"{path}/rows", batch_id)
+        write_batch(seen.merged(seen.bitmaps(batch, number), before), f"{path}/seen", batch_id)
+        forget_batches(spark, f"{path}/seen", batch_id - SNAPSHOTS)
+
+    return take
+
+
 def keep_top_words(path: str, n: int = TOP_WORDS) -> BatchFunction:
     """Keep the top words per language from running word counts in update mode.
 

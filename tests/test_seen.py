@@ -1,0 +1,89 @@
+"""Numbers seen as bitmaps, and state that can be read, against plain sets."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of, rows_of
+from repotide.functions.numbers import divisible_label
+from repotide.operators import seen
+from repotide.sinks import tables
+from repotide.streaming import state
+from repotide.streaming.queries import finish, read_state, start, to_table
+from test_streams import arrive, in_two_runs, stream
+
+ROWS = "seq BIGINT, id BIGINT, language STRING"
+EDGES = [0, 1, -1, 7, 8, 9, 32767, 32768, 32769, -32767, -32768, -32769, 65536, 2**40, -(2**40)]
+
+
+def numbers(spark, values):
+    return spark.createDataFrame([(i, v, "C") for i, v in enumerate(values)], ROWS).repartition(3)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_bitmaps_hold_exactly_the_numbers(spark, seed):
+    rng = random.Random(seed)
+    pool = EDGES + [rng.randrange(-70_000, 70_000) for _ in range(300)]
+    held, asked = rng.sample(pool, 150), rng.sample(pool, 200)
+    found = seen.not_in(numbers(spark, [*asked, None]), "id", seen.bitmaps(numbers(spark, [*held, None]), "id"))
+    assert sorted(r.id for r in found.collect()) == sorted(v for v in asked if v not in held)
+
+
+def test_sets_merge_and_are_small(spark):
+    one, other = (seen.bitmaps(numbers(spark, values), "id") for values in (range(1, 60_000), range(50_000, 65_537)))
+    both = seen.merged(one, other)
+    assert tuple(seen.size_of(both).first()) == (65_536, 8192, 0.125)
+    assert tuple(seen.size_of(one.limit(0)).first()) == (0, 0, None)
+    assert seen.not_in(numbers(spark, [0, 65_536, 65_537]), "id", both).count() == 2
+
+
+def test_bitmaps_do_not_leave_the_join(spark):
+    found = seen.first_of_new(numbers(spark, range(10)), "id", "seq", seen.bitmaps(numbers(spark, [3]), "id"))
+    assert found.columns == ["seq", "id", "language"]
+    plan = plan_of(found)
+    assert "LeftAnti" in plan and "NestedLoop" not in plan
+
+
+def test_first_numbers_over_a_restart(spark, folder):
+    rng = random.Random(3)
+    rows = [(i, rng.choice([None, *range(-20, 60), 2**35]), f"l{i % 4}") for i in range(200)]
+
+    def run():
+        take = state.keep_first_of_numbers(f"{folder}/out", "id", "seq")
+        twice = lambda batch, batch_id: (take(batch, batch_id), take(batch, batch_id))
+        return start(stream(spark, f"{folder}/in", ROWS), twice, f"{folder}/c", "append")
+
+    in_two_runs(spark, folder, rows, run, ROWS)
+    first = {}
+    for row in rows:
+        if row[1] is not None:
+            first.setdefault(row[1], row)
+    assert rows_of(tables.read_batches(spark, f"{folder}/out/rows", ROWS).drop("batch_id")) == sorted(first.values(), key=repr)
+    kept = tables.latest_batch(spark, f"{folder}/out/seen", seen.BITMAPS)
+    assert seen.size_of(kept).first()["numbers"] == len(first)
+
+
+def test_state_is_that_of_the_batches_that_finished(spark, folder):
+    schema = "value BIGINT"
+
+    def run(on_batch=None):
+        label = divisible_label(F.col("value")).alias("isMultipleOf9")
+        counts = state.running_counts(stream(spark, f"{folder}/in", schema).select(label), "isMultipleOf9")
+        return start(counts, on_batch or to_table(f"{folder}/out"), f"{folder}/c")
+
+    def held():
+        return rows_of(read_state(spark, f"{folder}/c").select("key.isMultipleOf9", "value.count"))
+
+    def fail(batch, batch_id):
+        batch.count()
+        raise RuntimeError("lost")
+
+    arrive(spark, f"{folder}/in", [(v,) for v in (9, 18, 1)], 1, schema)
+    finish(run())
+    assert held() == [("No", 1), ("Yes", 2)]
+    arrive(spark, f"{folder}/in", [(v,) for v in (27, 2)], 1, schema, first=1)
+    with pytest.raises(Exception, match="lost"):
+        finish(run(fail))
+    finish(run())
+    assert held() == [("No", 2), ("Yes", 3)]
