@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,19 +23,11 @@ from repotide.plans.tables import (
     table,
 )
 from repotide.session import run_dir
-from repotide.sinks.tables import (
-    COUNTS,
-    RECENTS,
-    STARS,
-    TOP,
-    latest_batch,
-    publish_once,
-    read_batches,
-)
+from repotide.sinks.tables import latest_batch, publish_once, read_batches
 from repotide.sources.files import stream_table, union_streams
 from repotide.sources.polls import stream_polls
 from repotide.streaming import state
-from repotide.streaming.app import BATCH_TIME, latest_dashboard, start_repo_analytics
+from repotide.streaming.app import BATCH_TIME, shown_panels, start_repo_analytics
 from repotide.streaming.boundaries import at_boundaries
 from repotide.streaming.intake import accepted_rows, intake_table, start_intake
 from repotide.streaming.queries import BatchFunction, finish, read_state, start, to_table
@@ -255,7 +248,7 @@ def state_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole application on one replay; its four panels in one long table.
+    """The whole application on one replay; its four panels, as published together, in one long table.
 
     A batch of the replay is stamped with the end of the range of numbers it holds, as a stream
     would be with its clock, and every document with a push time by its number.
@@ -269,23 +262,9 @@ def stream_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     out = f"{root}/out"
-    for query in start_repo_analytics(rows, out, f"{root}/checkpoint", None):
+    for query in start_repo_analytics(rows, out, f"{root}/checkpoint", None, languages=TRACKED):
         finish(query)
-    panels = latest_dashboard(spark, out, TRACKED)
-
-    def panel(rows: DataFrame, language: str, item, value) -> DataFrame:
-        return rows.select(
-            F.col(language).alias("language"), item.alias("item"), value.cast("string").alias("value")
-        )
-
-    none, column = F.lit(""), F.col
-    number = F.format_number(column("Average_Stars"), 4)
-    return (
-        panel(panels[COUNTS], "lang", F.lit("count"), column("count"))
-        .unionByName(panel(panels[STARS], "Language", F.lit("stars"), number))
-        .unionByName(panel(panels[RECENTS], "Language", column("label"), column("Recents")))
-        .unionByName(panel(panels[TOP], "language", none, column("words")))
-    )
+    return reduce(DataFrame.unionByName, shown_panels(spark, out).values())
 
 
 QUERIES = {

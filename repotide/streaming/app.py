@@ -16,10 +16,11 @@ of each language.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,13 +33,14 @@ from repotide.operators.metrics import (
     word_counts,
 )
 from repotide.operators.ranking import as_shown, last_values, word_lists
+from repotide.session import make_folder
 from repotide.sinks import dashboard, tables
 from repotide.sinks.console import show_batch
+from repotide.sinks.panels import as_panels, commit_panels, read_panels
 from repotide.sinks.report import run_report
-from repotide.session import make_folder
 from repotide.sinks.tables import forget_batches, latest_batch, publish_once, read_batch, write_batch
 from repotide.streaming.intake import PLACE, TAKEN, arrivals, intake_table, rows_at, start_intake
-from repotide.streaming.queries import finish, start
+from repotide.streaming.queries import BatchFunction, finish, start
 from repotide.streaming.state import RANKED, RUNNING_TOTALS, SNAPSHOTS, keep_top_words
 
 BATCH_TIME = "batch_time"
@@ -47,8 +49,7 @@ ROWS = (
     f"description STRING, {BATCH_TIME} TIMESTAMP"
 )
 HISTORY = "batch_time TIMESTAMP, Language STRING, Recents BIGINT"
-
-
+PANEL_ROWS = "language STRING, item STRING, value STRING"
 NEW_WORDS = "language STRING, word STRING, freq BIGINT"
 
 
@@ -136,6 +137,7 @@ def start_repo_analytics(
     top: int = TOP_WORDS,
     quiet: bool = True,
     retention: str | None = None,
+    languages: Sequence[str] = TRACKED,
 ) -> list[StreamingQuery]:
     """Run the application on a stream of repositories.
 
@@ -143,7 +145,8 @@ def start_repo_analytics(
     ``stargazers_count`` and ``description``. Recency is taken at ``batch_time`` where there is such
     a column, else at the time logged for the batch of the intake. Without an interval everything
     that is there is taken in first, then the other queries work it off and end. Rows that are not
-    accepted are in ``rejects``.
+    accepted are in ``rejects``. After each batch of recents or words the panels of all four analyses,
+    for ``languages``, are published together (``shown_panels``).
     """
     spark = repos.sparkSession
     if BATCH_TIME not in repos.columns:
@@ -171,11 +174,13 @@ def start_repo_analytics(
     pushes = arrivals(spark, out, pushed, streaming=True)
     counts = spark.readStream.schema(f"{NEW_WORDS}, batch_id BIGINT").parquet(words)
     counts = counts.groupBy("language", "word").agg(F.sum("freq").alias("freq"))
-    recents = Recents(out, quiet, recent_seconds)
+    panels = Dashboard(out, languages)
+    recents = panels.after(Recents(out, quiet, recent_seconds))
+    words = panels.after(top_panel(out, top, quiet))
     return [
         *intake,
         start(pushes, recents, f"{checkpoint}/recents", "append", every_seconds),
-        start(counts, top_panel(out, top, quiet), f"{checkpoint}/words", "update", every_seconds),
+        start(counts, words, f"{checkpoint}/words", "update", every_seconds),
     ]
 
 
@@ -221,6 +226,52 @@ def latest_dashboard(
     }
 
 
+def dashboard_rows(spark: SparkSession, out: str, languages: Sequence[str] = TRACKED) -> DataFrame:
+    """The four panels in one long table: (panel, language, item, value)."""
+    panels = latest_dashboard(spark, out, languages)
+
+    def shown(name: str, language: str, item: Column, value: Column) -> DataFrame:
+        return panels[name].select(
+            F.col(language).alias("language"), item.alias("item"), value.cast("string").alias("value")
+        )
+
+    column = F.col
+    average = F.format_number(column("Average_Stars"), 4)
+    return as_panels(
+        {
+            tables.COUNTS: shown(tables.COUNTS, "lang", F.lit("count"), column("count")),
+            tables.STARS: shown(tables.STARS, "Language", F.lit("stars"), average),
+            tables.RECENTS: shown(tables.RECENTS, "Language", column("label"), column("Recents")),
+            tables.TOP: shown(tables.TOP, "language", F.lit(""), column("words")),
+        }
+    )
+
+
+@dataclass
+class Dashboard:
+    """Batch functions that publish all four panels as one commit when they are done.
+
+    The queries of an application share one; a commit holds the newest results of each.
+    """
+
+    out: str
+    languages: Sequence[str] = TRACKED
+    turn: Lock = field(default_factory=Lock)
+
+    def after(self, on_batch: BatchFunction) -> BatchFunction:
+        def run(batch: DataFrame, batch_id: int) -> None:
+            on_batch(batch, batch_id)
+            with self.turn:
+                commit_panels(dashboard_rows(batch.sparkSession, self.out, self.languages), f"{self.out}/dashboard")
+
+        return run
+
+
+def shown_panels(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The four panels as they were last published together."""
+    return read_panels(spark, f"{out}/dashboard", PANEL_ROWS)
+
+
 def top_words_table(spark: SparkSession, out: str) -> DataFrame:
     """The newest top list, one row per word."""
     return as_shown(latest_batch(spark, f"{out}/{tables.TOP}", RANKED))
