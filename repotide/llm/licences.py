@@ -10,12 +10,17 @@ Lines and passages are compared, as lower-cased words only. Bigrams count as oft
 * A line does not count where a passage that goes on beyond it is more like its template; else passages
   do not count in a line of the same licence or one that is as like.
 
-Texts meet templates at common bigrams, in one broadcast join: the templates are a fixed list. Only
-windows with enough common bigrams in them are compared. Only DataFrame functions are used.
+Texts are read once for the places of bigrams that any template has, and go on only if some of these
+lie as close together as a match of a template's size takes. Those texts meet the templates at common
+bigrams, in one broadcast join: the templates are a fixed list. Only windows with enough common bigrams
+in them are compared. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -67,7 +72,35 @@ def template_bigrams(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     ).agg(F.count("*").alias("times"))
 
 
-def common_bigrams(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
+def _promising(docs: DataFrame, listed: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, text) of the texts that a match is possible in.
+
+    With s bigrams of a template and n of a unit, twice the common ones are at least t (n + s) of a match, so
+    there are t s / (2 - t) of them or more, and n is no more than s (2 - t) / t.
+    """
+    # As many as the templates have: a fixed list.
+    known = listed.select("bigram", "size").distinct().collect()
+    bigrams = sorted({row["bigram"] for row in known})
+    texts = docs.select("doc_id", "text", words(F.col("text")).alias("w"))
+    n = F.size("w") - 1
+    held = lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1)).isin(bigrams)
+    places = F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), held))
+    texts = texts.select("doc_id", "text", places.alias("places"))
+
+    def close(size: int) -> Column:
+        least = max(1, math.ceil(threshold * size / (2 - threshold) - 1e-9))
+        most = math.floor(size * (2 - threshold) / threshold + 1e-9)
+        return F.exists(
+            F.transform("places", lambda p, i: F.get("places", i + (least - 1)) - p < most), lambda x: x
+        )
+
+    fit = reduce(lambda a, b: a | b, (close(size) for size in sorted({row["size"] for row in known})), F.lit(False))
+    # A generator, as a filter here would make the places be looked for twice.
+    kept = texts.select("doc_id", F.explode_outer(F.when(fit, F.array("text"))).alias("text"))
+    return kept.where("text IS NOT NULL")
+
+
+def common_bigrams(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, row, n_all, template, licence, size, hits): per text and template the bigrams of the text
     that the template has, by place. ``row`` tells repeated rows apart, ``n_all`` is the bigrams of the text.
 
@@ -75,6 +108,7 @@ def common_bigrams(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     not cross a line end), ``bigram`` and ``times`` in the template.
     """
     listed = template_bigrams(docs.sparkSession, templates)
+    docs = _promising(docs, listed, threshold)
     row = F.monotonically_increasing_id().alias("row")
     split = F.transform(F.split("text", "\n"), lambda own: words(own))
     lines = docs.select("doc_id", row, split.alias("lines"))
@@ -155,13 +189,13 @@ def licence_lines(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
     Of equally good templates the first in the list counts. Null texts and lines of fewer than two
     words match nothing. Lines are numbered from 0.
     """
-    lines = _spans(_lines(common_bigrams(docs, templates), threshold), "found")
+    lines = _spans(_lines(common_bigrams(docs, templates, threshold), threshold), "found")
     return _best_lines(lines).select("doc_id", "row", "line", "licence", "dice")
 
 
 def licence_places(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, row, line, licence, dice): ``licence_lines``, and passages with the line they start in."""
-    hits = common_bigrams(docs, templates)
+    hits = common_bigrams(docs, templates, threshold)
     both = _windows(_lines(hits, threshold).withColumnRenamed("found", "lines"), threshold)
     kind = lambda whole: lambda x: x.withField("whole", F.lit(whole))
     found = F.concat(F.transform("lines", kind(True)), F.transform("found", kind(False)))
