@@ -66,20 +66,6 @@ def test_held_out_is_a_fifth(spark):
     assert 0.17 < share < 0.23
 
 
-def test_grammar_composes_transducers():
-    grammar = toxicity.Grammar({"idiot$": 4.0, "vile": 2.0})
-    score = lambda text: grammar.clause(text.split())[0]
-    assert score("an idiot") == 4.0 and score("a vilest thing") == 2.0
-    assert score("you idiot") == pytest.approx(4 * toxicity.AIMED)
-    assert score("not an idiot") == pytest.approx(4 * toxicity.NEGATED)
-    assert score("never once seen the idiot") == 4.0
-    assert score("she said idiot") < score("she is idiot")
-    assert score("i will hurt you") == toxicity.THREAT
-    assert score("i will not hurt you") == 0 and score("hurt you") == 0 and score("you will") == 0
-    assert score("idiots") == 0
-    assert grammar.insult("vilely") == ("vile", 2.0)
-
-
 def test_toxicity_held_out(spark):
     rng = random.Random(7)
     insults = ["grobl", "snurk", "flarn"]
