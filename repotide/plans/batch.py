@@ -230,6 +230,16 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("A").agg(F.count("*").alias("n"), F.sum("B").alias("sum_b"))
 
 
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without a schema: the types are inferred in a pass of their own."""
+    path = run_dir(spark, "csv")
+    write_csv(ab_table(spark, sf_dir), path)
+    back = read_csv(spark, path, None)
+    return back.groupBy(F.col("A").cast("bigint").alias("A")).agg(
+        F.count("*").alias("n"), F.sum("B").alias("sum_b")
+    )
+
+
 # Report ---------------------------------------------------------------------------------------
 
 
@@ -280,5 +290,6 @@ QUERIES = {
     "sql_filter_star": sql_filter_star,
     "sql_count_filter": sql_count_filter,
     "csv_roundtrip": csv_roundtrip,
+    "csv_inferred": csv_inferred,
     "run_report": run_report,
 }

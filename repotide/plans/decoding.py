@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotide.fixed import MISSING_TEXT
@@ -134,6 +134,50 @@ def capture_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def envelope_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document is sent as a response whose items lack an id or have a time that is none, and as
+    one that breaks off."""
+    documents = _documents(spark, sf_dir)
+
+    def item(number: Column, pushed_at: Column):
+        none = F.lit(None).cast("string").alias("description")
+        return F.struct(
+            number.alias("id"), "full_name", pushed_at.alias("pushed_at"), "stargazers_count", none, "language"
+        )
+
+    number = F.col("doc_id")
+    items = F.array(
+        item(number, F.col("pushed_at")),
+        item(F.lit(None).cast("bigint"), F.col("pushed_at")),
+        item(number, F.lit("yesterday")),
+    )
+    body = F.to_json(F.struct(items.alias("items")), {"ignoreNullFields": "false"})
+    broken = F.substring(body, F.lit(1), F.length(body) - 9)
+    bodies = documents.select(body.alias("body"), broken.alias("broken"))
+    lines = bodies.select(F.explode(F.array("body", "broken")).alias("value"))
+    first = F.regexp_extract("value", r'"full_name":"[^"]*?(\d+)"', 1).cast("bigint")
+    return decode.unnest_envelopes(lines).rejects.select(first.alias("doc_id"), "reason")
+
+
+def capture_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as a captured line that is good, one that is too short, one without a name and
+    one whose stars are no number. Its number stands in the last field."""
+
+    def line(*fields):
+        return F.concat_ws(",", *fields, F.col("doc_id").cast("string"))
+
+    name, pushed_at, text = F.col("full_name"), F.col("pushed_at"), F.lit("some, text")
+    captured = F.array(
+        line(name, pushed_at, F.lit("1"), text),
+        line(name, pushed_at),
+        line(F.lit(""), pushed_at, F.lit("1"), text),
+        line(name, pushed_at, F.lit("many"), text),
+    )
+    lines = _documents(spark, sf_dir).select(F.explode(captured).alias("value"))
+    number = F.substring_index("value", ",", -1).cast("bigint")
+    return decode.decode_capture(lines).rejects.select(number.alias("doc_id"), "reason")
+
+
 QUERIES = {
     "json_decode": json_decode,
     "repo_json_roundtrip": repo_json_roundtrip,
@@ -141,4 +185,6 @@ QUERIES = {
     "int_decode": int_decode,
     "envelope_unnest": envelope_unnest,
     "capture_parse": capture_parse,
+    "envelope_rejects": envelope_rejects,
+    "capture_rejects": capture_rejects,
 }

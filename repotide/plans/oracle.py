@@ -255,6 +255,12 @@ ORACLE = {
                lang AS language
         FROM documents
         UNION ALL SELECT source || '/' || doc_id, {_PUSHED}, n_chars, NULL, lang FROM documents""",
+    "envelope_rejects": """
+        SELECT doc_id, reason
+        FROM documents, (VALUES ('malformed'), ('no key'), ('unreadable field')) AS t(reason)""",
+    "capture_rejects": """
+        SELECT doc_id, reason
+        FROM documents, (VALUES ('malformed'), ('no key'), ('unreadable field')) AS t(reason)""",
     "state_fold": """
         SELECT event_type, list_reduce(list(user_id % 1000003 + 1), lambda a, b: a * b % 1000003)
                AS fingerprint
@@ -301,5 +307,6 @@ for _stream, _same in {
     "stream_nine_tumbling": "nine_tumbling_20s",
     "stream_poll_rounds": "poll_dedup",
     "stream_state": "nine_multiples",
+    "csv_inferred": "csv_roundtrip",
 }.items():
     ORACLE[_stream] = ORACLE[_same]
