@@ -302,6 +302,7 @@ for _stream, _same in {
     "stream_avg_stars": "avg_stars",
     "stream_rejected": "rejected_rows",
     "stream_top10_words": "top10_words",
+    "stream_top10_sketch": "top10_words",
     "stream_recent": "recent_per_batch",
     "stream_nine_running": "nine_multiples",
     "stream_nine_tumbling": "nine_tumbling_20s",

@@ -26,7 +26,7 @@ from repotide.session import run_dir
 from repotide.sinks.tables import latest_batch, publish_once, read_batches
 from repotide.sources.files import stream_table, union_streams
 from repotide.sources.polls import stream_polls
-from repotide.streaming import state
+from repotide.streaming import sketch, state
 from repotide.streaming.app import BATCH_TIME, shown_panels, start_repo_analytics
 from repotide.streaming.boundaries import at_boundaries
 from repotide.streaming.intake import accepted_rows, intake_table, start_intake
@@ -65,6 +65,14 @@ def stream_top10_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.as_shown(top)
 
 
+def stream_top10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same list with a sketch in place of the vocabulary, and exact counts of its candidates."""
+    root = run_dir(spark, "sketch")
+    _replay(repos(spark, sf_dir, streaming=True), sketch.keep_candidates(f"{root}/out"), root, "append")
+    top, _ = sketch.top_words_of(repos(spark, sf_dir), f"{root}/out")
+    return ranking.as_shown(top)
+
+
 def _taken_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "intake")
     rows = repos(spark, sf_dir, streaming=True).drop("description")
@@ -271,6 +279,7 @@ QUERIES = {
     "stream_repo_totals": stream_repo_totals,
     "stream_avg_stars": stream_avg_stars,
     "stream_top10_words": stream_top10_words,
+    "stream_top10_sketch": stream_top10_sketch,
     "stream_accepted": stream_accepted,
     "stream_rejected": stream_rejected,
     "stream_recent": stream_recent,
