@@ -7,8 +7,10 @@ of every tree, exactly and in blocks, and what they link is joined to components
 
 The trees are fitted on the driver from a sample of at most ``SAMPLE`` vectors, and hold at most
 ``SAMPLE / LEAST`` splits each, so what is broadcast is bounded. All vectors are dealt into leaves.
-A leaf that is larger than a block, in which many vectors are alike, is compared block by block in
-separate tasks. A pair that shares several leaves counts in the first of them only.
+Leaves that are still several times too large are split on in the same way, level by level, at medians
+that Spark aggregates, so a leaf's size does not grow with the table. One that a split does not make
+smaller, in which vectors are alike, is compared block by block in separate tasks. A pair that shares
+several leaves counts in the first of them only.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,8 @@ TREES = 6
 LEAF, SAMPLE, LEAST = 256, 16_384, 16
 SPILL = 1.0
 BLOCK = 1024
+# A leaf of so many times the size aimed at is split on, as long as its halves hold less than this part of twice it.
+OVERSIZE, USEFUL = 4, 0.85
 SEED = 11
 
 VECTOR = "vec_id BIGINT, label STRING, class BINARY, unit BINARY"
@@ -128,6 +133,68 @@ def _deal(forests: dict, depth: int, margins: dict):
     return run
 
 
+def _along(seed: int):
+    """Members of leaves with their place along the direction of their leaf."""
+
+    def drawn_for(leaf: int, size: int) -> np.ndarray:
+        drawn = np.random.default_rng([seed, leaf % (1 << 64)]).standard_normal(size)
+        return drawn / np.linalg.norm(drawn)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        direction = lru_cache(1 << 12)(drawn_for)
+        for batch in batches:
+            units = (np.frombuffer(unit) for unit in batch.column("unit").to_pylist())
+            leaves = batch.column("leaf").to_pylist()
+            along = [float(unit @ direction(leaf, len(unit))) for unit, leaf in zip(units, leaves)]
+            kept = {name: batch.column(name) for name in ("label", "class", "leaf")}
+            margin = {"margin": batch.column("margin"), "along": pa.array(along, pa.float64())}
+            yield pa.RecordBatch.from_pydict({**kept, **margin})
+
+    return run
+
+
+def _split_on(placed: DataFrame, classes: DataFrame, most: int, spread: float, seed: int) -> DataFrame:
+    """``placed`` (label, class, leaves) with leaves of more than ``most`` members split at medians.
+
+    ``spread`` divided by the root of a vector's length is the spill margin. A level goes over the members of
+    leaves that are too large alone; each about halves them.
+    """
+    members = placed.select("label", "class", F.explode("leaves").alias("leaf"))
+    sizes = stored(members.groupBy("label", "leaf").agg(F.count("*").alias("n")), "leaf_sizes")
+    large = sizes.where(F.col("n") > most)
+    if large.isEmpty():
+        return placed
+    group = ["label", "leaf"]
+    done = [members.join(large, group, "left_anti").select("label", "class", "leaf")]
+    open_ = stored(members.join(large, group).select("label", "class", "leaf", "n"), "large_leaves")
+    units = classes.select("class", "unit", (spread / F.sqrt(F.octet_length("unit") / 8)).alias("margin"))
+    while not open_.isEmpty():
+        rows = open_.select("label", "class", "leaf").join(units, "class")
+        rows = rows.mapInArrow(_along(seed), "label STRING, class BINARY, leaf BIGINT, margin DOUBLE, along DOUBLE")
+        rows = stored(rows, "along")
+        medians = rows.groupBy(*group).agg(F.percentile_approx("along", 0.5, 1000).alias("median"), F.count("*").alias("n"))
+        apart = F.col("along") - F.col("median")
+        side = lambda name, fits: F.when(fits, F.xxhash64("leaf", F.lit(name)))
+        halves = F.array_compact(
+            F.array(side("left", apart <= F.col("margin")), side("right", apart >= -F.col("margin")))
+        )
+        rows = rows.join(medians, group).select("label", "class", "leaf", "n", halves.alias("halves"))
+        rows = stored(rows, "halves")
+        grown = rows.groupBy(*group).agg((F.sum(F.size("halves")) / F.first("n") / 2).alias("part"))
+        rows = rows.join(grown, group)
+        # Vectors that no split tells apart stay in one leaf.
+        done.append(rows.where(F.col("part") >= USEFUL).select("label", "class", "leaf"))
+        split = rows.where(F.col("part") < USEFUL).select("label", "class", F.explode("halves").alias("leaf"))
+        split = stored(split, "split")
+        counted = split.join(split.groupBy(*group).agg(F.count("*").alias("n")), group)
+        counted = stored(counted, "counted")
+        done.append(counted.where(F.col("n") <= most).select("label", "class", "leaf"))
+        open_ = counted.where(F.col("n") > most)
+    everyone = reduce(DataFrame.unionByName, done)
+    again = everyone.groupBy("class").agg(F.first("label").alias("label"), F.collect_list("leaf").alias("leaves"))
+    return stored(again.select("label", "class", "leaves"), "leaves")
+
+
 def _labels(linked: np.ndarray) -> np.ndarray:
     """The first row that each row of a symmetric link matrix is connected to."""
     label = np.arange(len(linked))
@@ -235,7 +302,8 @@ def linked_vectors(
 
     placed = classes.select("label", "class", "unit")
     placed = placed.mapInArrow(deal, "label STRING, class BINARY, leaves ARRAY<BIGINT>")
-    placed = stored(placed, "leaves")
+    spread = spill * math.sqrt(2 - 2 * similarity)
+    placed = _split_on(stored(placed, "leaves"), classes, OVERSIZE * leaf, spread, seed)
     members = placed.select("label", "class", F.explode("leaves").alias("leaf"))
     sizes = members.groupBy("label", "leaf").agg(F.count("*").alias("n_members")).where("n_members > 1")
     dealt = in_blocks(members.join(sizes, ["label", "leaf"]), ["label", "leaf"], "class", block)

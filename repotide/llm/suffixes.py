@@ -28,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,12 +164,13 @@ def front_code(run: list[Suffix]) -> bytes:
         [[s, len(r), len(b), len(m)] for s, r, b, m in zip(shares, rests, befores, members)], np.int64
     )
     parts = [len(run).to_bytes(8, "little"), head.tobytes(), *rests, *befores, *members]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    raw = b"".join(parts)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def decode(block: bytes) -> Iterator[tuple[bytes, int, bytes, list]]:
     """Suffixes of a block with what each shares with the one before it."""
-    raw = zstandard.ZstdDecompressor().decompress(block)
+    raw = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), codec="zstd", asbytes=True)
     n = int.from_bytes(raw[:8], "little")
     head = np.frombuffer(raw, np.int64, 4 * n, 8).reshape(n, 4)
     rest = 8 + head.nbytes

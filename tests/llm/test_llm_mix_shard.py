@@ -116,14 +116,60 @@ def test_shards_are_even_and_slots_gapless(spark):
 
 
 def test_few_rows_move_when_a_shard_is_added(spark):
-    rows = [(i, f"text number {i} " + "x" * (i % 90)) for i in range(6000)]
+    rows = [(i, f"text number {i} " + "x" * (i % 90)) for i in range(20_000)]
     before = {r["doc_id"]: r["shard"] for r in place(spark, rows)}
     after = {r["doc_id"]: r["shard"] for r in place(spark, rows, shards=9)}
-    moved = sum(before[i] != after[i] for i in before)
-    assert moved < 0.45 * len(rows)
+    moved = [i for i in before if before[i] != after[i]]
+    # A ninth is the least there can be.
+    assert len(moved) < 0.2 * len(rows)
+    assert sum(after[i] != 8 for i in moved) < 0.06 * len(rows)
     assert len(set(after.values())) == 9
 
 
+def clockwise(load, orders, most):
+    """Where each unit of (arc, rank) goes, one unit after the other.
+
+    Units are offered to the shards clockwise from their arc; those of lower rank come first, and the units that
+    a full shard has passed on are offered to the next before the next rank.
+    """
+    left = [most] * orders.shape[1]
+    place = np.full(load.shape, -1)
+    waiting = {(arc, rank): 0 for arc, rank in zip(*np.nonzero(load))}
+    while waiting:
+        offers = {}
+        for unit, turn in waiting.items():
+            offers.setdefault(orders[unit[0]][turn % orders.shape[1]], []).append(unit)
+        for shard, units in offers.items():
+            for unit in sorted(units, key=lambda u: (u[1], u[0])):
+                if load[unit] <= left[shard]:
+                    left[shard] -= load[unit]
+                    place[unit] = shard
+                    del waiting[unit]
+                else:
+                    waiting[unit] += 1
+        if all(turn > 3 * orders.shape[1] for turn in waiting.values()):
+            break
+    return place, left
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bounded_loads_against_a_walk_unit_by_unit(seed):
+    rng = np.random.default_rng(seed)
+    _, orders = sharding.ring(8)
+    load = np.where(rng.random((len(orders), sharding.RANKS)) < 0.05, rng.integers(1, 50, (len(orders), sharding.RANKS)), 0).astype(float)
+    most = 1.01 * load.sum() / 8
+    placed = sharding.bounded_loads(load, orders, most)
+    walked, _ = clockwise(load, orders, most)
+    sums = [np.bincount(p[load > 0], load[load > 0], minlength=8) for p in (placed, walked)]
+    for own in sums:
+        assert own.max() <= most + 50 and abs(own.sum() - load.sum()) < 1e-6
+    first = orders[:, 0][:, None]
+    stays = [load[(p == first) & (load > 0)].sum() / load.sum() for p in (placed, walked)]
+    # Both leave nearly the same weight with the first shard clockwise, and agree on nearly all units.
+    assert abs(stays[0] - stays[1]) < 0.03
+    assert ((placed == walked) & (load > 0)).sum() > 0.9 * (load > 0).sum()
+
+
 def test_equal_texts_stay_together(spark):
     rows = [(i, f"group {i // 3} " * 20) for i in range(9000)]
     shards = defaultdict(set)

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from repotide.llm import embeddings
 from repotide.llm.common import Forest
@@ -41,7 +42,7 @@ def clustered(n, size, seed=1):
     return vectors.astype(np.float32), rng.integers(0, 2, n).tolist()
 
 
-@pytest.mark.parametrize("how", [{}, {"leaf": 16, "block": 7}, {"leaf": 20, "sample": 300, "trees": 8}])
+@pytest.mark.parametrize("how", [{}, {"leaf": 16, "block": 7}, {"leaf": 20, "sample": 300, "trees": 8}, {"leaf": 12, "sample": 40}])
 def test_equals_all_pairs(spark, how):
     vectors, labels = clustered(900, 32)
     links, roots = all_pairs(vectors, labels)
@@ -56,6 +57,32 @@ def test_equals_all_pairs(spark, how):
         assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found.values())
 
 
+def test_oversized_leaves_are_split_on(spark):
+    rng = np.random.default_rng(8)
+    vectors = rng.standard_normal((1200, 24)).astype(np.float32)
+    vectors[600:] = vectors[:600] + 0.02 * rng.standard_normal((600, 24)).astype(np.float32)
+    # Many vectors that no split tells apart, in one leaf of their own.
+    alike = vectors[:1] + 1e-4 * rng.standard_normal((150, 24)).astype(np.float32)
+    vectors = np.concatenate([vectors, alike])
+    rows = table(spark, vectors, [0] * len(vectors))
+    units = embeddings.stored(rows.select("vec_id", F.lit("x").alias("label"), "embedding").mapInArrow(embeddings._units, embeddings.VECTOR), "units")
+    classes = embeddings.stored(units.select("class", "label", "unit"), "classes")
+    placed = embeddings.stored(classes.select("label", "class", F.array(F.lit(5).cast("bigint")).alias("leaves")), "leaves")
+    spread = math.sqrt(2 - 2 * 0.98)
+    split = embeddings._split_on(placed, classes, 100, spread, 3)
+    assert split.count() == len(vectors)
+    sizes = [r["n"] for r in split.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect()]
+    # Leaves that hold the vectors no split tells apart stay a little larger.
+    assert max(sizes) < 400 and sum(sizes) < 6 * len(vectors)
+    held = {r["class"]: set(r["leaves"]) for r in split.collect()}
+    by_id = {r["vec_id"]: r["class"] for r in units.collect()}
+    met = sum(bool(held[by_id[i]] & held[by_id[600 + i]]) for i in range(600))
+    assert met >= 0.95 * 600
+    links, roots = all_pairs(vectors, [0] * len(vectors))
+    found = {r["vec_id"]: r for r in embeddings.linked_vectors(rows, leaf=20, sample=48).collect()}
+    assert sum(found[i]["n_links"] for i in found) >= 0.99 * sum(links)
+
+
 def test_odd_vectors(spark):
     v = [1.0, 2.0, 3.0]
     vectors = [v, v, v, None, [0, 0, 0], [1, None, 3], [float("nan"), 1, 1], [float("inf"), 1, 1], [], v[:2], [2, 4, 6], [1, 2], v]
