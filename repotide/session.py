@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _own_folders: dict[str, str] = {}
+# Folders named by ``run_dir`` and not removed since.
+_made: list[str] = []
 
 # Options any session may change while it runs.
 OPTIONS = {
@@ -20,6 +22,8 @@ OPTIONS = {
     # Lets adaptive execution swap a sort-merge join for a hash join once it has seen that every
     # build partition is this small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # What a Python worker is sent at once, but for a single row that is larger.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -94,7 +98,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def run_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder name for one run below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@contextmanager
+def folders_made() -> Iterator[list[str]]:
+    """Fills a list with the folders that a block has named and not removed."""
+    before, made = set(_made), []
+    try:
+        yield made
+    finally:
+        made += [path for path in _made if path not in before]
+
+
+def sweep(spark: SparkSession) -> None:
+    """Remove all folders written by this process, when no result that reads them is needed any more."""
+    for path in list(_made):
+        remove_folder(spark, path)
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
@@ -106,6 +128,8 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of written rows that nothing reads any more; a missing one is no error."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    if path in _made:
+        _made.remove(path)
 
 
 @contextmanager

@@ -583,3 +583,18 @@ def test_report_of_a_run(spark, folder):
     finish(analyse(stream(spark, f"{folder}/in"), folder))
     lines = run_report_of(spark, f"{folder}/out", 10, 20, ["C", "Go"]).orderBy("line_no")
     assert [r.line for r in lines.collect()] == ["10:20", "C:2:2.5", "Go:0:0.0", "C:(a,2),(b,1)", "Go:"]
+
+
+def test_folders_can_be_swept(spark, monkeypatch):
+    from repotide import session
+
+    monkeypatch.setattr(session, "_made", [])
+    with session.folders_made() as made:
+        paths = [run_dir(spark, "x") for _ in range(3)]
+        for path in paths:
+            spark.range(2).write.parquet(path)
+        session.remove_folder(spark, paths[0])
+    assert made == paths[1:] and not os.path.exists(paths[0]) and all(map(os.path.isdir, made))
+    session.sweep(spark)
+    session.sweep(spark)
+    assert not any(map(os.path.exists, paths))
