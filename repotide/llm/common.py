@@ -9,13 +9,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.session import run_dir
+from repotide.session import input_bytes, run_dir
 
 # Anything but letters, marks and digits separates words.
 SEPARATORS = r"[^\p{L}\p{M}\p{N}]+"
 SHINGLE_WORDS = 5
-# Rows of a few dozen bytes each that may be broadcast; beyond, joins shuffle.
-BROADCAST_ROWS = 1_000_000
+# Bytes of files as written whose rows may be broadcast; beyond, joins shuffle. In memory they are several times that.
+BROADCAST_BYTES = 8 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,11 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def hinted(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Narrow, stored rows with a broadcast hint if they are counted and few, else as they are."""
-    few = rows.select(F.lit(1)).limit(limit + 1).count() <= limit
-    return F.broadcast(rows) if few else rows
+def hinted(rows: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Stored rows with a broadcast hint if the files they are read from are small, else as they are."""
+    folders = {path.rpartition("/")[0] for path in rows.inputFiles()}
+    size = sum(input_bytes(rows.sparkSession, folder) for folder in folders)
+    return F.broadcast(rows) if size <= limit else rows
 
 
 def text_key(docs: DataFrame) -> Column:

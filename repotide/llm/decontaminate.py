@@ -91,7 +91,7 @@ def item_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     placed = runs.select("doc_id", "text_id", F.posexplode_outer("runs").alias("start", "run"))
     hits = placed.join(wanted, "run").groupBy("text_id")
     hits = hits.agg(F.collect_set(F.struct("start", "size")).alias("hits"), F.min("doc_id").alias("rep"))
-    found = hinted(stored(hits.withColumnRenamed("text_id", "of"), "hits"), 100_000)
+    found = hinted(stored(hits.withColumnRenamed("text_id", "of"), "hits"))
     own = rows.join(found, (F.col("text_id") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     own = with_runs(own, "text_id", "hits")
     last = F.size("runs")
@@ -138,7 +138,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, similarity: float
     candidates = (
         marked.join(hinted(pairs), "fingerprint")
         .join(windows.withColumn("own_runs", numbered("runs")).drop("runs"), key)
-        .join(hinted(stored(sets, "sets"), 20_000), ["item_id", "item_text"])
+        .join(hinted(stored(sets, "sets")), ["item_id", "item_text"])
     )
     both = F.size(F.array_intersect("own_runs", "item_runs"))
     alike = both / (F.size("own_runs") + F.size("item_runs") - both)
@@ -162,7 +162,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     doc_id, item_id, ``similarity`` of the best window, the word where it starts, how long it is in
     words, and the number of such windows. Null, empty and short texts (under five words) match
     nothing, on either side. Rows equal in number and text are one document; a null number is a
-    number like any other. Items of one number are one item of several texts. Other columns are
+    number like any other. Items of one number are one item of several texts. Very long texts are searched
+    whole; the work on a window that holds a run more than once grows with the square of its item's length. Other columns are
     ignored; empty tables give no rows.
     """
     found = stored(contaminated_texts(docs, benchmark, similarity), "contaminated")

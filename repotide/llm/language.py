@@ -13,6 +13,7 @@ length per language. It is therefore bounded and goes to every task. All texts a
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from repotide.llm.common import held_out, read
+from repotide.llm.common import held_out, read, stored
 
 TEXTS, WORDS, GRAMS = 4_000, 20_000, 6_000
 LONGEST = 4
@@ -35,9 +36,9 @@ PART = 256
 SMOOTHING = 0.5
 UNKNOWN = "und"
 
-WORD = re.compile(r"[^\W\d_]+")
-# The same for Spark's expressions; marks belong to their letter.
-SEPARATORS = r"[^\p{L}\p{M}]+"
+# Characters that combine with the letter before them, by their Unicode category; they belong to its word.
+MARKS = "".join(c for c in map(chr, range(0x300, 0x1F000)) if unicodedata.category(c)[0] == "M")
+WORD = re.compile(rf"(?:[^\W\d_]+|[{MARKS}]+)+")
 
 
 class Model:
@@ -61,7 +62,7 @@ class Model:
 
     def predict(self, text: str | None, rows_of: Callable[[str], list[int]]) -> tuple[str, float]:
         """Language and score; ``rows_of`` is ``rows``, or that with a memory."""
-        counts = Counter(WORD.findall(text.lower())) if text else {}
+        counts = Counter(words_of(text)) if text else {}
         if not self.languages or not any(c.isalpha() for word in counts for c in word):
             return UNKNOWN, 0.0
         rows: list[int] = []
@@ -81,6 +82,23 @@ class Model:
         return self.languages[best], float(chances[best] / chances.sum())
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text, where it is learned from and where it is told."""
+    return WORD.findall(text.lower())
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, term, n): the words of the texts of a batch by language."""
+    for batch in batches:
+        counts: Counter[tuple[str, str]] = Counter()
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+            counts.update((lang, word) for word in words_of(text.as_py()))
+        if counts:
+            langs, terms = zip(*counts)
+            columns = {"lang": pa.array(langs), "term": pa.array(terms), "n": pa.array(list(counts.values()), pa.int64())}
+            yield pa.RecordBatch.from_pydict(columns)
+
+
 def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "term")
     return counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).drop("place")
@@ -103,8 +121,8 @@ def learn(labelled: DataFrame, texts: int = TEXTS, words: int = WORDS, grams: in
     )
     chance = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(whole))
     sample = rows.where(chance < F.element_at(share, F.col("lang")))
-    found = F.explode(F.array_remove(F.split(F.lower("text"), SEPARATORS), "")).alias("term")
-    counted = sample.select("lang", found).groupBy("lang", "term").agg(F.count("*").alias("n")).cache()
+    counted = sample.select("lang", "text").mapInArrow(_counted, "lang STRING, term STRING, n BIGINT")
+    counted = stored(counted.groupBy("lang", "term").agg(F.sum("n").alias("n")), "words")
     parts = []
     for n in range(1, LONGEST + 1):
         # The ends of a word are marked, but for single letters.
@@ -119,7 +137,6 @@ def learn(labelled: DataFrame, texts: int = TEXTS, words: int = WORDS, grams: in
     for part in parts:
         kept = kept.unionByName(_most_frequent(part, grams))
     table = kept.toPandas()
-    counted.unpersist()
     names = (table["kind"].str[0] + table["term"]).to_numpy()
     terms = {name: i for i, name in enumerate(dict.fromkeys(names))}
     counts = np.zeros((len(terms), len(languages)))
@@ -141,7 +158,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` with ``lang_pred`` and ``score`` in place of any columns of these names.
 
     A null text, or one without a letter, is ``und`` with score 0, as is any text if nothing was
-    learned. Letters of an unknown script go to the most frequent language, scored by its frequency.
+    learned. A very long text is counted word by word, whole, in memory of a few times its size. Letters of
+    an unknown script go to the most frequent language, scored by its frequency.
     """
     model = docs.sparkSession.sparkContext.broadcast(model)
     rest = docs.drop("lang_pred", "score")

@@ -247,7 +247,8 @@ def links(rows: DataFrame, signed: DataFrame, similarity: float, bands: int, ban
     )
     members = stored(keyed.join(buckets, ["band", "key"]), "members")
     needed = stored(members.select("class").distinct().join(classes, "class"), "needed")
-    found = rows.join(hinted(needed.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi")
+    wanted = stored(needed.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+    found = rows.join(hinted(wanted), "doc_id", "left_semi")
     sets = found.select("hashes").mapInArrow(_weigh, "class BINARY, elements BINARY, weights BINARY")
     # Copies and other texts under the same number: only the needed classes, each once.
     sets = sets.join(needed, "class").groupBy("class").agg(
@@ -280,7 +281,8 @@ def near_duplicates(
     ``kept`` marks the document of that number. Texts without words (null, empty, only signs) are
     like nothing and are kept, as are rows without a number, whose identifiers are null. Rows equal
     in number and text are one document and get the same values; of other rows with one number
-    the text of the lowest hash, ``text_id``, comes first. Other columns are ignored; no rows give
+    the text of the lowest hash, ``text_id``, comes first. A very long text is signed whole, in memory of a
+    few times its size. Other columns are ignored; no rows give
     no rows.
     """
     rows = docs.select("doc_id", text_key(docs).alias("text_id"), word_hashes(F.col("text")).alias("hashes"))

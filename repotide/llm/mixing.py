@@ -143,7 +143,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
 
     A null text has no words; a null source is a source of its own. Shorter documents are likelier
     to be sampled, by the root of their length, so that a mix of given words holds more of them.
-    Repeated rows are separate documents; other columns are ignored.
+    Repeated rows are separate documents; very long texts are counted whole, and may be most of what a
+    source misses its target by; other columns are ignored. No rows give no rows.
     """
     rows = docs.select(
         "doc_id", "source", size_in_words(F.col("text")).alias("size"), text_key(docs).alias("text_id")

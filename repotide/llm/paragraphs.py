@@ -1,6 +1,7 @@
 """Substring dedup of paragraphs by MinHash banding.
 
-A paragraph is a line with a run of five words; shorter lines have none and stay. Paragraphs of the
+A paragraph is a line with a run of five words; shorter lines have none and stay, unless ``min_words`` is 1,
+when they are compared as a whole: those of the same words are alike. Paragraphs of the
 same words are one class. Each class has a MinHash signature over its runs of five words. The bands
 are tuned for recall (``bands_for``); classes that collide in a band are compared exactly, by Jaccard
 similarity, in blocks within tasks. Links join classes to components, of which the first paragraph
@@ -213,7 +214,9 @@ def remove_repeated(docs: DataFrame, **how: object) -> DataFrame:
     (their lines, from 0), ``n_bytes``, ``removed_bytes`` (of the text, with line ends), ``kept_sha256``
     and ``kept``, the text that is left. A null text stays null and has no lines. Rows equal in number
     and text are one document, so the first paragraph may stay in each of them. Rows without a
-    number come last. Other columns are ignored; no rows give no rows.
+    number come last. A very long text is cut into its lines by Spark, one row each; a single very long
+    line is one paragraph, signed in memory of a few times its size. Other columns are ignored; no rows
+    give no rows.
     """
     found = repeated_paragraphs(docs, **how)
     lines = found.groupBy("doc_id", "text_id").agg(
@@ -224,16 +227,18 @@ def remove_repeated(docs: DataFrame, **how: object) -> DataFrame:
     lines = lines.withColumnsRenamed({"doc_id": "d", "text_id": "t"})
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_id") == F.col("t"))
-    rows = rows.join(hinted(lines, 200_000), same, "left")
-    split = F.split("text", "\n")
+    rows = rows.join(hinted(lines), same, "left")
+    rows = rows.withColumn("lines", F.split("text", "\n"))
     removed = F.coalesce("removed", F.array().cast("array<int>"))
-    kept = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(F.col("removed"), i)), "\n")
+    # What is left by a set difference of line numbers, which costs no more than the lines.
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), removed)
+    kept = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
     kept = F.when(F.size(removed) == 0, F.col("text")).otherwise(kept)
     left = F.coalesce(kept, F.lit(""))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
     return rows.select(
         "doc_id",
-        F.coalesce(F.size(split), F.lit(0)).alias("n_lines"),
+        F.greatest(F.size("lines"), F.lit(0)).alias("n_lines"),
         F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"),
         F.size(removed).alias("n_removed"),
         removed.alias("removed"),

@@ -152,7 +152,8 @@ def documents_to_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per document with its shard, under the law ``bytes``.
 
     A null text has size 1, as an empty one. Equal texts share a shard unless their group was split
-    or a shard's limit falls between its pieces. Other columns of the input are ignored.
+    or a shard's limit falls between its pieces. A text larger than a shard's limit goes to one shard all
+    the same. Other columns of the input are ignored.
     """
     rows = docs.select(
         "doc_id",
