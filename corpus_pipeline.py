@@ -11,19 +11,17 @@ from pyspark.sql import functions as F
 
 from repotide.llm import decontaminate, language, minhash, mixing, sharding
 from repotide.llm.common import held_out, picked, read, stored
+from repotide.session import folders_made, remove_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-# A language less likely than this is no decision.
-LEAST_SCORE = 0.5
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; without a letter, or undecided, they go."""
+    """Documents whose language can be told; those without a letter go."""
     docs = docs.select(COLUMNS)
     model = language.learn(docs.where(~held_out(F.col("doc_id"))))
     told = language.identify(docs, model)
-    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return told.where(known).select(COLUMNS)
+    return told.where(F.col("lang_pred") != language.UNKNOWN).select(COLUMNS)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +60,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shards of the documents that all stages keep."""
-    docs = read(spark, sf_dir, "documents")
+    """The shards of the documents that all stages keep.
+
+    What a stage writes on its way, and the stage before it has left, is removed when it is done.
+    """
+    docs, read_from = read(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with folders_made() as made:
+            docs = stored(stage(spark, docs, sf_dir), name)
+        # The last one is the stage's own result.
+        for path in [*read_from, *made[:-1]]:
+            remove_folder(spark, path)
+        read_from = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
