@@ -2,9 +2,11 @@
 
 import itertools
 import random
+import sys
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from repotide.llm import minhash, paragraphs
 from repotide.llm.common import Forest
@@ -116,7 +118,9 @@ def test_hot_bucket_is_linked_and_spread(spark):
     assert {r["cluster_id"] for r in found} == {0}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1 << 14])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(sys.modules[components.__module__], "FEW", few)
     edges = [(1, 2), (2, 3), (5, 4), (4, 4), (9, 8), (8, 7), (7, 9), (None, 1), (20, 3)]
     edges += [(i, i + 1) for i in range(100, 160)]
     found = components(spark.createDataFrame(edges, "a BIGINT, b BIGINT"))
@@ -184,6 +188,34 @@ def test_short_paragraphs_equal_all_pairs(spark):
     assert len(repeated) > 80
 
 
+def test_lines_under_five_words_can_be_compared_exactly(spark):
+    rows = [(1, "The end.\nOne two three four five six\nA b"), (2, "the END\nother line here\na b c"), (3, "the end of\none two three four five six"), (4, "A, b!")]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], DOCS)
+    usual = {r["doc_id"]: r["removed"] for r in paragraphs.remove_repeated(docs).collect()}
+    assert usual == {1: [], 2: [], 3: [1], 4: []}
+    short = {r["doc_id"]: r["removed"] for r in paragraphs.remove_repeated(docs, min_words=1).collect()}
+    assert short == {1: [], 2: [0], 3: [1], 4: [0]}
+
+
+def test_a_text_of_very_many_lines(spark):
+    lines = [f"line number {i} of a very long text" for i in range(40_000)]
+    again = [lines[i] if i % 2 else f"another line {i} that is not there" for i in range(40_000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines), "x", 1), (2, "\n".join(again), "x", 1)], DOCS)
+    found = {r["doc_id"]: r for r in paragraphs.remove_repeated(docs, similarity=0.99).collect()}
+    assert found[1]["n_removed"] == 0 and found[2]["removed"] == list(range(1, 40_000, 2))
+    assert found[2]["kept"] == "\n".join(again[::2])
+
+
+def test_broadcasts_go_by_the_bytes_written(spark):
+    from repotide.llm.common import hinted, stored
+
+    wide = stored(spark.range(2000).select("id", F.sequence(F.col("id"), F.col("id") + 500).alias("s")), "wide")
+    narrow = stored(spark.range(2000), "narrow")
+    hint = lambda rows: "ResolvedHint" in rows._jdf.queryExecution().analyzed().toString()
+    assert hint(hinted(narrow)) and hint(hinted(narrow.withColumnRenamed("id", "x")))
+    assert not hint(hinted(wide, 10_000)) and hint(hinted(stored(narrow.where("id < 0"), "none"), 10_000))
+
+
 def test_bands_are_tuned():
     hit = 0.8**paragraphs.BAND_ROWS
     assert 1 - (1 - hit) ** paragraphs.bands_for(0.8) >= paragraphs.RECALL

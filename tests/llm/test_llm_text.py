@@ -1,7 +1,10 @@
 """Language, toxicity, licences and decontamination."""
 
+import math
 import random
 import textwrap
+import unicodedata
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,6 +64,82 @@ def test_backoff_goes_from_long_to_short(spark):
     assert model.rows("数") == []
 
 
+def plain_terms(texts):
+    """Counts of words and n-grams by language, and texts by language, from words cut one character at a time."""
+    def cut(text):
+        out, word = [], ""
+        for c in text.lower() + " ":
+            if c.isalpha() or unicodedata.category(c)[0] in "MN" and unicodedata.category(c) not in ("Nd",) and (c.isalnum() or unicodedata.category(c)[0] == "M"):
+                word += c
+            else:
+                out += [word] if word else []
+                word = ""
+        return out
+
+    kinds, sizes = {}, Counter()
+    for text, lang in texts:
+        sizes[lang] += 1
+        for word in cut(text):
+            kinds.setdefault("w", Counter())[lang, word] += 1
+            for n in range(1, 5):
+                marked = f"^{word}$" if n > 1 else word
+                for i in range(max(1, len(marked) - n + 1)):
+                    kinds.setdefault(f"g{n}", Counter())[lang, marked[i:i + n]] += 1
+    return cut, kinds, sizes
+
+
+def plain_language(text, cut, kinds, sizes):
+    """The likeliest language and its probability, by adding logarithms term by term."""
+    words = cut(text or "")
+    if not any(c.isalpha() for w in words for c in w):
+        return "und", 0.0
+    langs = sorted(sizes)
+    known = {kind: {t for _, t in counts} for kind, counts in kinds.items()}
+    total = {(kind, l): sum(n for (x, _), n in counts.items() if x == l) + 0.5 * len(known[kind]) for kind, counts in kinds.items() for l in langs}
+    log = lambda kind, term, l: math.log((kinds[kind][l, term] + 0.5) / total[kind, l])
+    sums = {l: math.log(sizes[l] / sum(sizes.values())) for l in langs}
+    for word in words:
+        terms = [("w", word)] if word in known["w"] else []
+        for n in range(4, 0, -1):
+            if not terms:
+                marked = f"^{word}$" if n > 1 else word
+                grams = [marked[i:i + n] for i in range(max(1, len(marked) - n + 1))]
+                terms = [(f"g{n}", g) for g in grams if g in known[f"g{n}"]]
+        for l in langs if terms else []:
+            sums[l] += sum(log(kind, t, l) for kind, t in terms) / len(terms)
+    best = max(langs, key=lambda l: sums[l])
+    return best, 1 / sum(math.exp(sums[l] - sums[best]) for l in langs)
+
+
+MARKED = ["हिन्दी भाषा में लिखा", "मैं किताब पढ़ता हूँ", "यह भाषा हिन्दी है"]
+DECOMPOSED = [unicodedata.normalize("NFD", t) for t in ("cet été la forêt", "où est le café", "très égaré")]
+
+
+def test_language_equals_a_plain_backoff(spark):
+    rng = random.Random(9)
+    rows = [r for r in languages(200)] + [(1000 + i, rng.choice(MARKED), "hi", 0.0, "") for i in range(30)]
+    rows += [(2000 + i, rng.choice(DECOMPOSED), "fr", 0.0, "") for i in range(30)]
+    asked = [r[1] for r in rows] + ["bakle mozz", "été हिन्दी", "हिन", "x²y ½", "", None, "123 _ -", "q" * 50, "forêt foret", "भाषाएँ baba", "ba " * 30_000]
+    model = language.learn(spark.createDataFrame(rows, DOCS))
+    cut, kinds, sizes = plain_terms([(r[1], r[2]) for r in rows])
+    assert {name[1:] for name in model.terms if name[0] == "w"} == {t for _, t in kinds["w"]}
+    found = language.identify(spark.createDataFrame(list(enumerate(asked)), "doc_id BIGINT, text STRING"), model)
+    for row in found.collect():
+        lang, score = plain_language(asked[row["doc_id"]], cut, kinds, sizes)
+        assert row["score"] == pytest.approx(score, abs=1e-9), asked[row["doc_id"]][:40]
+        assert row["lang_pred"] == lang
+
+
+def test_marks_belong_to_their_word(spark):
+    rows = [(i, t, "hi", 0.0, "") for i, t in enumerate(MARKED * 4)] + [(50 + i, t, "fr", 0.0, "") for i, t in enumerate(DECOMPOSED * 4)]
+    model = language.learn(spark.createDataFrame(rows, DOCS))
+    for text in MARKED + DECOMPOSED:
+        for word in language.words_of(text):
+            assert model.rows(word) == [model.terms["w" + word]]
+    assert language.words_of("हिन्दी भाषा") == ["हिन्दी", "भाषा"]
+    assert language.words_of(DECOMPOSED[0])[1] == unicodedata.normalize("NFD", "été")
+
+
 def test_held_out_is_a_fifth(spark):
     share = spark.range(5000).agg(F.avg(held_out(F.col("id")).cast("int"))).first()[0]
     assert 0.17 < share < 0.23
