@@ -43,7 +43,10 @@ def parser() -> argparse.ArgumentParser:
         program.add_argument("--checkpoint", required=True)
         program.add_argument("--every", type=int, default=seconds, help="batch interval in seconds")
         program.add_argument("--once", action="store_true", help="work off what is there and end")
-        if name != "numbers":
+        if name == "numbers":
+            text = "totals at every interval, also without new numbers"
+            program.add_argument("--steady", action="store_true", help=text)
+        else:
             usual = "json" if name == "repos" else "tsv"
             program.add_argument("--form", choices=FORMS, default=usual)
         if name == "repos":
@@ -71,13 +74,15 @@ def main(arguments: list[str] | None = None) -> None:
     bad_lines = to_table(f"{args.out}/bad_lines")
     queries = [start(feed.rejects, bad_lines, f"{args.checkpoint}/bad_lines", "append", every)]
     if args.program == "numbers":
-        queries += start_number_analytics(feed.rows, *places)
+        queries += start_number_analytics(feed.rows, *places, steady=args.steady)
     elif args.program == "buckets":
         queries += start_bucket_analytics(feed.rows, *places)
     else:
         # Rows without a language stay in, so that they show up among the rejects.
         wanted = F.col("language").isNull() | F.col("language").isin(*args.languages)
-        queries += start_repo_analytics(feed.rows.where(wanted), *places, quiet=False)
+        queries += start_repo_analytics(
+            feed.rows.where(wanted), *places, quiet=False, languages=args.languages
+        )
     for query in queries:
         query.awaitTermination()
 
