@@ -308,6 +308,7 @@ for _stream, _same in {
     "stream_nine_tumbling": "nine_tumbling_20s",
     "stream_poll_rounds": "poll_dedup",
     "stream_state": "nine_multiples",
+    "stream_interval": "nine_multiples",
     "csv_inferred": "csv_roundtrip",
 }.items():
     ORACLE[_stream] = ORACLE[_same]

@@ -230,6 +230,18 @@ def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_state(spark, f"{root}/checkpoint").select("key.isMultipleOf9", "value.count")
 
 
+def stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals of a query that starts a batch every second, stopped when it has caught up."""
+    root = run_dir(spark, "interval")
+    counts = state.running_divisible(numbers(spark, sf_dir, streaming=True))
+    query = start(counts, to_table(f"{root}/out"), f"{root}/checkpoint", "complete", every_seconds=1)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return latest_batch(spark, f"{root}/out", "isMultipleOf9 STRING, count BIGINT")
+
+
 def stream_first_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first push of each repository number, with the numbers seen kept as bitmaps."""
     root = run_dir(spark, "numbers")
@@ -289,6 +301,7 @@ QUERIES = {
     "stream_union_feeds": stream_union_feeds,
     "stream_poll_rounds": stream_poll_rounds,
     "stream_state": stream_state,
+    "stream_interval": stream_interval,
     "stream_first_numbers": stream_first_numbers,
     "stream_sliding_counts": stream_sliding_counts,
     "stream_every_boundary": stream_every_boundary,
