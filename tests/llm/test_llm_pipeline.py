@@ -1,11 +1,13 @@
 """The pipeline against a plain version of its stages."""
 
+import os
 import random
 from collections import Counter, defaultdict
 
 import pytest
 
 import corpus_pipeline
+from repotide.session import folders_made
 from test_llm_mix_shard import water_fill
 from test_llm_neardup import edited, groups, probability, runs, tokens
 from test_llm_text import brute_leaks, sentence
@@ -95,6 +97,24 @@ def test_filtering_stages_keep_the_columns_and_clean_documents(spark, tables):
     assert sorted(r["doc_id"] for r in docs.select("doc_id").collect()) == [r[0] for r in left]
 
 
+def test_no_text_with_letters_is_rejected_for_its_language(spark):
+    """Undecided texts and those of a script nobody taught stay, whatever the share of the largest language."""
+    rows = [(i, sentence(random.Random(i), lang, 20), lang, "s", 1) for i in range(90) for lang in [("xx", "yy", "zz")[i % 3]]]
+    odd = [(900, "数据处理", None, "s", 1), (901, "ба бо", "xx", "s", 1), (902, "baku keki", None, "s", 1), (903, "q", None, "s", 1)]
+    gone = [(904, "12 + 3", "xx", "s", 1), (905, None, "xx", "s", 1), (906, "", None, "s", 1)]
+    docs = spark.createDataFrame(rows + odd + gone, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
+    kept = corpus_pipeline.language_stage(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(90), *(r[0] for r in odd)]
+
+
+def test_folders_of_finished_stages_are_removed(spark, tables):
+    with folders_made() as made:
+        rows = corpus_pipeline.run(spark, tables[0])
+    # The mix, and what the last stage has written, are still read.
+    assert rows.count() > 0 and len(made) <= 4
+    assert all(os.path.isdir(path) for path in made)
+
+
 def test_stages_take_empty_tables(spark, tables):
     folder, _, _ = tables
     empty = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
