@@ -37,8 +37,11 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 
 # Characters that combine with the letter before them, by their Unicode category; they belong to its word.
-MARKS = "".join(c for c in map(chr, range(0x300, 0x1F000)) if unicodedata.category(c)[0] == "M")
-WORD = re.compile(rf"(?:[^\W\d_]+|[{MARKS}]+)+")
+IS_MARK = np.array([unicodedata.category(chr(c))[0] == "M" for c in range(0x1F000)])
+MARKS = "".join(map(chr, np.flatnonzero(IS_MARK)))
+WORD = re.compile(r"[^\W\d_]+")
+# The same for texts with marks; slower, as there are thousands of them.
+MARKED_WORD = re.compile(rf"(?:[^\W\d_]+|[{MARKS}]+)+")
 
 
 class Model:
@@ -54,7 +57,7 @@ class Model:
             return [known]
         for n in range(LONGEST, 0, -1):
             text = f"^{word}$" if n > 1 else word
-            found = [self.terms.get("g" + text[i : i + n]) for i in range(max(1, len(text) - n + 1))]
+            found = [self.terms.get("g" + text[i : i + n]) for i in range(len(text) - n + 1)]
             found = [row for row in found if row is not None]
             if found:
                 return found
@@ -82,9 +85,17 @@ class Model:
         return self.languages[best], float(chances[best] / chances.sum())
 
 
+def has_marks(text: str) -> bool:
+    if text.isascii():
+        return False
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return bool(IS_MARK[np.minimum(codes, len(IS_MARK) - 1)].any())
+
+
 def words_of(text: str) -> list[str]:
     """The words of a text, where it is learned from and where it is told."""
-    return WORD.findall(text.lower())
+    lowered = text.lower()
+    return (MARKED_WORD if has_marks(lowered) else WORD).findall(lowered)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +138,8 @@ def learn(labelled: DataFrame, texts: int = TEXTS, words: int = WORDS, grams: in
     for n in range(1, LONGEST + 1):
         # The ends of a word are marked, but for single letters.
         text = F.concat(F.lit("^"), "term", F.lit("$")) if n > 1 else F.col("term")
-        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+        # A word shorter than n, ends included, has none.
+        starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1))
         part = F.explode(F.transform(starts, _grams(text, n))).alias("term")
         parts.append(
             counted.select("lang", "n", part).groupBy("lang", "term").agg(F.sum("n").alias("n"))
