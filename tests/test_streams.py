@@ -142,6 +142,16 @@ def test_top_words_with_many_changes_per_batch(spark, folder):
         assert rows_of(got, "word", "freq", "rank") == sorted(expected, key=repr)
 
 
+def test_fold_with_tasks_that_have_no_rows(spark, folder):
+    """The first file has no row with a key, the last one has few."""
+    schema = "key STRING, value BIGINT"
+    rows = [(None, 2), (None, 3), ("a", None), (None, 5), ("a", 2), ("b", 3), ("a", 5), (None, 7)]
+    arrive(spark, f"{folder}/in", rows, 2, schema)
+    folded = state.fold(stream(spark, f"{folder}/in", schema), "key", "value", lambda v: v + 1, lambda a, b: a * b)
+    finish(start(folded, to_table(f"{folder}/out"), f"{folder}/c"))
+    assert rows_of(tables.read_batches(spark, f"{folder}/out", schema)) == [("a", 18, 1), ("b", 4, 1)]
+
+
 def test_running_counts_show_every_key_in_every_batch(spark, folder):
     rows = [(v,) for v in (9, 18, 27, 36, 1, 2, 3, 4)]
 
