@@ -285,11 +285,14 @@ ORACLE = {
           QUALIFY row_number() OVER (PARTITION BY lang ORDER BY batch DESC) <= 10
         ),
         last AS (SELECT DISTINCT batch FROM kept ORDER BY batch DESC LIMIT 10),
-        grid AS (SELECT batch, t.lang FROM last, {_TRACKED})
-        SELECT t.lang AS language, 'count' AS item, coalesce(n, 0)::VARCHAR AS value
-        FROM {_TRACKED} LEFT JOIN c ON c.lang = t.lang
-        UNION ALL SELECT t.lang, 'stars', format('{{:,.4f}}', coalesce(a, 0.0::DOUBLE))
-        FROM {_TRACKED} LEFT JOIN c ON c.lang = t.lang
+        grid AS (
+          SELECT batch, l.lang
+          FROM last, (SELECT t.lang FROM {_TRACKED} UNION SELECT lang FROM kept) AS l
+        )
+        SELECT coalesce(t.lang, c.lang) AS language, 'count' AS item, coalesce(n, 0)::VARCHAR AS value
+        FROM {_TRACKED} FULL JOIN c ON c.lang = t.lang
+        UNION ALL SELECT coalesce(t.lang, c.lang), 'stars', format('{{:,.4f}}', coalesce(a, 0.0::DOUBLE))
+        FROM {_TRACKED} FULL JOIN c ON c.lang = t.lang
         UNION ALL SELECT grid.lang, strftime(to_timestamp(1704067200 + batch * 100 + 99)
           AT TIME ZONE 'UTC', '%H:%M:%S'), coalesce(n, 0)::VARCHAR
         FROM grid LEFT JOIN kept USING (batch, lang)

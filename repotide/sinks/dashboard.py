@@ -1,4 +1,7 @@
-"""Data of the dashboard panels: three numbers, a line per language, bars and word lists."""
+"""Data of the dashboard panels: three numbers, a line per language, bars and word lists.
+
+With ``others`` a panel shows every language that its rows have beside the tracked ones, too.
+"""
 
 from __future__ import annotations
 
@@ -13,21 +16,33 @@ from repotide.operators.metrics import zero_fill
 from repotide.operators.ranking import first_rows
 
 
-def totals_panel(counts: DataFrame, languages: Sequence[str] = TRACKED) -> DataFrame:
+def _untracked(rows: DataFrame, languages: Sequence[str]) -> DataFrame:
+    return rows.where(~F.col("language").isin(*languages))
+
+
+def _filled(rows: DataFrame, value: str, languages: Sequence[str], others: bool) -> DataFrame:
+    filled = zero_fill(rows, value, languages).select("language", value)
+    return filled.union(_untracked(rows, languages).select("language", value)) if others else filled
+
+
+def totals_panel(counts: DataFrame, languages: Sequence[str] = TRACKED, others: bool = False) -> DataFrame:
     """Total per tracked language, zero when it has not been seen."""
-    return zero_fill(counts, "count", languages).select(F.col("language").alias("lang"), "count")
+    return _filled(counts, "count", languages, others).select(F.col("language").alias("lang"), "count")
 
 
-def stars_panel(averages: DataFrame, languages: Sequence[str] = TRACKED) -> DataFrame:
+def stars_panel(averages: DataFrame, languages: Sequence[str] = TRACKED, others: bool = False) -> DataFrame:
     """Average per tracked language, zero when it has not been seen."""
     rows = averages.select(F.col("Language").alias("language"), "Average_Stars")
-    return zero_fill(rows, "Average_Stars", languages).select(
+    return _filled(rows, "Average_Stars", languages, others).select(
         F.col("language").alias("Language"), "Average_Stars"
     )
 
 
 def recents_panel(
-    recents: DataFrame, languages: Sequence[str] = TRACKED, n: int = HISTORY_LENGTH
+    recents: DataFrame,
+    languages: Sequence[str] = TRACKED,
+    n: int = HISTORY_LENGTH,
+    others: bool = False,
 ) -> DataFrame:
     """The last ``n`` batches as one point per tracked language, oldest first in time.
 
@@ -47,6 +62,15 @@ def recents_panel(
             for i, name in enumerate(languages)
         )
     )
-    return last.select("batch_time", F.explode(entries).alias("e")).select(
-        "batch_time", clock_text(F.col("batch_time")).alias("label"), "e.Language", "e.Recents"
-    )
+    shown = last.select("batch_time", F.explode(entries).alias("e")).select("batch_time", "e.*")
+    if others:
+        own = _untracked(recents, languages).groupBy("language", "batch_time")
+        own = own.agg(F.sum("recents").alias("Recents"))
+        # Every other language with each of the last batches, whose times are one short row.
+        times = last.agg(F.collect_list("batch_time").alias("times"))
+        grid = own.select("language").distinct().crossJoin(F.broadcast(times))
+        grid = grid.select("language", F.explode("times").alias("batch_time"))
+        points = grid.join(own, ["language", "batch_time"], "left")
+        shown = shown.union(points.select("batch_time", "language", F.coalesce("Recents", F.lit(0))))
+    label = clock_text(F.col("batch_time")).alias("label")
+    return shown.select("batch_time", label, "Language", "Recents")

@@ -138,6 +138,7 @@ def start_repo_analytics(
     quiet: bool = True,
     retention: str | None = None,
     languages: Sequence[str] = TRACKED,
+    others: bool = False,
 ) -> list[StreamingQuery]:
     """Run the application on a stream of repositories.
 
@@ -146,7 +147,8 @@ def start_repo_analytics(
     a column, else at the time logged for the batch of the intake. Without an interval everything
     that is there is taken in first, then the other queries work it off and end. Rows that are not
     accepted are in ``rejects``. After each batch of recents or words the panels of all four analyses,
-    for ``languages``, are published together (``shown_panels``).
+    for ``languages`` and, with ``others``, all others that came in, are published together
+    (``shown_panels``).
     """
     spark = repos.sparkSession
     if BATCH_TIME not in repos.columns:
@@ -174,7 +176,7 @@ def start_repo_analytics(
     pushes = arrivals(spark, out, pushed, streaming=True)
     counts = spark.readStream.schema(f"{NEW_WORDS}, batch_id BIGINT").parquet(words)
     counts = counts.groupBy("language", "word").agg(F.sum("freq").alias("freq"))
-    panels = Dashboard(out, languages)
+    panels = Dashboard(out, languages, others)
     recents = panels.after(Recents(out, quiet, recent_seconds))
     words = panels.after(top_panel(out, top, quiet))
     return [
@@ -207,7 +209,7 @@ def run_report_of(
 
 
 def latest_dashboard(
-    spark: SparkSession, out: str, languages: Sequence[str] = TRACKED
+    spark: SparkSession, out: str, languages: Sequence[str] = TRACKED, others: bool = False
 ) -> dict[str, DataFrame]:
     """The four panels: totals and average stars with zeros for tracked languages that have none,
     the last points of recent counts, and the top words of each language as a list."""
@@ -219,16 +221,18 @@ def latest_dashboard(
         BATCH_TIME, F.col("Language").alias("language"), F.col("Recents").alias("recents")
     )
     return {
-        tables.COUNTS: dashboard.totals_panel(counts.withColumnRenamed("lang", "language"), languages),
-        tables.STARS: dashboard.stars_panel(stars, languages),
-        tables.RECENTS: dashboard.recents_panel(series, languages),
+        tables.COUNTS: dashboard.totals_panel(counts.withColumnRenamed("lang", "language"), languages, others),
+        tables.STARS: dashboard.stars_panel(stars, languages, others),
+        tables.RECENTS: dashboard.recents_panel(series, languages, others=others),
         tables.TOP: word_lists(top),
     }
 
 
-def dashboard_rows(spark: SparkSession, out: str, languages: Sequence[str] = TRACKED) -> DataFrame:
+def dashboard_rows(
+    spark: SparkSession, out: str, languages: Sequence[str] = TRACKED, others: bool = False
+) -> DataFrame:
     """The four panels in one long table: (panel, language, item, value)."""
-    panels = latest_dashboard(spark, out, languages)
+    panels = latest_dashboard(spark, out, languages, others)
 
     def shown(name: str, language: str, item: Column, value: Column) -> DataFrame:
         return panels[name].select(
@@ -256,13 +260,15 @@ class Dashboard:
 
     out: str
     languages: Sequence[str] = TRACKED
+    others: bool = False
     turn: Lock = field(default_factory=Lock)
 
     def after(self, on_batch: BatchFunction) -> BatchFunction:
         def run(batch: DataFrame, batch_id: int) -> None:
             on_batch(batch, batch_id)
             with self.turn:
-                commit_panels(dashboard_rows(batch.sparkSession, self.out, self.languages), f"{self.out}/dashboard")
+                rows = dashboard_rows(batch.sparkSession, self.out, self.languages, self.others)
+                commit_panels(rows, f"{self.out}/dashboard")
 
         return run
 

@@ -91,6 +91,25 @@ def test_recents_panel_is_a_full_grid(spark):
     assert panel.agg(F.min("label")).first()[0] == "10:02:00"
 
 
+def test_panels_show_other_languages_too(spark):
+    counts = spark.createDataFrame([("C", 3), ("Perl", 2)], "language STRING, count BIGINT")
+    totals = dashboard.totals_panel(counts, ["Python", "C"], others=True)
+    assert rows_of(totals) == [("C", 3), ("Perl", 2), ("Python", 0)]
+    averages = spark.createDataFrame([("Perl", 2.5), ("C", 1.5)], "Language STRING, Average_Stars DOUBLE")
+    stars = dashboard.stars_panel(averages, ["Python", "C"], others=True)
+    assert rows_of(stars) == [("C", 1.5), ("Perl", 2.5), ("Python", 0.0)]
+    data = [(datetime(2024, 3, 1, 10, m), "C", m) for m in range(1, 12)]
+    # Shell was pushed in a batch before the last ten only, Perl in that and in the last one.
+    first, last = datetime(2024, 3, 1, 10, 0), datetime(2024, 3, 1, 10, 11)
+    data += [(first, "Shell", 4), (first, "Perl", 7), (last, "Perl", 5)]
+    recents = spark.createDataFrame(data, "batch_time TIMESTAMP, language STRING, recents BIGINT")
+    panel = dashboard.recents_panel(recents, ["Python", "C"], others=True)
+    assert panel.count() == 40 and panel.agg(F.min("label")).first()[0] == "10:02:00"
+    perl = panel.where("Language = 'Perl' AND Recents > 0")
+    assert rows_of(perl, "label", "Recents") == [("10:11:00", 5)]
+    assert panel.where("Language = 'Shell'").agg(F.sum("Recents")).first()[0] == 0
+
+
 def test_printed_batches(spark, capsys):
     now = datetime(2024, 3, 1, 10, tzinfo=timezone.utc)
     console.show_batch("totals", now, spark.range(1))
