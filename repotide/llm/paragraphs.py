@@ -5,7 +5,8 @@ when they are compared as a whole: those of the same words are alike. Paragraphs
 same words are one class. Each class has a MinHash signature over its runs of five words. The bands
 are tuned for recall (``bands_for``); classes that collide in a band are compared exactly, by Jaccard
 similarity, in blocks within tasks. Links join classes to components, of which the first paragraph
-by document number and line stays and all others go, copies included.
+by document number and line stays and all others go, copies included. Passages that repeat within longer
+lines, or across line ends, go too (``passages``).
 
 As in any bucketing, a bucket may be hot. Its pairs are never rows: tasks return only links that join
 something, at most one less than the members that meet in a task.
@@ -33,8 +34,10 @@ from repotide.llm.common import (
     read,
     shingles,
     stored,
+    words,
 )
 from repotide.llm.components import components
+from repotide.llm.passages import RUN, repeated_passages, without_words
 
 SIMILARITY = 0.8
 MIN_WORDS = SHINGLE_WORDS
@@ -149,8 +152,16 @@ def _compare(similarity: float):
 
 def paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_id, line, hashes): all lines, with the word hashes of those long enough."""
-    line = F.posexplode_outer(F.split("text", "\n")).alias("line", "own")
-    lines = docs.select("doc_id", F.xxhash64("text").alias("text_id"), line)
+    return _hashed(_lines(docs), min_words)
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_id, line, own): all lines; a row of a line does not carry the whole text."""
+    cut = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.split("text", "\n").alias("lines"))
+    return cut.select("doc_id", "text_id", F.posexplode_outer("lines").alias("line", "own"))
+
+
+def _hashed(lines: DataFrame, min_words: int) -> DataFrame:
     split = F.array_remove(F.split(F.lower("own"), SEPARATORS), "").alias("w")
     lines = lines.select("doc_id", "text_id", "line", split)
     hashes = F.when(F.size("w") >= max(1, min_words), F.transform("w", lambda w: F.xxhash64(w)))
@@ -170,8 +181,7 @@ def repeated_paragraphs(
     ``component`` is the class that names a component, ``removed`` is false for its first paragraph.
     """
     bands = bands_for(similarity, band_rows, recall)
-    rows = paragraphs(docs, min_words)
-    signed = stored(rows.mapInArrow(_sign(bands, band_rows), SIGNED), "paragraphs")
+    signed = stored(paragraphs(docs, min_words).mapInArrow(_sign(bands, band_rows), SIGNED), "paragraphs")
     # One paragraph of each class, found by its place; taken here, as a join of all of a hot class would be one task.
     at = F.min(F.struct("doc_id", "text_id", "line")).alias("at")
     classes = signed.groupBy("class").agg(F.count("*").alias("n"), F.first("bands").alias("bands"), at)
@@ -190,7 +200,9 @@ def repeated_paragraphs(
     places = classes.join(needed, "class")
     places = stored(places.select(F.col("at.doc_id").alias("d"), F.col("at.text_id").alias("t"), F.col("at.line").alias("l")), "places")
     at = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_id") == F.col("t")) & (F.col("line") == F.col("l"))
-    sets = rows.join(hinted(places), at, "left_semi").select("hashes").mapInArrow(_weigh, "class BINARY, elements BINARY")
+    # Lines are cut into words only after the join.
+    chosen = _hashed(_lines(docs).join(hinted(places), at, "left_semi"), min_words)
+    sets = chosen.select("hashes").mapInArrow(_weigh, "class BINARY, elements BINARY")
     sets = sets.groupBy("class").agg(F.first("elements").alias("elements")).join(classes.drop("n", "at"), "class")
     dealt = in_blocks(members, ["band", "key"], "class", block)
     dealt = dealt.select("class", "band", "side", "low", "high", "task")
@@ -208,11 +220,14 @@ def repeated_paragraphs(
 
 
 def remove_repeated(docs: DataFrame, **how: object) -> DataFrame:
-    """Per document what is left without paragraphs that occurred before.
+    """Per document what is left without paragraphs, and without passages within them, that occurred before.
 
     ``n_lines``, ``n_repeated`` (paragraphs with another like them anywhere), ``n_removed``, ``removed``
-    (their lines, from 0), ``n_bytes``, ``removed_bytes`` (of the text, with line ends), ``kept_sha256``
-    and ``kept``, the text that is left. A null text stays null and has no lines. Rows equal in number
+    (their lines, from 0), ``n_bytes``, ``removed_bytes`` (of the text, with line ends), ``kept_sha256``,
+    ``n_passages`` and ``passage_words`` (stretches of words, and how many words, in runs of ``RUN`` words that
+    another document holds too), ``cut_words`` and ``kept``, the text that is left. Besides removed lines, a run in
+    lines that stay goes if an earlier document holds it in lines that stay; line ends within it stay. Runs are
+    judged on the input. A null text stays null and has no lines. Rows equal in number
     and text are one document, so the first paragraph may stay in each of them. Rows without a
     number come last. A very long text is cut into its lines by Spark, one row each; a single very long
     line is one paragraph, signed in memory of a few times its size. Other columns are ignored; no rows
@@ -224,19 +239,38 @@ def remove_repeated(docs: DataFrame, **how: object) -> DataFrame:
         F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("line")))).alias("removed"),
     )
     lines = stored(lines, "removed_lines")
-    lines = lines.withColumnsRenamed({"doc_id": "d", "text_id": "t"})
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text")
+    least, most, numbered = F.min("doc_id"), F.max("doc_id"), F.count("doc_id")
+    # By text: its first document, and whether there is a second one.
+    copies = rows.where("text is not null").groupBy("text_id").agg(
+        least.alias("rep"),
+        F.coalesce((least != most) | ((numbered > 0) & (numbered < F.count("*"))), F.lit(False)).alias("shared"),
+        F.count("*").alias("n"),
+    )
+    copies = stored(copies.where("n > 1").drop("n"), "text_copies")
+    is_first = F.col("shared").isNull() | F.col("doc_id").eqNullSafe(F.col("rep"))
+    once = rows.where("text is not null").join(hinted(copies), "text_id", "left").where(is_first)
+    once = once.select("text_id", F.col("doc_id").alias("rep"), "text")
+    gone = lines.join(hinted(copies), "text_id", "left").where(is_first).select("text_id", "removed")
+    passages = repeated_passages(once, gone)
+    lines = lines.withColumnsRenamed({"doc_id": "d", "text_id": "t"})
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_id") == F.col("t"))
     rows = rows.join(hinted(lines), same, "left")
-    rows = rows.withColumn("lines", F.split("text", "\n"))
+    rows = rows.join(hinted(copies), "text_id", "left").join(hinted(passages), "text_id", "left")
+    none = F.array().cast(passages.schema["cuts"].dataType)
+    rows = rows.withColumn("cuts", F.when(is_first & F.col("cuts").isNotNull(), F.col("cuts")).otherwise(none))
     removed = F.coalesce("removed", F.array().cast("array<int>"))
+    text = F.when(F.size("cuts") > 0, without_words(F.col("text"), F.col("cuts"))).otherwise(F.col("text"))
+    rows = rows.withColumn("lines", F.split(text, "\n"))
     # What is left by a set difference of line numbers, which costs no more than the lines.
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), removed)
     kept = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
-    kept = F.when(F.size(removed) == 0, F.col("text")).otherwise(kept)
+    kept = F.when((F.size(removed) == 0) & (F.size("cuts") == 0), F.col("text")).otherwise(kept)
     left = F.coalesce(kept, F.lit(""))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
-    return rows.select(
+    # A text with a second document is one passage, if it is long enough.
+    whole = F.when(F.col("shared") & F.col("text").isNotNull(), F.size(words(F.col("text"))))
+    return rows.withColumn("whole", F.when(whole >= RUN, whole)).select(
         "doc_id",
         F.greatest(F.size("lines"), F.lit(0)).alias("n_lines"),
         F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"),
@@ -245,6 +279,9 @@ def remove_repeated(docs: DataFrame, **how: object) -> DataFrame:
         size.alias("n_bytes"),
         (size - F.octet_length(left)).cast("bigint").alias("removed_bytes"),
         F.sha2(left, 256).alias("kept_sha256"),
+        F.when(F.col("whole").isNotNull(), 1).otherwise(F.coalesce("n_passages", F.lit(0))).alias("n_passages"),
+        F.coalesce("whole", "passage_words", F.lit(0)).alias("passage_words"),
+        F.aggregate("cuts", F.lit(0), lambda n, c: n + c["end"] - c["start"]).alias("cut_words"),
         kept.alias("kept"),
     )
 
