@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -81,8 +82,22 @@ class PollRounds(DataSource):
         return PollReader(self.options["path"], schema)
 
 
+def _register(spark: SparkSession, tries: int = 3) -> None:
+    """Make the source known to a session, which may know it already.
+
+    Spark calls a new name taken, too, whenever it fails to look the name up, for whatever reason; a
+    failure that passes is tried again.
+    """
+    for left in reversed(range(tries)):
+        try:
+            return spark.dataSource.register(PollRounds)
+        except AnalysisException as error:
+            if not left or error.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
+                raise
+
+
 def stream_polls(spark: SparkSession, path: str, columns: str) -> DataFrame:
     """The rounds below a folder as a stream of ``columns``, with the number of their ``round``."""
-    spark.dataSource.register(PollRounds)
+    _register(spark)
     reader = spark.readStream.format(NAME).option("columns", f"{columns}, round BIGINT")
     return reader.option("path", path).load()

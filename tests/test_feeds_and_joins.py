@@ -2,11 +2,15 @@
 
 import os
 from datetime import datetime, timedelta, timezone
+from types import SimpleNamespace
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import rows_of
 from repotide.sinks import tables
+from repotide.sources import polls
 from repotide.sources.files import union_streams
 from repotide.sources.polls import PollReader, stream_polls
 from repotide.streaming import state
@@ -147,3 +151,31 @@ def test_joined_averages_over_a_restart(spark, folder):
     window = F.window("pushed_at", "20 seconds").start.alias("w")
     same = spark.createDataFrame(rows[:100], STARRED).groupBy(window, "language").agg(F.avg("stargazers_count"))
     assert rows_of(found.drop("batch_id")) == rows_of(same)
+
+
+def test_a_failed_lookup_of_the_poll_source_is_tried_again():
+    class Failed(AnalysisException):
+        def __init__(self, condition):
+            super().__init__(message=condition)
+            self.condition = condition
+
+        def getCondition(self):
+            return self.condition
+
+    def session(failures, condition="DATA_SOURCE_ALREADY_EXISTS"):
+        calls = []
+
+        def register(source):
+            calls.append(source)
+            if len(calls) <= failures:
+                raise Failed(condition)
+
+        return SimpleNamespace(dataSource=SimpleNamespace(register=register)), calls
+
+    once, calls = session(1)
+    polls._register(once)
+    assert len(calls) == 2
+    for always, tries in ((session(9), 3), (session(9, "DATA_SOURCE_NOT_FOUND"), 1)):
+        with pytest.raises(AnalysisException):
+            polls._register(always[0])
+        assert len(always[1]) == tries
