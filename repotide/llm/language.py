@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from repotide.llm.common import held_out, read, stored
 
@@ -30,8 +29,6 @@ TEXTS, WORDS, GRAMS = 4_000, 20_000, 6_000
 LONGEST = 4
 # Unseen words whose terms a task remembers.
 REMEMBERED = 1 << 15
-# Texts that a task holds as Python strings at once.
-PART = 256
 # Share of a count that every term is given in every language.
 SMOOTHING = 0.5
 UNKNOWN = "und"
@@ -175,25 +172,19 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     model = docs.sparkSession.sparkContext.broadcast(model)
     rest = docs.drop("lang_pred", "score")
-    kept = [f.name for f in rest.schema]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = model.value
-        rows_of = lru_cache(REMEMBERED)(known.rows)
-        parts = (batch.slice(i, PART) for batch in batches for i in range(0, len(batch), PART))
-        for batch in parts:
-            found = [known.predict(text, rows_of) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in kept),
-                    pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.float64()),
-                ],
-                [*kept, "lang_pred", "score"],
-            )
-
-    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
-    return rest.mapInArrow(run, StructType(rest.schema.fields + added))
+    memory: list[Callable[[str], list[int]]] = []
+
+    def told(text: str | None) -> tuple[str, float]:
+        if not memory:
+            memory.append(lru_cache(REMEMBERED)(model.value.rows))
+        return model.value.predict(text, memory[0])
+
+    # Texts go to Python a hundred at a time, other columns not at all; Arrow's batches of 10,000 whole rows took
+    # hundreds of MB of an executor outside its heap. Called not deterministic, so that no plan runs it twice for a row.
+    found = F.udf(told, "lang_pred STRING, score DOUBLE", useArrow=False).asNondeterministic()
+    rows = rest.withColumn("__told", found("text"))
+    parts = {name: F.col("__told")[name] for name in ("lang_pred", "score")}
+    return rows.withColumns(parts).drop("__told")
 
 
 def language_id(docs: DataFrame, **limits: int) -> DataFrame:

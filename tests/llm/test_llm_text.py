@@ -2,11 +2,13 @@
 
 import math
 import random
+import re
 import textwrap
 import unicodedata
 from collections import Counter
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from repotide.llm import decontaminate, language, licences, toxicity
@@ -53,6 +55,19 @@ def test_language_without_teachers(spark):
     assert language.language_id(docs.limit(0)).collect() == []
 
 
+def test_prediction_is_given_texts_alone_and_once(spark):
+    rows = languages(60)
+    docs = spark.createDataFrame(rows, DOCS)
+    told = language.identify(docs, language.learn(docs))
+    assert told.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    plan = plan_of(told.where("lang_pred != 'und' and score > 0.1").select("doc_id", "lang_pred"))
+    # Batches of whole rows, texts included, once took an executor over its memory.
+    assert "MapInArrow" not in plan and "ArrowEvalPython" not in plan
+    calls = [line for line in plan.splitlines() if "BatchEvalPython" in line]
+    assert len(calls) == 1 and re.search(r"BatchEvalPython \[told\(text#\d+\)", calls[0])
+    assert told.where("lang_pred = 'und'").count() == 0 and told.count() == len(rows)
+
+
 def test_backoff_goes_from_long_to_short(spark):
     rows = [(i, "abcd abcd", "xx", 0.0, "") for i in range(30)] + [(100 + i, "wxyz wxyz", "yy", 0.0, "") for i in range(30)]
     model = language.learn(spark.createDataFrame(rows, DOCS))
