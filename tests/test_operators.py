@@ -55,6 +55,32 @@ def test_rejected_rows_complete_the_accepted_ones(repos):
     ]
 
 
+def test_rejected_rows_with_repeated_and_missing_arrivals(spark):
+    rows = [
+        (1, 1, "C"), (1, 1, "C"), (1, 2, "C"), (1, 1, None), (2, 1, "C"), (2, 1, "C"), (None, 1, "C"),
+        (None, 3, "C"), (None, 3, "C"), (None, None, "C"), (None, 4, None), (None, 4, "C"),
+    ]
+    rejected = dedup.rejected_rows(spark.createDataFrame(rows, "seq BIGINT, id BIGINT, language STRING"), "id", "seq")
+    assert rejected.columns == ["seq", "id", "language", "reason"]
+    assert rows_of(rejected) == sorted([
+        (1, 1, "C", "duplicate"), (1, 1, None, "no language"), (2, 1, "C", "duplicate"), (2, 1, "C", "duplicate"),
+        (None, 1, "C", "duplicate"), (None, 3, "C", "duplicate"), (None, None, "C", "no key"), (None, 4, None, "no language"),
+    ], key=repr)
+
+
+def test_copies_of_a_hot_key_spread_over_tasks(spark):
+    """Nine in ten rows share a key: they are numbered and joined by key and arrival."""
+    rows = spark.range(0, 20_000, 1, 8).select(
+        F.col("id").alias("seq"),
+        F.when(F.col("id") % 10 < 9, 0).otherwise(F.col("id")).alias("id"),
+        F.lit("C").alias("language"),
+    ).repartition(8)
+    rejected = dedup.rejected_rows(rows, "id", "seq")
+    assert rejected.count() == 17_999
+    numbering = plan_of(rejected).split("Window [row_number()")[1].split("Exchange ")[1]
+    assert numbering.startswith("hashpartitioning(id#") and "seq#" in numbering.split(")")[0]
+
+
 def test_content_key_separates_texts(spark):
     texts = spark.createDataFrame([("a",), ("a",), ("b",)], "t STRING")
     keys = [r[0] for r in texts.select(dedup.content_key(F.col("t"))).collect()]

@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as entry_points
 from conftest import plan_of
 from repotide.plans import catalog
+from repotide.plans.tables import SCHEMAS
 
 SF_DIR = entry_points.SMALL
 QUERIES = {name: query for name, query in entry_points.queries().items() if name in catalog.QUERIES}
@@ -46,6 +47,31 @@ def test_query_equals_sql(spark, duck, name):
     assert got
 
 
+# Copies with one number, with others and with none, and rows without a language or a text.
+ODD_DOCUMENTS = [
+    (1, "a", "en"), (1, "a", "en"), (2, "a", "en"), (3, "b", None), (4, "b", "de"), (4, "b", None),
+    (5, None, "en"), (6, None, None), (7, "c", "fr"), (7, "d", "fr"), (8, "d", "fr"),
+    (9, "e", "en"), (10, "f", "en"), (None, "e", "en"), (None, "g", "en"), (None, "g", "en"),
+]
+
+
+def odd_documents(spark, folder):
+    rows = [(number, text, lang, "s", 1) for number, text, lang in ODD_DOCUMENTS]
+    spark.createDataFrame(rows, SCHEMAS["documents"]).coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    return connection
+
+
+@pytest.mark.parametrize("name", ["rejected_rows"])
+def test_every_document_is_accepted_or_rejected(spark, folder, name):
+    connection = odd_documents(spark, folder)
+    expected = comparable(["doc_id", "language", "reason"], connection.execute(ORACLE[name]).fetchall())
+    assert len(expected) == 9
+    result = QUERIES[name](spark, folder)
+    assert comparable(result.columns, result.collect()) == expected
+
+
 def test_entry(spark):
     result = entry_points.entry(spark)
     assert result.columns == ["Language", "Word", "Freq"]
