@@ -56,14 +56,17 @@ ODD_DOCUMENTS = [
 
 
 def odd_documents(spark, folder):
+    """Two files, so that the last micro-batch of a replay holds documents with a number and without."""
     rows = [(number, text, lang, "s", 1) for number, text, lang in ODD_DOCUMENTS]
-    spark.createDataFrame(rows, SCHEMAS["documents"]).coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    for part in ([r for r in rows if r[0] != 2], [r for r in rows if r[0] == 2]):
+        documents = spark.createDataFrame(part, SCHEMAS["documents"]).coalesce(1)
+        documents.write.mode("append").parquet(f"{folder}/documents.parquet")
     connection = duckdb.connect()
     connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
     return connection
 
 
-@pytest.mark.parametrize("name", ["rejected_rows"])
+@pytest.mark.parametrize("name", ["rejected_rows", "stream_rejected"])
 def test_every_document_is_accepted_or_rejected(spark, folder, name):
     connection = odd_documents(spark, folder)
     expected = comparable(["doc_id", "language", "reason"], connection.execute(ORACLE[name]).fetchall())
