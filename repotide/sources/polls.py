@@ -11,6 +11,7 @@ Files are opened by pyarrow in the tasks, on any file system it knows by the add
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -96,8 +97,27 @@ def _register(spark: SparkSession, tries: int = 3) -> None:
                 raise
 
 
+@contextmanager
+def _active(spark: SparkSession) -> Iterator[None]:
+    """Make a session the active one of this thread for a block.
+
+    Spark looks a new name up in the active session, and one that knows the source makes it taken for all.
+    """
+    sessions = SparkSession._get_j_spark_session_class(spark._jvm)
+    before = sessions.getActiveSession()
+    sessions.setActiveSession(spark._jsparkSession)
+    try:
+        yield
+    finally:
+        if before.isDefined():
+            sessions.setActiveSession(before.get())
+        else:
+            sessions.clearActiveSession()
+
+
 def stream_polls(spark: SparkSession, path: str, columns: str) -> DataFrame:
     """The rounds below a folder as a stream of ``columns``, with the number of their ``round``."""
-    _register(spark)
+    with _active(spark):
+        _register(spark)
     reader = spark.readStream.format(NAME).option("columns", f"{columns}, round BIGINT")
     return reader.option("path", path).load()

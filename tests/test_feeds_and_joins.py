@@ -6,6 +6,7 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from conftest import rows_of
@@ -153,6 +154,16 @@ def test_joined_averages_over_a_restart(spark, folder):
     assert rows_of(found.drop("batch_id")) == rows_of(same)
 
 
+def test_another_session_may_know_the_poll_source(spark, folder):
+    stream_polls(spark, f"{folder}/in", PUSHES)
+    other = spark.newSession()
+    spark.createDataFrame([(1,)], "a INT")  # makes its session the active one
+    for _ in range(2):
+        assert stream_polls(other, f"{folder}/in", PUSHES).columns[-1] == "round"
+    active = SparkSession._get_j_spark_session_class(spark._jvm).getActiveSession().get()
+    assert active.equals(spark._jsparkSession)
+
+
 def test_a_failed_lookup_of_the_poll_source_is_tried_again():
     class Failed(AnalysisException):
         def __init__(self, condition):
